@@ -38,3 +38,16 @@ def dedupe(
     """Drop repeated keys, keeping the row loaded last where a load time column is there."""
     order = [loaded_at] if loaded_at in df.columns else []
     return latest_per_key(df, keys, order)
+
+
+def dedupe_repeated(
+    df: DataFrame, keys: Sequence[str], loaded_at: str = "_ingestion_timestamp"
+) -> DataFrame:
+    """`dedupe` for narrow rows that repeat a lot, such as one row per mention of an author.
+
+    Equal rows are folded by a hash aggregate first, so little is left to sort and shuffle.
+    """
+    if loaded_at not in df.columns:
+        return dedupe(df.distinct(), keys)
+    rest = [c for c in df.columns if c != loaded_at]
+    return dedupe(df.groupBy(*rest).agg(F.max(loaded_at).alias(loaded_at)), keys, loaded_at)

@@ -15,10 +15,10 @@ def clean(df: DataFrame, spec: Mapping[str, Column]) -> DataFrame:
 
 def require(df: DataFrame, *cols: str, blank: bool = True) -> DataFrame:
     """Keep rows whose `cols` are all set. With blank=False empty text is dropped too."""
-    kept = df.na.drop(subset=list(cols))
-    if blank:
-        return kept
-    return kept.filter(reduce(lambda a, b: a & b, [F.col(c) != "" for c in cols]))
+    tests = [F.col(c).isNotNull() for c in cols]
+    if not blank:
+        tests += [F.col(c) != "" for c in cols]
+    return df.filter(reduce(lambda a, b: a & b, tests))
 
 
 def null_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -10,7 +10,7 @@ from marlstone import fixed_values as fixed
 from marlstone.functions.cleaning import clean_text, default_blank, safe_cast, stamp
 from marlstone.functions.kinds import by_kind
 from marlstone.functions.labels import canonicalise
-from marlstone.operators.dedupe import dedupe
+from marlstone.operators.dedupe import dedupe, dedupe_repeated
 from marlstone.operators.features import label_totals
 from marlstone.operators.rows import clean, explode_structs, require
 from marlstone.streaming.ingest import LOADED_AT
@@ -79,7 +79,7 @@ def book_author_rows(raw: DataFrame) -> DataFrame:
 def author_versions(raw: DataFrame) -> DataFrame:
     """One row per author, the role as loaded last: the source of the author dimension."""
     rows = book_author_rows(raw).drop("book_id")
-    return dedupe(rows, ["author_id"]).select("author_id", "role")
+    return dedupe_repeated(rows, ["author_id"], LOADED_AT).select("author_id", "role")
 
 
 def bridge_book_authors(raw: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ from marlstone.operators.rows import current_rows, expect_no_nulls, loaded_after
 from marlstone.plans import activity, books, gold
 from marlstone.sources import catalog, store
 from marlstone.sources.files import file_inventory, read_catalogue
-from marlstone.streaming.ingest import LOADED_AT, Feed, ingest_all, read_bronze
+from marlstone.streaming.ingest import LOADED_AT, Feed, feed_log, ingest_all, read_bronze
 
 ENTITIES = ("books", "reviews", "interactions")
 STRATEGIES = {
@@ -223,10 +223,11 @@ def top_titles(lake: Lake, n: int = 10) -> DataFrame:
 
 
 def monitor(lake: Lake, now: dt.datetime, lag: dt.timedelta = dt.timedelta(days=1)) -> dict:
-    """Per bronze table: row counts against `lag` ago, and the raw files with their sizes."""
+    """Per bronze table: row counts against `lag` ago, last runs, and the raw files' sizes."""
     return {
         entity: {
             "rows": row_count_delta(lake.bronze(entity), LOADED_AT, now, lag),
+            "history": store.table_history(lake.spark, feed_log(lake.feed(entity))),
             "files": file_inventory(lake.spark, lake.raw[entity]),
         }
         for entity in ENTITIES

@@ -79,16 +79,30 @@ def publish(
         observed.write.mode("overwrite").parquet(target)
 
     metrics = {name: int(count) for name, count in seen.get.items()}
+    log_run(spark, root, run_id, operation or mode.upper(), mode, metrics, df.schema, now)
+    return metrics
+
+
+def log_run(
+    spark: SparkSession,
+    root: str,
+    run_id: int,
+    operation: str,
+    mode: str,
+    metrics: dict[str, int],
+    schema: StructType,
+    now: dt.datetime | None = None,
+) -> None:
+    """Commit a run by its log line."""
     line = {
         "version": run_id,
         "timestamp": (now or dt.datetime.now(dt.timezone.utc)).strftime("%Y-%m-%d %H:%M:%S"),
-        "operation": operation or mode.upper(),
+        "operation": operation,
         "mode": mode,
         "operationMetrics": {name: str(count) for name, count in metrics.items()},
-        "table_schema": df.schema.json(),
+        "table_schema": schema.json(),
     }
     fs.write_text(spark, f"{root}/log/{run_id:010d}.json", json.dumps(line) + "\n")
-    return metrics
 
 
 def live_runs(spark: SparkSession, root: str, run: int | None = None) -> list[dict]:

@@ -13,20 +13,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructType
 
-from marlstone.sources import fs
+from marlstone.sources import store
 from marlstone.sources.schema import infer_or_load_schema
 
 LOADED_AT = "_ingestion_timestamp"
 SOURCE_FILE = "_source_file"
-BROKEN_LINE = "_corrupt_record"
+RESCUED_LINE = "_rescued_line"
 
 
 @dataclass(frozen=True)
 class Feed:
     """One folder (or glob) of newline-delimited JSON and the table it feeds.
 
-    `spread` redistributes the parsed rows over that many tasks: worth it for compressed
-    files, which cannot be split, so that one large file does not end up as one large output.
+    A line that does not parse, or with `rescue` holds a field outside the schema, is kept as it
+    was in `_rescued_line`. `spread` hands lines round over that many tasks before they are
+    parsed: worth it for compressed files, which one task each has to read from end to end.
     """
 
     name: str
@@ -36,6 +37,7 @@ class Feed:
     schema: StructType | None = None
     max_files: int | None = None
     spread: int | None = None
+    rescue: bool = True
 
 
 def with_audit(df: DataFrame, now: dt.datetime | None = None) -> DataFrame:
@@ -48,31 +50,51 @@ def with_audit(df: DataFrame, now: dt.datetime | None = None) -> DataFrame:
     )
 
 
-def feed_schema(spark: SparkSession, feed: Feed) -> StructType:
-    """Declared, or inferred and kept beside the checkpoint; with a column for broken lines."""
-    schema = feed.schema or infer_or_load_schema(
-        spark, feed.src, f"{feed.checkpoint}/schema/schema.json"
+def feed_schema(spark: SparkSession, feed: Feed, evolve: bool = True) -> StructType:
+    """The fields of a feed: declared, or inferred and kept beside the checkpoint."""
+    return feed.schema or infer_or_load_schema(
+        spark, feed.src, f"{feed.checkpoint}/schema/schema.json", evolve
+    )
+
+
+def parse_lines(lines: DataFrame, schema: StructType, rescue: bool = True) -> DataFrame:
+    """Text lines (`value`) to the columns of `schema` and `_rescued_line`; others pass through."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RESCUED_LINE}
+    fields = StructType(list(schema.fields)).add(RESCUED_LINE, StringType())
+    parsed = F.from_json("value", fields, options)
+    kept = F.col("_row")[RESCUED_LINE]
+    if rescue:
+        known = F.array(*[F.lit(name) for name in schema.fieldNames()])
+        strange = F.size(F.array_except(F.json_object_keys("value"), known)) > 0
+        kept = F.coalesce(kept, F.when(strange, F.col("value")))
+    others = [c for c in lines.columns if c != "value"]
+    return (
+        lines.filter(F.trim("value") != "")
+        .withColumn("_row", parsed)
+        .select(
+            *[F.col("_row")[name].alias(name) for name in schema.fieldNames()],
+            kept.alias(RESCUED_LINE),
+            *others,
+        )
     )
-    if BROKEN_LINE in schema.fieldNames():
-        return schema
-    return StructType(schema.fields).add(BROKEN_LINE, StringType())
 
 
 def start_ingest(
     spark: SparkSession, feed: Feed, now: dt.datetime | None = None
 ) -> StreamingQuery:
+    schema = feed_schema(spark, feed)
     reader = (
-        spark.readStream.schema(feed_schema(spark, feed))
-        .option("columnNameOfCorruptRecord", BROKEN_LINE)
+        spark.readStream.format("text")
         .option("recursiveFileLookup", True)
         # By default files a week older than the newest are skipped without a word.
         .option("maxFileAge", "36500d")
     )
     if feed.max_files:
         reader = reader.option("maxFilesPerTrigger", feed.max_files)
-    rows = with_audit(reader.json(feed.src), now)
+    lines = with_audit(reader.load(feed.src), now)
     if feed.spread:
-        rows = rows.repartition(feed.spread)
+        lines = lines.repartition(feed.spread)
+    rows = parse_lines(lines, schema, feed.rescue)
     # Progress is kept per batch; the default of 100 would cut long catch-up runs short.
     retention = "spark.sql.streaming.numRecentProgressUpdates"
     before = spark.conf.get(retention)
@@ -93,16 +115,28 @@ def start_ingest(
 def ingest_all(
     spark: SparkSession, feeds: list[Feed], now: dt.datetime | None = None
 ) -> DataFrame:
-    """Drain all feeds side by side and report rows and batches of each."""
-    started = [(feed.name, start_ingest(spark, feed, now)) for feed in feeds]
+    """Drain all feeds side by side; report rows and batches of each, and log those that grew."""
+    started = [(feed, start_ingest(spark, feed, now)) for feed in feeds]
     report = []
-    for name, query in started:
+    for feed, query in started:
         query.awaitTermination()
         progress = [p for p in query.recentProgress if p["numInputRows"]]
-        report.append((name, sum(p["numInputRows"] for p in progress), len(progress)))
+        rows, batches = sum(p["numInputRows"] for p in progress), len(progress)
+        report.append((feed.name, rows, batches))
+        if rows:
+            root = feed_log(feed)
+            metrics = {"rows": rows, "batches": batches}
+            run_id = store.next_run(spark, root)
+            schema = feed_schema(spark, feed, evolve=False)
+            store.log_run(spark, root, run_id, "STREAMING UPDATE", "append", metrics, schema, now)
     return spark.createDataFrame(report, "feed string, rows long, batches long")
 
 
+def feed_log(feed: Feed) -> str:
+    """Where a feed's run log is, in the form `store.table_history` reads."""
+    return f"{feed.checkpoint}/runs"
+
+
 def ingest_json(
     spark: SparkSession,
     src: str,
@@ -120,15 +154,7 @@ def read_bronze(spark: SparkSession, feed: Feed) -> DataFrame:
 
     The kept schema spares a look into every file's footer.
     """
-    schema_path = f"{feed.checkpoint}/schema/schema.json"
-    if feed.schema is None and not fs.exists(spark, schema_path):
-        return spark.read.option("mergeSchema", True).parquet(feed.out)
-    if feed.schema is None:
-        schema = infer_or_load_schema(spark, feed.src, schema_path, evolve=False)
-    else:
-        schema = feed.schema
-    table = StructType(schema.fields)
-    for name in (BROKEN_LINE, SOURCE_FILE):
-        if name not in table.fieldNames():
-            table = table.add(name, "string")
-    return spark.read.schema(table.add(LOADED_AT, "timestamp")).parquet(feed.out)
+    schema = StructType(list(feed_schema(spark, feed, evolve=False).fields))
+    for name, kind in ((RESCUED_LINE, "string"), (LOADED_AT, "timestamp"), (SOURCE_FILE, "string")):
+        schema = schema.add(name, kind)
+    return spark.read.schema(schema).parquet(feed.out)

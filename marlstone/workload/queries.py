@@ -472,7 +472,7 @@ def stream_ingest(spark, sf_dir):
         "event_type",
         "value",
         "source",
-        F.col("_corrupt_record").alias("broken_line"),
+        F.col("_rescued_line").alias("broken_line"),
         F.regexp_extract("_source_file", "/raw/([a-z]+)/", 1).alias("wave"),
         F.col("_ingestion_timestamp").isNotNull().alias("dated"),
     )

@@ -1,0 +1,250 @@
+"""Two days and a rerun, from JSON files to both gold products."""
+
+import datetime as dt
+import hashlib
+import json
+import os
+
+import pytest
+
+from marlstone.plans import books as book_jobs
+from marlstone.plans import lake as jobs
+from tests.conftest import values
+
+DAY1, DAY2, DAY3 = (dt.date(2024, 2, d) for d in (1, 2, 3))
+OPEN = dt.date(9999, 12, 31)
+REPORTS = {}
+
+
+def at(day):
+    return dt.datetime(day.year, day.month, day.day, 6, tzinfo=dt.timezone.utc)
+
+
+def hashed(user):
+    return hashlib.sha256(user.encode()).hexdigest()
+
+
+def book(book_id, rating="4.13", count="1000", pages="300", authors=None, shelves=None, **more):
+    return {
+        "book_id": book_id, "title": f" Title {book_id} ", "title_without_series": "T",
+        "average_rating": rating, "ratings_count": count, "text_reviews_count": "12",
+        "language_code": " eng ", "num_pages": pages, "publication_year": "1999",
+        "publication_month": "", "publisher": " P ", "format": "Hardcover", "description": "D",
+        "isbn": "1", "isbn13": "2", "country_code": "US", "is_ebook": "False",
+        "authors": authors or [{"author_id": "a1", "role": ""}],
+        "popular_shelves": shelves or [{"count": "7", "name": "to-read"}],
+    } | more
+
+
+def review(review_id, book_id, rating, added="Tue Jun 12 08:59:04 -0700 2012", user="u1"):
+    return {
+        "review_id": review_id, "book_id": book_id, "user_id": user, "rating": rating,
+        "review_text": "ok", "n_votes": 2, "n_comments": 0, "date_added": added,
+        "date_updated": added, "read_at": "", "started_at": "garbage",
+    }
+
+
+def interaction(user, book_id, updated, rating=4, review_id="", is_read=True):
+    return {
+        "user_id": user, "book_id": book_id, "review_id": review_id, "is_read": is_read,
+        "rating": rating, "date_added": "Tue Jun 12 08:59:04 -0700 2012", "date_updated": updated,
+        "read_at": "", "started_at": "",
+    }
+
+
+def put(folder, name, records):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}.json", "w") as out:
+        out.writelines(json.dumps(r) + "\n" for r in records)
+
+
+@pytest.fixture(scope="module")
+def lake(spark, tmp_path_factory):
+    base = tmp_path_factory.mktemp("lake")
+    raw = {e: f"{base}/raw/{e}" for e in jobs.ENTITIES}
+    lake = jobs.Lake(spark, f"{base}/lake", raw)
+    shelves = [
+        {"count": "7", "name": " To-Read"}, {"count": "5", "name": "tbr"},
+        {"count": "0", "name": "read"}, {"count": "-1", "name": "done"},
+        {"count": "4", "name": "finished"}, {"count": "2", "name": "to-buy"},
+        {"count": "3", "name": "poetry"}, {"count": "9", "name": None},
+    ]
+    authors = [
+        {"author_id": "a2", "role": " Author "}, {"author_id": "a10", "role": ""},
+        {"author_id": "a3", "role": "Editor"}, {"author_id": "", "role": ""},
+        {"author_id": None, "role": "Author"},
+    ]
+    put(raw["books"], "day1", [
+        book("b1", authors=authors, shelves=shelves), book("b2", rating="3.6", pages="550"),
+        book("b3", rating="n/a"), book("b4", rating="5.01"), book("b5", count="0"),
+        book("b6", rating="2.0", pages="", authors=[{"author_id": "a3", "role": "Editor"}]),
+        book(None),
+    ])
+    put(raw["reviews"], "day1", [
+        review("r1", "b1", 5), review("r2", "b1", 2), review("r3", "b1", 0), review("r4", "b2", 6),
+        review("r5", "b2", 4, added="Tue Jun 12 23:59:04 -0700 2012"), review(None, "b1", 5),
+    ])
+    put(raw["interactions"], "day1", [
+        interaction("u1", "b1", "Tue Jun 12 08:59:04 -0700 2012", rating=3),
+        interaction("u1", "b1", "Wed Jun 13 08:59:04 -0700 2012", rating=0, review_id="r1"),
+        interaction("u2", "b1", "", rating=5, is_read=False), interaction(None, "b1", ""),
+    ])
+
+    return lake
+
+
+@pytest.fixture(scope="module")
+def day1(lake):
+    jobs.ingest_bronze(lake, at(DAY1))
+    REPORTS["silver1"] = jobs.run_silver(lake, DAY1, at(DAY1))
+    REPORTS["gold1"] = jobs.load_gold(lake, DAY1, at(DAY1))
+    return lake
+
+
+@pytest.fixture(scope="module")
+def day2(day1):
+    raw = day1.raw
+    put(raw["books"], "day2", [
+        book("b1", count="1001"), book("b2", rating="3.6", pages="550", title="New title"),
+        book("b7"), book("b6", rating="2.0", pages="120", authors=[{"author_id": "a3", "role": ""}]),
+    ])
+    put(raw["reviews"], "day2", [review("r1", "b1", 1), review("r6", "b7", 3)])
+    put(raw["interactions"], "day2", [
+        interaction("u1", "b1", "Mon Jun 11 08:59:04 -0700 2012", rating=1),
+        interaction("u2", "b1", "Thu Jun 14 08:59:04 -0700 2012", rating=2, review_id="r9"),
+        interaction("u3", "b7", "Thu Jun 14 08:59:04 -0700 2012"),
+    ])
+    jobs.ingest_bronze(day1, at(DAY2))
+    REPORTS["silver2"] = jobs.run_silver(day1, DAY2, at(DAY2), since=at(DAY1))
+    REPORTS["gold2"] = jobs.load_gold(day1, DAY2, at(DAY2))
+    return day1
+
+
+def test_first_day_counts(day1):
+    report = REPORTS["silver1"]
+    assert report["dim_books"] == {"rows": 3, "current": 3}
+    assert report["dim_authors"]["rows"] == 4
+    assert report["reviews"] == {"rows": 3}
+    assert report["interactions"] == {"rows": 2}
+    assert REPORTS["gold1"]["audiobook_priority"] == {"rows": 3, "current": 3}
+
+
+def test_second_day_versions(day2):
+    dim = day2.read("silver", "dim_books")
+    got = values(dim, "book_id", "title", "ratings_count", "num_pages", "is_current", "valid_to")
+    assert got == sorted(
+        [
+            ("b1", "Title b1", 1000, 300, False, DAY1), ("b1", "Title b1", 1001, 300, True, OPEN),
+            ("b2", "Title b2", 1000, 550, True, OPEN),  # a title alone opens no version
+            ("b6", "Title b6", 1000, None, True, OPEN),  # nor do pages that were NULL
+            ("b7", "Title b7", 1000, 300, True, OPEN),
+        ], key=repr,
+    )
+    assert set(dim.columns) >= {"last_updated_at", "_staging_timestamp", "_silver_timestamp"}
+    assert len(dim.columns) == 23
+    authors = values(day2.read("silver", "dim_authors"), "author_id", "role", "is_current")
+    assert authors == [
+        ("a1", "Author", True), ("a10", "Author", True), ("a2", "Author", True),
+        ("a3", "Author", True), ("a3", "Editor", False),
+    ]
+
+
+def test_type_one_tables(day2, spark):
+    assert values(day2.read("silver", "bridge_book_authors"), "book_id", "author_id", "role")[:3] == [
+        ("b1", "a1", "Author"), ("b1", "a10", "Author"), ("b1", "a2", "Author"),
+    ]
+    shelves = values(day2.read("silver", "dim_shelves").filter("book_id = 'b1'"), "shelf_name", "shelf_count")
+    assert shelves == [("to-read", 7)]  # the last delivery alone
+    added_up = book_jobs.dim_shelves(day2.bronze("books"), dedupe_books=False)
+    assert values(added_up.filter("book_id = 'b1'"), "shelf_name", "shelf_count") == [
+        ("poetry", 3), ("read", 4), ("to-read", 21),
+    ]
+    assert day2.read("silver", "dim_date").count() == 14975
+
+
+def test_reviews_are_first_write_wins(day2):
+    reviews = day2.read("silver", "reviews")
+    assert values(reviews, "review_id", "rating", "is_positive", "is_negative", "date_id") == [
+        ("r1", 5, 1, 0, "20120612"), ("r2", 2, 0, 1, "20120612"), ("r5", 4, 1, 0, "20120613"),
+        ("r6", 3, 0, 0, "20120612"),
+    ]
+    assert values(reviews, "user_id") == [(hashed("u1"),)] * 4
+    assert len(reviews.columns) == 16
+
+
+def test_interactions_are_newest_wins(day2):
+    rows = day2.read("silver", "interactions")
+    assert values(rows, "user_id", "book_id", "rating", "is_read", "review_id", "has_review") == sorted(
+        [
+            (hashed("u1"), "b1", None, 1, "r1", 1), (hashed("u2"), "b1", 2, 1, "r9", 1),
+            (hashed("u3"), "b7", 4, 1, "", 1),
+        ], key=repr,
+    )
+    assert len(rows.columns) == 13
+
+
+@pytest.mark.parametrize("name, width", [("audiobook_priority", 27), ("book_features", 29)])
+def test_gold_has_one_current_set(day2, name, width):
+    table = day2.read("gold", name)
+    assert len(table.columns) == width
+    assert values(table, "book_id", "is_current", "valid_from", "valid_to") == sorted(
+        [(b, False, DAY1, DAY1) for b in ("b1", "b2", "b6")]
+        + [(b, True, DAY2, OPEN) for b in ("b1", "b2", "b6", "b7")], key=repr,
+    )
+
+
+def test_gold_scores(day2):
+    current = day2.read("gold", "audiobook_priority", part="current").filter("book_id = 'b1'").first()
+    assert (current.total_reviews, current.positive_reviews, current.positive_review_pct) == (2, 1, 50.0)
+    assert (current.author_ids, current.to_read_count) == ("a1, a10, a2", 7)
+    assert (current.demand_score, current.audiobook_priority) == (2.079, "High")
+    assert current.popularity_score == 3.629
+    assert (current.total_interactions, current.total_read) == (2, 2)
+
+
+def test_summaries_and_top_titles(day2):
+    assert values(jobs.silver_summary(day2)) == [
+        ("bridge_book_authors", 10, 10, "Overwrite"), ("dim_authors", 5, 4, "SCD Type 2"),
+        ("dim_books", 5, 4, "SCD Type 2"), ("dim_shelves", 7, 7, "Overwrite"),
+        ("interactions", 3, 3, "Merge"), ("reviews", 4, 4, "Append only"),
+    ]
+    assert values(jobs.gold_summary(day2), "table", "rows", "current") == [
+        ("audiobook_priority", 7, 4), ("book_features", 7, 4),
+    ]
+    assert [r.title for r in jobs.top_titles(day2).collect()] == ["Title b1", "Title b7"]
+
+
+def test_monitoring(day2):
+    report = jobs.monitor(day2, at(DAY2))
+    assert values(report["books"]["rows"]) == [(7, 11, 4, "Loaded")]
+    assert [h.version for h in report["books"]["history"].collect()] == [1, 0]
+    assert values(report["books"]["files"], "file_name") == [("day1.json",), ("day2.json",)]
+
+
+def test_catalog(day2, spark):
+    jobs.register_gold(day2, "shelf")
+    assert spark.sql("SELECT count(*) AS total_rows FROM shelf.audiobook_priority").first()[0] == 7
+    assert spark.table("shelf.book_features").filter("is_current").count() == 4
+
+
+def test_a_rerun_over_all_rows_gives_the_same_silver(day2):
+    """Cleaning everything again changes nothing that working on new rows alone did not."""
+    before = {n: values(day2.read("silver", n).drop("_silver_timestamp")) for n in ("dim_books", "reviews")}
+    jobs.load_books(day2, DAY3, at(DAY3))
+    jobs.load_reviews(day2, at(DAY3))
+    after = {n: values(day2.read("silver", n).drop("_silver_timestamp")) for n in before}
+    assert after == before
+
+
+def test_manifest_job(spark, tmp_path):
+    path = f"{tmp_path}/names.csv"
+    with open(path, "w") as out:
+        out.write("type,name\ncomplete,books.json.gz\nbyGenre,reviews_poetry.json.gz\nshort\n")
+    bases = {"complete": "w/", "byGenre": "g/"}
+    folders = {"complete": "c/", "books": "b/", "reviews": "r/", "interactions": "i/"}
+    assert values(jobs.build_manifest(spark, path, bases, folders)) == [
+        ("books.json.gz", "complete", "w/books.json.gz", "c/books.json.gz"),
+        ("reviews_poetry.json.gz", "byGenre", "g/reviews_poetry.json.gz", "r/reviews_poetry.json.gz"),
+    ]
+    with pytest.raises(ValueError, match="NULLs"):
+        jobs.build_manifest(spark, path, {"complete": "w/"}, folders)
