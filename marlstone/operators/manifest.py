@@ -25,6 +25,7 @@ def route_files(
     `bases` maps a type to its address prefix. `folders` maps the whole-set type and each
     name keyword to a folder; the first keyword found in the name decides. Rows that fit
     nothing fail the job, or with unknown="null" get NULL for `expect_no_nulls` to report.
+    Other columns are kept.
     """
     kind, name = F.col("type"), F.col("name")
     by_type = [(kind == t, prefix) for t, prefix in bases.items()]
@@ -39,6 +40,7 @@ def route_files(
         "type",
         _choose(by_type, name, bad_type if strict else None).alias("url"),
         _choose(by_name, name, bad_name if strict else None).alias("path"),
+        *[c for c in catalogue.columns if c not in ("name", "type")],
     )
 
 

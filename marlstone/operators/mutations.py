@@ -202,6 +202,20 @@ def merge_newest(
     return merged(paired(stored, fresh, keys, "full"))
 
 
+def merge_matches(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], ts: str, part: Column
+) -> DataFrame:
+    """The matched keys of a newest-wins merge, the target row's part, and whether it changes.
+
+    Reads the key columns and `ts` alone, so a merge can find the parts it has to rewrite
+    before it opens them. Never more rows than the source.
+    """
+    stored = target.select(*keys, F.col(ts).alias("_old"), part.alias("part"))
+    newer = F.col("_old").isNull() | F.coalesce(F.col("_new") > F.col("_old"), F.lit(False))
+    fresh = source.select(*keys, F.col(ts).alias("_new"))
+    return stored.join(fresh, list(keys)).select(*keys, "part", newer.alias("newer"))
+
+
 def supersede_delta(
     current: DataFrame | None,
     snapshot: DataFrame,

@@ -7,10 +7,10 @@ job in memory, so any of them can be run again alone after a failure.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marlstone import fixed_values as fixed
 from marlstone.functions.cleaning import stamp
@@ -18,12 +18,14 @@ from marlstone.operators import manifest as files
 from marlstone.operators.calendar import calendar
 from marlstone.operators.monitor import layer_summary, row_count_delta
 from marlstone.operators.mutations import (
+    fits_broadcast,
+    merge_matches,
     merge_newest,
     new_rows,
     scd2_delta,
     supersede_delta,
 )
-from marlstone.operators.rows import current_rows, expect_no_nulls, loaded_after
+from marlstone.operators.rows import expect_no_nulls, loaded_after
 from marlstone.plans import activity, books, gold
 from marlstone.sources import catalog, store
 from marlstone.sources.files import file_inventory, read_catalogue
@@ -64,16 +66,14 @@ class Lake:
     def bronze(self, entity: str) -> DataFrame:
         return read_bronze(self.spark, self.feed(entity))
 
-    def read(self, layer: str, name: str, part: str | None = None) -> DataFrame:
-        return store.read_table(self.spark, self.path(layer, name), part=part)
+    def read(self, layer: str, name: str, parts: Collection[str] | None = None) -> DataFrame:
+        return store.read_table(self.spark, self.path(layer, name), parts=parts)
 
-    def stored(self, layer: str, name: str, part: str | None = None) -> DataFrame | None:
-        """The table, or None before its first run."""
-        known = store.has_table(self.spark, self.path(layer, name))
-        return self.read(layer, name, part) if known else None
+    def current(self, layer: str, name: str) -> DataFrame:
+        return store.read_current(self.spark, self.path(layer, name))
 
-    def put(self, df: DataFrame, layer: str, name: str, mode: str, operation: str) -> dict:
-        return store.publish(df, self.path(layer, name), mode, operation)
+    def has(self, layer: str, name: str) -> bool:
+        return store.has_table(self.spark, self.path(layer, name))
 
 
 def build_manifest(
@@ -93,10 +93,17 @@ def ingest_bronze(lake: Lake, now: dt.datetime | None = None) -> DataFrame:
 def _staged(lake: Lake, name: str, build: Callable[[DataFrame], DataFrame], since) -> DataFrame:
     """Write the cleaned snapshot and read it back, so that later steps do not clean again."""
     raw = loaded_after(lake.bronze(name), LOADED_AT, since)
-    lake.put(build(raw), "staging", name, "replace", "WRITE")
+    store.replace(build(raw), lake.path("staging", name))
     return lake.read("staging", name)
 
 
+def _apply_scd2(lake: Lake, name: str, source: DataFrame, keys, tracked, as_of, nulls) -> dict:
+    """Current rows are rewritten, closed ones added; stored history is not even read."""
+    current = lake.current("silver", name) if lake.has("silver", name) else None
+    delta = scd2_delta(current, source, keys, tracked, as_of, nulls)
+    return store.write_versions(delta, lake.path("silver", name))
+
+
 def load_books(lake: Lake, as_of: dt.date, now=None, since=None, nulls: str = "sql") -> dict:
     """Clean the books and open a new version of each whose tracked columns changed.
 
@@ -105,29 +112,25 @@ def load_books(lake: Lake, as_of: dt.date, now=None, since=None, nulls: str = "s
     """
     staged = _staged(lake, "books", lambda raw: books.staging_books(raw, now), since)
     source = staged.withColumn("_silver_timestamp", stamp(now))
-    current = lake.stored("silver", "dim_books", part="current")
-    delta = scd2_delta(current, source, ["book_id"], fixed.BOOK_TRACKED, as_of, nulls)
-    return lake.put(delta, "silver", "dim_books", "versions", "MERGE")
+    return _apply_scd2(lake, "dim_books", source, ["book_id"], fixed.BOOK_TRACKED, as_of, nulls)
 
 
 def load_authors(lake: Lake, as_of: dt.date, now=None, since=None, nulls: str = "sql") -> dict:
     raw = loaded_after(lake.bronze("books"), LOADED_AT, since)
     source = books.author_versions(raw).withColumn("_silver_timestamp", stamp(now))
-    current = lake.stored("silver", "dim_authors", part="current")
-    delta = scd2_delta(current, source, ["author_id"], fixed.AUTHOR_TRACKED, as_of, nulls)
-    return lake.put(delta, "silver", "dim_authors", "versions", "MERGE")
+    return _apply_scd2(lake, "dim_authors", source, ["author_id"], fixed.AUTHOR_TRACKED, as_of, nulls)
 
 
 def load_bridge(lake: Lake, now=None) -> dict:
     rows = books.bridge_book_authors(lake.bronze("books"))
     stamped = rows.withColumn("_silver_timestamp", stamp(now))
-    return lake.put(stamped, "silver", "bridge_book_authors", "replace", "WRITE")
+    return store.replace(stamped, lake.path("silver", "bridge_book_authors"))
 
 
 def load_shelves(lake: Lake, now=None, dedupe_books: bool = True) -> dict:
     rows = books.dim_shelves(lake.bronze("books"), dedupe_books)
     stamped = rows.withColumn("_silver_timestamp", stamp(now))
-    return lake.put(stamped, "silver", "dim_shelves", "replace", "WRITE")
+    return store.replace(stamped, lake.path("silver", "dim_shelves"))
 
 
 def load_calendar(lake: Lake) -> DataFrame:
@@ -139,34 +142,58 @@ def load_calendar(lake: Lake) -> DataFrame:
 def load_reviews(lake: Lake, now=None, since=None) -> dict:
     """Add reviews not seen before; a stored review never changes."""
     staged = _staged(lake, "reviews", lambda raw: activity.staging_reviews(raw, now), since)
-    fresh = new_rows(lake.stored("silver", "reviews"), staged, ["review_id"])
-    return lake.put(fresh, "silver", "reviews", "append", "APPEND")
+    stored = lake.read("silver", "reviews") if lake.has("silver", "reviews") else None
+    fresh = new_rows(stored, staged, ["review_id"])
+    return store.append(fresh, lake.path("silver", "reviews"))
+
+
+def added_month():
+    """The month an interaction was added, which a merge never changes: the part it is kept in."""
+    return F.coalesce(F.substring("date_id", 1, 6), F.lit("undated"))
 
 
 def load_interactions(lake: Lake, now=None, since=None) -> dict:
+    """Merge newest-wins, rewriting only the months in which a row changes.
+
+    A first pass over the keys finds the stored rows the source meets. Months without a change
+    stay as they are, or are added to where new rows fall into them.
+    """
     staged = _staged(
         lake, "interactions", lambda raw: activity.staging_interactions(raw, now), since
     )
+    root, keys = lake.path("silver", "interactions"), ["user_id", "book_id"]
+    if not lake.has("silver", "interactions"):
+        return store.write_parts(staged, root, added_month())
+
+    stored = lake.read("silver", "interactions")
+    matches = merge_matches(stored, staged, keys, "date_updated", added_month())
+    store.replace(matches, lake.path("staging", "interaction_matches"))
+    matches = lake.read("staging", "interaction_matches")
+    months = [r.part for r in matches.filter("newer").select("part").distinct().collect()]
+    unchanged = matches.filter(~F.col("part").isin(months)).select(*keys)
+    small = fits_broadcast(staged)
     merged = merge_newest(
-        lake.stored("silver", "interactions"),
-        staged,
-        ["user_id", "book_id"],
+        lake.read("silver", "interactions", parts=months),
+        staged.join(unchanged, keys, "left_anti"),
+        keys,
         "date_updated",
         fixed.INTERACTION_UPDATES,
+        small,
     )
-    return lake.put(merged, "silver", "interactions", "replace", "MERGE")
+    # Joined in place, rows still come month by month as they were read.
+    return store.write_parts(merged, root, added_month(), replaced=months, balance=not small)
 
 
 def load_gold(lake: Lake, as_of: dt.date, now=None) -> dict:
     """Both products from one wide table, written once and read twice."""
     signals = gold.book_signals(
-        lake.read("silver", "dim_books", part="current"),
+        lake.current("silver", "dim_books"),
         lake.read("silver", "reviews"),
         lake.read("silver", "interactions"),
         lake.read("silver", "dim_shelves"),
         lake.read("silver", "bridge_book_authors"),
     )
-    lake.put(signals, "staging", "book_signals", "replace", "WRITE")
+    store.replace(signals, lake.path("staging", "book_signals"))
     signals = lake.read("staging", "book_signals")
     report = {}
     for name, rows in (
@@ -174,8 +201,9 @@ def load_gold(lake: Lake, as_of: dt.date, now=None) -> dict:
         ("book_features", gold.feature_rows(signals)),
     ):
         snapshot = gold.as_snapshot(rows, as_of, now)
-        delta = supersede_delta(lake.stored("gold", name, part="current"), snapshot, as_of)
-        report[name] = lake.put(delta, "gold", name, "versions", "APPEND")
+        former = lake.current("gold", name) if lake.has("gold", name) else None
+        delta = supersede_delta(former, snapshot, as_of)
+        report[name] = store.write_versions(delta, lake.path("gold", name), "APPEND")
     return report
 
 
@@ -210,8 +238,7 @@ def gold_summary(lake: Lake) -> DataFrame:
 
 
 def top_titles(lake: Lake, n: int = 10) -> DataFrame:
-    current = current_rows(lake.read("gold", "audiobook_priority", part="current"))
-    return gold.top_priority(current, n).select(
+    return gold.top_priority(lake.current("gold", "audiobook_priority"), n).select(
         "title",
         "author_ids",
         "average_rating",

@@ -40,3 +40,8 @@ def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = Fals
     out.close()
     if not fs.rename(part, target):
         raise OSError(f"could not put {path} in place")
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, target = _resolve(spark, path)
+    fs.delete(target, True)

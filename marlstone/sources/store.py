@@ -2,36 +2,40 @@
 
 A table is a folder with `data/run_id=N/`, one per run, and `log/N.json`, written last: a run
 counts once its log line is there, so a job lost half way leaves no trace for readers and can
-simply be run again. One writer per table at a time. The mode of a run says what it holds:
+simply be run again. One writer per table at a time.
 
-* replace   the whole table
-* append    new rows only; the table is the last whole run and the appends after it
-* versions  `part=current`: all current rows; `part=closed`: only the versions this run closed.
-            The table is the latest current part and the closed parts of all runs so far, so
-            history is written once.
+Rows may be split into parts, as `data/run_id=N/part=<name>/`. The log line says which runs
+hold the rows of each part, so a run rewrites the parts it replaces, adds to others, and
+leaves the rest where it is:
 
-Earlier runs stay readable with `run=`.
+* replace         one part; the run is the whole table
+* append          one part; the run adds to it
+* write_versions  'current' is replaced, 'closed' is added to, so history is written once
+* write_parts     the parts named are replaced, others added to
+
+Earlier runs stay readable with `run=` until `drop_old_runs` removes what only they hold.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
+from collections.abc import Collection
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from marlstone.sources import fs
 
 LOG_SCHEMA = (
-    "version long, timestamp string, operation string, mode string, "
-    "operationMetrics map<string,string>, table_schema string"
+    "version long, timestamp string, operation string, operationMetrics map<string,string>, "
+    "table_schema string, parts map<string,array<long>>"
 )
-MODES = ("replace", "append", "versions")
+WHOLE = "all"
 
 
 def runs(spark: SparkSession, root: str) -> list[dict]:
-    """Committed runs, oldest first. One small line per run."""
+    """Log lines of the committed runs, oldest first: one small line per run."""
     if not has_table(spark, root):
         return []
     lines = spark.read.schema(LOG_SCHEMA).json(f"{root}/log").collect()
@@ -43,43 +47,90 @@ def has_table(spark: SparkSession, root: str) -> bool:
     return any(not n.startswith(("_", ".")) for n in names)
 
 
-def next_run(spark: SparkSession, root: str) -> int:
-    done = runs(spark, root)
-    return done[-1]["version"] + 1 if done else 0
+def run_folder(root: str, run_id: int, part: str = WHOLE) -> str:
+    folder = f"{root}/data/run_id={run_id}"
+    return folder if part == WHOLE else f"{folder}/part={part}"
+
+
+def replace(df: DataFrame, root: str, operation: str = "WRITE", **options) -> dict[str, int]:
+    return _publish(df, root, operation, None, None, **options)
+
+
+def append(df: DataFrame, root: str, operation: str = "APPEND", **options) -> dict[str, int]:
+    return _publish(df, root, operation, None, (), **options)
+
+
+def write_versions(
+    df: DataFrame, root: str, operation: str = "MERGE", flag: str = "is_current", **options
+) -> dict[str, int]:
+    """`df` holds all current rows, and of the closed ones those this run closed."""
+    part = F.when(F.col(flag), "current").otherwise("closed")
+    counts = {"current": F.count_if(F.col(flag))}
+    return _publish(df, root, operation, part, ("current",), counts, **options)
+
+
+def write_parts(
+    df: DataFrame,
+    root: str,
+    part: Column,
+    replaced: Collection[str] = (),
+    operation: str = "MERGE",
+    balance: bool = True,
+    **options,
+) -> dict[str, int]:
+    """`part` names each row's part; few names in all, as each is a folder.
+
+    With `balance` rows are first brought together by part, large parts over several tasks, or
+    every task would leave a small file in every part. Not needed where tasks hold few parts.
+    """
+    return _publish(df, root, operation, part, replaced, balance=balance, **options)
 
 
-def publish(
+def _publish(
     df: DataFrame,
     root: str,
-    mode: str = "replace",
-    operation: str | None = None,
+    operation: str,
+    part: Column | None,
+    replaced: Collection[str] | None,
+    counts: dict[str, Column] | None = None,
     run_id: int | None = None,
-    flag: str = "is_current",
     now: dt.datetime | None = None,
+    balance: bool = False,
 ) -> dict[str, int]:
-    """Write a run and commit it; returns the row counts, observed during the write."""
-    if mode not in MODES:
-        raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
+    """Write a run, then commit it; returns row counts observed during the write.
+
+    Parts in `replaced` (all when None) give up the runs that held them.
+    """
     spark = df.sparkSession
-    done = {r["version"] for r in runs(spark, root)}
-    run_id = max(done, default=-1) + 1 if run_id is None else run_id
-    if run_id <= max(done, default=-1):
-        raise ValueError(f"{root}: run {run_id} is not after run {max(done)}")
+    done = runs(spark, root)
+    last = done[-1]["version"] if done else -1
+    run_id = last + 1 if run_id is None else run_id
+    if run_id <= last:
+        raise ValueError(f"{root}: run {run_id} is not after run {last}")
+    held = dict(done[-1]["parts"]) if done else {}
+    gone = held if replaced is None else replaced
+    held = {name: numbers for name, numbers in held.items() if name not in gone}
+    if held and (WHOLE in held) != (part is None):
+        raise ValueError(f"{root} is kept in {'one part' if WHOLE in held else 'parts'}")
 
     seen = Observation()
-    counts = [F.count(F.lit(1)).alias("rows")]
-    if mode == "versions":
-        counts.append(F.count_if(F.col(flag)).alias("current"))
-    observed = df.observe(seen, *counts)
-    target = f"{root}/data/run_id={run_id}"
-    if mode == "versions":
-        part = F.when(F.col(flag), "current").otherwise("closed")
-        observed.withColumn("part", part).write.mode("overwrite").partitionBy("part").parquet(target)
+    counts = {"rows": F.count(F.lit(1)), **(counts or {})}
+    rows = df if part is None else df.withColumn("part", part)
+    if balance:
+        rows = rows.hint("rebalance", F.col("part"))
+    writer = rows.observe(seen, *[c.alias(n) for n, c in counts.items()]).write.mode("overwrite")
+    target = run_folder(root, run_id)
+    if part is None:
+        writer.parquet(target)
+        written = [WHOLE]
     else:
-        observed.write.mode("overwrite").parquet(target)
-
+        writer.partitionBy("part").parquet(target)
+        folders = fs.list_names(spark, target)
+        written = [f.removeprefix("part=") for f in folders if f.startswith("part=")]
+    for name in written:
+        held[name] = [*held.get(name, []), run_id]
     metrics = {name: int(count) for name, count in seen.get.items()}
-    log_run(spark, root, run_id, operation or mode.upper(), mode, metrics, df.schema, now)
+    log_run(spark, root, run_id, operation, metrics, df.schema, held, now)
     return metrics
 
 
@@ -88,9 +139,9 @@ def log_run(
     root: str,
     run_id: int,
     operation: str,
-    mode: str,
     metrics: dict[str, int],
     schema: StructType,
+    parts: dict[str, list[int]],
     now: dt.datetime | None = None,
 ) -> None:
     """Commit a run by its log line."""
@@ -98,61 +149,62 @@ def log_run(
         "version": run_id,
         "timestamp": (now or dt.datetime.now(dt.timezone.utc)).strftime("%Y-%m-%d %H:%M:%S"),
         "operation": operation,
-        "mode": mode,
         "operationMetrics": {name: str(count) for name, count in metrics.items()},
         "table_schema": schema.json(),
+        "parts": parts,
     }
     fs.write_text(spark, f"{root}/log/{run_id:010d}.json", json.dumps(line) + "\n")
 
 
-def live_runs(spark: SparkSession, root: str, run: int | None = None) -> list[dict]:
-    """The runs whose rows make up the table as of `run`, oldest first."""
+def next_run(spark: SparkSession, root: str) -> int:
+    done = runs(spark, root)
+    return done[-1]["version"] + 1 if done else 0
+
+
+def state(spark: SparkSession, root: str, run: int | None = None) -> dict:
+    """The log line that describes the table as of `run`."""
     done = [r for r in runs(spark, root) if run is None or r["version"] <= run]
     if not done:
         raise FileNotFoundError(f"no committed run in {root}")
-    if done[-1]["mode"] == "versions":
-        return [r for r in done if r["mode"] == "versions"]
-    whole = [i for i, r in enumerate(done) if r["mode"] != "append"]
-    return done[whole[-1] if whole else 0 :]
-
-
-def table_schema(run: dict) -> StructType:
-    return StructType.fromJson(json.loads(run["table_schema"]))
+    return done[-1]
 
 
-def closed_rows(run: dict) -> int:
-    return int(run["operationMetrics"]["rows"]) - int(run["operationMetrics"]["current"])
+def table_schema(line: dict) -> StructType:
+    return StructType.fromJson(json.loads(line["table_schema"]))
 
 
 def read_table(
-    spark: SparkSession, root: str, run: int | None = None, part: str | None = None
+    spark: SparkSession,
+    root: str,
+    run: int | None = None,
+    parts: Collection[str] | None = None,
 ) -> DataFrame:
-    """The table as of `run` (the latest when None).
+    """The table as of `run` (the latest when None), or of its `parts` those wanted.
 
-    For a versioned table part="current" reads the current rows alone. The schema is the
-    latest run's; columns added over time are NULL in older rows.
+    The schema is the latest run's; columns added over time are NULL in older rows.
     """
-    live = live_runs(spark, root, run)
-    latest = live[-1]
-    folder = f"{root}/data/run_id={{}}".format
-    if latest["mode"] == "versions":
-        paths = [f"{folder(r['version'])}/part=closed" for r in live if closed_rows(r)]
-        if part == "current":
-            paths = []
-        if int(latest["operationMetrics"]["current"]):
-            paths.append(f"{folder(latest['version'])}/part=current")
-    else:
-        paths = [folder(r["version"]) for r in live]
-    schema = table_schema(latest)
+    line = state(spark, root, run)
+    paths = [
+        run_folder(root, number, name)
+        for name, numbers in line["parts"].items()
+        if parts is None or name in parts
+        for number in numbers
+    ]
+    schema = table_schema(line)
     if not paths:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(*paths)
 
 
+def read_current(spark: SparkSession, root: str) -> DataFrame:
+    """The current rows of a versioned table, without opening its history."""
+    return read_table(spark, root, parts=("current",))
+
+
 def ensure_table(spark: SparkSession, root: str, build) -> DataFrame:
     """Read the table, building it first with `build()` when it has no run yet."""
     if not has_table(spark, root):
-        publish(build(), root, operation="CREATE")
+        replace(build(), root, "CREATE")
     return read_table(spark, root)
 
 
@@ -165,3 +217,20 @@ def table_history(spark: SparkSession, root: str, n: int = 5) -> DataFrame:
         .orderBy(F.col("version").desc())
         .limit(n)
     )
+
+
+def drop_old_runs(spark: SparkSession, root: str, keep: int) -> list[str]:
+    """Delete the folders none of the last `keep` runs needs, and the log lines before them.
+
+    Pick `keep` so that no reader still works on an older run.
+    """
+    done = runs(spark, root)
+    kept, dropped = done[-keep:], done[:-keep]
+    needed = {(n, name) for line in kept for name, ns in line["parts"].items() for n in ns}
+    held = {(n, name) for line in dropped for name, ns in line["parts"].items() for n in ns}
+    for line in dropped:  # first, so that no line is left that points to a deleted folder
+        fs.delete(spark, f"{root}/log/{line['version']:010d}.json")
+    folders = sorted(run_folder(root, n, name) for n, name in held - needed)
+    for folder in folders:
+        fs.delete(spark, folder)
+    return folders

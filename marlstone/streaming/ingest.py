@@ -128,7 +128,7 @@ def ingest_all(
             metrics = {"rows": rows, "batches": batches}
             run_id = store.next_run(spark, root)
             schema = feed_schema(spark, feed, evolve=False)
-            store.log_run(spark, root, run_id, "STREAMING UPDATE", "append", metrics, schema, now)
+            store.log_run(spark, root, run_id, "STREAMING UPDATE", metrics, schema, {}, now)
     return spark.createDataFrame(report, "feed string, rows long, batches long")
 
 

@@ -448,7 +448,7 @@ ORACLES: dict[str, str] = {
         FROM orders""",
     "versioned_table": sql(second_day("changed_parts")),
     "table_history": """
-        SELECT cast(v AS bigint) AS version, 'WRITE' AS operation,
+        SELECT cast(v AS bigint) AS version, 'APPEND' AS operation,
             (SELECT count(*) FROM events WHERE event_type = kind) AS "rows"
         FROM (VALUES (0, 'click'), (1, 'view'), (2, 'error')) AS steps(v, kind)""",
     "registered_table": sql(

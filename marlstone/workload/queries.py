@@ -318,16 +318,14 @@ def catalogue_counts(spark, sf_dir):
 
 @query
 def route_files(spark, sf_dir):
-    return manifest.route_files(inputs.order_catalogue(spark, sf_dir), BASES, FOLDERS)
+    catalogue = inputs.order_catalogue(spark, sf_dir).select("type", "name")
+    return manifest.route_files(catalogue, BASES, FOLDERS)
 
 
 def _manifest_and_listing(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Every order's file is wanted; about a third are there already."""
-    wanted = inputs.order_catalogue(spark, sf_dir)
-    present = manifest.route_files(wanted, BASES, FOLDERS).join(
-        wanted.filter("length % 3 = 0").select("name", "length"), "name"
-    )
-    return manifest.route_files(wanted, BASES, FOLDERS), present.select("path", "length")
+    routed = manifest.route_files(inputs.order_catalogue(spark, sf_dir), BASES, FOLDERS)
+    return routed.drop("length"), routed.filter("length % 3 = 0").select("path", "length")
 
 
 @query
@@ -400,9 +398,8 @@ def published_table(spark, sf_dir):
     root = scratch_dir(spark, "orders")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
     store.ensure_table(spark, root, lambda: orders.filter("o_orderstatus = 'F'"))
-    store.publish(orders.filter("o_orderstatus <> 'F'"), root, "replace")
-    late = orders.filter("o_orderstatus = 'F'").withColumn("late", F.lit(1))
-    store.publish(late, root, "append")
+    store.replace(orders.filter("o_orderstatus <> 'F'"), root)
+    store.append(orders.filter("o_orderstatus = 'F'").withColumn("late", F.lit(1)), root)
     return store.read_table(spark, root)
 
 
@@ -410,15 +407,15 @@ def published_table(spark, sf_dir):
 def versioned_table(spark, sf_dir):
     """The two-day dimension as the job stores it: current rows rewritten, closed ones added."""
     root = scratch_dir(spark, "parts")
-    store.publish(inputs.stored_parts(spark, sf_dir), root, "versions")
+    store.write_versions(inputs.stored_parts(spark, sf_dir), root)
     delta = mutations.scd2_delta(
-        store.read_table(spark, root, part="current"),
+        store.read_current(spark, root),
         inputs.incoming_parts(spark, sf_dir),
         ["book_id"],
         PART_TRACKED,
         AS_OF,
     )
-    store.publish(delta, root, "versions", "MERGE")
+    store.write_versions(delta, root)
     return store.read_table(spark, root)
 
 
@@ -427,7 +424,7 @@ def table_history(spark, sf_dir):
     root = scratch_dir(spark, "history")
     events = table(spark, sf_dir, "events")
     for event_type in ("click", "view", "error"):
-        store.publish(events.filter(F.col("event_type") == event_type), root, "append", "WRITE")
+        store.append(events.filter(F.col("event_type") == event_type), root)
     return store.table_history(spark, root).select(
         "version",
         "operation",
@@ -439,13 +436,11 @@ def table_history(spark, sf_dir):
 def registered_table(spark, sf_dir):
     """Row counts through the catalog name of a versioned table."""
     root, name = scratch_dir(spark, "registered"), f"registered_{uuid.uuid4().hex}.parts"
-    store.publish(inputs.stored_parts(spark, sf_dir), root, "versions")
+    store.write_versions(inputs.stored_parts(spark, sf_dir), root)
     delta = mutations.supersede_delta(
-        store.read_table(spark, root, part="current"),
-        inputs.incoming_parts(spark, sf_dir),
-        AS_OF,
+        store.read_current(spark, root), inputs.incoming_parts(spark, sf_dir), AS_OF
     )
-    store.publish(delta, root, "versions")
+    store.write_versions(delta, root)
     catalog.register_table(spark, name, root)
     return spark.sql(
         f"SELECT count(*) AS total_rows, count_if(is_current) AS current_rows FROM {name}"

@@ -194,7 +194,7 @@ def test_gold_has_one_current_set(day2, name, width):
 
 
 def test_gold_scores(day2):
-    current = day2.read("gold", "audiobook_priority", part="current").filter("book_id = 'b1'").first()
+    current = day2.current("gold", "audiobook_priority").filter("book_id = 'b1'").first()
     assert (current.total_reviews, current.positive_reviews, current.positive_review_pct) == (2, 1, 50.0)
     assert (current.author_ids, current.to_read_count) == ("a1, a10, a2", 7)
     assert (current.demand_score, current.audiobook_priority) == (2.079, "High")
@@ -248,3 +248,62 @@ def test_manifest_job(spark, tmp_path):
     ]
     with pytest.raises(ValueError, match="NULLs"):
         jobs.build_manifest(spark, path, {"complete": "w/"}, folders)
+
+
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_interactions_by_month_match_the_whole_merge(spark, tmp_path, threshold):
+    """Rewriting only the months that change gives what merging the whole table gives."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from marlstone import fixed_values as fixed
+    from marlstone.operators.mutations import merge_newest
+    from marlstone.plans.activity import staging_interactions
+    from marlstone.sources import store
+
+    dice = random.Random(3)
+    raw = {e: f"{tmp_path}/raw/{e}" for e in jobs.ENTITIES}
+    lake = jobs.Lake(spark, f"{tmp_path}/lake", raw)
+
+    def batch(months, n):
+        rows = []
+        for _ in range(n):
+            month, second = dice.choice(months), dice.randrange(60)
+            rows.append(
+                interaction(
+                    f"u{dice.randrange(12)}", f"b{month}-{dice.randrange(3)}",
+                    dice.choice(["", f"Tue Jun 12 08:59:{second:02d} -0700 2012"]), rating=second % 6,
+                ) | {"date_added": f"Tue Jan 10 08:59:04 -0700 20{month}"}
+            )
+        return rows
+
+    whole, keep = None, [c for c in INTERACTION_COLUMNS]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        for day, months in enumerate(([10, 11, 12], [12, 13], [11])):
+            put(raw["interactions"], f"day{day}", batch(months, 40))
+            for entity in ("books", "reviews"):
+                put(raw[entity], f"day{day}", [])
+            since = at(DAY1) + dt.timedelta(days=day - 1) if day else None
+            now = at(DAY1) + dt.timedelta(days=day)
+            jobs.ingest_all(spark, [lake.feed("interactions")], now)
+            jobs.load_interactions(lake, now, since)
+            fresh = jobs.loaded_after(lake.bronze("interactions"), jobs.LOADED_AT, since)
+            staged = staging_interactions(fresh, now)
+            whole = merge_newest(
+                whole, staged, ["user_id", "book_id"], "date_updated", fixed.INTERACTION_UPDATES
+            )
+            whole = spark.createDataFrame(whole.collect(), whole.schema)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert values(lake.read("silver", "interactions"), *keep) == values(whole, *keep)
+    parts = store.state(spark, lake.path("silver", "interactions"))["parts"]
+    assert parts["201001"] == [0] and parts["201301"] == [1] and parts["201101"][-1] == 2
+
+
+INTERACTION_COLUMNS = (
+    "user_id", "book_id", "review_id", "is_read", "rating", "date_added", "date_updated",
+    "has_review", "date_id", "last_updated_at",
+)
