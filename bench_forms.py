@@ -44,6 +44,7 @@ class Forms:
         self.incoming = self.kept(inputs.incoming_parts(spark, sf_dir))
         self.target = self.kept(inputs.merge_target(spark, sf_dir))
         self.source = self.kept(inputs.merge_source(spark, sf_dir))
+        self.day = self.kept(self.source.filter("date_added >= '2024-01-30'"))
 
     def kept(self, df: DataFrame) -> DataFrame:
         path = scratch_dir(self.spark, "form")
@@ -84,9 +85,11 @@ class Forms:
         new = self.incoming.select("book_id", F.struct(*TRACKED).alias("new"))
         differs = mutations.changed([(F.col(c), F.col("new")[c]) for c in TRACKED])
         hit = F.col("is_current") & differs
-        self.dim.join(new, "book_id", "left").withColumns(
-            {"is_current": F.col("is_current") & ~hit, "valid_to": F.when(hit, F.lit(AS_OF)).otherwise(F.col("valid_to"))}
-        ).drop("new").write.parquet(path)
+        until = F.when(hit, F.lit(AS_OF)).otherwise(F.col("valid_to"))
+        closed = self.dim.join(new, "book_id", "left").withColumns(
+            {"is_current": F.col("is_current") & ~hit, "valid_to": until}
+        )
+        closed.drop("new").write.parquet(path)
         now = self.spark.read.parquet(path).filter("is_current").select("book_id")
         fresh = self.incoming.join(now, "book_id", "left_anti")
         if fresh.count():
@@ -106,19 +109,22 @@ class Forms:
 
     # newest-wins merge
 
-    def merge_in_place(self):
-        self._merge(True)
+    def day_in_place(self):
+        self._merge(self.day, True)
+
+    def day_full_join(self):
+        self._merge(self.day, False)
 
-    def merge_full_join(self):
-        self._merge(False)
+    def half_full_join(self):
+        self._merge(self.source, False)
 
-    def _merge(self, small: bool):
+    def half_in_place(self):
+        self._merge(self.source, True)
+
+    def _merge(self, source: DataFrame, small: bool):
         columns = ["review_id", "is_read", "rating", "date_updated", "has_review"]
-        sink(
-            mutations.merge_newest(
-                self.target, self.source, ["user_id", "book_id"], "date_updated", columns, small
-            )
-        )
+        keys = ["user_id", "book_id"]
+        sink(mutations.merge_newest(self.target, source, keys, "date_updated", columns, small))
 
     # both products
 
@@ -142,7 +148,8 @@ PAIRS = {
     "newest interaction per key": ("newest_ranked", "newest_struct"),
     "versioned dimension": ("scd2_one_join", "scd2_expire_then_insert"),
     "shelf columns": ("shelves_one_pass", "shelves_by_label"),
-    "newest-wins merge": ("merge_in_place", "merge_full_join"),
+    "newest-wins merge, one day": ("day_in_place", "day_full_join"),
+    "newest-wins merge, half": ("half_full_join", "half_in_place"),
     "both gold products": ("products_shared", "products_apart"),
 }
 

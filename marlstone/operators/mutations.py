@@ -32,14 +32,24 @@ def changed(pairs: Sequence[tuple[Column, Column]], nulls: str = "sql") -> Colum
     return F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False))
 
 
+def plan_bytes(df: DataFrame) -> int:
+    """Spark's size estimate. Most exact for a table as written; a staging table is one."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's size estimate of `df` is under the session's broadcast limit.
+    """Whether the estimate is under the session's broadcast limit."""
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    return plan_bytes(df) <= conf.autoBroadcastJoinThreshold()
+
+
+def meets_in_place(target: DataFrame, source: DataFrame) -> bool:
+    """Whether to broadcast the source to the target rather than shuffle both.
 
-    Most exact for a table as written; a staging table is one.
+    The target is then read a second time, for its keys, so the source has to be small beside
+    it as well as under the limit.
     """
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
+    return fits_broadcast(source) and 4 * plan_bytes(source) <= plan_bytes(target)
 
 
 def align(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -152,7 +162,7 @@ def new_rows(
     if target is None:
         return source
     seen = target.select(*keys)
-    if fits_broadcast(source) if small is None else small:
+    if meets_in_place(target, source) if small is None else small:
         seen = seen.join(source.select(*keys), list(keys), "left_semi")
     return source.join(seen, list(keys), "left_anti")
 
@@ -196,7 +206,7 @@ def merge_newest(
                 columns.append(F.when(takes, new[name]).otherwise(old[name]).alias(name))
         return pairs.select(*columns)
 
-    if fits_broadcast(source) if small is None else small:
+    if meets_in_place(target, source) if small is None else small:
         updated = merged(paired(stored, fresh, keys, "left"))
         return updated.unionByName(new_rows(stored, fresh, keys, small=True))
     return merged(paired(stored, fresh, keys, "full"))

@@ -18,7 +18,7 @@ from marlstone.operators import manifest as files
 from marlstone.operators.calendar import calendar
 from marlstone.operators.monitor import layer_summary, row_count_delta
 from marlstone.operators.mutations import (
-    fits_broadcast,
+    meets_in_place,
     merge_matches,
     merge_newest,
     new_rows,
@@ -171,9 +171,10 @@ def load_interactions(lake: Lake, now=None, since=None) -> dict:
     matches = lake.read("staging", "interaction_matches")
     months = [r.part for r in matches.filter("newer").select("part").distinct().collect()]
     unchanged = matches.filter(~F.col("part").isin(months)).select(*keys)
-    small = fits_broadcast(staged)
+    touched = lake.read("silver", "interactions", parts=months)
+    small = meets_in_place(touched, staged)
     merged = merge_newest(
-        lake.read("silver", "interactions", parts=months),
+        touched,
         staged.join(unchanged, keys, "left_anti"),
         keys,
         "date_updated",
