@@ -226,6 +226,12 @@ def run_silver(lake: Lake, as_of: dt.date, now=None, since=None) -> dict[str, di
     return report
 
 
+def report_table(spark: SparkSession, report: dict[str, dict[str, int]]) -> DataFrame:
+    """Row counts of the runs just made, as observed while writing: table, metric, value."""
+    lines = [(name, metric, n) for name, found in report.items() for metric, n in found.items()]
+    return spark.createDataFrame(lines, "table string, metric string, value long")
+
+
 def silver_summary(lake: Lake) -> DataFrame:
     return layer_summary(
         {name: (lake.read("silver", name), note) for name, note in STRATEGIES.items()}

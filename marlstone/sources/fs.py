@@ -24,7 +24,13 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_text(spark: SparkSession, path: str) -> str:
-    return spark.read.text(path, wholetext=True).first()[0]
+    """Read a small file whole."""
+    fs, target = _resolve(spark, path)
+    stream = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = False) -> None:

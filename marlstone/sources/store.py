@@ -34,17 +34,18 @@ LOG_SCHEMA = (
 WHOLE = "all"
 
 
-def runs(spark: SparkSession, root: str) -> list[dict]:
-    """Log lines of the committed runs, oldest first: one small line per run."""
-    if not has_table(spark, root):
-        return []
-    lines = spark.read.schema(LOG_SCHEMA).json(f"{root}/log").collect()
-    return sorted((line.asDict() for line in lines), key=lambda r: r["version"])
+def versions(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the committed runs, oldest first."""
+    names = fs.list_names(spark, f"{root}/log")
+    return sorted(int(n.removesuffix(".json")) for n in names if n[0].isdigit())
 
 
 def has_table(spark: SparkSession, root: str) -> bool:
-    names = fs.list_names(spark, f"{root}/log")
-    return any(not n.startswith(("_", ".")) for n in names)
+    return bool(versions(spark, root))
+
+
+def log_path(root: str, run_id: int) -> str:
+    return f"{root}/log/{run_id:010d}.json"
 
 
 def run_folder(root: str, run_id: int, part: str = WHOLE) -> str:
@@ -102,12 +103,11 @@ def _publish(
     Parts in `replaced` (all when None) give up the runs that held them.
     """
     spark = df.sparkSession
-    done = runs(spark, root)
-    last = done[-1]["version"] if done else -1
-    run_id = last + 1 if run_id is None else run_id
-    if run_id <= last:
-        raise ValueError(f"{root}: run {run_id} is not after run {last}")
-    held = dict(done[-1]["parts"]) if done else {}
+    done = versions(spark, root)
+    run_id = next_run(spark, root) if run_id is None else run_id
+    if done and run_id <= done[-1]:
+        raise ValueError(f"{root}: run {run_id} is not after run {done[-1]}")
+    held = state(spark, root)["parts"] if done else {}
     gone = held if replaced is None else replaced
     held = {name: numbers for name, numbers in held.items() if name not in gone}
     if held and (WHOLE in held) != (part is None):
@@ -153,20 +153,19 @@ def log_run(
         "table_schema": schema.json(),
         "parts": parts,
     }
-    fs.write_text(spark, f"{root}/log/{run_id:010d}.json", json.dumps(line) + "\n")
+    fs.write_text(spark, log_path(root, run_id), json.dumps(line) + "\n")
 
 
 def next_run(spark: SparkSession, root: str) -> int:
-    done = runs(spark, root)
-    return done[-1]["version"] + 1 if done else 0
+    return max(versions(spark, root), default=-1) + 1
 
 
 def state(spark: SparkSession, root: str, run: int | None = None) -> dict:
-    """The log line that describes the table as of `run`."""
-    done = [r for r in runs(spark, root) if run is None or r["version"] <= run]
+    """The log line that describes the table as of `run`: one small file, however many runs."""
+    done = [v for v in versions(spark, root) if run is None or v <= run]
     if not done:
         raise FileNotFoundError(f"no committed run in {root}")
-    return done[-1]
+    return json.loads(fs.read_text(spark, log_path(root, done[-1])))
 
 
 def table_schema(line: dict) -> StructType:
@@ -224,13 +223,20 @@ def drop_old_runs(spark: SparkSession, root: str, keep: int) -> list[str]:
 
     Pick `keep` so that no reader still works on an older run.
     """
-    done = runs(spark, root)
-    kept, dropped = done[-keep:], done[:-keep]
-    needed = {(n, name) for line in kept for name, ns in line["parts"].items() for n in ns}
-    held = {(n, name) for line in dropped for name, ns in line["parts"].items() for n in ns}
-    for line in dropped:  # first, so that no line is left that points to a deleted folder
-        fs.delete(spark, f"{root}/log/{line['version']:010d}.json")
-    folders = sorted(run_folder(root, n, name) for n, name in held - needed)
-    for folder in folders:
+    done = versions(spark, root)
+
+    def folders(numbers: list[int]) -> set[str]:
+        lines = [state(spark, root, number) for number in numbers]
+        return {
+            run_folder(root, run, part)
+            for line in lines
+            for part, held in line["parts"].items()
+            for run in held
+        }
+
+    unneeded = sorted(folders(done[:-keep]) - folders(done[-keep:]))
+    for number in done[:-keep]:  # first, so that no line is left that points to a deleted folder
+        fs.delete(spark, log_path(root, number))
+    for folder in unneeded:
         fs.delete(spark, folder)
-    return folders
+    return unneeded

@@ -7,6 +7,7 @@ expressions in SQL.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -17,6 +18,28 @@ AS_OF = dt.date(2024, 2, 1)
 EARLIER = dt.date(2024, 1, 1)
 
 
+AUTHORS = (
+    "CASE WHEN l_orderkey % 13 = 0 THEN NULL"
+    " WHEN l_orderkey % 17 = 0 THEN array()"
+    " ELSE array("
+    "named_struct('author_id', cast(l_suppkey AS string), 'role',"
+    " CASE l_returnflag WHEN 'A' THEN ' Author ' WHEN 'N' THEN '' ELSE 'Illustrator' END),"
+    "named_struct('author_id', CASE WHEN l_linenumber = 3 THEN NULL WHEN l_linenumber = 5 THEN ''"
+    " ELSE cast(l_suppkey + l_linenumber AS string) END, 'role', cast(NULL AS string))"
+    ") END AS authors"
+)
+SHELVES = (
+    "CASE WHEN l_orderkey % 19 = 0 THEN NULL ELSE array("
+    "named_struct('name', CASE l_orderkey % 6 WHEN 0 THEN ' Want-To-Read' WHEN 1 THEN 'tbr'"
+    " WHEN 2 THEN 'reading' WHEN 3 THEN 'Finished ' WHEN 4 THEN 'sci-fi' END,"
+    " 'count', cast(cast(l_quantity AS int) AS string)),"
+    "named_struct('name', CASE l_linenumber % 4 WHEN 0 THEN 'to-buy' WHEN 1 THEN 'Favourites'"
+    " WHEN 2 THEN 'my-library' ELSE 'poetry' END,"
+    " 'count', cast(l_linenumber - 2 AS string))"
+    ") END AS popular_shelves"
+)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -76,7 +99,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_interactions(spark: SparkSession, sf_dir: str, keep: Sequence[str] = ()) -> DataFrame:
     """One interaction per event, dates as text, some of them missing."""
     event, value = F.col("event_id"), F.col("value")
     written = site_date("ts", "+0000")
@@ -90,6 +113,7 @@ def raw_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(event % 17 == 0, "").otherwise(written).alias("date_updated"),
         F.lit("").alias("read_at"),
         F.lit(None).cast("string").alias("started_at"),
+        *keep,
     )
 
 
@@ -98,32 +122,26 @@ def raw_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A book comes many times, so the nested parts repeat across deliveries.
     """
-    authors = (
-        "CASE WHEN l_orderkey % 13 = 0 THEN NULL"
-        " WHEN l_orderkey % 17 = 0 THEN array()"
-        " ELSE array("
-        "named_struct('author_id', cast(l_suppkey AS string), 'role',"
-        " CASE l_returnflag WHEN 'A' THEN ' Author ' WHEN 'N' THEN '' ELSE 'Illustrator' END),"
-        "named_struct('author_id', CASE WHEN l_linenumber = 3 THEN NULL WHEN l_linenumber = 5 THEN ''"
-        " ELSE cast(l_suppkey + l_linenumber AS string) END, 'role', cast(NULL AS string))"
-        ") END AS authors"
-    )
-    shelves = (
-        "CASE WHEN l_orderkey % 19 = 0 THEN NULL ELSE array("
-        "named_struct('name', CASE l_orderkey % 6 WHEN 0 THEN ' Want-To-Read' WHEN 1 THEN 'tbr'"
-        " WHEN 2 THEN 'reading' WHEN 3 THEN 'Finished ' WHEN 4 THEN 'sci-fi' END,"
-        " 'count', cast(cast(l_quantity AS int) AS string)),"
-        "named_struct('name', CASE l_linenumber % 4 WHEN 0 THEN 'to-buy' WHEN 1 THEN 'Favourites'"
-        " WHEN 2 THEN 'my-library' ELSE 'poetry' END,"
-        " 'count', cast(l_linenumber - 2 AS string))"
-        ") END AS popular_shelves"
-    )
     loaded = (
         "timestampadd(MICROSECOND, cast(l_orderkey * 10 + l_linenumber AS bigint), l_shipdate)"
         " AS _ingestion_timestamp"
     )
     return table(spark, sf_dir, "lineitem").selectExpr(
-        "cast(l_partkey AS string) AS book_id", authors, shelves, loaded
+        "cast(l_partkey AS string) AS book_id", AUTHORS, SHELVES, loaded
+    )
+
+
+def whole_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries with the scalar columns of their book too, as the site's files have them."""
+    scalars = raw_books(spark, sf_dir).filter("_ingestion_timestamp = 0")
+    nested = table(spark, sf_dir, "lineitem").selectExpr(
+        "cast(l_partkey AS string) AS book_id", AUTHORS, SHELVES, "l_linenumber", "l_shipdate"
+    )
+    count = F.col("ratings_count").cast("int") + F.col("l_linenumber") % 2
+    return (
+        nested.join(scalars.drop("_ingestion_timestamp"), "book_id")
+        .withColumn("ratings_count", count.cast("string"))
+        .drop("l_linenumber")
     )
 
 

@@ -268,6 +268,66 @@ PARTS: dict[str, str] = {
 }
 
 
+# What two daily runs leave. Loads are a day apart; within a day equal rows tie, and the rest of
+# the columns decide. A review keeps its first day, an interaction its newest date.
+PARTS |= {
+    "two_day_books": """
+        SELECT b.* EXCLUDE (ratings_count), try_cast(l.ratings_count AS integer) AS ratings_count
+        FROM (SELECT * FROM typed_books WHERE delivery = 0) b JOIN (
+            SELECT cast(l_partkey AS varchar) AS book_id,
+                cast(l_partkey % 500 + l_linenumber % 2 AS varchar) AS ratings_count,
+                l_shipdate >= timestamp '1999-01-01' AS late
+            FROM lineitem) l USING (book_id)
+        WHERE average_rating BETWEEN 0 AND 5 AND try_cast(l.ratings_count AS integer) > 0
+        QUALIFY row_number() OVER (PARTITION BY book_id
+            ORDER BY late DESC, l.ratings_count DESC) = 1""",
+    "two_day_reviews": """
+        SELECT *, l_shipdate >= timestamp '1999-01-01' AS late FROM raw_reviews
+        WHERE rating BETWEEN 1 AND 5
+        QUALIFY row_number() OVER (PARTITION BY review_id ORDER BY late, book_id DESC,
+            user_id DESC, rating DESC, review_text DESC, n_votes DESC, n_comments DESC,
+            date_added DESC) = 1""",
+    "day_interactions": f"""
+        SELECT *, {epoch("date_added")} >= epoch(timestamp '2024-01-16') AS late
+        FROM raw_interactions WHERE user_id IS NOT NULL AND book_id IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY user_id, book_id, late
+            ORDER BY {epoch("date_updated")} DESC NULLS LAST, review_id DESC NULLS LAST,
+            is_read DESC NULLS LAST, rating DESC, date_added DESC) = 1""",
+    "two_day_interactions": f"""
+        SELECT book_id, count(*) AS total_interactions, cast(sum(flag) AS bigint) AS total_read
+        FROM (
+            SELECT coalesce(t.book_id, s.book_id) AS book_id,
+                CASE WHEN t.user_id IS NULL OR (s.user_id IS NOT NULL AND (
+                        {epoch("t.date_updated")} IS NULL OR
+                        coalesce({epoch("s.date_updated")} > {epoch("t.date_updated")}, false)))
+                    THEN {tri_state("s.is_read")} ELSE {tri_state("t.is_read")} END AS flag
+            FROM (SELECT * FROM day_interactions WHERE NOT late) t
+            FULL JOIN (SELECT * FROM day_interactions WHERE late) s
+                ON t.user_id = s.user_id AND t.book_id = s.book_id)
+        GROUP BY book_id""",
+    "two_day_features": f"""
+        SELECT book_id, count(*) AS total_reviews, {rounded("avg(rating)", 2)} AS avg_review_rating,
+            count(*) FILTER (rating >= 4) AS positive_reviews,
+            count(*) FILTER (rating <= 2) AS negative_reviews
+        FROM two_day_reviews GROUP BY book_id""",
+    "two_day_bridge": """
+        SELECT book_id, author_id, role, loaded >= timestamp '1999-01-01' AS late FROM author_rows
+        QUALIFY row_number() OVER (PARTITION BY book_id, author_id
+            ORDER BY late DESC, role DESC) = 1""",
+    "two_day_authors": """
+        SELECT book_id, string_agg(author_id, ', ' ORDER BY author_id) AS author_ids
+        FROM two_day_bridge WHERE role = 'Author' GROUP BY book_id""",
+    "two_day_wide": f"""
+        SELECT *, CASE WHEN total_reviews > 0
+            THEN {rounded("positive_reviews / total_reviews * 100", 1)} ELSE 0.0::double END
+            AS positive_review_pct
+        FROM two_day_books LEFT JOIN two_day_features USING (book_id)
+            LEFT JOIN two_day_interactions USING (book_id) LEFT JOIN signals USING (book_id)
+            LEFT JOIN two_day_authors USING (book_id)""",
+    "two_day_priorities": PARTS["priorities"].replace("FROM wide", "FROM two_day_wide"),
+}
+
+
 def sql(body: str) -> str:
     """`body` preceded by the named parts it needs, in the order they are defined."""
 
@@ -456,6 +516,11 @@ ORACLES: dict[str, str] = {
                 + (SELECT count(*) FROM incoming_parts) AS total_rows,
             (SELECT count(*) FROM incoming_parts) AS current_rows"""
     ),
+    "lake_two_days": sql(
+        f"""SELECT {PRIORITY_LIST}, true AS is_current, date '2024-02-02' AS valid_from,
+            date '9999-12-31' AS valid_to
+        FROM two_day_priorities"""
+    ),
     "stream_ingest": """
         SELECT event_id, user_id, event_type, value,
             CASE WHEN event_id % 2 = 1 THEN 'late' END AS source,
