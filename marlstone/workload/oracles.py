@@ -516,6 +516,7 @@ ORACLES: dict[str, str] = {
                 + (SELECT count(*) FROM incoming_parts) AS total_rows,
             (SELECT count(*) FROM incoming_parts) AS current_rows"""
     ),
+    "inferred_json": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
     "lake_two_days": sql(
         f"""SELECT {PRIORITY_LIST}, true AS is_current, date '2024-02-02' AS valid_from,
             date '9999-12-31' AS valid_to

@@ -28,6 +28,7 @@ from marlstone.plans import activity, books, gold
 from marlstone.plans import lake as jobs
 from marlstone.session import prepare, scratch_dir
 from marlstone.sources import catalog, files, store
+from marlstone.sources.schema import infer_or_load_schema
 from marlstone.streaming.ingest import Feed, ingest_all, read_bronze
 from marlstone.workload import inputs
 from marlstone.workload.inputs import AS_OF, EARLIER, table
@@ -448,6 +449,17 @@ def registered_table(spark, sf_dir):
     )
 
 
+@query
+def inferred_json(spark, sf_dir):
+    """Orders as JSON, read back with the schema found in them and kept."""
+    base = scratch_dir(spark, "inferred")
+    columns = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    table(spark, sf_dir, "orders").select(*columns).write.json(f"{base}/raw")
+    infer_or_load_schema(spark, f"{base}/raw", f"{base}/schema.json")
+    kept = infer_or_load_schema(spark, f"{base}/raw", f"{base}/schema.json", evolve=False)
+    return spark.read.schema(kept).json(f"{base}/raw").select(*columns)
+
+
 @query
 def stream_ingest(spark, sf_dir):
     """Events as JSON, drained in two goes; the second has a new field and broken lines."""
