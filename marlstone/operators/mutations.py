@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from marlstone import fixed_values as fixed
 from marlstone.operators.rows import current_rows
+from marlstone.session import plan_bytes
 
 
 def changed(pairs: Sequence[tuple[Column, Column]], nulls: str = "sql") -> Column:
@@ -32,11 +33,6 @@ def changed(pairs: Sequence[tuple[Column, Column]], nulls: str = "sql") -> Colum
     return F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False))
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Spark's size estimate. Most exact for a table as written; a staging table is one."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether the estimate is under the session's broadcast limit."""
     conf = df.sparkSession._jsparkSession.sessionState().conf()

@@ -27,6 +27,7 @@ from marlstone.operators.mutations import (
 )
 from marlstone.operators.rows import expect_no_nulls, loaded_after
 from marlstone.plans import activity, books, gold
+from marlstone.session import sized_for
 from marlstone.sources import catalog, store
 from marlstone.sources.files import file_inventory, read_catalogue
 from marlstone.streaming.ingest import LOADED_AT, Feed, feed_log, ingest_all, read_bronze
@@ -93,7 +94,8 @@ def ingest_bronze(lake: Lake, now: dt.datetime | None = None) -> DataFrame:
 def _staged(lake: Lake, name: str, build: Callable[[DataFrame], DataFrame], since) -> DataFrame:
     """Write the cleaned snapshot and read it back, so that later steps do not clean again."""
     raw = loaded_after(lake.bronze(name), LOADED_AT, since)
-    store.replace(build(raw), lake.path("staging", name))
+    with sized_for(raw):
+        store.replace(build(raw), lake.path("staging", name))
     return lake.read("staging", name)
 
 
@@ -101,7 +103,8 @@ def _apply_scd2(lake: Lake, name: str, source: DataFrame, keys, tracked, as_of,
     """Current rows are rewritten, closed ones added; stored history is not even read."""
     current = lake.current("silver", name) if lake.has("silver", name) else None
     delta = scd2_delta(current, source, keys, tracked, as_of, nulls)
-    return store.write_versions(delta, lake.path("silver", name))
+    with sized_for(source if current is None else current, source):
+        return store.write_versions(delta, lake.path("silver", name))
 
 
 def load_books(lake: Lake, as_of: dt.date, now=None, since=None, nulls: str = "sql") -> dict:
@@ -122,15 +125,17 @@ def load_authors(lake: Lake, as_of: dt.date, now=None, since=None, nulls: str =
 
 
 def load_bridge(lake: Lake, now=None) -> dict:
-    rows = books.bridge_book_authors(lake.bronze("books"))
-    stamped = rows.withColumn("_silver_timestamp", stamp(now))
-    return store.replace(stamped, lake.path("silver", "bridge_book_authors"))
+    raw = lake.bronze("books")
+    rows = books.bridge_book_authors(raw).withColumn("_silver_timestamp", stamp(now))
+    with sized_for(raw.select("book_id", "authors")):
+        return store.replace(rows, lake.path("silver", "bridge_book_authors"))
 
 
 def load_shelves(lake: Lake, now=None, dedupe_books: bool = True) -> dict:
-    rows = books.dim_shelves(lake.bronze("books"), dedupe_books)
-    stamped = rows.withColumn("_silver_timestamp", stamp(now))
-    return store.replace(stamped, lake.path("silver", "dim_shelves"))
+    raw = lake.bronze("books")
+    rows = books.dim_shelves(raw, dedupe_books).withColumn("_silver_timestamp", stamp(now))
+    with sized_for(raw.select("book_id", "popular_shelves")):
+        return store.replace(rows, lake.path("silver", "dim_shelves"))
 
 
 def load_calendar(lake: Lake) -> DataFrame:
@@ -144,7 +149,8 @@ def load_reviews(lake: Lake, now=None, since=None) -> dict:
     staged = _staged(lake, "reviews", lambda raw: activity.staging_reviews(raw, now), since)
     stored = lake.read("silver", "reviews") if lake.has("silver", "reviews") else None
     fresh = new_rows(stored, staged, ["review_id"])
-    return store.append(fresh, lake.path("silver", "reviews"))
+    with sized_for(staged if stored is None else stored.select("review_id"), staged):
+        return store.append(fresh, lake.path("silver", "reviews"))
 
 
 def added_month():
@@ -163,11 +169,13 @@ def load_interactions(lake: Lake, now=None, since=None) -> dict:
     )
     root, keys = lake.path("silver", "interactions"), ["user_id", "book_id"]
     if not lake.has("silver", "interactions"):
-        return store.write_parts(staged, root, added_month())
+        with sized_for(staged):
+            return store.write_parts(staged, root, added_month())
 
     stored = lake.read("silver", "interactions")
     matches = merge_matches(stored, staged, keys, "date_updated", added_month())
-    store.replace(matches, lake.path("staging", "interaction_matches"))
+    with sized_for(stored.select(*keys, "date_updated", "date_id"), staged):
+        store.replace(matches, lake.path("staging", "interaction_matches"))
     matches = lake.read("staging", "interaction_matches")
     months = [r.part for r in matches.filter("newer").select("part").distinct().collect()]
     unchanged = matches.filter(~F.col("part").isin(months)).select(*keys)
@@ -182,19 +190,21 @@ def load_interactions(lake: Lake, now=None, since=None) -> dict:
         small,
     )
     # Joined in place, rows still come month by month as they were read.
-    return store.write_parts(merged, root, added_month(), replaced=months, balance=not small)
+    with sized_for(touched, staged):
+        return store.write_parts(merged, root, added_month(), replaced=months, balance=not small)
 
 
 def load_gold(lake: Lake, as_of: dt.date, now=None) -> dict:
     """Both products from one wide table, written once and read twice."""
-    signals = gold.book_signals(
+    tables = [
         lake.current("silver", "dim_books"),
-        lake.read("silver", "reviews"),
-        lake.read("silver", "interactions"),
+        lake.read("silver", "reviews").select("book_id", "rating", "n_votes"),
+        lake.read("silver", "interactions").select("book_id", "is_read", "has_review", "rating"),
         lake.read("silver", "dim_shelves"),
         lake.read("silver", "bridge_book_authors"),
-    )
-    store.replace(signals, lake.path("staging", "book_signals"))
+    ]
+    with sized_for(*tables):
+        store.replace(gold.book_signals(*tables), lake.path("staging", "book_signals"))
     signals = lake.read("staging", "book_signals")
     report = {}
     for name, rows in (

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+MB = 1 << 20
 
 # Runtime settings the results or the plans lean on. Sizes that depend on the
 # cluster (executors, memory, shuffle partitions) are left to the submitter.
@@ -34,15 +37,48 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffle(spark: SparkSession, input_bytes: int, target_bytes: int = 128 << 20) -> int:
-    """Set the shuffle partition count so that one partition holds about `target_bytes`.
+def plan_bytes(df: DataFrame) -> int:
+    """Spark's size estimate. Most exact for a table as written; a staging table is one."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def sizes_for(input_bytes: int) -> dict[str, int]:
+    """Split size and shuffle partition count for an input of that many bytes.
 
-    Adaptive execution merges partitions that turn out small, but cannot split an
-    aggregate's partition, so the starting count has to be high enough for the input.
+    About 256 MB of input per shuffle partition. Past 10 TB splits grow as well, to 1 GB, and
+    partitions stop at 40,000: the driver keeps a size per map task and partition. At 100 TB
+    that is 100,000 map tasks and 2.5 GB per partition, which spills but fits.
     """
-    wanted = max(spark.sparkContext.defaultParallelism, -(-input_bytes // target_bytes))
-    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return wanted
+    return {
+        "spark.sql.files.maxPartitionBytes": min(max(128 * MB, input_bytes // 100_000), 1024 * MB),
+        "spark.sql.shuffle.partitions": min(-(-input_bytes // (256 * MB)), 40_000),
+    }
+
+
+def raise_sizes(spark: SparkSession, input_bytes: int) -> dict[str, str]:
+    """Set `sizes_for` where they are above the session's own; returns the settings before.
+
+    Adaptive execution merges shuffle partitions that turn out small, but cannot split those of
+    an aggregate, so the count has to be high enough to start with.
+    """
+    bytes_of = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    before = {name: spark.conf.get(name) for name in sizes_for(0)}
+    for name, wanted in sizes_for(input_bytes).items():
+        if wanted > bytes_of(before[name]):
+            spark.conf.set(name, str(wanted))
+    return before
+
+
+@contextmanager
+def sized_for(*inputs: DataFrame):
+    """Run the writes inside with sizes that suit the inputs."""
+    spark = inputs[0].sparkSession
+    before = raise_sizes(spark, sum(plan_bytes(df) for df in inputs))
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

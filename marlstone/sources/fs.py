@@ -23,6 +23,12 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(target))
 
 
+def total_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path."""
+    fs, target = _resolve(spark, path)
+    return fs.getContentSummary(target).getLength()
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """Read a small file whole."""
     fs, target = _resolve(spark, path)

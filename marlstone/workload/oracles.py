@@ -486,6 +486,11 @@ ORACLES: dict[str, str] = {
     "read_catalogue": sql(
         "SELECT type, name FROM order_files WHERE o_orderkey % 10 NOT IN (3, 7)"
     ),
+    "file_sizes": sql(
+        f"""SELECT type, cast(sum(octet_length(encode(name)) + 1) AS bigint) AS bytes,
+            {rounded("sum(octet_length(encode(name)) + 1) / 1048576", 2)} AS size_mb
+        FROM order_files GROUP BY type"""
+    ),
     "row_count_delta": """
         SELECT nullif(count(*) FILTER (ts <= timestamp '2024-01-29'), 0) AS yesterday,
             count(*) AS today,

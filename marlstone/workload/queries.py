@@ -12,7 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marlstone import fixed_values as fixed
-from marlstone.functions.cleaning import at_least, at_most, null_if, pseudonymise, safe_cast
+from marlstone.functions.cleaning import (
+    at_least,
+    at_most,
+    megabytes,
+    null_if,
+    pseudonymise,
+    safe_cast,
+)
 from marlstone.functions.kinds import by_kind
 from marlstone.functions.times import date_key, parse_offset_ts
 from marlstone.operators import manifest, monitor, mutations, rows
@@ -26,8 +33,9 @@ from marlstone.operators.features import (
 )
 from marlstone.plans import activity, books, gold
 from marlstone.plans import lake as jobs
-from marlstone.session import prepare, scratch_dir
+from marlstone.session import prepare, raise_sizes, scratch_dir
 from marlstone.sources import catalog, files, store
+from marlstone.sources.fs import total_bytes
 from marlstone.sources.schema import infer_or_load_schema
 from marlstone.streaming.ingest import Feed, ingest_all, read_bronze
 from marlstone.workload import inputs
@@ -43,7 +51,8 @@ FOLDERS = {word: f"raw/{word}/" for word in (fixed.WHOLE_SET_TYPE, *fixed.NAME_K
 
 def query(make: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return make(prepare(spark), sf_dir)
+        raise_sizes(prepare(spark), total_bytes(spark, sf_dir))
+        return make(spark, sf_dir)
 
     QUERIES[make.__name__] = run
     return run
@@ -363,6 +372,19 @@ def file_inventory(spark, sf_dir):
     return files.file_inventory(spark, sf_dir)
 
 
+@query
+def file_sizes(spark, sf_dir):
+    """Orders' file names written as text, a folder per type, and the bytes listed there."""
+    folder = scratch_dir(spark, "sizes")
+    names = inputs.order_catalogue(spark, sf_dir).select(F.col("name").alias("value"), "type")
+    names.write.partitionBy("type").text(folder)
+    listed = files.list_files(spark, folder).withColumn(
+        "type", F.regexp_extract("path", "/type=([A-Za-z]+)/", 1)
+    )
+    sums = listed.groupBy("type").agg(F.sum("length").alias("bytes"))
+    return sums.withColumn("size_mb", megabytes("bytes"))
+
+
 # Monitoring
 
 

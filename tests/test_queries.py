@@ -35,7 +35,7 @@ def test_entry(spark):
 
 LAZY = sorted(set(queries()) - {
     "published_table", "versioned_table", "table_history", "registered_table", "stream_ingest",
-    "read_catalogue", "inferred_json", "lake_two_days",
+    "read_catalogue", "inferred_json", "lake_two_days", "file_sizes",
 })
 
 
