@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark.errors import PySparkException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructType
@@ -25,6 +26,9 @@ RESCUED_LINE = "_rescued_line"
 class Feed:
     """One folder (or glob) of newline-delimited JSON and the table it feeds.
 
+    `max_files` or `max_bytes` bounds a batch, so that a first run over a large
+    folder commits as it goes. `infer_files` bounds the files opened to find the schema.
+
     A line that does not parse, or with `rescue` holds a field outside the schema, is kept as it
     was in `_rescued_line`. `spread` hands lines round over that many tasks before they are
     parsed: worth it for compressed files, which one task each has to read from end to end.
@@ -36,6 +40,8 @@ class Feed:
     checkpoint: str
     schema: StructType | None = None
     max_files: int | None = None
+    max_bytes: int | None = None
+    infer_files: int | None = None
     spread: int | None = None
     rescue: bool = True
 
@@ -53,7 +59,7 @@ def with_audit(df: DataFrame, now: dt.datetime | None = None) -> DataFrame:
 def feed_schema(spark: SparkSession, feed: Feed, evolve: bool = True) -> StructType:
     """The fields of a feed: declared, or inferred and kept beside the checkpoint."""
     return feed.schema or infer_or_load_schema(
-        spark, feed.src, f"{feed.checkpoint}/schema/schema.json", evolve
+        spark, feed.src, f"{feed.checkpoint}/schema/schema.json", evolve, feed.infer_files
     )
 
 
@@ -91,6 +97,8 @@ def start_ingest(
     )
     if feed.max_files:
         reader = reader.option("maxFilesPerTrigger", feed.max_files)
+    if feed.max_bytes:
+        reader = reader.option("maxBytesPerTrigger", feed.max_bytes)
     lines = with_audit(reader.load(feed.src), now)
     if feed.spread:
         lines = lines.repartition(feed.spread)
@@ -115,11 +123,21 @@ def start_ingest(
 def ingest_all(
     spark: SparkSession, feeds: list[Feed], now: dt.datetime | None = None
 ) -> DataFrame:
-    """Drain all feeds side by side; report rows and batches of each, and log those that grew."""
-    started = [(feed, start_ingest(spark, feed, now)) for feed in feeds]
-    report = []
+    """Drain all feeds side by side; report rows and batches of each, and log those that grew.
+
+    A feed that fails is raised once the others are through.
+    """
+    started, report, failed = [], [], []
+    for feed in feeds:
+        try:
+            started.append((feed, start_ingest(spark, feed, now)))
+        except PySparkException as error:
+            failed.append(error)
     for feed, query in started:
-        query.awaitTermination()
+        try:
+            query.awaitTermination()
+        except StreamingQueryException as error:
+            failed.append(error)
         progress = [p for p in query.recentProgress if p["numInputRows"]]
         rows, batches = sum(p["numInputRows"] for p in progress), len(progress)
         report.append((feed.name, rows, batches))
@@ -129,6 +147,8 @@ def ingest_all(
             run_id = store.next_run(spark, root)
             schema = feed_schema(spark, feed, evolve=False)
             store.log_run(spark, root, run_id, "STREAMING UPDATE", metrics, schema, {}, now)
+    if failed:
+        raise failed[0]
     return spark.createDataFrame(report, "feed string, rows long, batches long")
 
 

@@ -66,6 +66,42 @@ def test_old_files_in_small_batches(spark, feed):
     assert values(ingest_all(spark, [small])) == [("books", 1, 1)]
 
 
+def test_batches_bounded_by_bytes(spark, feed):
+    for i in range(4):
+        drop(feed.src, f"{i}.json", {"id": "x" * 600})
+    bounded = Feed("books", feed.src, feed.out, feed.checkpoint, max_bytes=1000)
+    (report,) = ingest_all(spark, [bounded]).collect()
+    assert report.rows == 4 and report.batches > 1
+
+
+def test_schema_from_the_first_files_rescues_the_rest(spark, feed):
+    drop(feed.src, "a.json", {"id": "1"})
+    drop(feed.src, "b.json", {"id": "2", "late": True})
+    os.utime(f"{feed.src}/a.json", (1000000000, 1000000000))
+    quick = Feed("books", feed.src, feed.out, feed.checkpoint, infer_files=1)
+    ingest_all(spark, [quick])
+    rows = read_bronze(spark, quick)
+    assert "late" not in rows.columns
+    assert values(rows, "id", "_rescued_line") == [("1", None), ("2", '{"id": "2", "late": true}')]
+    os.remove(f"{feed.src}/a.json")
+    drop(feed.src, "c.json", {"id": "3", "late": False})
+    ingest_all(spark, [quick])  # the next look opens a newer file and finds the field
+    assert values(read_bronze(spark, quick), "id", "late") == [("1", None), ("2", None), ("3", False)]
+
+
+def test_a_failing_feed_does_not_stop_the_others(spark, tmp_path):
+    feeds = [
+        Feed(n, f"{tmp_path}/raw/{n}", f"{tmp_path}/bronze/{n}", f"{tmp_path}/cp/{n}")
+        for n in ("bad", "good")
+    ]
+    for feed in feeds:
+        drop(feed.src, "a.json", {"id": 1})
+    wrong = Feed("bad", feeds[0].src, feeds[0].out, feeds[0].checkpoint, max_files=-1)
+    with pytest.raises(Exception, match="maxFilesPerTrigger"):
+        ingest_all(spark, [wrong, feeds[1]])
+    assert read_bronze(spark, feeds[1]).count() == 1
+
+
 def test_feeds_side_by_side(spark, tmp_path):
     feeds = [
         Feed(n, f"{tmp_path}/raw/{n}", f"{tmp_path}/bronze/{n}", f"{tmp_path}/cp/{n}")
