@@ -172,6 +172,20 @@ def append_new(
     return target.unionByName(new_rows(target, source, keys, small), allowMissingColumns=True)
 
 
+def replace_keys(
+    target: DataFrame | None, source: DataFrame, keys: Sequence[str], arrived: DataFrame | None = None
+) -> DataFrame:
+    """The target with all rows of the keys that arrived given up for those of the source.
+
+    `arrived` names the keys where some may have no row in the source.
+    """
+    if target is None:
+        return source
+    given_up = (source if arrived is None else arrived).select(*keys).distinct()
+    kept = target.join(given_up, list(keys), "left_anti")
+    return kept.unionByName(source, allowMissingColumns=True)
+
+
 def merge_newest(
     target: DataFrame | None,
     source: DataFrame,

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Collection
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -16,12 +16,14 @@ from marlstone import fixed_values as fixed
 from marlstone.functions.cleaning import stamp
 from marlstone.operators import manifest as files
 from marlstone.operators.calendar import calendar
+from marlstone.operators.features import label_totals
 from marlstone.operators.monitor import layer_summary, row_count_delta
 from marlstone.operators.mutations import (
     meets_in_place,
     merge_matches,
     merge_newest,
     new_rows,
+    replace_keys,
     scd2_delta,
     supersede_delta,
 )
@@ -46,23 +48,22 @@ PRODUCTS = {"audiobook_priority": "business", "book_features": "modelling"}
 
 @dataclass(frozen=True)
 class Lake:
-    """Where the tables are. `raw` maps an entity to its folder of JSON files."""
+    """Where the tables are. `raw` maps an entity to its folder of JSON files.
+
+    `feeds` holds `Feed` settings for ingest, such as `max_bytes` or `infer_files`.
+    """
 
     spark: SparkSession
     root: str
     raw: dict[str, str]
+    feeds: dict = field(default_factory=dict)
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
-    def feed(self, entity: str, **options) -> Feed:
-        return Feed(
-            entity,
-            self.raw[entity],
-            self.path("bronze", entity),
-            self.path("checkpoints", entity),
-            **options,
-        )
+    def feed(self, entity: str) -> Feed:
+        out, checkpoint = self.path("bronze", entity), self.path("checkpoints", entity)
+        return Feed(entity, self.raw[entity], out, checkpoint, **self.feeds)
 
     def bronze(self, entity: str) -> DataFrame:
         return read_bronze(self.spark, self.feed(entity))
@@ -73,6 +74,12 @@ class Lake:
     def current(self, layer: str, name: str) -> DataFrame:
         return store.read_current(self.spark, self.path(layer, name))
 
+    def stored(self, name: str, since: dt.datetime | None) -> DataFrame | None:
+        """The silver table a run adds to; None where it starts from all of bronze."""
+        if since is None or not self.has("silver", name):
+            return None
+        return self.read("silver", name)
+
     def has(self, layer: str, name: str) -> bool:
         return store.has_table(self.spark, self.path(layer, name))
 
@@ -124,18 +131,37 @@ def load_authors(lake: Lake, as_of: dt.date, now=None, since=None, nulls: str =
     return _apply_scd2(lake, "dim_authors", source, ["author_id"], fixed.AUTHOR_TRACKED, as_of, nulls)
 
 
-def load_bridge(lake: Lake, now=None) -> dict:
-    raw = lake.bronze("books")
-    rows = books.bridge_book_authors(raw).withColumn("_silver_timestamp", stamp(now))
-    with sized_for(raw.select("book_id", "authors")):
-        return store.replace(rows, lake.path("silver", "bridge_book_authors"))
+def load_bridge(lake: Lake, now=None, since=None) -> dict:
+    """With `since`, pairs delivered after it replace the stored ones; the others are kept."""
+    raw = loaded_after(lake.bronze("books"), LOADED_AT, since)
+    rows = books.bridge_book_authors(raw)
+    stored = lake.stored("bridge_book_authors", since)
+    merged = replace_keys(stored, rows, ["book_id", "author_id"])
+    with sized_for(raw.select("book_id", "authors"), rows if stored is None else stored):
+        return store.replace(
+            merged.withColumn("_silver_timestamp", stamp(now)),
+            lake.path("silver", "bridge_book_authors"),
+        )
 
 
-def load_shelves(lake: Lake, now=None, dedupe_books: bool = True) -> dict:
-    raw = lake.bronze("books")
-    rows = books.dim_shelves(raw, dedupe_books).withColumn("_silver_timestamp", stamp(now))
-    with sized_for(raw.select("book_id", "popular_shelves")):
-        return store.replace(rows, lake.path("silver", "dim_shelves"))
+def load_shelves(lake: Lake, now=None, since=None, dedupe_books: bool = True) -> dict:
+    """With `since`, books delivered after it get their shelves anew, or their counts added to
+    where all deliveries count; the others are kept."""
+    raw = loaded_after(lake.bronze("books"), LOADED_AT, since)
+    rows = books.dim_shelves(raw, dedupe_books)
+    stored = lake.stored("dim_shelves", since)
+    if dedupe_books:
+        arrived = raw.select(F.col("book_id").cast("string").alias("book_id"))
+        merged = replace_keys(stored, rows, ["book_id"], arrived)
+    elif stored is None:
+        merged = rows
+    else:
+        both = stored.select(*rows.columns).unionByName(rows)
+        merged = label_totals(both, ["book_id", "shelf_name"], "shelf_count", "shelf_count")
+    with sized_for(raw.select("book_id", "popular_shelves"), rows if stored is None else stored):
+        return store.replace(
+            merged.withColumn("_silver_timestamp", stamp(now)), lake.path("silver", "dim_shelves")
+        )
 
 
 def load_calendar(lake: Lake) -> DataFrame:
@@ -227,8 +253,8 @@ def run_silver(lake: Lake, as_of: dt.date, now=None, since=None) -> dict[str, di
     report = {
         "dim_books": load_books(lake, as_of, now, since),
         "dim_authors": load_authors(lake, as_of, now, since),
-        "bridge_book_authors": load_bridge(lake, now),
-        "dim_shelves": load_shelves(lake, now),
+        "bridge_book_authors": load_bridge(lake, now, since),
+        "dim_shelves": load_shelves(lake, now, since),
         "reviews": load_reviews(lake, now, since),
         "interactions": load_interactions(lake, now, since),
     }

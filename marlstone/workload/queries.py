@@ -536,8 +536,8 @@ def lake_two_days(spark, sf_dir):
         jobs.ingest_bronze(lake, now)
         jobs.load_books(lake, as_of, now, since)
         jobs.load_authors(lake, as_of, now, since)
-        jobs.load_bridge(lake, now)
-        jobs.load_shelves(lake, now, dedupe_books=False)
+        jobs.load_bridge(lake, now, since)
+        jobs.load_shelves(lake, now, since, dedupe_books=False)
         jobs.load_reviews(lake, now, since)
         jobs.load_interactions(lake, now, since)
         jobs.load_gold(lake, as_of, now)

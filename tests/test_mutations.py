@@ -156,6 +156,18 @@ def test_append_takes_new_keys_only(spark, small):
     assert values(mutations.append_new(None, source, ["k"])) == values(source)
 
 
+def test_keys_that_arrive_are_replaced_whole(spark):
+    schema = "k string, label string, n int"
+    target = spark.createDataFrame([("a", "x", 1), ("a", "y", 2), ("b", "x", 3), ("c", "x", 4)], schema)
+    source = spark.createDataFrame([("a", "z", 9)], schema)
+    assert values(mutations.replace_keys(target, source, ["k"])) == [
+        ("a", "z", 9), ("b", "x", 3), ("c", "x", 4),
+    ]
+    arrived = spark.createDataFrame([("a",), ("c",), ("c",)], "k string")
+    assert values(mutations.replace_keys(target, source, ["k"], arrived)) == [("a", "z", 9), ("b", "x", 3)]
+    assert values(mutations.replace_keys(None, source, ["k"])) == values(source)
+
+
 MERGE = "u string, b string, v string, at int, kept string"
 
 
