@@ -113,7 +113,7 @@ def start_ingest(
             .option("checkpointLocation", feed.checkpoint)
             .outputMode("append")
             .trigger(availableNow=True)
-            .queryName(feed.name)
+            .queryName(f"{feed.name} into {feed.out}")
             .start(feed.out)
         )
     finally:

@@ -393,7 +393,7 @@ ORACLES: dict[str, str] = {
     "role_default": sql("SELECT book_id, author_id, role FROM author_rows"),
     "author_versions": sql("SELECT * FROM author_versions"),
     "bridge_item_authors": sql("SELECT * FROM bridge"),
-    "item_author_list": sql("SELECT * FROM author_ids"),
+    "author_list": sql("SELECT * FROM author_ids"),
     "canonical_shelves": sql("SELECT * FROM shelves"),
     "canonical_shelves_latest": sql("SELECT * FROM last_shelves"),
     "top_shelves": sql(
@@ -409,8 +409,8 @@ ORACLES: dict[str, str] = {
         FROM (SELECT cast(unnest(generate_series(first, last, interval 1 day)) AS date) AS d
               FROM (SELECT cast(min(o_orderdate) AS date)::timestamp AS first,
                   cast(max(o_orderdate) AS date)::timestamp AS last FROM orders))""",
-    "review_features": sql("SELECT * FROM review_features"),
-    "interaction_features": sql("SELECT * FROM interaction_features"),
+    "reviews_agg": sql("SELECT * FROM review_features"),
+    "interactions_agg": sql("SELECT * FROM interaction_features"),
     "scd2_first_load": sql(f"SELECT *, {OPENED} FROM incoming_parts"),
     "scd2_second_day": sql(second_day("changed_parts")),
     "scd2_null_safe": sql(second_day("distinct_parts")),

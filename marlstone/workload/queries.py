@@ -22,15 +22,8 @@ from marlstone.functions.cleaning import (
 )
 from marlstone.functions.kinds import by_kind
 from marlstone.functions.times import date_key, parse_offset_ts
-from marlstone.operators import manifest, monitor, mutations, rows
+from marlstone.operators import features, manifest, monitor, mutations, rows
 from marlstone.operators.calendar import calendar_of
-from marlstone.operators.features import (
-    author_list,
-    count_by,
-    interactions_agg,
-    label_columns,
-    reviews_agg,
-)
 from marlstone.plans import activity, books, gold
 from marlstone.plans import lake as jobs
 from marlstone.session import prepare, raise_sizes, scratch_dir
@@ -146,8 +139,8 @@ def bridge_item_authors(spark, sf_dir):
 
 
 @query
-def item_author_list(spark, sf_dir):
-    return author_list(books.bridge_book_authors(inputs.raw_deliveries(spark, sf_dir)))
+def author_list(spark, sf_dir):
+    return features.author_list(books.bridge_book_authors(inputs.raw_deliveries(spark, sf_dir)))
 
 
 @query
@@ -169,7 +162,7 @@ def top_shelves(spark, sf_dir):
 
 @query
 def shelf_signals(spark, sf_dir):
-    return label_columns(
+    return features.label_columns(
         books.dim_shelves(inputs.raw_deliveries(spark, sf_dir), dedupe_books=False)
     )
 
@@ -183,13 +176,14 @@ def calendar(spark, sf_dir):
 
 
 @query
-def review_features(spark, sf_dir):
-    return reviews_agg(activity.staging_reviews(inputs.raw_reviews(spark, sf_dir)))
+def reviews_agg(spark, sf_dir):
+    return features.reviews_agg(activity.staging_reviews(inputs.raw_reviews(spark, sf_dir)))
 
 
 @query
-def interaction_features(spark, sf_dir):
-    return interactions_agg(activity.staging_interactions(inputs.raw_interactions(spark, sf_dir)))
+def interactions_agg(spark, sf_dir):
+    staged = activity.staging_interactions(inputs.raw_interactions(spark, sf_dir))
+    return features.interactions_agg(staged)
 
 
 # Table mutations
@@ -324,7 +318,7 @@ def top_priority(spark, sf_dir):
 
 @query
 def catalogue_counts(spark, sf_dir):
-    return count_by(inputs.order_catalogue(spark, sf_dir), "type", "files")
+    return features.count_by(inputs.order_catalogue(spark, sf_dir), "type", "files")
 
 
 @query
@@ -398,7 +392,7 @@ def row_count_delta(spark, sf_dir):
 def read_as_of(spark, sf_dir):
     cutoff = dt.datetime(2024, 1, 20, 12, tzinfo=dt.timezone.utc)
     events = rows.read_as_of(table(spark, sf_dir, "events"), "ts", cutoff)
-    return count_by(events, "event_type", "events")
+    return features.count_by(events, "event_type", "events")
 
 
 @query

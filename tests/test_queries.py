@@ -53,7 +53,7 @@ def test_ranking_is_cut_on_both_sides_of_the_shuffle(spark, name):
 
 
 def test_features_read_only_their_columns(spark):
-    plan = plan_of(queries()["review_features"](spark, SF_DIR))
+    plan = plan_of(queries()["reviews_agg"](spark, SF_DIR))
     assert plan.count("FileScan") == 1 and "l_extendedprice" not in plan
 
 
