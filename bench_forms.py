@@ -104,7 +104,8 @@ class Forms:
         wide = self.books.select("book_id")
         for label, name in (("to-read", "a"), ("currently-reading", "b"), ("read", "c")):
             part = self.shelves.filter(F.col("shelf_name") == label)
-            wide = wide.join(part.select("book_id", F.col("shelf_count").alias(name)), "book_id", "left")
+            column = part.select("book_id", F.col("shelf_count").alias(name))
+            wide = wide.join(column, "book_id", "left")
         sink(wide)
 
     # newest-wins merge

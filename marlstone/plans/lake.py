@@ -16,7 +16,6 @@ from marlstone import fixed_values as fixed
 from marlstone.functions.cleaning import stamp
 from marlstone.operators import manifest as files
 from marlstone.operators.calendar import calendar
-from marlstone.operators.features import label_totals
 from marlstone.operators.monitor import layer_summary, row_count_delta
 from marlstone.operators.mutations import (
     meets_in_place,
@@ -145,19 +144,17 @@ def load_bridge(lake: Lake, now=None, since=None) -> dict:
 
 
 def load_shelves(lake: Lake, now=None, since=None, dedupe_books: bool = True) -> dict:
-    """With `since`, books delivered after it get their shelves anew, or their counts added to
-    where all deliveries count; the others are kept."""
+    """With `since`, books delivered after it get their shelves anew; the others are kept.
+
+    Where all deliveries add up, all are read each time: adding to stored counts would count a
+    delivery again when a run is repeated.
+    """
+    since = since if dedupe_books else None
     raw = loaded_after(lake.bronze("books"), LOADED_AT, since)
     rows = books.dim_shelves(raw, dedupe_books)
     stored = lake.stored("dim_shelves", since)
-    if dedupe_books:
-        arrived = raw.select(F.col("book_id").cast("string").alias("book_id"))
-        merged = replace_keys(stored, rows, ["book_id"], arrived)
-    elif stored is None:
-        merged = rows
-    else:
-        both = stored.select(*rows.columns).unionByName(rows)
-        merged = label_totals(both, ["book_id", "shelf_name"], "shelf_count", "shelf_count")
+    arrived = raw.select(F.col("book_id").cast("string").alias("book_id"))
+    merged = replace_keys(stored, rows, ["book_id"], arrived)
     with sized_for(raw.select("book_id", "popular_shelves"), rows if stored is None else stored):
         return store.replace(
             merged.withColumn("_silver_timestamp", stamp(now)), lake.path("silver", "dim_shelves")
