@@ -43,14 +43,18 @@ def plan_bytes(df: DataFrame) -> int:
 
 
 def sizes_for(input_bytes: int) -> dict[str, int]:
-    """Split size and shuffle partition count for an input of that many bytes.
+    """Split size, file size and shuffle partition count for an input of that many bytes.
 
     About 256 MB of input per shuffle partition. Past 10 TB splits grow as well, to 1 GB, and
     partitions stop at 40,000: the driver keeps a size per map task and partition. At 100 TB
-    that is 100,000 map tasks and 2.5 GB per partition, which spills but fits.
+    that is 100,000 map tasks and 2.5 GB per partition, which spills but fits. What adaptive
+    execution merges or splits a shuffle to, and so the size of files, grows to 512 MB.
     """
     return {
         "spark.sql.files.maxPartitionBytes": min(max(128 * MB, input_bytes // 100_000), 1024 * MB),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": min(
+            max(64 * MB, input_bytes // 200_000), 512 * MB
+        ),
         "spark.sql.shuffle.partitions": min(-(-input_bytes // (256 * MB)), 40_000),
     }
 

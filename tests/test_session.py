@@ -3,18 +3,19 @@ import pytest
 from marlstone import session
 
 PARTITIONS, SPLIT = "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"
+FILE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 GB, TB = 1 << 30, 1 << 40
 
 
 @pytest.mark.parametrize(
-    "size, partitions, split",
+    "size, partitions, split, file",
     [
-        (0, 0, 128 << 20), (GB, 4, 128 << 20), (TB, 4096, 128 << 20),
-        (100 * TB, 40000, 1 << 30),
+        (0, 0, 128 << 20, 64 << 20), (GB, 4, 128 << 20, 64 << 20), (TB, 4096, 128 << 20, 64 << 20),
+        (100 * TB, 40000, 1 << 30, 512 << 20),
     ],
 )
-def test_sizes(size, partitions, split):
-    assert session.sizes_for(size) == {PARTITIONS: partitions, SPLIT: split}
+def test_sizes(size, partitions, split, file):
+    assert session.sizes_for(size) == {PARTITIONS: partitions, SPLIT: split, FILE: file}
 
 
 def test_sizes_only_ever_rise_and_are_put_back(spark):
