@@ -1,3 +1,4 @@
+import gzip
 import json
 import os
 import time
@@ -102,6 +103,17 @@ def test_a_failing_feed_does_not_stop_the_others(spark, tmp_path):
     assert read_bronze(spark, feeds[1]).count() == 1
 
 
+def test_compressed_files(spark, feed):
+    os.makedirs(feed.src)
+    with gzip.open(f"{feed.src}/a.json.gz", "wt") as out:
+        out.writelines(json.dumps({"id": i}) + "\n" for i in range(1000))
+    shared = Feed("books", feed.src, feed.out, feed.checkpoint, spread=4)
+    assert values(ingest_all(spark, [shared])) == [("books", 1000, 1)]
+    rows = read_bronze(spark, shared)
+    assert rows.select("id").distinct().count() == 1000
+    assert len(rows.inputFiles()) == 4
+
+
 def test_feeds_side_by_side(spark, tmp_path):
     feeds = [
         Feed(n, f"{tmp_path}/raw/{n}", f"{tmp_path}/bronze/{n}", f"{tmp_path}/cp/{n}")

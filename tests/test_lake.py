@@ -129,6 +129,17 @@ def test_first_day_counts(day1):
     assert REPORTS["gold1"]["audiobook_priority"] == {"rows": 3, "current": 3}
 
 
+def test_reports_as_a_table(day1, spark):
+    out = jobs.report_table(spark, REPORTS["silver1"]).filter("table IN ('reviews', 'dim_books')")
+    assert values(out) == [("dim_books", "current", 3), ("dim_books", "rows", 3), ("reviews", "rows", 3)]
+
+
+def test_feed_settings_reach_the_feeds(spark):
+    lake = jobs.Lake(spark, "root", {"books": "raw"}, {"max_files": 7})
+    feed = lake.feed("books")
+    assert (feed.src, feed.out, feed.max_files) == ("raw", "root/bronze/books", 7)
+
+
 def test_second_day_versions(day2):
     dim = day2.read("silver", "dim_books")
     got = values(dim, "book_id", "title", "ratings_count", "num_pages", "is_current", "valid_to")

@@ -43,6 +43,18 @@ def test_a_run_without_its_log_line_does_not_count(spark, root):
     assert values(store.read_table(spark, root)) == [(1,), (2,)]
 
 
+def test_a_write_that_fails_half_way_leaves_the_table_as_it_was(spark, root):
+    store.replace(numbers(spark, 1), root)
+    broken = spark.range(0, 100, 1, 4).select(
+        F.when(F.col("id") < 99, F.col("id").cast("int")).otherwise(F.raise_error(F.lit("lost"))).alias("n")
+    )
+    with pytest.raises(Exception, match="lost"):
+        store.append(broken, root)
+    assert values(store.read_table(spark, root)) == [(1,)]
+    assert store.append(numbers(spark, 2), root) == {"rows": 1}
+    assert values(store.read_table(spark, root)) == [(1,), (2,)]
+
+
 def test_a_committed_run_is_never_overwritten(spark, root):
     store.replace(numbers(spark, 1), root, run_id=5)
     with pytest.raises(ValueError, match="not after"):
