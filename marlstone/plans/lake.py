@@ -29,7 +29,7 @@ from marlstone.operators.mutations import (
 from marlstone.operators.rows import expect_no_nulls, loaded_after
 from marlstone.plans import activity, books, gold
 from marlstone.session import sized_for
-from marlstone.sources import catalog, store
+from marlstone.sources import catalog, fs, store
 from marlstone.sources.files import file_inventory, read_catalogue
 from marlstone.streaming.ingest import LOADED_AT, Feed, feed_log, ingest_all, read_bronze
 
@@ -259,6 +259,26 @@ def run_silver(lake: Lake, as_of: dt.date, now=None, since=None) -> dict[str, di
     return report
 
 
+def loaded_until(lake: Lake) -> dt.datetime | None:
+    """The ingest time up to which all of bronze has reached gold; None before the first day."""
+    path = f"{lake.root}/loaded_until.txt"
+    if not fs.exists(lake.spark, path):
+        return None
+    return dt.datetime.fromisoformat(fs.read_text(lake.spark, path).strip())
+
+
+def run_day(lake: Lake, now: dt.datetime, as_of: dt.date | None = None) -> dict[str, dict]:
+    """Every job in turn, over the rows that came in since the last day that went through.
+
+    After a failure simply run it again: rows the failed day took in are still to be loaded.
+    """
+    since, as_of = loaded_until(lake), as_of or now.date()
+    ingest_bronze(lake, now)
+    report = run_silver(lake, as_of, now, since) | load_gold(lake, as_of, now)
+    fs.write_text(lake.spark, f"{lake.root}/loaded_until.txt", now.isoformat(), overwrite=True)
+    return report
+
+
 def report_table(spark: SparkSession, report: dict[str, dict[str, int]]) -> DataFrame:
     """Row counts of the runs just made, as observed while writing: table, metric, value."""
     lines = [(name, metric, n) for name, found in report.items() for metric, n in found.items()]

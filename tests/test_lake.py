@@ -279,6 +279,36 @@ def test_manifest_job(spark, tmp_path):
         jobs.build_manifest(spark, path, {"complete": "w/"}, folders)
 
 
+def test_days_carry_on_where_the_last_one_ended(spark, tmp_path, monkeypatch):
+    raw = {e: f"{tmp_path}/raw/{e}" for e in jobs.ENTITIES}
+    lake = jobs.Lake(spark, f"{tmp_path}/lake", raw)
+
+    def deliver(day):
+        put(raw["books"], f"day{day}", [book(f"b{day}")])
+        put(raw["reviews"], f"day{day}", [review(f"r{day}", f"b{day}", 5)])
+        put(raw["interactions"], f"day{day}", [interaction("u", f"b{day}", "")])
+
+    deliver(1)
+    assert jobs.loaded_until(lake) is None
+    assert jobs.run_day(lake, at(DAY1))["dim_books"] == {"rows": 1, "current": 1}
+    assert jobs.loaded_until(lake) == at(DAY1)
+
+    deliver(2)
+    with monkeypatch.context() as patch:  # the second day breaks off after the books
+        patch.setattr(jobs, "load_reviews", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            jobs.run_day(lake, at(DAY2))
+    assert jobs.loaded_until(lake) == at(DAY1)
+
+    deliver(3)
+    report = jobs.run_day(lake, at(DAY3))
+    assert report["reviews"] == {"rows": 2}
+    assert report["audiobook_priority"] == {"rows": 4, "current": 3}
+    assert values(lake.read("staging", "reviews"), "review_id") == [("r2",), ("r3",)]
+    assert values(lake.read("silver", "reviews"), "review_id") == [("r1",), ("r2",), ("r3",)]
+    assert jobs.loaded_until(lake) == at(DAY3)
+
+
 @pytest.mark.parametrize("threshold", ["10m", "-1"])
 def test_interactions_by_month_match_the_whole_merge(spark, tmp_path, threshold):
     """Rewriting only the months that change gives what merging the whole table gives."""
