@@ -43,6 +43,31 @@ WITH d AS (
   SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM c
 )
 SELECT *, NOT base_failed AND 100 * n_lost_words <= 50 * n_words AS kept FROM b
+""",
+    "op3_ngram_join": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i+4], ' ') AS g
+  FROM d, unnest(range(1, greatest(len(w) - 3, 2))) AS t(i) WHERE len(w) > 0
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), c AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), e AS (
+  SELECT x, y FROM c JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y
+  WHERE 100 * k >= 80 * (p.n + q.n - k)
+), r AS (
+  SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x
+), m AS (
+  SELECT x, min(y) AS component_id FROM r GROUP BY x
+)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN m ON m.x = d.doc_id
 """,
     "op8_exact_dedup": """
 SELECT doc_id,

@@ -133,9 +133,25 @@ def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     do not arise: each row is judged alone. Other columns of the input are ignored; an empty table
     gives an empty result.
     """
+    return _judged(id_and_text(df, id_col, text_col), F.col("text")).drop("text")
+
+
+def cleaned(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of `df` that are kept, with its columns, the text without the lines that fail."""
+    rows = df.select(F.struct("*").alias("row"))
+    text = F.col("row")[text_col].cast("string")
+    kept = _judged(rows, text).where("kept")
+    return kept.select(
+        *[
+            (F.col("clean_text") if c == text_col else F.col("row")[c]).alias(c)
+            for c in df.columns
+        ]
+    )
+
+
+def _judged(rows: DataFrame, text: Column) -> DataFrame:
     return (
-        id_and_text(df, id_col, text_col)
-        .select("doc_id", *columns(F.coalesce(F.col("text"), F.lit(""))))
+        rows.select("*", *columns(F.coalesce(text, F.lit(""))))
         .withColumn(
             "base_failed",
             (F.col("n_words") < MIN_WORDS)

@@ -8,8 +8,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marlstone.llm import exact_dedup as dedup
 from marlstone.llm.common import find_package, table
+from marlstone.llm.html_extraction import extract_main_text
+from marlstone.llm.ngram_join import near_duplicates
+from marlstone.llm.packing import pack
+from marlstone.llm.quality_classifier import classify
 from marlstone.llm.quality_rules import quality_rules
 from marlstone.llm.secrets import KINDS, secret_scan
+from marlstone.llm.sentencepiece_codec import encode_decode
+from marlstone.llm.token_counts import token_counts
+from marlstone.llm.token_files import read_token_files, token_file_folder, write_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -58,6 +65,51 @@ def op2_secret_scans(spark, sf_dir):
     )
 
 
+@query
+def op3_ngram_join(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_html_extraction(spark, sf_dir):
+    found = extract_main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op5_quality_classifier(spark, sf_dir):
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_packing(spark, sf_dir):
+    return pack(table(spark, sf_dir, "documents")).drop("ids")
+
+
+@query
+def op7_sentencepiece(spark, sf_dir):
+    return encode_decode(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op8_exact_dedup(spark, sf_dir):
     return dedup.exact_dedup(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_token_files(spark, sf_dir):
+    folder = token_file_folder(spark)
+    write_token_files(table(spark, sf_dir, "documents"), folder)
+    return read_token_files(spark, folder).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
+@query
+def op10_token_counts(spark, sf_dir):
+    return token_counts(table(spark, sf_dir, "documents"))
