@@ -1,0 +1,162 @@
+import base64
+import json
+import random
+import re
+
+import pytest
+
+from marlstone.llm import secrets
+from tests.llm.conftest import EDGE_TEXTS, by_row
+
+
+def der(tag, body):
+    size = len(body)
+    if size < 128:
+        return bytes([tag, size]) + body
+    width = (size.bit_length() + 7) // 8
+    return bytes([tag, 0x80 | width]) + size.to_bytes(width) + body
+
+
+def integer(value):
+    return der(2, value.to_bytes(value.bit_length() // 8 + 1))
+
+
+def rsa_key(seed=1):
+    pick = random.Random(seed)
+    numbers = [0, *(pick.getrandbits(b) | 1 << (b - 1) for b in (512, 17, 510, 256, 256, 250, 251, 252))]
+    return der(0x30, b"".join(map(integer, numbers)))
+
+
+def pkcs8(inner):
+    algorithm = der(0x30, der(6, secrets.KEY_OIDS[0]) + der(5, b""))
+    return der(0x30, integer(0) + algorithm + der(4, inner))
+
+
+def signed(header):
+    parts = [json.dumps(x).encode() for x in (header, {"sub": "me", "n": 1})]
+    return ".".join(
+        base64.urlsafe_b64encode(x).decode().rstrip("=") for x in [*parts, b"signature" * 3]
+    )
+
+
+def openssh():
+    field = lambda x: len(x).to_bytes(4) + x
+    body = field(b"none") + field(b"none") + field(b"") + (1).to_bytes(4)
+    return secrets.OPENSSH + body + field(b"p" * 51) + field(b"s" * 144)
+
+
+def kinds(text):
+    return [k for k, _, _ in secrets.secret_spans(text)]
+
+
+@pytest.mark.parametrize("data", [rsa_key(), pkcs8(rsa_key(2)), openssh()])
+def test_keys_are_confirmed_in_base64_and_hex(data):
+    kind = "openssh_key" if data.startswith(secrets.OPENSSH) else "der_key"
+    plain = base64.b64encode(data).decode()
+    text = f"é key {plain} end"
+    assert (kind, 6, 6 + len(plain)) in secrets.secret_spans(text)
+    assert kind in kinds(f"key {data.hex()} end") and kind in kinds(f"key {data.hex().upper()} end")
+
+
+def test_a_wrong_length_is_no_key():
+    data = bytearray(rsa_key())
+    assert "der_key" not in kinds(base64.b64encode(bytes(data[:-1])).decode())
+    data[3] ^= 1
+    assert "der_key" not in kinds(base64.b64encode(bytes(data)).decode())
+    assert kinds(base64.b64encode(random.Random(3).randbytes(300)).decode()) == []
+
+
+def test_pem_needs_structure():
+    body = "\n".join(re.findall(".{1,64}", base64.b64encode(pkcs8(rsa_key())).decode()))
+    block = f"-----BEGIN PRIVATE KEY-----\n{body}\n-----END PRIVATE KEY-----"
+    assert ("pem_key", 2, 2 + len(block)) in secrets.secret_spans(f"a {block} b")
+    assert "pem_key" not in kinds(block.replace(body, "not a key at all"))
+
+
+def test_signed_tokens_name_their_algorithm():
+    token = signed({"alg": "HS256", "typ": "JWT"})
+    assert ("signed_token", 1, 1 + len(token)) in secrets.secret_spans(f"({token})")
+    assert "signed_token" not in kinds(signed({"typ": "JWT"}))
+    assert "signed_token" not in kinds("eyJabc.eyJdef.xyz")
+
+
+def test_base_kinds():
+    text = (
+        'Token: "abcdefghijkl" password=short API_KEY = abc/def+ghi=jkl. '
+        "AKIA0123456789ABCD AKIASHORT 0123456789abcdef 0123456789abcde"
+    )
+    spans = secrets.secret_spans(text)
+    assert [(k, text[a:b]) for k, a, b in spans] == [
+        ("assign", 'Token: "abcdefghijkl'), ("assign", "API_KEY = abc/def+ghi=jkl."),
+        ("access", "AKIA0123456789ABCD"), ("hex", "0123456789abcdef"),
+    ]
+
+
+def test_only_ascii_letters_match_in_either_case():
+    assert kinds("pa\u017fsword=abcdefghijklmnop to\u212aen=abcdefghijklmnop") == []
+
+
+def test_a_dropped_match_is_used_up():
+    assert kinds("token=password : abcdefghijklmnop") == []
+
+
+def brute(text):
+    """The base kinds straight from their definition."""
+    text = text or ""
+    found = []
+    pattern = (
+        r"([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|"
+        r"[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])[\"']?\x20*[:=]\x20*[\"']?"
+        r"([A-Za-z0-9+/_.=-]+)"
+    )
+    for kind, expression, group, least in (
+        ("assign", pattern, 2, 12), ("access", r"AKIA[A-Z0-9]+", 0, 18), ("hex", r"[0-9a-f]+", 0, 16)
+    ):
+        found += [
+            (kind, *m.span()) for m in re.finditer(expression, text) if len(m[group]) >= least
+        ]
+    return sorted(found, key=lambda s: (s[1], ("assign", "access", "hex").index(s[0])))
+
+
+def test_base_matches_brute_force_on_random_text():
+    pick = random.Random(5)
+    bits = ["token", "Secret", "api_key", "apikey", ":", "=", " ", "'", '"', "AKIA", "0123456789",
+            "abcdef", "XYZ9", "é", "\n", "password", "zz"]
+    for _ in range(3000):
+        text = "".join(pick.choices(bits, k=pick.randint(1, 14)))
+        assert [s for s in secrets.secret_spans(text) if s[0] in secrets.KINDS[:3]] == brute(text)
+
+
+def test_scan_edge_cases(edge_docs, no_docs):
+    rows = {r.doc_id: [tuple(s) for s in r.spans] for r in secrets.secret_scan(edge_docs).collect()}
+    for i, text in enumerate(EDGE_TEXTS):
+        assert rows[i] == secrets.secret_spans(text or "")
+    assert secrets.secret_scan(no_docs).count() == 0
+    assert secrets.redacted(no_docs).schema == no_docs.schema
+
+
+def test_redaction_covers_every_span(spark):
+    text = f'a token = "{"ab12" * 10}" b AKIA{"Z" * 20} c'
+    df = spark.createDataFrame([(1, text), (2, None), (3, "clean")], "doc_id bigint, text string")
+    found = dict(by_row(secrets.redacted(df)))
+    assert found == {1: 'a [ASSIGN]" b [ACCESS] c', 2: None, 3: "clean"}
+    assert kinds(found[1]) == []
+
+
+def test_query_digests(spark, tmp_path):
+    import hashlib
+
+    from marlstone.llm.queries import QUERIES
+
+    rows = [(i, t) for i, t in enumerate([*EDGE_TEXTS, f"token={'a1' * 9} AKIA{'Q' * 16}"])]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(
+        str(tmp_path / "documents.parquet")
+    )
+    for row in QUERIES["op2_secret_scans"](spark, str(tmp_path)).collect():
+        base = brute(rows[row.doc_id][1])
+        told = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
+        assert row.base_sha256 == hashlib.sha256(told.encode()).hexdigest()
+        count = [sum(k == kind for k, _, _ in base) for kind in secrets.KINDS[:3]]
+        assert [row.n_assign, row.n_access, row.n_hex] == count
+        spans = secrets.secret_spans(rows[row.doc_id][1] or "")
+        assert row.spans == ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
