@@ -15,9 +15,9 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
-from marlstone.llm.common import id_and_text
+from marlstone.llm.common import col, id_and_text
 
 # Fixed values. Kinds in the order that breaks ties between spans with one start.
 KINDS = ("assign", "access", "hex", "signed_token", "pem_key", "der_key", "openssh_key")
@@ -225,17 +225,20 @@ def redacted(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     Overlapping spans are one stretch, named after its first span. Null texts stay null.
     """
-    place = df.columns.index(text_col)
+    rows = df.select(F.struct("*").alias("row"), col(text_col).alias("text"))
 
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(place).to_pylist()
+            texts = batch["text"].to_pylist()
             texts = [t if t is None else redact(t, secret_spans(t)) for t in texts]
-            columns = list(batch.columns)
-            columns[place] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+            yield pa.RecordBatch.from_arrays(
+                [batch["row"], pa.array(texts, pa.string())], names=["row", "text"]
+            )
 
-    return df.mapInArrow(replace, df.schema)
+    done = rows.mapInArrow(replace, rows.schema)
+    return done.select(
+        *[(F.col("text") if c == text_col else F.col("row")[c]).alias(c) for c in df.columns]
+    )
 
 
 def redact(text: str, spans: list[Span]) -> str:

@@ -132,7 +132,8 @@ def test_scan_edge_cases(edge_docs, no_docs):
     for i, text in enumerate(EDGE_TEXTS):
         assert rows[i] == secrets.secret_spans(text or "")
     assert secrets.secret_scan(no_docs).count() == 0
-    assert secrets.redacted(no_docs).schema == no_docs.schema
+    assert secrets.redacted(no_docs).schema.simpleString() == no_docs.schema.simpleString()
+    assert secrets.redacted(edge_docs).count() == edge_docs.count()
 
 
 def test_redaction_covers_every_span(spark):
