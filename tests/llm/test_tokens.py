@@ -88,7 +88,7 @@ def expected_files(bpe, rows):
 
 
 def test_token_files_query(spark, bpe, tmp_path):
-    rows = [(i * 7 % 301, t) for i, t in enumerate((EDGE_TEXTS + scrappy(250, 3))[:260])]
+    rows = [(i * 8 % 301, t) for i, t in enumerate((EDGE_TEXTS + scrappy(250, 3))[:260])]
     rows.append((None, "no id"))
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
     df.write.parquet(str(tmp_path / "documents.parquet"))
