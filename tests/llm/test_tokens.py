@@ -149,7 +149,7 @@ def test_plan_places_every_length_once():
     assert placed == histogram
     assert max(room.values()) <= 64 and sorted(room) == list(range(len(room)))
     waste = 64 * len(room) - sum(room.values())
-    assert waste < 64 * 2
+    assert waste < 0.03 * 64 * len(room)
 
 
 def check_packing(bpe, rows, pieces, window=2048):
