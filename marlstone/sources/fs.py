@@ -40,17 +40,24 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = False) -> None:
-    """Write a small file whole: under a hidden name first, then renamed into place."""
+    """Write a small file whole: under a hidden name first, then renamed into place.
+
+    With `overwrite` the rename itself replaces the file, so one of both is always there.
+    """
     fs, target = _resolve(spark, path)
-    if overwrite:
-        fs.delete(target, False)
-    elif fs.exists(target):
+    if not overwrite and fs.exists(target):
         raise FileExistsError(path)
-    part = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{target.getName()}.part")
+    jvm = spark._jvm.org.apache.hadoop.fs
+    part = jvm.Path(target.getParent(), f"_{target.getName()}.part")
     out = fs.create(part, True)
     out.write(bytearray(text, "utf-8"))
     out.close()
-    if not fs.rename(part, target):
+    if overwrite:
+        context = jvm.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+        options = spark.sparkContext._gateway.new_array(jvm.Options.Rename, 1)
+        options[0] = getattr(jvm, "Options$Rename").OVERWRITE
+        context.rename(fs.makeQualified(part), fs.makeQualified(target), options)
+    elif not fs.rename(part, target):
         raise OSError(f"could not put {path} in place")
 
 

@@ -82,7 +82,7 @@ def write_parts(
     """`part` names each row's part; few names in all, as each is a folder.
 
     With `balance` rows are first brought together by part, large parts over several tasks, or
-    every task would leave a small file in every part. Not needed where tasks hold few parts.
+    every task would leave a small file in every part.
     """
     return _publish(df, root, operation, part, replaced, balance=balance, **options)
 

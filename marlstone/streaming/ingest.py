@@ -1,7 +1,9 @@
 """JSON files into append-only bronze tables, each file once.
 
 Each stream drains what is there and stops. The checkpoint remembers the files taken, so a
-run after a lost driver or executor carries on where the last committed batch ended.
+run after a lost driver or executor carries on where the last committed batch ended. A batch has a
+folder of its own, which a batch that is run again writes anew, and in it one per load date, so a
+reader that wants new rows opens new files alone.
 """
 
 from __future__ import annotations
@@ -10,16 +12,17 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.errors import PySparkException, StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructType
 
-from marlstone.sources import store
-from marlstone.sources.schema import infer_or_load_schema
+from marlstone.sources import fs, store
+from marlstone.sources.schema import infer_lines, keep_schema, learn, load_schema, outside, widen
 
 LOADED_AT = "_ingestion_timestamp"
 SOURCE_FILE = "_source_file"
 RESCUED_LINE = "_rescued_line"
+LOAD_DATE = "load_date"
 
 
 @dataclass(frozen=True)
@@ -27,11 +30,12 @@ class Feed:
     """One folder (or glob) of newline-delimited JSON and the table it feeds.
 
     `max_files` or `max_bytes` bounds a batch, so that a first run over a large
-    folder commits as it goes. `infer_files` bounds the files opened to find the schema.
+    folder commits as it goes.
 
-    A line that does not parse, or with `rescue` holds a field outside the schema, is kept as it
-    was in `_rescued_line`. `spread` hands lines round over that many tasks before they are
-    parsed: worth it for compressed files, which one task each has to read from end to end.
+    Without a declared `schema` each batch adds the fields it brings. A line that does not parse,
+    or holds a value in a field outside a declared schema, at any depth, is kept as it was in
+    `_rescued_line`. `spread` hands lines round over that many tasks before they are parsed: worth
+    it for compressed files, which one task each has to read from end to end.
     """
 
     name: str
@@ -41,9 +45,15 @@ class Feed:
     schema: StructType | None = None
     max_files: int | None = None
     max_bytes: int | None = None
-    infer_files: int | None = None
     spread: int | None = None
-    rescue: bool = True
+
+
+@dataclass
+class Landed:
+    """What a run has written."""
+
+    rows: int = 0
+    batches: int = 0
 
 
 def with_audit(df: DataFrame, now: dt.datetime | None = None) -> DataFrame:
@@ -56,39 +66,75 @@ def with_audit(df: DataFrame, now: dt.datetime | None = None) -> DataFrame:
     )
 
 
-def feed_schema(spark: SparkSession, feed: Feed, evolve: bool = True) -> StructType:
-    """The fields of a feed: declared, or inferred and kept beside the checkpoint."""
-    return feed.schema or infer_or_load_schema(
-        spark, feed.src, f"{feed.checkpoint}/schema/schema.json", evolve, feed.infer_files
-    )
+def schema_path(feed: Feed) -> str:
+    return f"{feed.checkpoint}/schema/schema.json"
 
 
-def parse_lines(lines: DataFrame, schema: StructType, rescue: bool = True) -> DataFrame:
-    """Text lines (`value`) to the columns of `schema` and `_rescued_line`; others pass through."""
+def feed_schema(spark: SparkSession, feed: Feed) -> StructType:
+    """The fields of a feed: declared, or those its batches have brought so far."""
+    if feed.schema:
+        return feed.schema
+    kept = load_schema(spark, schema_path(feed))
+    return kept[1] if kept else StructType([])
+
+
+def parse_lines(
+    lines: DataFrame, schema: StructType, wide: StructType | None = None
+) -> DataFrame:
+    """Text lines (`value`) to the columns of `schema` and `_rescued_line`; others pass through.
+
+    `wide` has the fields the lines may hold beyond `schema`; a line with a value in one of
+    them is rescued.
+    """
+    wide = wide or schema
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RESCUED_LINE}
-    fields = StructType(list(schema.fields)).add(RESCUED_LINE, StringType())
-    parsed = F.from_json("value", fields, options)
-    kept = F.col("_row")[RESCUED_LINE]
-    if rescue:
-        known = F.array(*[F.lit(name) for name in schema.fieldNames()])
-        strange = F.size(F.array_except(F.json_object_keys("value"), known)) > 0
+    fields = StructType(list(wide.fields)).add(RESCUED_LINE, StringType())
+    kept: Column = F.col("_row")[RESCUED_LINE]
+    strange = outside(F.col("_row"), schema, wide)
+    if strange is not None:
         kept = F.coalesce(kept, F.when(strange, F.col("value")))
+    trimmed = StructType(list(schema.fields))
     others = [c for c in lines.columns if c != "value"]
     return (
         lines.filter(F.trim("value") != "")
-        .withColumn("_row", parsed)
+        .withColumn("_row", F.from_json("value", fields, options))
+        .withColumn("_known", F.from_json("value", trimmed, {"mode": "PERMISSIVE"})
+                    if strange is not None else F.col("_row"))
         .select(
-            *[F.col("_row")[name].alias(name) for name in schema.fieldNames()],
+            *[F.col("_known")[name].alias(name) for name in schema.fieldNames()],
             kept.alias(RESCUED_LINE),
             *others,
         )
     )
 
 
+def land(feed: Feed, lines: DataFrame, batch: int, landed: Landed) -> None:
+    """Write one batch into its own folder, in place of what an earlier try left there."""
+    spark = lines.sparkSession
+    texts = lines.filter(F.trim("value") != "")
+    seen = infer_lines(texts)
+    if feed.schema:
+        rows = parse_lines(lines, feed.schema, widen(feed.schema, seen))
+    else:
+        typed, whole = load_schema(spark, schema_path(feed)) or (StructType([]), StructType([]))
+        typed, found = learn(typed, seen, texts)
+        keep_schema(spark, schema_path(feed), typed, widen(found, whole))
+        # Fields without a value so far are not written: their type is still open.
+        rows = parse_lines(lines, typed)
+    count = Observation()
+    rows = rows.withColumn(LOAD_DATE, F.to_date(LOADED_AT)).observe(
+        count, F.count(F.lit(1)).alias("rows")
+    )
+    folder = f"{feed.out}/batch={batch}"
+    rows.write.mode("overwrite").partitionBy(LOAD_DATE).parquet(folder)
+    landed.rows += int(count.get["rows"])
+    landed.batches += 1
+
+
 def start_ingest(
-    spark: SparkSession, feed: Feed, now: dt.datetime | None = None
+    spark: SparkSession, feed: Feed, now: dt.datetime | None = None, landed: Landed | None = None
 ) -> StreamingQuery:
-    schema = feed_schema(spark, feed)
+    landed = landed or Landed()
     reader = (
         spark.readStream.format("text")
         .option("recursiveFileLookup", True)
@@ -99,25 +145,17 @@ def start_ingest(
         reader = reader.option("maxFilesPerTrigger", feed.max_files)
     if feed.max_bytes:
         reader = reader.option("maxBytesPerTrigger", feed.max_bytes)
+    now = now or dt.datetime.now(dt.timezone.utc)
     lines = with_audit(reader.load(feed.src), now)
     if feed.spread:
         lines = lines.repartition(feed.spread)
-    rows = parse_lines(lines, schema, feed.rescue)
-    # Progress is kept per batch; the default of 100 would cut long catch-up runs short.
-    retention = "spark.sql.streaming.numRecentProgressUpdates"
-    before = spark.conf.get(retention)
-    spark.conf.set(retention, "100000")
-    try:
-        return (
-            rows.writeStream.format("parquet")
-            .option("checkpointLocation", feed.checkpoint)
-            .outputMode("append")
-            .trigger(availableNow=True)
-            .queryName(f"{feed.name} into {feed.out}")
-            .start(feed.out)
-        )
-    finally:
-        spark.conf.set(retention, before)
+    return (
+        lines.writeStream.foreachBatch(lambda rows, batch: land(feed, rows, batch, landed))
+        .option("checkpointLocation", feed.checkpoint)
+        .trigger(availableNow=True)
+        .queryName(f"{feed.name} into {feed.out}")
+        .start()
+    )
 
 
 def ingest_all(
@@ -125,28 +163,29 @@ def ingest_all(
 ) -> DataFrame:
     """Drain all feeds side by side; report rows and batches of each, and log those that grew.
 
-    A feed that fails is raised once the others are through.
+    Feeds that fail are raised once the others are through, all of them.
     """
     started, report, failed = [], [], []
     for feed in feeds:
+        landed = Landed()
         try:
-            started.append((feed, start_ingest(spark, feed, now)))
+            started.append((feed, landed, start_ingest(spark, feed, now, landed)))
         except PySparkException as error:
             failed.append(error)
-    for feed, query in started:
+    for feed, landed, query in started:
         try:
             query.awaitTermination()
         except StreamingQueryException as error:
             failed.append(error)
-        progress = [p for p in query.recentProgress if p["numInputRows"]]
-        rows, batches = sum(p["numInputRows"] for p in progress), len(progress)
-        report.append((feed.name, rows, batches))
-        if rows:
+        report.append((feed.name, landed.rows, landed.batches))
+        if landed.rows:
             root = feed_log(feed)
-            metrics = {"rows": rows, "batches": batches}
+            metrics = {"rows": landed.rows, "batches": landed.batches}
             run_id = store.next_run(spark, root)
-            schema = feed_schema(spark, feed, evolve=False)
+            schema = feed_schema(spark, feed)
             store.log_run(spark, root, run_id, "STREAMING UPDATE", metrics, schema, {}, now)
+    if len(failed) > 1:
+        raise ExceptionGroup("several feeds failed", failed)
     if failed:
         raise failed[0]
     return spark.createDataFrame(report, "feed string, rows long, batches long")
@@ -169,12 +208,26 @@ def ingest_json(
     return ingest_all(spark, [Feed(name, src, out, checkpoint, schema)], now)
 
 
-def read_bronze(spark: SparkSession, feed: Feed) -> DataFrame:
-    """The bronze table; fields the source gained later are NULL in older rows.
+def read_bronze(
+    spark: SparkSession, feed: Feed, since: dt.datetime | None = None
+) -> DataFrame:
+    """The bronze table, or of it the rows loaded after `since`, from the files of those days.
 
-    The kept schema spares a look into every file's footer.
+    Fields the source gained later are NULL in older rows. The kept schema spares a look into
+    every file's footer.
     """
-    schema = StructType(list(feed_schema(spark, feed, evolve=False).fields))
-    for name, kind in ((RESCUED_LINE, "string"), (LOADED_AT, "timestamp"), (SOURCE_FILE, "string")):
+    schema = StructType(list(feed_schema(spark, feed).fields))
+    for name, kind in (
+        (RESCUED_LINE, "string"), (LOADED_AT, "timestamp"), (SOURCE_FILE, "string"),
+        ("batch", "long"), (LOAD_DATE, "date"),
+    ):
         schema = schema.add(name, kind)
-    return spark.read.schema(schema).parquet(feed.out)
+    if not fs.exists(spark, feed.out):
+        rows = spark.createDataFrame([], schema)
+    else:
+        rows = spark.read.schema(schema).parquet(feed.out)
+    if since is not None:
+        # The date is a folder's name; a session's time zone may move it by a day.
+        first = F.lit((since - dt.timedelta(days=1)).date())
+        rows = rows.filter((F.col(LOAD_DATE) >= first) & (F.col(LOADED_AT) > F.lit(since)))
+    return rows.drop("batch", LOAD_DATE)

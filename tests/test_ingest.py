@@ -1,15 +1,25 @@
+import datetime as dt
 import gzip
 import json
 import os
 import time
 
 import pytest
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 from marlstone.sources import fs, store
 from marlstone.sources.schema import infer_or_load_schema, widen
-from marlstone.streaming.ingest import Feed, feed_log, ingest_all, ingest_json, read_bronze
-from tests.conftest import NOW, values
+from marlstone.streaming.ingest import (
+    Feed,
+    Landed,
+    feed_log,
+    ingest_all,
+    ingest_json,
+    land,
+    read_bronze,
+    with_audit,
+)
+from tests.conftest import NOW, plan_of, values
 
 
 def drop(folder, name, *lines):
@@ -75,19 +85,84 @@ def test_batches_bounded_by_bytes(spark, feed):
     assert report.rows == 4 and report.batches > 1
 
 
-def test_schema_from_the_first_files_rescues_the_rest(spark, feed):
-    drop(feed.src, "a.json", {"id": "1"})
-    drop(feed.src, "b.json", {"id": "2", "late": True})
-    os.utime(f"{feed.src}/a.json", (1000000000, 1000000000))
-    quick = Feed("books", feed.src, feed.out, feed.checkpoint, infer_files=1)
-    ingest_all(spark, [quick])
-    rows = read_bronze(spark, quick)
-    assert "late" not in rows.columns
-    assert values(rows, "id", "_rescued_line") == [("1", None), ("2", '{"id": "2", "late": true}')]
-    os.remove(f"{feed.src}/a.json")
-    drop(feed.src, "c.json", {"id": "3", "late": False})
-    ingest_all(spark, [quick])  # the next look opens a newer file and finds the field
-    assert values(read_bronze(spark, quick), "id", "late") == [("1", None), ("2", None), ("3", False)]
+def test_every_file_is_looked_at_whatever_its_date(spark, feed):
+    drop(feed.src, "a.json", {"id": 1, "s": {"x": 1}})
+    drop(feed.src, "b.json", {"id": 2, "z": "only here"})
+    drop(feed.src, "c.json", {"id": 4, "s": {"x": 9, "nested": 8}})
+    ingest_all(spark, [feed])
+    drop(feed.src, "old.json", {"id": 5, "s": {"x": 3, "more": {"deep": 7}}})
+    os.utime(f"{feed.src}/old.json", (1000000000, 1000000000))
+    ingest_all(spark, [feed])
+    rows = read_bronze(spark, feed)
+    found = values(rows, "id", "z", "s.nested", "s.more.deep", "_rescued_line")
+    assert found == sorted(
+        [(1, None, None, None, None), (2, "only here", None, None, None),
+         (4, None, 8, None, None), (5, None, None, 7, None)], key=repr,
+    )
+
+
+def test_fields_outside_a_declared_schema_are_rescued_at_any_depth(spark, feed):
+    inner = StructType().add("x", "long")
+    declared = StructType().add("id", "long").add("s", inner).add("a", ArrayType(inner))
+    strict = Feed(feed.name, feed.src, feed.out, feed.checkpoint, schema=declared)
+    odd = [
+        '{"id":2,"s":{"x":1,"y":2}}', '{"id":3,"a":[{"x":1},{"x":2,"y":{"z":[1]}}]}',
+        '{"id":4,"other":{"k":1}}',
+    ]
+    plain = ['{"id":1,"s":{"x":1},"a":[]}', '{"id":5,"s":{"x":1,"y":null},"other":null}']
+    drop(feed.src, "a.json", *odd, *plain)
+    ingest_all(spark, [strict])
+    rows = read_bronze(spark, strict)
+    assert values(rows, "id", "_rescued_line") == sorted(
+        [(2, odd[0]), (3, odd[1]), (4, odd[2]), (1, None), (5, None)], key=repr
+    )
+    assert values(rows, "id", "s.x", "a.x")[1] == (2, 1, None)
+
+
+def test_an_empty_list_fixes_no_type(spark, feed):
+    drop(feed.src, "a.json", {"id": 1, "who": [], "none": None})
+    ingest_all(spark, [feed])
+    rows = read_bronze(spark, feed)
+    assert dict(rows.dtypes)["who"] == "array<string>" and dict(rows.dtypes)["none"] == "string"
+    drop(feed.src, "b.json", {"id": 2, "who": [{"name": "x"}], "none": 5})
+    ingest_all(spark, [feed])
+    rows = read_bronze(spark, feed)
+    assert values(rows, "id", "who.name", "none") == [(1, None, None), (2, ["x"], 5)]
+    drop(feed.src, "c.json", {"id": 3, "who": [], "none": None})
+    ingest_all(spark, [feed])
+    assert values(read_bronze(spark, feed), "id", "none") == [(1, None), (2, 5), (3, None)]
+
+
+def test_new_rows_come_from_the_files_of_their_days(spark, feed):
+    for day in range(4):
+        drop(feed.src, f"{day}.json", {"id": day})
+        ingest_all(spark, [feed], NOW + dt.timedelta(days=day))
+    fresh = read_bronze(spark, feed, NOW + dt.timedelta(days=2))
+    assert values(fresh, "id") == [(3,)]
+    assert len(fresh.inputFiles()) == 4  # before partitions are pruned
+    assert "PartitionFilters: [isnotnull(load_date" in plan_of(fresh)
+
+
+def test_a_batch_run_again_replaces_itself(spark, feed):
+    drop(feed.src, "a.json", {"id": 1}, {"id": 2})
+    lines = with_audit(spark.read.text(feed.src), NOW)
+    for _ in range(2):
+        landed = Landed()
+        land(feed, lines, 0, landed)
+    assert (landed.rows, landed.batches) == (2, 1)
+    assert values(read_bronze(spark, feed), "id") == [(1,), (2,)]
+
+
+def test_all_failures_are_raised(spark, tmp_path):
+    feeds = [
+        Feed(n, f"{tmp_path}/{n}", f"{tmp_path}/out/{n}", f"{tmp_path}/cp/{n}", max_files=-1)
+        for n in ("one", "two")
+    ]
+    for feed in feeds:
+        drop(feed.src, "a.json", {"id": 1})
+    with pytest.raises(ExceptionGroup) as caught:
+        ingest_all(spark, feeds)
+    assert len(caught.value.exceptions) == 2
 
 
 def test_a_failing_feed_does_not_stop_the_others(spark, tmp_path):
@@ -143,14 +218,6 @@ def test_schema_is_kept_and_widened(spark, tmp_path):
     assert json.loads(fs.read_text(spark, kept))["schema"] == second.jsonValue()
 
 
-def test_schema_without_newer_files_stays(spark, tmp_path):
-    src, kept = f"{tmp_path}/raw", f"{tmp_path}/schema.json"
-    drop(src, "a.json", {"id": 1})
-    os.utime(f"{src}/a.json", (1000000000, 1000000000))
-    first = infer_or_load_schema(spark, src, kept)
-    assert infer_or_load_schema(spark, src, kept) == first
-
-
 def test_widen_keeps_known_types():
     left = StructType().add("a", "long").add("s", StructType().add("x", "string"))
     right = StructType().add("a", "string").add("s", StructType().add("y", "long")).add("b", "string")
