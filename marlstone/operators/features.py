@@ -64,22 +64,17 @@ def label_columns(
 
 
 def joined_list(
-    df: DataFrame, key: str, value: str, alias: str, separator: str = ", ", lead: int = 1
+    df: DataFrame, key: str, value: str, alias: str, separator: str = ", "
 ) -> DataFrame:
     """Values per key as one sorted text; keys without a value drop out.
 
-    A key's values are first sorted and joined by their `lead` first characters, so that a key
-    with very many is worked on by several tasks; in text order those pieces follow one
-    another. What meets in one row at last is one text per piece, for the cell that is the
-    result. A longer lead splits further but costs keys with few values more.
+    The list is the cell of one row, so one aggregate gathers and sorts it.
     """
-    pieces = (
+    return (
         df.filter(F.col(value).isNotNull())
-        .groupBy(key, F.substring(value, 1, lead).alias("_lead"))
-        .agg(F.concat_ws(separator, F.array_sort(F.collect_list(value))).alias("_text"))
+        .groupBy(key)
+        .agg(F.concat_ws(separator, F.array_sort(F.collect_list(value))).alias(alias))
     )
-    ordered = F.array_sort(F.collect_list(F.struct("_lead", "_text")))
-    return pieces.groupBy(key).agg(F.concat_ws(separator, ordered["_text"]).alias(alias))
 
 
 def author_list(

@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from marlstone import fixed_values as fixed
 from marlstone.operators.rows import current_rows
-from marlstone.session import plan_bytes
 
 
 def changed(pairs: Sequence[tuple[Column, Column]], nulls: str = "sql") -> Column:
@@ -33,21 +32,6 @@ def changed(pairs: Sequence[tuple[Column, Column]], nulls: str = "sql") -> Colum
     return F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False))
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the estimate is under the session's broadcast limit."""
-    conf = df.sparkSession._jsparkSession.sessionState().conf()
-    return plan_bytes(df) <= conf.autoBroadcastJoinThreshold()
-
-
-def meets_in_place(target: DataFrame, source: DataFrame) -> bool:
-    """Whether to broadcast the source to the target rather than shuffle both.
-
-    The target is then read a second time, for its keys, so the source has to be small beside
-    it as well as under the limit.
-    """
-    return fits_broadcast(source) and 4 * plan_bytes(source) <= plan_bytes(target)
-
-
 def align(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both with the columns of `left`, then those only `right` has; NULL where one lacks them."""
     types = {f.name: f.dataType for f in [*right.schema.fields, *left.schema.fields]}
@@ -146,30 +130,18 @@ def scd2_apply(
     return history.unionByName(delta, allowMissingColumns=True)
 
 
-def new_rows(
-    target: DataFrame | None, source: DataFrame, keys: Sequence[str], small: bool | None = None
-) -> DataFrame:
-    """Source rows whose key the target lacks.
-
-    Normally both sides are shuffled on the key, the target only with its key columns. A
-    source small enough to broadcast first finds the keys already there, so that the target
-    is read in place and never shuffled. `small` overrides the size check.
-    """
+def new_rows(target: DataFrame | None, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Source rows whose key the target lacks. Of the target only the key columns are read."""
     if target is None:
         return source
-    seen = target.select(*keys)
-    if meets_in_place(target, source) if small is None else small:
-        seen = seen.join(source.select(*keys), list(keys), "left_semi")
-    return source.join(seen, list(keys), "left_anti")
+    return source.join(target.select(*keys), list(keys), "left_anti")
 
 
-def append_new(
-    target: DataFrame | None, source: DataFrame, keys: Sequence[str], small: bool | None = None
-) -> DataFrame:
+def append_new(target: DataFrame | None, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The target plus the source rows whose key it lacks; rows already there never change."""
     if target is None:
         return source
-    return target.unionByName(new_rows(target, source, keys, small), allowMissingColumns=True)
+    return target.unionByName(new_rows(target, source, keys), allowMissingColumns=True)
 
 
 def replace_keys(
@@ -192,13 +164,10 @@ def merge_newest(
     keys: Sequence[str],
     ts: str,
     update_cols: Sequence[str],
-    small: bool | None = None,
 ) -> DataFrame:
     """Newest wins: a matched row takes `update_cols` from the source when that is newer by
     `ts` or the target has no `ts`; its other columns stay. Unmatched source rows come in whole.
-
-    One full join in general. A source small enough to broadcast is joined to the target in
-    place, which then is read but not shuffled, and only the source is matched for inserts.
+    One full join.
     """
     if target is None:
         return source
@@ -206,20 +175,14 @@ def merge_newest(
     old, new = F.col("old"), F.col("new")
     newer = new.isNotNull() & (old[ts].isNull() | F.coalesce(new[ts] > old[ts], F.lit(False)))
 
-    def merged(pairs: DataFrame) -> DataFrame:
-        columns = []
-        for name in stored.columns:
-            if name in keys:
-                columns.append(F.col(name))
-            else:
-                takes = old.isNull() | newer if name in update_cols else old.isNull()
-                columns.append(F.when(takes, new[name]).otherwise(old[name]).alias(name))
-        return pairs.select(*columns)
-
-    if meets_in_place(target, source) if small is None else small:
-        updated = merged(paired(stored, fresh, keys, "left"))
-        return updated.unionByName(new_rows(stored, fresh, keys, small=True))
-    return merged(paired(stored, fresh, keys, "full"))
+    columns = []
+    for name in stored.columns:
+        if name in keys:
+            columns.append(F.col(name))
+        else:
+            takes = old.isNull() | newer if name in update_cols else old.isNull()
+            columns.append(F.when(takes, new[name]).otherwise(old[name]).alias(name))
+    return paired(stored, fresh, keys, "full").select(*columns)
 
 
 def merge_matches(
@@ -236,6 +199,14 @@ def merge_matches(
     return stored.join(fresh, list(keys)).select(*keys, "part", newer.alias("newer"))
 
 
+def _given_up(start: str, as_of: dt.date, same_day: str) -> Column:
+    """Which current rows the new snapshot replaces instead of closing."""
+    if same_day not in ("replace", "close"):
+        raise ValueError(f"same_day must be 'replace' or 'close', not {same_day!r}")
+    same = F.col(start).eqNullSafe(F.lit(as_of))
+    return same if same_day == "replace" else F.lit(False)
+
+
 def supersede_delta(
     current: DataFrame | None,
     snapshot: DataFrame,
@@ -243,12 +214,18 @@ def supersede_delta(
     flag: str = "is_current",
     start: str = "valid_from",
     end: str = "valid_to",
+    same_day: str = "replace",
 ) -> DataFrame:
-    """The snapshot as the only current rows, and the former current rows closed."""
+    """The snapshot as the only current rows, and the former current rows closed.
+
+    Rows opened on `as_of` itself are replaced, so a repeated day changes nothing. With
+    same_day="close" they are closed like any others, a day before they opened.
+    """
     opened = versioned(snapshot, as_of, flag, start, end)
     if current is None:
         return opened
-    closed = current.withColumns({flag: F.lit(False), end: _day_before(as_of)})
+    former = current.filter(~_given_up(start, as_of, same_day))
+    closed = former.withColumns({flag: F.lit(False), end: _day_before(as_of)})
     return closed.unionByName(opened, allowMissingColumns=True)
 
 
@@ -259,13 +236,15 @@ def snapshot_supersede(
     flag: str = "is_current",
     start: str = "valid_from",
     end: str = "valid_to",
+    same_day: str = "replace",
 ) -> DataFrame:
     """The whole table after the run, in one pass over the target and without a shuffle."""
     opened = versioned(snapshot, as_of, flag, start, end)
     if target is None:
         return opened
     was_current = F.col(flag).eqNullSafe(True)
-    closed = target.withColumns(
+    kept = target.filter(~(was_current & _given_up(start, as_of, same_day)))
+    closed = kept.withColumns(
         {flag: F.lit(False), end: F.when(was_current, _day_before(as_of)).otherwise(F.col(end))}
     )
     return closed.unionByName(opened, allowMissingColumns=True)

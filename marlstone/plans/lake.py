@@ -18,7 +18,6 @@ from marlstone.operators import manifest as files
 from marlstone.operators.calendar import calendar
 from marlstone.operators.monitor import layer_summary, row_count_delta
 from marlstone.operators.mutations import (
-    meets_in_place,
     merge_matches,
     merge_newest,
     new_rows,
@@ -26,7 +25,7 @@ from marlstone.operators.mutations import (
     scd2_delta,
     supersede_delta,
 )
-from marlstone.operators.rows import expect_no_nulls, loaded_after
+from marlstone.operators.rows import expect_no_nulls
 from marlstone.plans import activity, books, gold
 from marlstone.session import sized_for
 from marlstone.sources import catalog, fs, store
@@ -49,7 +48,7 @@ PRODUCTS = {"audiobook_priority": "business", "book_features": "modelling"}
 class Lake:
     """Where the tables are. `raw` maps an entity to its folder of JSON files.
 
-    `feeds` holds `Feed` settings for ingest, such as `max_bytes` or `infer_files`.
+    `feeds` holds `Feed` settings for ingest, such as `max_bytes` or `spread`.
     """
 
     spark: SparkSession
@@ -64,8 +63,8 @@ class Lake:
         out, checkpoint = self.path("bronze", entity), self.path("checkpoints", entity)
         return Feed(entity, self.raw[entity], out, checkpoint, **self.feeds)
 
-    def bronze(self, entity: str) -> DataFrame:
-        return read_bronze(self.spark, self.feed(entity))
+    def bronze(self, entity: str, since: dt.datetime | None = None) -> DataFrame:
+        return read_bronze(self.spark, self.feed(entity), since)
 
     def read(self, layer: str, name: str, parts: Collection[str] | None = None) -> DataFrame:
         return store.read_table(self.spark, self.path(layer, name), parts=parts)
@@ -99,7 +98,7 @@ def ingest_bronze(lake: Lake, now: dt.datetime | None = None) -> DataFrame:
 
 def _staged(lake: Lake, name: str, build: Callable[[DataFrame], DataFrame], since) -> DataFrame:
     """Write the cleaned snapshot and read it back, so that later steps do not clean again."""
-    raw = loaded_after(lake.bronze(name), LOADED_AT, since)
+    raw = lake.bronze(name, since)
     with sized_for(raw):
         store.replace(build(raw), lake.path("staging", name))
     return lake.read("staging", name)
@@ -125,14 +124,14 @@ def load_books(lake: Lake, as_of: dt.date, now=None, since=None, nulls: str = "s
 
 
 def load_authors(lake: Lake, as_of: dt.date, now=None, since=None, nulls: str = "sql") -> dict:
-    raw = loaded_after(lake.bronze("books"), LOADED_AT, since)
+    raw = lake.bronze("books", since)
     source = books.author_versions(raw).withColumn("_silver_timestamp", stamp(now))
     return _apply_scd2(lake, "dim_authors", source, ["author_id"], fixed.AUTHOR_TRACKED, as_of, nulls)
 
 
 def load_bridge(lake: Lake, now=None, since=None) -> dict:
     """With `since`, pairs delivered after it replace the stored ones; the others are kept."""
-    raw = loaded_after(lake.bronze("books"), LOADED_AT, since)
+    raw = lake.bronze("books", since)
     rows = books.bridge_book_authors(raw)
     stored = lake.stored("bridge_book_authors", since)
     merged = replace_keys(stored, rows, ["book_id", "author_id"])
@@ -150,7 +149,7 @@ def load_shelves(lake: Lake, now=None, since=None, dedupe_books: bool = True) ->
     delivery again when a run is repeated.
     """
     since = since if dedupe_books else None
-    raw = loaded_after(lake.bronze("books"), LOADED_AT, since)
+    raw = lake.bronze("books", since)
     rows = books.dim_shelves(raw, dedupe_books)
     stored = lake.stored("dim_shelves", since)
     arrived = raw.select(F.col("book_id").cast("string").alias("book_id"))
@@ -203,18 +202,15 @@ def load_interactions(lake: Lake, now=None, since=None) -> dict:
     months = [r.part for r in matches.filter("newer").select("part").distinct().collect()]
     unchanged = matches.filter(~F.col("part").isin(months)).select(*keys)
     touched = lake.read("silver", "interactions", parts=months)
-    small = meets_in_place(touched, staged)
     merged = merge_newest(
         touched,
         staged.join(unchanged, keys, "left_anti"),
         keys,
         "date_updated",
         fixed.INTERACTION_UPDATES,
-        small,
     )
-    # Joined in place, rows still come month by month as they were read.
     with sized_for(touched, staged):
-        return store.write_parts(merged, root, added_month(), replaced=months, balance=not small)
+        return store.write_parts(merged, root, added_month(), replaced=months)
 
 
 def load_gold(lake: Lake, as_of: dt.date, now=None) -> dict:
@@ -271,8 +267,12 @@ def run_day(lake: Lake, now: dt.datetime, as_of: dt.date | None = None) -> dict[
     """Every job in turn, over the rows that came in since the last day that went through.
 
     After a failure simply run it again: rows the failed day took in are still to be loaded.
+    `now` has to be later than that of the last day that went through, or what comes in under
+    it would count as loaded already.
     """
     since, as_of = loaded_until(lake), as_of or now.date()
+    if since is not None and now <= since:
+        raise ValueError(f"{now} is not after {since}, up to which everything has been loaded")
     ingest_bronze(lake, now)
     report = run_silver(lake, as_of, now, since) | load_gold(lake, as_of, now)
     fs.write_text(lake.spark, f"{lake.root}/loaded_until.txt", now.isoformat(), overwrite=True)

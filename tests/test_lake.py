@@ -9,7 +9,7 @@ import pytest
 
 from marlstone.plans import books as book_jobs
 from marlstone.plans import lake as jobs
-from tests.conftest import values
+from tests.conftest import plan_of, values
 
 DAY1, DAY2, DAY3 = (dt.date(2024, 2, d) for d in (1, 2, 3))
 OPEN = dt.date(9999, 12, 31)
@@ -309,6 +309,45 @@ def test_days_carry_on_where_the_last_one_ended(spark, tmp_path, monkeypatch):
     assert jobs.loaded_until(lake) == at(DAY3)
 
 
+def test_gold_can_be_repeated_on_one_day(spark, tmp_path):
+    raw = {e: f"{tmp_path}/raw/{e}" for e in jobs.ENTITIES}
+    lake = jobs.Lake(spark, f"{tmp_path}/lake", raw)
+    for day, moment in ((1, at(DAY1)), (2, at(DAY2))):
+        put(raw["books"], f"day{day}", [book(f"b{day}")])
+        put(raw["reviews"], f"day{day}", [review(f"r{day}", f"b{day}", 5)])
+        put(raw["interactions"], f"day{day}", [interaction("u", f"b{day}", "")])
+        jobs.run_day(lake, moment)
+    before = {n: values(lake.read("gold", n).drop("_gold_timestamp")) for n in jobs.PRODUCTS}
+    for _ in range(2):
+        jobs.load_gold(lake, DAY2, at(DAY2))
+    for name, rows in before.items():
+        table = lake.read("gold", name)
+        assert values(table.drop("_gold_timestamp")) == rows
+        assert table.filter("valid_to < valid_from").count() == 0
+
+
+def test_a_day_has_to_be_later_than_the_last(spark, tmp_path):
+    raw = {e: f"{tmp_path}/raw/{e}" for e in jobs.ENTITIES}
+    lake = jobs.Lake(spark, f"{tmp_path}/lake", raw)
+    for entity, record in (("books", book("b1")), ("reviews", review("r1", "b1", 5)),
+                           ("interactions", interaction("u", "b1", ""))):
+        put(raw[entity], "day1", [record])
+    jobs.run_day(lake, at(DAY1))
+    put(raw["reviews"], "more", [review("r2", "b1", 5)])
+    for now in (at(DAY1), at(DAY1) - dt.timedelta(hours=1)):
+        with pytest.raises(ValueError, match="is not after"):
+            jobs.run_day(lake, now)
+    assert lake.bronze("reviews").count() == 1
+    jobs.run_day(lake, at(DAY2))
+    assert lake.read("silver", "reviews").count() == 2
+
+
+def test_daily_jobs_read_the_files_of_their_days(day2):
+    for entity in jobs.ENTITIES:
+        plan = plan_of(day2.bronze(entity, at(DAY1)))
+        assert "PartitionFilters: [isnotnull(load_date" in plan
+
+
 @pytest.mark.parametrize("threshold", ["10m", "-1"])
 def test_interactions_by_month_match_the_whole_merge(spark, tmp_path, threshold):
     """Rewriting only the months that change gives what merging the whole table gives."""
@@ -347,7 +386,7 @@ def test_interactions_by_month_match_the_whole_merge(spark, tmp_path, threshold)
             now = at(DAY1) + dt.timedelta(days=day)
             jobs.ingest_all(spark, [lake.feed("interactions")], now)
             jobs.load_interactions(lake, now, since)
-            fresh = jobs.loaded_after(lake.bronze("interactions"), jobs.LOADED_AT, since)
+            fresh = lake.bronze("interactions", since)
             staged = staging_interactions(fresh, now)
             whole = merge_newest(
                 whole, staged, ["user_id", "book_id"], "date_updated", fixed.INTERACTION_UPDATES

@@ -146,13 +146,12 @@ def test_scd2_needs_one_join_and_leaves_history_out(spark, tmp_path):
     assert "EqualTo(is_current,true)" in plan or "[is_current" in plan
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_append_takes_new_keys_only(spark, small):
+def test_append_takes_new_keys_only(spark):
     target = spark.createDataFrame([("r1", 5), ("r2", 3)], "k string, v int")
     source = spark.createDataFrame([("r2", 9), ("r3", 4)], "k string, v int")
-    out = mutations.append_new(target, source, ["k"], small)
+    out = mutations.append_new(target, source, ["k"])
     assert values(out) == [("r1", 5), ("r2", 3), ("r3", 4)]
-    assert values(mutations.append_new(out, source, ["k"], small)) == values(out)
+    assert values(mutations.append_new(out, source, ["k"])) == values(out)
     assert values(mutations.append_new(None, source, ["k"])) == values(source)
 
 
@@ -171,8 +170,7 @@ def test_keys_that_arrive_are_replaced_whole(spark):
 MERGE = "u string, b string, v string, at int, kept string"
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_merge_cases(spark, small):
+def test_merge_cases(spark):
     target = spark.createDataFrame(
         [
             ("u", "only", "t", 5, "t"), ("u", "newer", "t", 5, "t"), ("u", "older", "t", 5, "t"),
@@ -188,7 +186,7 @@ def test_merge_cases(spark, small):
         ], MERGE,
     )
     args = (["u", "b"], "at", ["v", "at"])
-    out = mutations.merge_newest(target, source, *args, small=small)
+    out = mutations.merge_newest(target, source, *args)
     wanted = sorted(
         [
             ("u", "only", "t", 5, "t"), ("u", "newer", "s", 6, "t"), ("u", "older", "t", 5, "t"),
@@ -197,7 +195,7 @@ def test_merge_cases(spark, small):
         ], key=repr,
     )
     assert values(out) == wanted
-    assert values(mutations.merge_newest(out, source, *args, small=small)) == wanted
+    assert values(mutations.merge_newest(out, source, *args)) == wanted
     assert values(mutations.merge_newest(None, source, *args)) == values(source)
 
 
@@ -218,22 +216,21 @@ def test_merges_of_distinct_times_commute(spark):
     assert values(there) == values(back)
 
 
-def test_a_small_source_spares_the_target_its_shuffle(spark, tmp_path):
-    cells = spark.range(1000).selectExpr("id AS k", "id AS v", "id AS at")
-    cells.write.parquet(f"{tmp_path}/t")
-    cells.filter("id < 10").write.parquet(f"{tmp_path}/s")
-    target, source = spark.read.parquet(f"{tmp_path}/t"), spark.read.parquet(f"{tmp_path}/s")
-    merged = plan_of(mutations.merge_newest(target, source, ["k"], "at", ["v", "at"]))
-    assert "BroadcastHashJoin" in merged and "FullOuter" not in merged
-    threshold = "spark.sql.autoBroadcastJoinThreshold"
-    before = spark.conf.get(threshold)
-    try:
-        spark.conf.set(threshold, "-1")
-        assert not mutations.fits_broadcast(source)
-        large = plan_of(mutations.merge_newest(target, source, ["k"], "at", ["v", "at"]))
-        assert "FullOuter" in large and "Broadcast" not in large
-    finally:
-        spark.conf.set(threshold, before)
+def test_a_repeated_day_replaces_its_snapshot(spark):
+    def snapshot(n):
+        return spark.createDataFrame([("a", n)], "k string, n int")
+
+    table = mutations.snapshot_supersede(None, snapshot(0), EARLY)
+    for n in (1, 2, 3):
+        table = mutations.snapshot_supersede(table, snapshot(n), AS_OF)
+    assert values(table, "n", "is_current") == [(0, False), (3, True)]
+    assert table.filter("valid_to < valid_from").count() == 0
+    current = mutations.supersede_delta(None, snapshot(1), AS_OF)
+    assert values(mutations.supersede_delta(current, snapshot(2), AS_OF), "n") == [(2,)]
+    closed = mutations.supersede_delta(current, snapshot(2), AS_OF, same_day="close")
+    assert values(closed, "n", "is_current") == [(1, False), (2, True)]
+    with pytest.raises(ValueError, match="same_day"):
+        mutations.supersede_delta(current, snapshot(2), AS_OF, same_day="other")
 
 
 def test_snapshots_supersede_each_other(spark):
