@@ -30,13 +30,6 @@ def build_session(app: str = "marlstone", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session somebody else built."""
-    for key, value in SETTINGS.items():
-        spark.conf.set(key, value)
-    return spark
-
-
 def plan_bytes(df: DataFrame) -> int:
     """Spark's size estimate. Most exact for a table as written; a staging table is one."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
@@ -59,41 +52,81 @@ def sizes_for(input_bytes: int) -> dict[str, int]:
     }
 
 
-def raise_sizes(spark: SparkSession, input_bytes: int) -> dict[str, str]:
-    """Set `sizes_for` where they are above the session's own; returns the settings before.
+@contextmanager
+def kept_settings(spark: SparkSession, names):
+    """Put the named settings back afterwards as they were, set or not."""
+    before = {name: spark.conf.get(name, None) for name in names}
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
-    Adaptive execution merges shuffle partitions that turn out small, but cannot split those of
-    an aggregate, so the count has to be high enough to start with.
+
+@contextmanager
+def prepared(spark: SparkSession):
+    """Work inside with the runtime settings in a session somebody else built.
+
+    Plans made inside keep them; the session gets its own back.
     """
-    bytes_of = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
-    before = {name: spark.conf.get(name) for name in sizes_for(0)}
-    for name, wanted in sizes_for(input_bytes).items():
-        if wanted > bytes_of(before[name]):
-            spark.conf.set(name, str(wanted))
-    return before
+    with kept_settings(spark, SETTINGS):
+        for key, value in SETTINGS.items():
+            spark.conf.set(key, value)
+        yield spark
 
 
 @contextmanager
 def sized_for(*inputs: DataFrame):
-    """Run the writes inside with sizes that suit the inputs."""
+    """Run the writes inside with `sizes_for` the inputs where they are above the session's own.
+
+    Adaptive execution merges shuffle partitions that turn out small, but cannot split those of
+    an aggregate, so the count has to be high enough to start with.
+    """
     spark = inputs[0].sparkSession
-    before = raise_sizes(spark, sum(plan_bytes(df) for df in inputs))
-    try:
+    bytes_of = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    sizes = sizes_for(sum(plan_bytes(df) for df in inputs))
+    with kept_settings(spark, sizes):
+        for name, wanted in sizes.items():
+            if wanted > bytes_of(spark.conf.get(name)):
+                spark.conf.set(name, str(wanted))
         yield
-    finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder under the checkpoint folder the cluster names.
+def scratch_base(spark: SparkSession) -> str:
+    """The checkpoint folder the cluster names.
 
     Only a local session may do without the setting: its tasks share one machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="marlstone-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/marlstone/{label}-{uuid.uuid4().hex}"
+    if base:
+        return base.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+    if context.applicationId not in _local:
+        _local[context.applicationId] = tempfile.mkdtemp(prefix="marlstone-")
+    return _local[context.applicationId]
+
+
+_local: dict[str, str] = {}
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A new folder for one step of a run, below one folder per application."""
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def scratch_root(spark: SparkSession) -> str:
+    return f"{scratch_base(spark)}/marlstone/{spark.sparkContext.applicationId}"
+
+
+def free_scratch(spark: SparkSession) -> None:
+    """Delete all scratch folders of this application.
+
+    Call it once results are read or written: whatever still reads a scratch table fails.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)

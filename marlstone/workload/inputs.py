@@ -99,13 +99,20 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def event_book(spark: SparkSession, sf_dir: str) -> Column:
+    """The book of an event, any of the parts: the same for events alike in user and `k`."""
+    last = table(spark, sf_dir, "part").select(F.max("p_partkey")).scalar()
+    pair = F.col("user_id") * 20 + F.get_json_object("props", "$.k").cast("int") % 20
+    return (1 + pair % last).cast("string")
+
+
 def raw_interactions(spark: SparkSession, sf_dir: str, keep: Sequence[str] = ()) -> DataFrame:
     """One interaction per event, dates as text, some of them missing."""
     event, value = F.col("event_id"), F.col("value")
     written = site_date("ts", "+0000")
     return table(spark, sf_dir, "events").select(
         F.when(event % 29 != 0, F.col("user_id").cast("string")).alias("user_id"),
-        (F.get_json_object("props", "$.k").cast("int") % 20).cast("string").alias("book_id"),
+        event_book(spark, sf_dir).alias("book_id"),
         F.when(event % 3 != 0, event.cast("string")).alias("review_id"),
         F.when(value > 50, "True").when(value > 10, "false").alias("is_read"),
         (event % 6).cast("string").alias("rating"),
@@ -145,12 +152,12 @@ def whole_books(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def dated_interactions(events: DataFrame) -> DataFrame:
+def dated_interactions(events: DataFrame, book: Column) -> DataFrame:
     """The newest event per user and book, typed, as the merge expects it."""
     event = F.col("event_id")
     rows = events.select(
         F.col("user_id").cast("string").alias("user_id"),
-        (F.get_json_object("props", "$.k").cast("int") % 20).cast("string").alias("book_id"),
+        book.alias("book_id"),
         F.when(event % 3 != 0, event.cast("string")).alias("review_id"),
         (F.col("value") > 50).cast("int").alias("is_read"),
         F.nullif((event % 6).cast("int"), F.lit(0)).alias("rating"),
@@ -166,11 +173,13 @@ def dated_interactions(events: DataFrame) -> DataFrame:
 
 
 def merge_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dated_interactions(table(spark, sf_dir, "events").filter("ts < '2024-01-16'"))
+    events = table(spark, sf_dir, "events").filter("ts < '2024-01-16'")
+    return dated_interactions(events, event_book(spark, sf_dir))
 
 
 def merge_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dated_interactions(table(spark, sf_dir, "events").filter("ts >= '2024-01-11'"))
+    events = table(spark, sf_dir, "events").filter("ts >= '2024-01-11'")
+    return dated_interactions(events, event_book(spark, sf_dir))
 
 
 def stored_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,7 +198,12 @@ def stored_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incoming_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").filter("p_partkey % 10 <> 8").selectExpr(
+    """The second delivery, which leaves out one part in ten."""
+    return offered_parts(spark, sf_dir).filter("book_id % 10 <> 8")
+
+
+def offered_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").selectExpr(
         "p_partkey AS book_id", "p_name AS title",
         "CASE WHEN p_partkey % 17 = 0 THEN 'Brand#X' ELSE p_brand END AS publisher",
         "CASE WHEN p_partkey % 7 = 0 THEN NULL WHEN p_partkey % 5 = 0 THEN p_size + 1"

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import re
 
-from marlstone import fixed_values as fixed
-
 
 def rounded(value: str, digits: int) -> str:
     """Decimal rounding, half up, as Spark rounds doubles."""
@@ -28,10 +26,38 @@ def tri_state(col: str) -> str:
     return f"CASE lower({col}) WHEN 'true' THEN 1 WHEN 'false' THEN 0 END"
 
 
+# Fixed values, written out here a second time: a wrong word in the operators must not pass.
+SHELF_WORDS = (
+    ("to-read", ["to-read", "want-to-read", "watchlist", "wish-list", "to-buy", "next-to-read",
+                 "tbr", "my-to-read", "to-read-fiction", "want-to-buy", "to-read-soon"]),
+    ("currently-reading", ["currently-reading", "reading", "in-progress",
+                           "currently-reading-2023", "now-reading", "currently"]),
+    ("read", ["read", "already-read", "finished", "books-read", "have-read", "read-2023",
+              "read-books", "done"]),
+    ("favorites", ["favorites", "favourite", "favourites", "faves", "all-time-favorites",
+                   "my-favorites"]),
+    ("owned", ["owned", "own-it", "i-own", "owned-books", "to-buy", "my-library"]),
+)
+PRIORITY_LIST = (
+    "book_id, title, author_ids, language_code, publication_year, num_pages, format, is_ebook, "
+    "average_rating, ratings_count, total_reviews, positive_reviews, negative_reviews, "
+    "avg_review_rating, positive_review_pct, to_read_count, currently_reading_count, "
+    "shelf_read_count, total_read, total_interactions, demand_score, popularity_score, "
+    "audiobook_priority"
+)
+FEATURE_LIST = (
+    "book_id, title, description, language_code, num_pages, publication_year, "
+    "publication_month, is_ebook, format, average_rating, ratings_count, text_reviews_count, "
+    "total_reviews, positive_reviews, negative_reviews, avg_review_rating, positive_review_pct, "
+    "avg_votes, to_read_count, currently_reading_count, shelf_read_count, total_read, "
+    "total_interactions, avg_interaction_rating, popularity_score"
+)
+
+
 def shelf_label(col: str) -> str:
     cases = " ".join(
         f"WHEN {col} IN ({', '.join(repr(w) for w in words)}) THEN '{label}'"
-        for label, words in fixed.SHELF_GROUPS
+        for label, words in SHELF_WORDS
     )
     return f"CASE {cases} ELSE {col} END"
 
@@ -46,7 +72,10 @@ def score(demand: str) -> str:
 
 REVIEW_DATE = site_date("l_shipdate", "-0700")
 EVENT_DATE = site_date("ts", "+0000")
-EVENT_BOOK = "cast(cast(json_extract_string(props, '$.k') AS integer) % 20 AS varchar)"
+EVENT_BOOK = (
+    "cast(1 + (user_id * 20 + cast(json_extract_string(props, '$.k') AS integer) % 20)"
+    " % (SELECT max(p_partkey) FROM part) AS varchar)"
+)
 
 PARTS: dict[str, str] = {
     "raw_books": """
@@ -218,12 +247,13 @@ PARTS: dict[str, str] = {
         SELECT p_partkey AS book_id, p_name AS title, p_brand AS publisher, p_size + 7 AS num_pages,
             false AS is_current, date '2023-06-01' AS valid_from, date '2023-12-31' AS valid_to
         FROM part WHERE p_partkey % 10 = 3""",
-    "incoming_parts": """
+    "offered_parts": """
         SELECT p_partkey AS book_id, p_name AS title,
             CASE WHEN p_partkey % 17 = 0 THEN 'Brand#X' ELSE p_brand END AS publisher,
             CASE WHEN p_partkey % 7 = 0 THEN NULL WHEN p_partkey % 5 = 0 THEN p_size + 1
                 ELSE p_size END AS num_pages
-        FROM part WHERE p_partkey % 10 <> 8""",
+        FROM part""",
+    "incoming_parts": "SELECT * FROM offered_parts WHERE book_id % 10 <> 8",
     "changed_parts": """
         SELECT s.book_id FROM incoming_parts s JOIN stored_parts t USING (book_id)
         WHERE s.num_pages <> t.num_pages OR s.publisher <> t.publisher""",
@@ -362,9 +392,6 @@ def second_day(changed: str) -> str:
             OR book_id IN (SELECT book_id FROM {changed})"""
 
 
-PRIORITY_LIST = ", ".join(fixed.PRIORITY_COLUMNS)
-FEATURE_LIST = ", ".join(fixed.FEATURE_COLUMNS)
-
 ORACLES: dict[str, str] = {
     "clean_books": sql("SELECT * FROM clean_books"),
     "parse_offset_timestamps": sql(
@@ -409,9 +436,16 @@ ORACLES: dict[str, str] = {
         FROM (SELECT cast(unnest(generate_series(first, last, interval 1 day)) AS date) AS d
               FROM (SELECT cast(min(o_orderdate) AS date)::timestamp AS first,
                   cast(max(o_orderdate) AS date)::timestamp AS last FROM orders))""",
+    "orders_by_weekday": """
+        SELECT cast(year(o_orderdate) AS integer) AS year,
+            cast(quarter(o_orderdate) AS integer) AS quarter,
+            monthname(o_orderdate) AS month_name, dayname(o_orderdate) AS day_of_week,
+            count(*) AS orders, max(o_totalprice) AS largest
+        FROM orders WHERE o_orderdate >= date '1990-01-01' AND o_orderdate < date '2031-01-01'
+        GROUP BY ALL""",
     "reviews_agg": sql("SELECT * FROM review_features"),
     "interactions_agg": sql("SELECT * FROM interaction_features"),
-    "scd2_first_load": sql(f"SELECT *, {OPENED} FROM incoming_parts"),
+    "scd2_first_load": sql(f"SELECT *, {OPENED} FROM offered_parts"),
     "scd2_second_day": sql(second_day("changed_parts")),
     "scd2_null_safe": sql(second_day("distinct_parts")),
     "scd2_current": sql(f"SELECT * FROM ({second_day('changed_parts')}) WHERE is_current"),
@@ -475,6 +509,7 @@ ORACLES: dict[str, str] = {
     ),
     "catalogue_counts": sql("SELECT type, count(*) AS files FROM order_files GROUP BY type"),
     "route_files": sql("SELECT name, type, url, path FROM routed"),
+    "manifest_job": sql("SELECT name, type, url, path FROM routed"),
     "pending_files": sql("SELECT path, name, type, url FROM routed WHERE length % 3 <> 0"),
     "file_status_summary": sql(
         f"""SELECT CASE WHEN length % 3 = 0 THEN 'skipped' ELSE 'pending' END AS status,
@@ -512,10 +547,6 @@ ORACLES: dict[str, str] = {
             cast(CASE WHEN o_orderstatus = 'F' THEN 1 END AS integer) AS late
         FROM orders""",
     "versioned_table": sql(second_day("changed_parts")),
-    "table_history": """
-        SELECT cast(v AS bigint) AS version, 'APPEND' AS operation,
-            (SELECT count(*) FROM events WHERE event_type = kind) AS "rows"
-        FROM (VALUES (0, 'click'), (1, 'view'), (2, 'error')) AS steps(v, kind)""",
     "registered_table": sql(
         """SELECT (SELECT count(*) FROM stored_parts) + (SELECT count(*) FROM older_parts)
                 + (SELECT count(*) FROM incoming_parts) AS total_rows,
@@ -529,11 +560,12 @@ ORACLES: dict[str, str] = {
     ),
     "stream_ingest": """
         SELECT event_id, user_id, event_type, value,
-            CASE WHEN event_id % 2 = 1 THEN 'late' END AS source,
+            CASE WHEN event_id % 2 = 1 THEN 'late' END AS source, event_id % 7 AS known,
+            CASE WHEN event_id % 2 = 1 THEN event_id % 5 END AS added,
             cast(NULL AS varchar) AS broken_line,
             CASE WHEN event_id % 2 = 1 THEN 'late' ELSE 'early' END AS wave, true AS dated
         FROM events
         UNION ALL
-        SELECT NULL, NULL, NULL, NULL, NULL, '{broken ' || event_id, 'broken', true
+        SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, '{broken ' || event_id, 'broken', true
         FROM events WHERE event_id % 2 = 1 AND event_id % 101 = 0""",
 }

@@ -23,12 +23,11 @@ from marlstone.functions.cleaning import (
 from marlstone.functions.kinds import by_kind
 from marlstone.functions.times import date_key, parse_offset_ts
 from marlstone.operators import features, manifest, monitor, mutations, rows
-from marlstone.operators.calendar import calendar_of
+from marlstone.operators.calendar import calendar as whole_calendar, calendar_of
 from marlstone.plans import activity, books, gold
 from marlstone.plans import lake as jobs
-from marlstone.session import prepare, raise_sizes, scratch_dir
+from marlstone.session import prepared, scratch_dir
 from marlstone.sources import catalog, files, store
-from marlstone.sources.fs import total_bytes
 from marlstone.sources.schema import infer_or_load_schema
 from marlstone.streaming.ingest import Feed, ingest_all, read_bronze
 from marlstone.workload import inputs
@@ -44,8 +43,8 @@ FOLDERS = {word: f"raw/{word}/" for word in (fixed.WHOLE_SET_TYPE, *fixed.NAME_K
 
 def query(make: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        raise_sizes(prepare(spark), total_bytes(spark, sf_dir))
-        return make(spark, sf_dir)
+        with prepared(spark):
+            return make(spark, sf_dir)
 
     QUERIES[make.__name__] = run
     return run
@@ -175,6 +174,19 @@ def calendar(spark, sf_dir):
     return calendar_of(table(spark, sf_dir, "orders"), "o_orderdate")
 
 
+@query
+def orders_by_weekday(spark, sf_dir):
+    """The calendar dimension joined to a fact."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.to_date("o_orderdate").alias("full_date"), "o_totalprice"
+    )
+    return (
+        orders.join(whole_calendar(spark), "full_date")
+        .groupBy("year", "quarter", "month_name", "day_of_week")
+        .agg(F.count(F.lit(1)).alias("orders"), F.max("o_totalprice").alias("largest"))
+    )
+
+
 @query
 def reviews_agg(spark, sf_dir):
     return features.reviews_agg(activity.staging_reviews(inputs.raw_reviews(spark, sf_dir)))
@@ -194,7 +206,7 @@ PART_TRACKED = ("num_pages", "publisher")
 @query
 def scd2_first_load(spark, sf_dir):
     return mutations.scd2_apply(
-        None, inputs.incoming_parts(spark, sf_dir), ["book_id"], PART_TRACKED, AS_OF
+        None, inputs.offered_parts(spark, sf_dir), ["book_id"], PART_TRACKED, AS_OF
     )
 
 
@@ -262,7 +274,7 @@ def merge_newest_interactions(spark, sf_dir):
 
 @query
 def supersede_snapshot(spark, sf_dir):
-    """Three snapshots of the parts, the last with a column more."""
+    """Three snapshots of the parts, the last with a column more, the second made twice."""
     part = table(spark, sf_dir, "part")
     january = part.filter("p_partkey % 3 <> 0").selectExpr("p_partkey AS book_id", "p_size AS score")
     february = part.selectExpr("p_partkey AS book_id", "p_size + 1 AS score")
@@ -270,7 +282,9 @@ def supersede_snapshot(spark, sf_dir):
         "p_partkey AS book_id", "p_size + 2 AS score", "p_brand AS label"
     )
     first = mutations.snapshot_supersede(None, january, EARLIER)
-    second = mutations.snapshot_supersede(first, february, AS_OF)
+    wrong = february.withColumn("score", F.col("score") - 100)
+    once = mutations.snapshot_supersede(first, wrong, AS_OF)
+    second = mutations.snapshot_supersede(once, february, AS_OF)
     return mutations.snapshot_supersede(second, march, dt.date(2024, 3, 1))
 
 
@@ -362,8 +376,12 @@ def read_catalogue(spark, sf_dir):
 
 
 @query
-def file_inventory(spark, sf_dir):
-    return files.file_inventory(spark, sf_dir)
+def manifest_job(spark, sf_dir):
+    """Orders written as a catalogue, and the checked manifest made of it."""
+    folder = scratch_dir(spark, "manifest")
+    lines = inputs.order_catalogue(spark, sf_dir).select("type", "name")
+    lines.write.option("header", True).csv(folder)
+    return jobs.build_manifest(spark, folder, BASES, FOLDERS)
 
 
 @query
@@ -437,19 +455,6 @@ def versioned_table(spark, sf_dir):
     return store.read_table(spark, root)
 
 
-@query
-def table_history(spark, sf_dir):
-    root = scratch_dir(spark, "history")
-    events = table(spark, sf_dir, "events")
-    for event_type in ("click", "view", "error"):
-        store.append(events.filter(F.col("event_type") == event_type), root)
-    return store.table_history(spark, root).select(
-        "version",
-        "operation",
-        F.col("operationMetrics")["rows"].cast("long").alias("rows"),
-    )
-
-
 @query
 def registered_table(spark, sf_dir):
     """Row counts through the catalog name of a versioned table."""
@@ -478,11 +483,17 @@ def inferred_json(spark, sf_dir):
 
 @query
 def stream_ingest(spark, sf_dir):
-    """Events as JSON, drained in two goes; the second has a new field and broken lines."""
+    """Events as JSON, drained in two goes; the second has new fields and broken lines.
+
+    One of the new fields is inside a struct.
+    """
     base = scratch_dir(spark, "ingest")
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
     feed = Feed("events", f"{base}/raw", f"{base}/bronze", f"{base}/checkpoint")
+    known, added = (F.col("event_id") % 7).alias("known"), (F.col("event_id") % 5).alias("added")
     early, late = events.filter("event_id % 2 = 0"), events.filter("event_id % 2 = 1")
+    early = early.withColumn("more", F.struct(known))
+    late = late.withColumn("more", F.struct(known, added))
     early.write.json(f"{base}/raw/early")
     ingest_all(spark, [feed])
     late.withColumn("source", F.lit("late")).write.json(f"{base}/raw/late")
@@ -496,6 +507,8 @@ def stream_ingest(spark, sf_dir):
         "event_type",
         "value",
         "source",
+        "more.known",
+        "more.added",
         F.col("_rescued_line").alias("broken_line"),
         F.regexp_extract("_source_file", "/raw/([a-z]+)/", 1).alias("wave"),
         F.col("_ingestion_timestamp").isNotNull().alias("dated"),

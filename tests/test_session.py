@@ -36,7 +36,22 @@ def test_scratch_folders_differ_and_are_below_the_shared_one(spark):
     assert one.startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
-def test_prepare_sets_what_results_lean_on(spark):
+def test_prepared_puts_settings_back(spark):
     zone = "spark.sql.session.timeZone"
+    before = spark.conf.get(zone)
     spark.conf.set(zone, "Asia/Tokyo")
-    assert session.prepare(spark).conf.get(zone) == "UTC"
+    try:
+        with pytest.raises(ZeroDivisionError), session.prepared(spark):
+            assert spark.conf.get(zone) == "UTC"
+            1 / 0
+        assert spark.conf.get(zone) == "Asia/Tokyo"
+    finally:
+        spark.conf.set(zone, before)
+
+
+def test_scratch_can_be_freed(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(session, "scratch_base", lambda _: str(tmp_path))
+    path = session.scratch_dir(spark, "x")
+    spark.range(3).write.parquet(path)
+    session.free_scratch(spark)
+    assert list(tmp_path.glob("marlstone/*")) == []
