@@ -13,8 +13,10 @@ import time
 
 from pyspark.sql import DataFrame, functions as F
 
+from marlstone import fixed_values as fixed
 from marlstone.functions.kinds import by_kind
 from marlstone.operators import features, mutations
+from marlstone.operators.dedupe import latest_per_key
 from marlstone.operators.rows import clean
 from marlstone.plans import activity, books, gold
 from marlstone.session import build_session, scratch_dir
@@ -23,6 +25,8 @@ from marlstone.workload import inputs
 from marlstone.workload.inputs import AS_OF
 
 TRACKED = ["num_pages", "publisher"]
+KEYS = ["user_id", "book_id"]
+UPDATES = ["review_id", "is_read", "rating", "date_updated", "has_review"]
 
 
 def sink(df: DataFrame) -> None:
@@ -62,13 +66,17 @@ class Forms:
 
     # newest row per key
 
+    # one result for both: the last row by date as it is written, other columns breaking ties
+
     def newest_ranked(self):
-        sink(activity.latest_interactions(self.interactions))
+        sink(latest_per_key(self.interactions, ["user_id", "book_id"], ["date_updated"]))
 
     def newest_struct(self):
         rest = [c for c in self.interactions.columns if c not in ("user_id", "book_id")]
-        newest = F.max(F.struct("date_updated", *[c for c in rest if c != "date_updated"]))
-        sink(self.interactions.groupBy("user_id", "book_id").agg(newest.alias("row")))
+        order = ["date_updated", *[c for c in rest if c != "date_updated"]]
+        newest = F.max(F.struct(*order)).alias("row")
+        rows = self.interactions.groupBy("user_id", "book_id").agg(newest)
+        sink(rows.select("user_id", "book_id", "row.*"))
 
     # versioned dimension
 
@@ -101,31 +109,39 @@ class Forms:
         sink(features.label_columns(self.shelves))
 
     def shelves_by_label(self):
-        wide = self.books.select("book_id")
-        for label, name in (("to-read", "a"), ("currently-reading", "b"), ("read", "c")):
+        wide = None
+        for label, name in fixed.SHELF_SIGNALS.items():
             part = self.shelves.filter(F.col("shelf_name") == label)
             column = part.select("book_id", F.col("shelf_count").alias(name))
-            wide = wide.join(column, "book_id", "left")
+            wide = column if wide is None else wide.join(column, "book_id", "full")
         sink(wide)
 
     # newest-wins merge
 
-    def day_in_place(self):
-        self._merge(self.day, True)
-
     def day_full_join(self):
-        self._merge(self.day, False)
+        self._merge(self.day)
+
+    def day_update_then_insert(self):
+        self._update_then_insert(self.day)
 
     def half_full_join(self):
-        self._merge(self.source, False)
+        self._merge(self.source)
 
-    def half_in_place(self):
-        self._merge(self.source, True)
+    def half_update_then_insert(self):
+        self._update_then_insert(self.source)
 
-    def _merge(self, source: DataFrame, small: bool):
-        columns = ["review_id", "is_read", "rating", "date_updated", "has_review"]
-        keys = ["user_id", "book_id"]
-        sink(mutations.merge_newest(self.target, source, keys, "date_updated", columns, small))
+    def _merge(self, source: DataFrame):
+        sink(mutations.merge_newest(self.target, source, KEYS, "date_updated", UPDATES))
+
+    def _update_then_insert(self, source: DataFrame):
+        fresh = source.select(*KEYS, F.struct(*UPDATES).alias("new"))
+        newer = F.col("new.date_updated") > F.col("date_updated")
+        takes = F.col("new").isNotNull() & (F.col("date_updated").isNull() | newer)
+        updated = self.target.join(fresh, KEYS, "left").withColumns(
+            {c: F.when(takes, F.col("new")[c]).otherwise(F.col(c)) for c in UPDATES}
+        )
+        added = mutations.new_rows(self.target, source, KEYS)
+        sink(updated.drop("new").unionByName(added))
 
     # both products
 
@@ -149,8 +165,8 @@ PAIRS = {
     "newest interaction per key": ("newest_ranked", "newest_struct"),
     "versioned dimension": ("scd2_one_join", "scd2_expire_then_insert"),
     "shelf columns": ("shelves_one_pass", "shelves_by_label"),
-    "newest-wins merge, one day": ("day_in_place", "day_full_join"),
-    "newest-wins merge, half": ("half_full_join", "half_in_place"),
+    "newest-wins merge, one day": ("day_full_join", "day_update_then_insert"),
+    "newest-wins merge, half": ("half_full_join", "half_update_then_insert"),
     "both gold products": ("products_shared", "products_apart"),
 }
 
