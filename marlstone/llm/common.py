@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import marlstone
@@ -13,6 +16,7 @@ from marlstone.session import scratch_dir
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
+SLICE_BYTES = 4 << 20
 
 
 def col(name: str) -> Column:
@@ -37,6 +41,26 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_slices(
+    batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The rows of `batches` again, few enough at a time that their texts stay below `limit`.
+
+    What a task makes of a text can be many times its size, so this bounds a task's memory. A
+    single longer text comes alone.
+    """
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+        at, held = 0, 0
+        for row, size in enumerate(sizes.to_pylist()):
+            if held and held + size > limit:
+                yield batch.slice(at, row - at)
+                at, held = row, 0
+            held += size
+        if at < batch.num_rows:
+            yield batch.slice(at)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

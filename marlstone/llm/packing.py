@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from marlstone.llm.byte_bpe import default_path, encoder
-from marlstone.llm.common import id_and_text, shuffle_partitions, staged
+from marlstone.llm.common import id_and_text, in_slices, shuffle_partitions, staged
 
 WINDOW = 2048
 END_ID = 1
@@ -91,7 +91,7 @@ def cut_into_pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = encoder(tokenizer)
         key = TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in in_slices(batches, "text"):
             texts = [t or "" for t in batch["text"].to_pylist()]
             doc, start, length, total, body, crc = [], [], [], [], [], []
             for row, raw in enumerate(table.encode(texts)):
