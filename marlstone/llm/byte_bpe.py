@@ -9,14 +9,17 @@ special token in them, go to the library whole.
 from __future__ import annotations
 
 import os
+from bisect import bisect_right
+from contextlib import suppress
 from functools import lru_cache
+from itertools import accumulate, chain
 
 import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-# Bounds the table of a worker to about 100 MB; a full table is started again.
-TABLE_ENTRIES = 400_000
+# Bounds the table of a worker to about 300 MB; a full table is started again.
+TABLE_ENTRIES = 1_200_000
 MISSES_AT_ONCE = 20_000
 
 
@@ -51,28 +54,40 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian integers of `dtype`."""
-        split = [
-            None if any(s in t for s in self.special) else t.split(" ") for t in texts
-        ]
         if len(self.heads) + len(self.rest) > TABLE_ENTRIES:
             self.heads, self.rest = {}, {}
-        heads, rest = self.heads, self.rest
-        new_heads = {p[0] for p in split if p and p[0] not in heads}
-        new_rest = {x for p in split if p for x in p[1:] if x not in rest}
-        bad = {x for x in new_rest if not x or x[0].isspace()}
-        self._fill(heads, sorted(new_heads), "")
-        self._fill(rest, sorted(new_rest - bad), " ")
-        out: list[bytes | None] = []
-        for pieces in split:
-            if pieces is None or (bad and not bad.isdisjoint(pieces[1:])):
-                out.append(None)
-            else:
-                out.append(heads[pieces[0]] + b"".join(map(rest.__getitem__, pieces[1:])))
-        whole = [t for t, ids in zip(texts, out) if ids is None]
-        if whole:
-            found = iter(self._whole(whole))
-            out = [next(found) if ids is None else ids for ids in out]
-        return out
+        whole = {n for n, t in enumerate(texts) if any(s in t for s in self.special)}
+        split = [[""] if n in whole else t.split(" ") for n, t in enumerate(texts)]
+        heads = [pieces.pop(0) for pieces in split]
+        ends = list(accumulate(map(len, split)))
+        words = list(chain.from_iterable(split))
+        found = self._look_up(words)
+        at = -1
+        with suppress(ValueError):
+            while True:
+                at = found.index(None, at + 1)
+                whole.add(bisect_right(ends, at))
+        self._fill(self.heads, sorted({h for h in heads if h not in self.heads}), "")
+        kept = iter(self._whole([texts[n] for n in sorted(whole)]) if whole else [])
+        starts = [0, *ends[:-1]]
+        return [
+            next(kept) if n in whole else self.heads[head] + b"".join(found[a:b])
+            for n, (head, a, b) in enumerate(zip(heads, starts, ends))
+        ]
+
+    def _look_up(self, words: list[str]) -> list[bytes | None]:
+        """The ids of words behind a space; None for those the text has to be encoded whole for."""
+        found = list(map(self.rest.get, words))
+        missing, at = [], -1
+        with suppress(ValueError):
+            while True:
+                at = found.index(None, at + 1)
+                missing.append(at)
+        new = {words[at] for at in missing}
+        self._fill(self.rest, sorted(x for x in new if x and not x[0].isspace()), " ")
+        for at in missing:
+            found[at] = self.rest.get(words[at])
+        return found
 
     def _fill(self, into: dict[str, bytes], pieces: list[str], lead: str) -> None:
         """Encode pieces many to a call, told apart by tabs, which no other id stands for."""
