@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marlstone.llm.common import col, staged
+from marlstone.llm.common import col, in_slices, staged
 
 # Elements by how HTML treats them.
 VOID = frozenset(
@@ -333,7 +333,7 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: dict[str, list] = {}
-        for batch in batches:
+        for batch in in_slices(batches, "html"):
             for host, page in zip(batch["host"].to_pylist(), batch["html"].to_pylist()):
                 node = skeleton(parse(page))
                 own[host] = align(own[host], node) if host in own else node
@@ -385,7 +385,7 @@ def extract_main_text(
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         paths: dict[str, list[str]] = {}
-        for batch in batches:
+        for batch in in_slices(batches, "html"):
             texts = []
             for page, wrapper in zip(batch["html"].to_pylist(), batch["wrapper"].to_pylist()):
                 if wrapper not in paths:

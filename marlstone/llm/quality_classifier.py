@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marlstone.llm.common import id_and_text, staged
+from marlstone.llm.common import id_and_text, in_slices, staged
 
 FEATURES = (
     "log_chars", "log_words", "word_chars", "line_words", "symbols", "capitals", "exclamations",
@@ -65,7 +65,7 @@ def features(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     rows = id_and_text(df, id_col, text_col)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches, "text"):
             found = [statistics(t or "") for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array(found, pa.list_(pa.float64()))], names=["doc_id", "x"]

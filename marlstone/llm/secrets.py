@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from marlstone.llm.common import col, id_and_text
+from marlstone.llm.common import col, id_and_text, in_slices
 
 # Fixed values. Kinds in the order that breaks ties between spans with one start.
 KINDS = ("assign", "access", "hex", "signed_token", "pem_key", "der_key", "openssh_key")
@@ -210,7 +210,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(
         pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
     )
-    for batch in batches:
+    for batch in in_slices(batches, "text"):
         spans = [
             [dict(zip(("kind", "start", "end"), s)) for s in secret_spans(text.as_py() or "")]
             for text in batch["text"]
@@ -228,7 +228,7 @@ def redacted(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     rows = df.select(F.struct("*").alias("row"), col(text_col).alias("text"))
 
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches, "text"):
             texts = batch["text"].to_pylist()
             texts = [t if t is None else redact(t, secret_spans(t)) for t in texts]
             yield pa.RecordBatch.from_arrays(

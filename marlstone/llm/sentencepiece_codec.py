@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from marlstone.llm.common import id_and_text
+from marlstone.llm.common import id_and_text, in_slices
 
 MARK = "▁"
 # Bounds the table of a worker to about 100 MB; a full table is started again.
@@ -118,7 +118,7 @@ def encode_decode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model)
-        for batch in batches:
+        for batch in in_slices(batches, "text"):
             ids, decoded = own.run([t or "" for t in batch["text"].to_pylist()])
             ends = np.cumsum([0, *(len(x) // 4 for x in ids)])
             lists = pa.ListArray.from_arrays(

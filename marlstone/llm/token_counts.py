@@ -15,7 +15,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from marlstone.llm.common import id_and_text
+from marlstone.llm.common import id_and_text, in_slices
 from marlstone.llm.sentencepiece_codec import MARK, default_path
 
 # Bounds a worker's trie, and with it the table of counts, to about 150 MB; a full one is started
@@ -146,7 +146,7 @@ def token_counts(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = trie(model)
-        for batch in batches:
+        for batch in in_slices(batches, "text"):
             n_words, n_tokens = [], []
             for text in batch["text"].to_pylist():
                 words = pre_tokens(text or "")

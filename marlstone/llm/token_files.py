@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from marlstone.llm.byte_bpe import default_path, encoder
-from marlstone.llm.common import id_and_text, shuffle_partitions, staged
+from marlstone.llm.common import id_and_text, in_slices, shuffle_partitions, staged
 from marlstone.session import scratch_dir
 
 END_ID = 2
@@ -72,7 +72,7 @@ def write_token_files(
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = encoder(tokenizer)
         end = np.array([end_id], table.dtype).tobytes()
-        for batch in batches:
+        for batch in in_slices(batches, "text"):
             texts = [t or "" for t in batch["text"].to_pylist()]
             ids = [x + end for x in table.encode(texts)]
             yield pa.RecordBatch.from_arrays(
@@ -143,7 +143,7 @@ def _blocks(dtype, rank_of: np.ndarray):
             names = ["part", "block_start", "doc_ids", "sizes", "control", "data"]
             return pa.RecordBatch.from_arrays(columns, names=names)
 
-        for batch in batches:
+        for batch in in_slices(batches, "ids"):
             kind = batch["doc_id"].type
             for doc_id, raw in zip(batch["doc_id"].to_pylist(), batch["ids"].to_pylist()):
                 docs.append(doc_id)
