@@ -349,10 +349,10 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
 
     schema = "host string, wrapper string"
     made = staged(rows.mapInArrow(partial, schema), "page-wrappers")
-    # One row per host and task, in a set order so that a repeated run aligns alike.
-    return made.repartition("host").sortWithinPartitions("host", "wrapper").mapInArrow(
-        whole, schema
-    )
+    # One row per host and task, in a set order so that a repeated run aligns alike. Written, so that
+    # Spark knows the size when it plans the join with the pages.
+    dealt = made.repartition("host").sortWithinPartitions("host", "wrapper")
+    return staged(dealt.mapInArrow(whole, schema), "host-wrappers")
 
 
 def _rows(wrappers: dict[str, list]) -> Iterator[pa.RecordBatch]:
