@@ -107,12 +107,11 @@ def write_token_files(
 def _counter(dtype):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
-        for batch in batches:
-            for ids in batch["ids"]:
-                found = np.bincount(np.frombuffer(ids.as_buffer(), dtype))
-                if len(found) > len(total):
-                    total = np.pad(total, (0, len(found) - len(total)))
-                total[: len(found)] += found
+        for batch in in_slices(batches, "ids"):
+            found = np.bincount(np.frombuffer(b"".join(batch["ids"].to_pylist()), dtype))
+            if len(found) > len(total):
+                total = np.pad(total, (0, len(found) - len(total)))
+            total[: len(found)] += found
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"]
