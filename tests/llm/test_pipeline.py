@@ -90,3 +90,16 @@ def test_operators_do_not_read_other_columns(spark):
     for run in (exact_dedup.survivors, ngram_join.one_per_component, secrets.redacted):
         assert by_row(run(docs)) == [(1, "some text here.", 5)]
     assert quality_rules.cleaned(docs).count() == 0
+
+
+def test_slices_hold_all_rows():
+    import pyarrow as pa
+
+    from marlstone.llm.common import in_slices
+
+    texts = ["a" * 5, None, "b" * 30, "", "c" * 9, "d" * 9, "e"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    slices = [s["text"].to_pylist() for s in in_slices(iter([batch]), "text", 20)]
+    assert sum(slices, []) == texts
+    assert all(len(s) == 1 or sum(len(t or "") for t in s) <= 20 for s in slices)
+    assert list(in_slices(iter([batch.slice(0, 0)]), "text")) == []
