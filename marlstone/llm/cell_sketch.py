@@ -1,4 +1,4 @@
-"""Occurrence counts of 64-bit values in a fixed number of cells, gathered over all tasks.
+"""Occurrence counts of 64-bit hashes in a fixed number of cells, gathered over all tasks.
 
 The size is set by `CELLS`, not by the data, so the merged sketch may go to the driver and from
 there to every task. A cell that counts nothing proves that none of its values occurred; a large
@@ -16,28 +16,33 @@ from pyspark.sql import DataFrame, functions as F
 
 from marlstone.llm.common import col
 
-CELLS = 1 << 22
+CELLS = 1 << 24
+# A task counts a cell up to here; beyond, it is frequent and that is all that is asked.
+MOST = np.iinfo(np.uint16).max
 CHUNK = 1 << 16
 FIELDS = "chunk int, cells binary"
 
 
 class Partial:
-    """What one task counts: 16 MB at most."""
+    """What one task counts, in 32 MB."""
 
     def __init__(self):
-        self.counts = np.zeros(CELLS, np.uint32)
+        self.counts = np.zeros(CELLS, np.uint16)
         self.held: list[np.ndarray] = []
         self.size = 0
 
     def add(self, values: np.ndarray) -> None:
-        self.held.append(cell_of(values))
+        self.held.append(values)
         self.size += len(values)
         if self.size > 1 << 21:
             self._flush()
 
     def _flush(self) -> None:
         if self.held:
-            self.counts += np.bincount(np.concatenate(self.held), minlength=CELLS).astype("u4")
+            cells = cell_of(np.concatenate(self.held))
+            found, times = np.unique(cells, return_counts=True)
+            total = self.counts[found] + times
+            self.counts[found] = np.minimum(total, MOST)
         self.held, self.size = [], 0
 
     def rows(self) -> tuple[pa.Array, pa.Array]:
@@ -50,15 +55,8 @@ class Partial:
 
 
 def cell_of(values: np.ndarray) -> np.ndarray:
-    return (mixed(values) >> np.uint64(64 - CELLS.bit_length() + 1)).astype(np.int64)
-
-
-def mixed(values: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit values that spreads them over all bits."""
-    x = values.astype(np.uint64)
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
+    """The cell of a value, by its first bits: values are hashes already."""
+    return (values >> np.uint64(64 - CELLS.bit_length() + 1)).astype(np.int64)
 
 
 def merged(partials: DataFrame) -> np.ndarray:
@@ -68,7 +66,7 @@ def merged(partials: DataFrame) -> np.ndarray:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for chunk, packed in zip(batch["chunk"].to_pylist(), batch["cells"].to_pylist()):
-                counts = np.frombuffer(zlib.decompress(packed), np.uint32).astype(np.uint64)
+                counts = np.frombuffer(zlib.decompress(packed), np.uint16).astype(np.uint64)
                 total[chunk] = total[chunk] + counts if chunk in total else counts
         levels = [level(x).tobytes() for x in total.values()]
         yield pa.RecordBatch.from_arrays(

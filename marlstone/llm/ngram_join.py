@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from marlstone.llm import cell_sketch
-from marlstone.llm.cell_sketch import Partial, as_values, cell_of, mixed
-from marlstone.llm.common import id_and_text, staged
+from marlstone.llm.cell_sketch import Partial, as_values, cell_of
+from marlstone.llm.common import id_and_text, in_slices, staged
 from marlstone.llm.connected import components
 
 WORDS = 5
@@ -31,6 +31,7 @@ PIVOT_ROUNDS = 2
 TABLE_ENTRIES = 500_000
 ROWS_AT_ONCE = 200_000
 SETS_KEPT = 500
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
 class _Hashes(dict):
@@ -59,10 +60,15 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     own = np.fromiter(map(_hashes.__getitem__, parts), np.uint64, len(parts))
     width = min(words, len(own))
     count = len(own) - width + 1
-    found = np.full(count, width, np.uint64)
-    for k in range(width):
-        found = mixed(found + own[k : k + count])
-    return np.unique(found)
+    # Words are hashes spread over all bits, so a polynomial of them is one too.
+    found = own[:count] + np.uint64(width)
+    for k in range(1, width):
+        found *= FACTOR
+        found += own[k : k + count]
+    found.sort()
+    new = np.ones(count, bool)
+    np.not_equal(found[1:], found[:-1], out=new[1:])
+    return found[new]
 
 
 def set_key(found: np.ndarray) -> bytes:
@@ -75,8 +81,8 @@ def set_id(key: bytes) -> int:
 
 
 def rare_first(found: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    """Shingles by how often their cell was counted, then by hash."""
-    return found[np.lexsort((found, levels[cell_of(found)]))]
+    """Sorted shingles by how often their cell was counted, then by hash."""
+    return found[np.argsort(levels[cell_of(found)], kind="stable")]
 
 
 def prefix_size(size: int, percent: int = PERCENT) -> int:
@@ -106,7 +112,7 @@ def describe_sets(df: DataFrame, words: int = WORDS) -> DataFrame:
         own = Partial()
         kind = None
         names = ["doc_id", "n_shingles", "set_key", "sid", "chunk", "cells"]
-        for batch in batches:
+        for batch in in_slices(batches, "text"):
             kind = batch["doc_id"].type
             sizes, keys = [], []
             for text in batch["text"].to_pylist():
@@ -145,7 +151,7 @@ def prefixes(df: DataFrame, levels, words: int = WORDS, percent: int = PERCENT)
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         held, size = [], 0
-        for batch in batches:
+        for batch in in_slices(batches, "text"):
             for text in batch["text"].to_pylist():
                 found = shingles(text, words)
                 if not len(found):
