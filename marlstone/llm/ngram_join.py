@@ -31,6 +31,7 @@ PIVOT_ROUNDS = 2
 TABLE_ENTRIES = 500_000
 ROWS_AT_ONCE = 200_000
 SETS_KEPT = 500
+PARTS = 256
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -92,40 +93,49 @@ def prefix_size(size: int, percent: int = PERCENT) -> int:
 
 def reaches(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     """Whether 100 * intersection >= percent * union, for sorted arrays."""
-    need = -(-percent * (len(a) + len(b)) // (100 + percent))
-    if need > min(len(a), len(b)) or suffix_overlap(a, b) < need:
-        return False
-    return len(np.intersect1d(a, b, assume_unique=True)) >= need
+    need = least_overlap(len(a), len(b), percent)
+    return min(len(a), len(b)) >= need <= len(np.intersect1d(a, b, assume_unique=True))
 
 
-def suffix_overlap(a: np.ndarray, b: np.ndarray, depth: int = 4) -> int:
-    """An upper bound of the overlap: both sets are parted at common values, part by part."""
-    cuts = np.array([(i << 64 >> depth) for i in range(1, 1 << depth)], np.uint64)
-    sizes = [np.diff(np.searchsorted(x, cuts), prepend=0, append=len(x)) for x in (a, b)]
-    return int(np.minimum(*sizes).sum())
+def part_sizes(found: np.ndarray) -> np.ndarray:
+    """How many shingles of a set fall between each two of `PARTS` common values."""
+    parts = (found >> np.uint64(64 - PARTS.bit_length() + 1)).astype(np.int64)
+    return np.bincount(parts, minlength=PARTS).astype("<u4")
+
+
+def suffix_overlap(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The suffix filter's bound of the overlap: part by part, no more than the smaller has."""
+    return np.minimum(a, b).sum(axis=-1)
+
+
+def least_overlap(size_a, size_b, percent: int):
+    """The overlap from which on two sets of these sizes reach the threshold."""
+    return -(-percent * (size_a + size_b) // (100 + percent))
 
 
 def describe_sets(df: DataFrame, words: int = WORDS) -> DataFrame:
-    """Staged rows of doc_id, n_shingles, set_key, sid; and beside them each task's sketch."""
+    """Staged rows of doc_id, n_shingles, set_key, sid, parts; and each task's sketch beside them."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Partial()
         kind = None
-        names = ["doc_id", "n_shingles", "set_key", "sid", "chunk", "cells"]
+        names = ["doc_id", "n_shingles", "set_key", "sid", "parts", "chunk", "cells"]
         for batch in in_slices(batches, "text"):
             kind = batch["doc_id"].type
-            sizes, keys = [], []
+            sizes, keys, parts = [], [], []
             for text in batch["text"].to_pylist():
                 found = shingles(text, words)
                 own.add(found)
                 sizes.append(len(found))
                 keys.append(set_key(found) if len(found) else None)
+                parts.append(part_sizes(found).tobytes() if len(found) else None)
             ids = [k if k is None else set_id(k) for k in keys]
             none = pa.nulls(len(keys))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
-                    pa.array(ids, pa.int64()), none.cast(pa.int32()), none.cast(pa.binary()),
+                    pa.array(ids, pa.int64()), pa.array(parts, pa.binary()),
+                    none.cast(pa.int32()), none.cast(pa.binary()),
                 ],
                 names=names,
             )
@@ -135,13 +145,16 @@ def describe_sets(df: DataFrame, words: int = WORDS) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     none.cast(kind), none.cast(pa.int64()), none.cast(pa.binary()),
-                    none.cast(pa.int64()), chunk, cells,
+                    none.cast(pa.int64()), none.cast(pa.binary()), chunk, cells,
                 ],
                 names=names,
             )
 
     kind = df.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_shingles bigint, set_key binary, sid bigint, {cell_sketch.FIELDS}"
+    schema = (
+        f"doc_id {kind}, n_shingles bigint, set_key binary, sid bigint, parts binary, "
+        + cell_sketch.FIELDS
+    )
     return staged(df.mapInArrow(describe, schema), "shingle-sets")
 
 
@@ -257,12 +270,32 @@ def _meeting(rows: DataFrame, asking: DataFrame, percent: int) -> DataFrame:
     ).distinct()
 
 
-def candidate_texts(df: DataFrame, sets: DataFrame, rows: DataFrame, words: int) -> DataFrame:
-    """Staged sid and text of the sets in `rows`.
+def plausible(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """The pairs the suffix filter leaves; it needs the part sizes of both sets, not their texts."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches, "parts_a"):
+            if not batch.num_rows:
+                continue
+            a, b = (
+                np.frombuffer(b"".join(batch[c].to_pylist()), "<u4").reshape(-1, PARTS)
+                for c in ("parts_a", "parts_b")
+            )
+            need = least_overlap(a.sum(axis=1, dtype=np.int64), b.sum(axis=1, dtype=np.int64), percent)
+            left = batch.filter(pa.array(suffix_overlap(a, b) >= need))
+            yield left.select(["a", "b"])
+
+    with_a = pairs.join(parts.select(F.col("sid").alias("a"), F.col("parts").alias("parts_a")), "a")
+    both = with_a.join(parts.select(F.col("sid").alias("b"), F.col("parts").alias("parts_b")), "b")
+    return both.select("a", "b", "parts_a", "parts_b").mapInArrow(check, "a bigint, b bigint")
+
+
+def candidate_texts(df: DataFrame, sets: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
+    """Staged sid and text of the sets in `pairs`.
 
     A sketch of the ids of one document per set keeps the other texts out of the shuffle.
     """
-    wanted = rows.select("sid").distinct()
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
     first = sets.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
     ids = wanted.join(first, "sid").select(F.xxhash64("doc_id"))
     present = df.sparkSession.sparkContext.broadcast(cell_sketch.sketch_of(ids))
@@ -319,13 +352,24 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
 
 
 def _search(df: DataFrame, words: int, percent: int):
-    """Sets of all documents, the shared prefix rows, and the texts of the sets in these."""
+    """Sets of all documents, the shared prefix rows, and a function that verifies pairs."""
     made = describe_sets(df, words)
     sets = made.where("chunk is null").drop("chunk", "cells")
     levels = cell_sketch.merged(made.where("chunk is not null").select("chunk", "cells"))
     levels = df.sparkSession.sparkContext.broadcast(levels)
     rows = members(prefixes(df, levels, words, percent), percent)
-    return sets, rows, candidate_texts(df, sets, rows, words)
+    own = rows.select("sid").distinct()
+    known = sets.select("sid", "parts").join(own, "sid", "left_semi").dropDuplicates(["sid"])
+    parts = staged(known, "part-sizes")
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        left = staged(plausible(pairs, parts, percent), "plausible-pairs")
+        if left.isEmpty():
+            return left
+        texts = candidate_texts(df, sets, left, words)
+        return staged(verified(left, texts, words, percent), "links")
+
+    return sets.drop("parts"), rows, verify
 
 
 def similar_sets(
@@ -338,10 +382,9 @@ def similar_sets(
     sid for a document without words). Documents of one set are linked with each other.
     """
     own = id_and_text(df, id_col, text_col)
-    sets, rows, texts = _search(own, words, percent)
+    sets, rows, verify = _search(own, words, percent)
     rows = rows.withColumn("component", F.col("sid"))
-    pairs = staged(_meeting(rows, rows, percent), "pairs")
-    return verified(pairs, texts, words, percent), sets.drop("set_key")
+    return verify(staged(_meeting(rows, rows, percent), "pairs")), sets.drop("set_key")
 
 
 def near_duplicates(
@@ -357,13 +400,13 @@ def near_duplicates(
     unless it has no other. Other columns are ignored; an empty table gives an empty result.
     """
     own = id_and_text(df, id_col, text_col)
-    sets, rows, texts = _search(own, words, percent)
-    links = links_for_components(df.sparkSession, rows, texts, words, percent, pivot_rounds)
+    sets, rows, verify = _search(own, words, percent)
+    links = links_for_components(df.sparkSession, rows, verify, percent, pivot_rounds)
     return name_components(sets, components(links))
 
 
 def links_for_components(
-    spark: SparkSession, rows: DataFrame, texts: DataFrame, words: int, percent: int, rounds: int
+    spark: SparkSession, rows: DataFrame, verify: Callable, percent: int, rounds: int
 ) -> DataFrame:
     """Links enough to connect whatever is connected by links.
 
@@ -385,7 +428,7 @@ def links_for_components(
         if step:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = staged(pairs, "pairs")
-        links = links.unionAll(staged(verified(pairs, texts, words, percent), "links"))
+        links = links.unionAll(verify(pairs))
         tried = tried.unionAll(pairs)
     return links
 
