@@ -40,6 +40,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # Each word is asked for once, so the library's own cache would only cost time.
+        self.tokenizer.model._resize_cache(0)
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.special = tuple(token.content for token in added)
         size = self.tokenizer.get_vocab_size()

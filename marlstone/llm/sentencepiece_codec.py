@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame
 from marlstone.llm.common import id_and_text, in_slices
 
 MARK = "▁"
-# Bounds the table of a worker to about 100 MB; a full table is started again.
-TABLE_ENTRIES = 300_000
+# Bounds the table of a worker to about 250 MB; a full table is started again.
+TABLE_ENTRIES = 800_000
 # Longer words, as in text without spaces, are not worth keeping.
 KEPT_CHARS = 64
 MARKED_WORD = re.compile(r" +[^ ]*")

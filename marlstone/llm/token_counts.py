@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame
 from marlstone.llm.common import id_and_text, in_slices
 from marlstone.llm.sentencepiece_codec import MARK, default_path
 
-# Bounds a worker's trie, and with it the table of counts, to about 150 MB; a full one is started
+# Bounds a worker's trie, and with it the table of counts, to about 350 MB; a full one is started
 # again, which changes no count.
-TRIE_NODES = 500_000
+TRIE_NODES = 1_000_000
 # What an unknown character scores below the worst piece; it counts a token for each byte.
 UNKNOWN_BELOW = 10.0
 # A longer pre-token (text without spaces) is run through by itself and leaves no nodes.
