@@ -204,14 +204,16 @@ def group_of(nodes: list) -> list:
 def generalised(nodes: list) -> list:
     kinds: dict[str, list] = {}
     for node in flattened(nodes):
-        kinds[node[0]] = align(kinds[node[0]], node) if node[0] in kinds else node
+        met = kinds.get(node[0])
+        kinds[node[0]] = node if met is None else repeated(align(met, node))
     return group_of([optional(n) for n in kinds.values()])
 
 
 def flattened(nodes: list) -> Iterator[list]:
+    """Nodes with groups dissolved; what is in a group may come again with it."""
     for node in nodes:
         if node[0] == "()":
-            yield from flattened(node[4])
+            yield from map(repeated, flattened(node[4]))
         else:
             yield node
 
@@ -265,7 +267,10 @@ def main_path(wrapper: list) -> list[str]:
     while True:
         inside = [n for n in flattened(node[4]) if n[0] != "#"]
         best = max(inside, key=lambda n: n[2], default=None)
-        if best is None or best[1] in "+*" or best[2] < MAIN_SHARE * node[2] or not best[2]:
+        # A key met twice does not tell which of the elements is meant.
+        if best is None or best[1] in "+*" or sum(n[0] == best[0] for n in inside) > 1:
+            return path
+        if best[2] < MAIN_SHARE * node[2] or not best[2]:
             return path
         if all(n[0] == "#" for n in flattened(best[4])):
             return path  # a block by itself; its headings stand beside it
@@ -278,7 +283,7 @@ def main_text(page: str, path: list[str]) -> str:
     node, main = parse(page), True
     for key in path:
         inside = [c for c in block_children(node) if isinstance(c, Element) and c.key == key]
-        if not inside:
+        if len(inside) != 1:
             break
         node = inside[0]
         main = main and node.main

@@ -112,3 +112,28 @@ def test_wrappers_do_not_depend_on_how_pages_are_dealt(spark):
         for k in (1, 7)
     ]
     assert paths == [["html", "body", "div.story"]] * 2
+
+
+def test_siblings_of_one_key_are_all_read(spark):
+    rows = [
+        (n, "https://a.example/", f"<body><div>Site name</div><nav>menu</nav><div><p>First {n} of the "
+         f"article</p><h2>Part</h2><p>Second {n} of the article</p></div></body>")
+        for n in range(4)
+    ]
+    found = texts(spark, rows)
+    for n in range(4):
+        assert f"First {n} of the article" in found[n] and f"Second {n} of the article" in found[n]
+
+
+def test_kinds_of_long_lists_and_groups_are_repeated(spark):
+    tags = ["div", "section", "ul", "table", "pre"]
+    kinds = [tags[k * k % 7 % 5] for k in range(120)]
+    long = "".join(
+        f"<{t}><p>{t} {k} has words</p></{t}>" if t == "div" else f"<{t}></{t}>"
+        for k, t in enumerate(kinds)
+    )
+    pairs = "".join(f"<div><p>text {k}</p><h2>x</h2></div><hr>" for k in range(3))
+    found = texts(spark, [(1, "https://a.example/", long), (2, "https://b.example/", pairs)])
+    expected = [f"div {k} has words" for k, t in enumerate(kinds) if t == "div"]
+    assert found[1].split("\n\n") == expected
+    assert [b for b in found[2].split("\n\n") if b != "x"] == ["text 0", "text 1", "text 2"]
