@@ -8,7 +8,7 @@ took. Aligning wrappers works like aligning pages, so every task makes one of it
 host, and these few are aligned with each other afterwards: no task sees all pages of a host.
 
 The wrapper then says which element of the host's pages holds the main text: the innermost one with
-nearly all text outside menus, headers, adverts and the like.
+all text outside menus, headers, adverts and the like.
 """
 
 from __future__ import annotations
@@ -52,8 +52,6 @@ NOT_MAIN_WORDS = frozenset(
     "notices pager pagination popup promo promoted related reply replies respond share sharing "
     "sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
-# How much of the text a child must hold for the main text to be looked for inside it.
-MAIN_SHARE = 0.7
 # A list of children longer than this is written as one group of optional kinds, repeated.
 MOST_CHILDREN = 48
 LONGEST_PERIOD = 4
@@ -270,7 +268,8 @@ def main_path(wrapper: list) -> list[str]:
         # A key met twice does not tell which of the elements is meant.
         if best is None or best[1] in "+*" or sum(n[0] == best[0] for n in inside) > 1:
             return path
-        if best[2] < MAIN_SHARE * node[2] or not best[2]:
+        # Siblings with main text would be lost further down.
+        if best[2] < node[2] or not best[2]:
             return path
         if all(n[0] == "#" for n in flattened(best[4])):
             return path  # a block by itself; its headings stand beside it

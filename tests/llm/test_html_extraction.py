@@ -137,3 +137,13 @@ def test_kinds_of_long_lists_and_groups_are_repeated(spark):
     expected = [f"div {k} has words" for k, t in enumerate(kinds) if t == "div"]
     assert found[1].split("\n\n") == expected
     assert [b for b in found[2].split("\n\n") if b != "x"] == ["text 0", "text 1", "text 2"]
+
+
+def test_text_beside_the_largest_part_stays(spark):
+    body = "<p>The body has most of the words.</p><p>And it goes on for long, page {n}.</p>" * 4
+    html = f"<article><h1>Title {{n}}</h1><div class=lead>Lead {{n}}.</div><div class=body>{body}</div></article>"
+    rows = [(n, "https://a.example/", html.format(n=n)) for n in range(5)]
+    rows.append((5, "https://a.example/", "<article><h1>Title 5</h1><div class=lead>Only a lead.</div></article>"))
+    found = texts(spark, rows)
+    assert all(found[n].startswith(f"Title {n}\n\nLead {n}.\n\nThe body") for n in range(5))
+    assert found[5] == "Title 5\n\nOnly a lead."
