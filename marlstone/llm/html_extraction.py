@@ -41,7 +41,8 @@ CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "body": {"head"},
 }
-# What is never main text, by element, and by a word of its class, id or role.
+# What is never main text by element, and what is not by a word of its class, id or
+# role, unless the wrapper says that the main text is in it.
 NOT_MAIN = frozenset(
     "head nav header footer aside form button select dialog script style textarea title noscript "
     "template iframe svg math".split()
@@ -66,23 +67,34 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 NAME_WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 SPACE = re.compile(r"\s+")
+DIGITS = re.compile(r"[0-9]+")
 
 
 class Element:
-    """A tag with what is in it: elements and decoded texts."""
+    """A tag with what is in it: elements and decoded texts.
 
-    __slots__ = ("children", "key", "main", "name")
+    The key of an element that words rule out ends in a space and these words. If it is a block,
+    the wrapper can still say that the main text is in it (`named_parts`).
+    """
+
+    __slots__ = ("by_word", "children", "key", "main", "name")
 
     def __init__(self, name: str, attributes: str = ""):
         self.name, self.children = name, []
-        self.key, self.main = name, name not in NOT_MAIN
+        self.key, self.main, self.by_word = name, name not in NOT_MAIN, False
+        words: set[str] = set()
         found = [(a.lower(), b or c or d) for a, b, c, d in ATTRIBUTE.findall(attributes)]
         for kind, value in found:
             if kind == "class" and value.strip():
                 self.key = f"{name}.{'.'.join(sorted(value.split()))}"
-            if name not in ("html", "body", "main", "article"):
-                words = {w.lower() for w in NAME_WORD.findall(value)}
-                self.main = self.main and words.isdisjoint(NOT_MAIN_WORDS)
+            words |= not_main_words(value)
+        if words and self.main and name not in ("html", "body", "main", "article"):
+            self.main, self.by_word = False, name not in INLINE
+            self.key = f"{DIGITS.sub('0', self.key)} {'.'.join(sorted(words))}"
+
+
+def not_main_words(value: str) -> set[str]:
+    return {w.lower() for w in NAME_WORD.findall(value)} & NOT_MAIN_WORDS
 
 
 def parse(page: str) -> Element:
@@ -140,23 +152,39 @@ def iter_tokens(page: str) -> Iterator[tuple[int, int, bool, str, str]]:
             at = close[1]
 
 
-# A wrapper node is [key, count, text, slot, children]: how it may occur ("1", "?", "+", "*"),
-# the characters of main text below it, the text all pages share (None for a slot), and its
-# children. Groups of several repeated kinds have the key "()".
+# A wrapper node is [key, count, text, slot, children, open]: how it may occur ("1", "?", "+", "*"),
+# the characters below it that no element rules out by its name, the text all pages share (None for
+# a slot), its children, and how many of the characters are from pages without a plain article.
+# Groups of several repeated kinds have the key "()".
 
 
-def skeleton(element: Element, main: bool = True) -> list:
-    main = main and element.main
+def skeleton(element: Element, main: bool = True, is_open: bool | None = None) -> list:
+    main = main and (element.main or element.by_word)
+    if is_open is None:
+        is_open = not has_plain_article(element)
     children = []
     for child in block_children(element):
         if isinstance(child, str):
             text = SPACE.sub(" ", child).strip()
             if text:
-                children.append(["#", "1", len(text) if main else 0, text, []])
+                size = len(text) if main else 0
+                children.append(["#", "1", size, text, [], size if is_open else 0])
         else:
-            children.append(skeleton(child, main))
+            children.append(skeleton(child, main, is_open))
     children = fold(children)
-    return [element.key, "1", sum(c[2] for c in children), None, children]
+    sizes = [sum(c[k] for c in children) for k in (2, 5)]
+    return [element.key, "1", sizes[0], None, children, sizes[1]]
+
+
+def has_plain_article(element: Element) -> bool:
+    """Whether an article or main element with text stands where nothing rules it out."""
+    todo = [element]
+    while todo:
+        node = todo.pop()
+        if node.name in ("article", "main") and not not_main_words(node.key) and blocks(node):
+            return True
+        todo += [c for c in node.children if isinstance(c, Element) and c.main]
+    return False
 
 
 def block_children(element: Element) -> Iterator[str | Element]:
@@ -196,7 +224,7 @@ def fold(nodes: list) -> list:
 
 
 def group_of(nodes: list) -> list:
-    return ["()", "+", sum(n[2] for n in nodes), None, nodes]
+    return ["()", "+", sum(n[2] for n in nodes), None, nodes, sum(n[5] for n in nodes)]
 
 
 def generalised(nodes: list) -> list:
@@ -231,7 +259,7 @@ def align(a: list, b: list) -> list:
         skip, many = a[1] in "?*" or b[1] in "?*", a[1] in "+*" or b[1] in "+*"
         count = "*" if skip and many else "?" if skip else "+" if many else "1"
     slot = a[3] if a[3] == b[3] else None
-    return [a[0], count, a[2] + b[2], slot, align_lists(a[4], b[4])]
+    return [a[0], count, a[2] + b[2], slot, align_lists(a[4], b[4]), a[5] + b[5]]
 
 
 def align_lists(a: list, b: list) -> list:
@@ -259,17 +287,50 @@ def align_lists(a: list, b: list) -> list:
     return fold([*out, *map(optional, a[i:]), *map(optional, b[j:])])
 
 
+def named_parts(wrapper: list) -> frozenset[str]:
+    """Keys of elements that a word rules out, but that hold the main text of the host.
+
+    On pages without a plain article, these are what holds most of the text, and what is around an
+    article or main element, the fewest such elements first. Parts inside are judged by themselves.
+    """
+    held: dict[str, int] = {}
+    around: set[frozenset[str]] = set()
+
+    def look(node: list, outer: frozenset[str]) -> None:
+        key = node[0]
+        if " " in key and key.split(" ")[0].split(".")[0] not in INLINE and key not in outer:
+            held[key] = held.get(key, 0) + node[5]
+            outer = outer | {key}
+        if key.split(".")[0] in ("article", "main") and node[5] and not not_main_words(key):
+            around.add(outer)
+        for child in node[4]:
+            look(child, outer)
+
+    look(wrapper, frozenset())
+    least = min(map(len, around), default=0)
+    wraps = {key for outer in around if len(outer) == least for key in outer}
+    return frozenset(wraps | {key for key, size in held.items() if 2 * size > wrapper[5]})
+
+
+def main_size(node: list, named: frozenset[str]) -> int:
+    """The characters of main text below a node."""
+    if " " in node[0] and node[0] not in named:
+        return 0
+    return sum(main_size(n, named) for n in node[4]) if node[4] else node[2]
+
+
 def main_path(wrapper: list) -> list[str]:
     """The keys from the root to the element that holds the main text."""
-    path, node = [], wrapper
+    path, node, named = [], wrapper, named_parts(wrapper)
     while True:
         inside = [n for n in flattened(node[4]) if n[0] != "#"]
-        best = max(inside, key=lambda n: n[2], default=None)
+        best = max(inside, key=lambda n: main_size(n, named), default=None)
         # A key met twice does not tell which of the elements is meant.
         if best is None or best[1] in "+*" or sum(n[0] == best[0] for n in inside) > 1:
             return path
         # Siblings with main text would be lost further down.
-        if best[2] < node[2] or not best[2]:
+        size = main_size(best, named)
+        if size < main_size(node, named) or not size:
             return path
         if all(n[0] == "#" for n in flattened(best[4])):
             return path  # a block by itself; its headings stand beside it
@@ -277,50 +338,53 @@ def main_path(wrapper: list) -> list[str]:
         node = best
 
 
-def main_text(page: str, path: list[str]) -> str:
+def reading(wrapper: list) -> tuple[list[str], frozenset[str]]:
+    """What `main_text` takes from the wrapper."""
+    return main_path(wrapper), named_parts(wrapper)
+
+
+def main_text(page: str, path: list[str], named: frozenset[str]) -> str:
     """The blocks below the path, or as far as the page goes along with it."""
-    node, main = parse(page), True
+    node = parse(page)
     for key in path:
         inside = [c for c in block_children(node) if isinstance(c, Element) and c.key == key]
         if len(inside) != 1:
             break
         node = inside[0]
-        main = main and node.main
-    return "\n\n".join(blocks(node)) if main else ""
+    return "\n\n".join(blocks(node, named))
 
 
-def blocks(element: Element) -> list[str]:
+def blocks(element: Element, named: frozenset[str] = frozenset()) -> list[str]:
     """Texts of the blocks in page order, white space made one space, empty ones left out."""
-    done: list[str] = []
-    open_block: list[str] = []
+    return [text for text, outer in parts(element) if named.issuperset(outer)]
 
-    def close() -> None:
-        text = SPACE.sub(" ", "".join(open_block)).strip()
-        if text:
-            done.append(text)
-        open_block.clear()
 
+def parts(element: Element) -> Iterator[tuple[str, tuple[str, ...]]]:
+    """Each block with the keys of the elements around it that words rule out."""
+    open_block: list[str] = []
+    outer: tuple[str, ...] = ()
     # Walked with a stack of its own, as markup can nest deeper than calls.
     todo: list = [element]
     while todo:
         child = todo.pop()
-        if child is None:
-            close()
-        elif isinstance(child, str):
+        if isinstance(child, str):
             open_block.append(child)
-        elif not child.main:
-            if child.name not in INLINE:
-                close()
-        elif child.name == "br":
-            open_block.append(" ")
-        elif child.name in INLINE:
-            todo.extend(reversed(child.children))
-        else:
-            close()
-            todo.append(None)
+            continue
+        if isinstance(child, Element) and child.name in INLINE:
+            if child.main:
+                todo.extend([" "] if child.name == "br" else reversed(child.children))
+            continue
+        # A block begins, or one ends and leaves what was around it.
+        text = SPACE.sub(" ", "".join(open_block)).strip()
+        if text:
+            yield text, outer
+        open_block.clear()
+        if isinstance(child, tuple):
+            outer = child
+        elif child.main or child.by_word:
+            todo.append(outer)
+            outer = (*outer, child.key) if child.by_word else outer
             todo.extend(reversed(child.children))
-    close()
-    return done
 
 
 def host_of(url: Column) -> Column:
@@ -388,13 +452,13 @@ def extract_main_text(
     )
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        paths: dict[str, list[str]] = {}
+        read: dict[str, tuple] = {}
         for batch in in_slices(batches, "html"):
             texts = []
             for page, wrapper in zip(batch["html"].to_pylist(), batch["wrapper"].to_pylist()):
-                if wrapper not in paths:
-                    paths[wrapper] = main_path(json.loads(wrapper))
-                texts.append(main_text(page, paths[wrapper]))
+                if wrapper not in read:
+                    read[wrapper] = reading(json.loads(wrapper))
+                texts.append(main_text(page, *read[wrapper]))
             yield pa.RecordBatch.from_arrays(
                 [batch["page_id"], batch["url"], batch["host"], pa.array(texts, pa.string())],
                 names=["page_id", "url", "host", "text"],

@@ -147,3 +147,23 @@ def test_text_beside_the_largest_part_stays(spark):
     found = texts(spark, rows)
     assert all(found[n].startswith(f"Title {n}\n\nLead {n}.\n\nThe body") for n in range(5))
     assert found[5] == "Title 5\n\nOnly a lead."
+
+
+def test_words_do_not_rule_out_what_holds_the_text(spark):
+    inner = "<h1>Title {n}</h1><p>Para {n} with enough words in it.</p><div class=sidebar>Side {n}</div>"
+    wraps = [
+        f"<div class='content-sidebar-wrap'><article>{inner}</article></div><div id=comments>No {{n}}</div>",
+        f"<div id=page class='has-sidebar'>{inner}</div><div class=ad>Buy</div>",
+        f"<div class='post share-enabled'>{inner}</div>",
+        f"<section class='widget article-body'>{inner}</section><section class=widget>Most read</section>",
+        # A plain article: long comments stay out.
+        f"<article>{inner}</article><div class=comments><article>{'Many words of readers. ' * 20}</article></div>",
+    ]
+    rows = [
+        (10 * k + n, f"https://h{k}.example/", f"<body>{wrap.format(n=n)}</body>")
+        for k, wrap in enumerate(wraps) for n in range(4)
+    ]
+    assert texts(spark, rows) == {
+        10 * k + n: f"Title {n}\n\nPara {n} with enough words in it."
+        for k in range(len(wraps)) for n in range(4)
+    }
