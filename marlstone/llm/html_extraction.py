@@ -8,11 +8,13 @@ took. Aligning wrappers works like aligning pages, so every task makes one of it
 host, and these few are aligned with each other afterwards: no task sees all pages of a host.
 
 The wrapper then says which element of the host's pages holds the main text: the innermost one with
-all text outside menus, headers, adverts and the like.
+all text outside menus, headers, adverts and the like. Blocks that all pages of the host share are
+no slots and are left out.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -56,6 +58,8 @@ NOT_MAIN_WORDS = frozenset(
 # A list of children longer than this is written as one group of optional kinds, repeated.
 MOST_CHILDREN = 48
 LONGEST_PERIOD = 4
+# Blocks on all pages of a host, and on so many at least, belong to the template.
+FEWEST_PAGES = 3
 # Elements nested deeper are read as if they followed each other.
 MOST_DEPTH = 120
 
@@ -155,7 +159,8 @@ def iter_tokens(page: str) -> Iterator[tuple[int, int, bool, str, str]]:
 # A wrapper node is [key, count, text, slot, children, open]: how it may occur ("1", "?", "+", "*"),
 # the characters below it that no element rules out by its name, the text all pages share (None for
 # a slot), its children, and how many of the characters are from pages without a plain article.
-# Groups of several repeated kinds have the key "()".
+# Groups of several repeated kinds have the key "()". The root of a host also has how many pages
+# have text, and the blocks all of these share: by digest, their characters and what is around them.
 
 
 def skeleton(element: Element, main: bool = True, is_open: bool | None = None) -> list:
@@ -176,13 +181,35 @@ def skeleton(element: Element, main: bool = True, is_open: bool | None = None) -
     return [element.key, "1", sizes[0], None, children, sizes[1]]
 
 
+def page_wrapper(page: str) -> list:
+    """The wrapper of one page."""
+    root = parse(page)
+    shared = {digest(*part): [len(part[0]), part[1]] for part in parts(root)}
+    return [*skeleton(root), 1 if shared else 0, shared]
+
+
+def digest(text: str, outer: tuple[str, ...]) -> str:
+    data = "\0".join((text, *outer)).encode("utf-8", "surrogatepass")
+    return hashlib.blake2b(data, digest_size=8).hexdigest()
+
+
+def join_wrappers(a: list, b: list) -> list:
+    """One wrapper for two of different pages."""
+    if not a[6] or not b[6]:
+        shared = a[7] or b[7]
+    else:
+        shared = {key: kept for key, kept in a[7].items() if key in b[7]}
+    return [*align(a, b), a[6] + b[6], shared]
+
+
 def has_plain_article(element: Element) -> bool:
     """Whether an article or main element with text stands where nothing rules it out."""
     todo = [element]
     while todo:
         node = todo.pop()
-        if node.name in ("article", "main") and not not_main_words(node.key) and blocks(node):
-            return True
+        if node.name in ("article", "main") and not not_main_words(node.key):
+            if any(not outer for _, outer in parts(node)):
+                return True
         todo += [c for c in node.children if isinstance(c, Element) and c.main]
     return False
 
@@ -338,31 +365,52 @@ def main_path(wrapper: list) -> list[str]:
         node = best
 
 
-def reading(wrapper: list) -> tuple[list[str], frozenset[str]]:
+def fixed_blocks(wrapper: list, named: frozenset[str]) -> frozenset[str]:
+    """Digests of main text blocks that all pages of the host share, and are no slots.
+
+    None if they make up most of the text: then the pages are copies of each other.
+    """
+    found = {key: size for key, (size, outer) in wrapper[7].items() if named.issuperset(outer)}
+    if wrapper[6] < FEWEST_PAGES:
+        return frozenset()
+    if 2 * wrapper[6] * sum(found.values()) > main_size(wrapper, named):
+        return frozenset()
+    return frozenset(found)
+
+
+def reading(wrapper: list) -> tuple[list[str], frozenset[str], frozenset[str]]:
     """What `main_text` takes from the wrapper."""
-    return main_path(wrapper), named_parts(wrapper)
+    named = named_parts(wrapper)
+    return main_path(wrapper), named, fixed_blocks(wrapper, named)
+
 
+def main_text(
+    page: str, path: list[str], named: frozenset[str], fixed: frozenset[str] = frozenset()
+) -> str:
+    """The blocks below the path, or as far as the page goes along with it, but for fixed ones.
 
-def main_text(page: str, path: list[str], named: frozenset[str]) -> str:
-    """The blocks below the path, or as far as the page goes along with it."""
-    node = parse(page)
+    A page that has nothing else keeps its fixed blocks.
+    """
+    node, outer = parse(page), ()
     for key in path:
         inside = [c for c in block_children(node) if isinstance(c, Element) and c.key == key]
         if len(inside) != 1:
             break
+        outer = (*outer, node.key) if node.by_word else outer
         node = inside[0]
-    return "\n\n".join(blocks(node, named))
-
+    found = [part for part in parts(node, outer) if named.issuperset(part[1])]
+    own = [part for part in found if digest(*part) not in fixed] if fixed else found
+    return "\n\n".join(text for text, _ in own or found)
 
-def blocks(element: Element, named: frozenset[str] = frozenset()) -> list[str]:
-    """Texts of the blocks in page order, white space made one space, empty ones left out."""
-    return [text for text, outer in parts(element) if named.issuperset(outer)]
 
+def parts(
+    element: Element, outer: tuple[str, ...] = ()
+) -> Iterator[tuple[str, tuple[str, ...]]]:
+    """Texts of the blocks in page order, white space made one space, empty ones left out.
 
-def parts(element: Element) -> Iterator[tuple[str, tuple[str, ...]]]:
-    """Each block with the keys of the elements around it that words rule out."""
+    Each comes with the keys of the elements around it that words rule out, after `outer`.
+    """
     open_block: list[str] = []
-    outer: tuple[str, ...] = ()
     # Walked with a stack of its own, as markup can nest deeper than calls.
     todo: list = [element]
     while todo:
@@ -403,8 +451,8 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
         own: dict[str, list] = {}
         for batch in in_slices(batches, "html"):
             for host, page in zip(batch["host"].to_pylist(), batch["html"].to_pylist()):
-                node = skeleton(parse(page))
-                own[host] = align(own[host], node) if host in own else node
+                node = page_wrapper(page)
+                own[host] = join_wrappers(own[host], node) if host in own else node
         yield from _rows(own)
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -412,7 +460,7 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
         for batch in batches:
             for host, text in zip(batch["host"].to_pylist(), batch["wrapper"].to_pylist()):
                 node = json.loads(text)
-                own[host] = align(own[host], node) if host in own else node
+                own[host] = join_wrappers(own[host], node) if host in own else node
         yield from _rows(own)
 
     schema = "host string, wrapper string"
@@ -439,7 +487,8 @@ def extract_main_text(
     """One row per page: page_id, url, host, text.
 
     Blocks of the main text in page order, joined by two line ends; white space inside a block is
-    one space. A null or empty page has an empty text; pages without a host are aligned with each
+    one space. Blocks that all pages of a host share are left out where it has three pages with text
+    or more, unless they are most of its main text, or all of the page's. A null or empty page has an empty text; pages without a host are aligned with each
     other. Repeated pages are extracted alike. Other columns are ignored; an empty table gives an
     empty result.
     """

@@ -167,3 +167,27 @@ def test_words_do_not_rule_out_what_holds_the_text(spark):
         10 * k + n: f"Title {n}\n\nPara {n} with enough words in it."
         for k in range(len(wraps)) for n in range(4)
     }
+
+
+def test_blocks_of_the_template_are_left_out(spark):
+    def html(n, notice="<p>Read our other stories.</p>"):
+        return (
+            f"<article><h1>Title {n}</h1><p>Para {n} with words enough for a page.</p>{notice}"
+            f"<p>More of {n} after it.</p><div class=x7>Call this number.</div></article>"
+        )
+
+    rows = [(n, "https://a.example/", html(n)) for n in range(9)]
+    rows += [(9, "https://a.example/", None)]
+    rows += [(10 + n, "https://two.example/", html(n)) for n in range(2)]
+    rows += [(20 + n, "https://copies.example/", html(0)) for n in range(4)]
+    rows += [(30 + n, "https://some.example/", html(n, "" if n else "<p>Only here.</p>")) for n in range(4)]
+    found = texts(spark, rows)
+    own = "Title {0}\n\nPara {0} with words enough for a page.\n\n{1}More of {0} after it."
+    every = "Title {0}\n\nPara {0} with words enough for a page.\n\nRead our other stories.\n\n" \
+        "More of {0} after it.\n\nCall this number."
+    assert [found[n] for n in range(9)] == [own.format(n, "") for n in range(9)] and found[9] == ""
+    assert [found[10 + n] for n in range(2)] == [every.format(n) for n in range(2)]
+    assert [found[20 + n] for n in range(4)] == [every.format(0)] * 4
+    assert [found[30 + n] for n in range(4)] == [
+        own.format(n, "" if n else "Only here.\n\n") for n in range(4)
+    ]
