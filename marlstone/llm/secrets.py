@@ -1,7 +1,7 @@
 """Secrets in text: plain patterns, and candidates confirmed by decoding them.
 
-Three patterns are reported as they stand. On top of these, runs of base64 or hex are decoded and
-reported where the bytes have the structure of a key: nested DER lengths that add up to the last
+Three patterns are reported as they stand. On top of these, runs of base64 or hex, also over several
+lines, are decoded and reported where the bytes have the structure of a key: nested DER lengths that add up to the last
 byte, the fields of an OpenSSH key, or a signed token whose header names its algorithm. A run that
 decodes to just any bytes is not reported. Each row is scanned by itself, so nothing is shuffled.
 """
@@ -12,7 +12,8 @@ import base64
 import binascii
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from math import ceil
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -31,9 +32,25 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{%d,}" % HEX_CHARS)
 SIGNED = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----(.*?)-----END \1-----", re.DOTALL)
-# Both alphabets of base64; a key of any kind is longer than this.
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
+# Both alphabets of base64. A run can go on after a line end (real or escaped) and what stands around
+# lines that are quoted, commented out or in string literals.
+BASE64 = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+BASE64_KEY = re.compile(
+    r"(?<![A-Za-z0-9+/_-])(?:M[A-P][A-Za-z0-9+/_-]{14,}|b3BlbnNzaC1r[A-Za-z0-9+/_-]*)={0,2}"
+)
 HEX_BYTES = re.compile(r"(?:[0-9a-f]{2}){24,}|(?:[0-9A-F]{2}){24,}")
+HEX_RUN = re.compile(r"(?:[0-9A-Fa-f]{2})+")
+HEX_KEY = re.compile(
+    r"(?<![0-9A-Fa-f])(?:30(?:[0-9A-Fa-f]{2}){11,}|6[Ff]70656[Ee]737368(?:[0-9A-Fa-f]{2})*)"
+)
+ESCAPED_END = re.compile(r"\\+[nr]")
+BETWEEN = re.compile(r"(?:[\s\"'`,;\\>#*|]|[+.&](?=\s)|(?://|--)(?=[ \t]))+")
+PEM_END = re.compile(r"\\+[nr]|[\r\n]")
+ESCAPED_SLASH = re.compile(r"\\+/")
+LITERAL_END = re.compile(r"\s*[\"'`][^A-Za-z0-9]*")
+PEM_LINE = re.compile(
+    r"(?:[^A-Za-z0-9+/=]|[+/]+(?=[ \t]))*([A-Za-z0-9+/]*={0,2})(?:[^A-Za-z0-9+/=]+[+]?\s*)?"
+)
 OPENSSH = b"openssh-key-v1\x00"
 # Object identifiers of RSA, EC, Ed25519 and X25519 keys, as DER content bytes.
 KEY_OIDS = (
@@ -68,14 +85,60 @@ def confirmed_spans(text: str) -> list[Span]:
             if data and (is_private_der(data) or is_openssh(data) or is_encrypted_pem(m, data)):
                 found.append(("pem_key", *m.span()))
     blocks = [(start, end) for kind, start, end in found if kind == "pem_key"]
-    for m in BASE64.finditer(text):
+    # Escaped line ends as real ones of the same length, so that places stay.
+    flat = text
+    if "\\" in text:
+        flat = ESCAPED_END.sub(lambda m: "\n" * len(m[0]), text)
+    for m in BASE64_KEY.finditer(flat):
         if not any(a <= m.start() < b for a, b in blocks):
-            found += [(kind, *m.span()) for kind in key_kinds(from_base64(m[0]))]
+            found += wrapped_key(flat, m, BASE64, from_base64, 4 / 3)
     for m in HEX_BYTES.finditer(text):
         found += [(kind, *m.span()) for kind in key_kinds(bytes.fromhex(m[0]))]
+    for m in HEX_KEY.finditer(flat):
+        found += wrapped_key(flat, m, HEX_RUN, from_hex, 2)
     return found
 
 
+def wrapped_key(
+    text: str,
+    first: re.Match,
+    run: re.Pattern,
+    decode: Callable[[str], bytes | None],
+    per_byte: float,
+) -> list[Span]:
+    """The key that begins with a run and fills it, or it and the runs on the next lines, exactly."""
+    held, at, tried, size = [first[0]], first.end(), 0, None
+    n = len(first[0].rstrip("="))
+    while True:
+        if size is None and n >= 2 * tried:
+            tried, head = n, "".join(held).rstrip("=")
+            data = decode(head[: len(head) // 4 * 4]) or b""
+            size = openssh_size(data) if data.startswith(OPENSSH[: len(data)]) else der_size(data)
+            if size is None and not data.startswith(OPENSSH[: len(data)]):
+                return []
+        if size is not None and n >= ceil(size * per_byte) or held[-1].endswith("="):
+            break
+        between = BETWEEN.match(text, at)
+        following = between and "\n" in between[0] and run.match(text, between.end())
+        if not following:
+            break
+        held.append(following[0])
+        at = following.end()
+        n += len(following[0].rstrip("="))
+    return [(kind, first.start(), at) for kind in key_kinds(decode("".join(held)))]
+
+
+def der_size(data: bytes) -> int | None:
+    """How many bytes a private key has that begins so; None if none does."""
+    if len(data) < 9 or data[0] != 0x30:
+        return None
+    width = data[1] & 0x7F if data[1] & 0x80 else 0
+    inner = data[2 + width :]
+    if width > 4 or not (inner[:1] == b"\x30" or inner[:3] in (b"\x02\x01\x00", b"\x02\x01\x01")):
+        return None
+    return 2 + width + (int.from_bytes(data[2 : 2 + width]) if width else data[1])
+
+
 def secret_spans(text: str) -> list[Span]:
     """All spans, by start, then kind; code points, end exclusive."""
     spans = set(base_spans(text)) | set(confirmed_spans(text))
@@ -90,11 +153,16 @@ def from_base64(run: str) -> bytes | None:
         return None
 
 
+def from_hex(run: str) -> bytes | None:
+    return bytes.fromhex(run)
+
+
 def pem_body(body: str) -> Iterator[str]:
-    """The lines of a block without its headers."""
-    for line in body.split("\n"):
-        if ":" not in line:
-            yield line.strip()
+    """The lines of a block without its headers, and without what quotes or escapes them."""
+    for line in PEM_END.split(ESCAPED_SLASH.sub("/", body)):
+        if ":" not in line and not LITERAL_END.fullmatch(line):
+            bare = PEM_LINE.fullmatch(line)
+            yield bare[1] if bare else line.strip()
 
 
 def is_encrypted_pem(block: re.Match, data: bytes) -> bool:
@@ -158,24 +226,30 @@ def is_private_der(data: bytes) -> bool:
 
 def is_openssh(data: bytes) -> bool:
     """Cipher, key derivation, options, and a count of public keys that all fit."""
+    size = openssh_size(data)
+    return size is not None and size <= len(data)
+
+
+def openssh_size(data: bytes) -> int | None:
+    """Where the last field ends, be it behind the data; None if they end before its length."""
     if not data.startswith(OPENSSH):
-        return False
+        return None
     at = len(OPENSSH)
     for _ in range(3):
         if at + 4 > len(data):
-            return False
+            return None
         at += 4 + int.from_bytes(data[at : at + 4])
     if at + 4 > len(data):
-        return False
+        return None
     keys = int.from_bytes(data[at : at + 4])
     at += 4
     if not 1 <= keys <= 16:
-        return False
+        return None
     for _ in range(keys + 1):
         if at + 4 > len(data):
-            return False
+            return None
         at += 4 + int.from_bytes(data[at : at + 4])
-    return at <= len(data)
+    return at
 
 
 def is_signed(run: str) -> bool:

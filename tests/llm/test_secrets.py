@@ -161,3 +161,36 @@ def test_query_digests(spark, tmp_path):
         assert [row.n_assign, row.n_access, row.n_hex] == count
         spans = secrets.secret_spans(rows[row.doc_id][1] or "")
         assert row.spans == ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+
+
+ENDS = ["\n", "\r\n", "\\n", "\\r\\n", "\\\\n", "\n> ", "\n# ", "\n// ", '\\n" +\n    "']
+
+
+@pytest.mark.parametrize("end", ENDS)
+@pytest.mark.parametrize("seed", range(4))
+def test_keys_over_several_lines(end, seed):
+    for data in (pkcs8(rsa_key(seed)), rsa_key(seed), openssh()):
+        kind = "openssh_key" if data.startswith(secrets.OPENSSH) else "der_key"
+        lines = re.findall(".{1,64}", base64.b64encode(data).decode())
+        block = end.join(["-----BEGIN PRIVATE KEY-----", *lines, "-----END PRIVATE KEY-----"])
+        assert ("pem_key", 5, 5 + len(block)) in secrets.secret_spans(f'{{"k":{block}{end}"}}')
+        left = secrets.redact(block, secrets.secret_spans(block))
+        assert left == "[PEM_KEY]"
+        for digits in (lines, re.findall(".{1,64}", data.hex()), re.findall(".{1,60}", data.hex().upper())):
+            run = end.join(digits)
+            text = f"é key:{end}{run}{end}and more words"
+            at = text.index(run)
+            assert (kind, at, at + len(run)) in secrets.secret_spans(text)
+
+
+def test_headers_and_slashes_of_escaped_blocks():
+    body = base64.b64encode(rsa_key(7)).decode().replace("/", "\\/")
+    block = f"-----BEGIN RSA PRIVATE KEY-----\\nX: y\\n\\n{body}\\n-----END RSA PRIVATE KEY-----"
+    assert kinds(block)[0] == "pem_key"
+
+
+def test_lines_that_are_no_key_together():
+    lines = re.findall(".{1,64}", base64.b64encode(rsa_key(1)).decode())
+    assert "der_key" not in kinds("\n".join([*lines[:2], lines[2][:-4], *lines[3:]]))
+    assert "der_key" not in kinds(" and ".join(lines))
+    assert "der_key" not in kinds("\n".join(lines).rstrip("=") + "AAAA")
