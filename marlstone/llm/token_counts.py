@@ -9,6 +9,7 @@ thus stores its count. A text's count is the sum over its pre-tokens.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,6 +26,7 @@ TRIE_NODES = 1_000_000
 UNKNOWN_BELOW = 10.0
 # A longer pre-token (text without spaces) is run through by itself and leaves no nodes.
 KEPT_CHARS = 64
+MARKED_WORD = re.compile(f"{MARK}+[^{MARK}]*")
 
 
 def zipf_scores(pieces: list[str]) -> dict[str, float]:
@@ -114,19 +116,23 @@ class Trie:
 
 
 def pre_tokens(text: str) -> list[str]:
-    """Runs between single spaces, a marker in front of each: no piece crosses into a marker.
+    """Words, each with the markers for all spaces before it: no piece crosses from a word into one.
 
-    Further spaces of a run are pre-tokens of one marker.
+    One space is put in front of the text; spaces at its end are a pre-token by themselves.
     """
     if not text:
         return []
+    if MARK in text:
+        text = text.replace(MARK, " ")
+    if "  " in text or text[0] == " " or text[-1] == " ":
+        return MARKED_WORD.findall(MARK + text.replace(" ", MARK))
     return [MARK + w for w in text.split(" ")]
 
 
 @lru_cache(maxsize=2)
 def trie(path: str) -> Trie:
     """One trie per worker process, kept from task to task."""
-    return Trie(zipf_scores([p for p in pieces_by_rank(path) if MARK not in p[1:]]))
+    return Trie(zipf_scores(pieces_by_rank(path)))
 
 
 def token_counts(
@@ -134,11 +140,11 @@ def token_counts(
 ) -> DataFrame:
     """One row per document: doc_id, n_pretokens, n_tokens.
 
-    Pre-tokens are what stands between single spaces, each with a marker in front; their tokens
-    are those of the most probable segmentation, ties going to fewer tokens, and a character no
-    piece holds counts one per byte. A null text counts as empty and has none. Rows are counted
-    each for itself, so repeated rows come out repeated; other columns are ignored; an empty table
-    gives an empty result.
+    Pre-tokens are words with a marker in front for each space before them; their tokens are those
+    of the most probable segmentation, ties going to fewer tokens, and a character no piece holds
+    counts one per byte. A null text counts as empty and has none. Rows are counted each for itself,
+    so repeated rows come out repeated; other columns are ignored; an empty table gives an empty
+    result.
     """
     model = model or default_path()
     rows = id_and_text(df, id_col, text_col)

@@ -254,3 +254,15 @@ def test_token_counts(edge_docs, no_docs):
         expected.append((row.doc_id, len(words), tokens))
     assert by_row(token_counts.token_counts(edge_docs)) == sorted(expected, key=repr)
     assert token_counts.token_counts(no_docs).count() == 0
+
+
+def test_runs_of_spaces_are_segmented_whole():
+    path = sentencepiece_codec.default_path()
+    trie = token_counts.trie(path)
+    scores = token_counts.zipf_scores(token_counts.pieces_by_rank(path))
+    texts = ["def f():\n    return  1", "a        b", "  lead", "tail   ", " ", " " * 40 + "x y", "a▁ b"]
+    for text in [*texts, *scrappy(60, 9)]:
+        found = sum(map(trie.count, token_counts.pre_tokens(text)))
+        whole = "▁" + text.replace(" ", "▁")
+        assert found == (brute_count(whole, scores, trie.unknown) if text else 0)
+    assert token_counts.pre_tokens("a  b ") == ["▁a", "▁▁b", "▁"]
