@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marlstone.llm import exact_dedup as dedup
 from marlstone.llm.common import find_package, table
+from marlstone.llm.conversation_repair import damaged, repaired_conversations
 from marlstone.llm.html_extraction import extract_main_text
 from marlstone.llm.ngram_join import near_duplicates
 from marlstone.llm.packing import pack
@@ -113,3 +114,9 @@ def op9_token_files(spark, sf_dir):
 @query
 def op10_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_conversation_repair(spark, sf_dir):
+    rows = damaged(table(spark, sf_dir, "conversations"))
+    return repaired_conversations(rows, present=F.col("present"))[0]
