@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marlstone.llm import exact_dedup as dedup
+from marlstone.llm import exact_dedup as dedup, language_id
 from marlstone.llm.common import find_package, table
 from marlstone.llm.conversation_repair import damaged, repaired_conversations
 from marlstone.llm.html_extraction import extract_main_text
@@ -120,3 +120,15 @@ def op10_token_counts(spark, sf_dir):
 def op11_conversation_repair(spark, sf_dir):
     rows = damaged(table(spark, sf_dir, "conversations"))
     return repaired_conversations(rows, present=F.col("present"))[0]
+
+
+@query
+def op12_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = language_id.held_out(F.col("doc_id"))
+    languages = language_id.learn(docs.where(~held_out))
+    found = language_id.label_languages(docs, languages)
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score",
+        F.size("spans").cast("long").alias("n_spans"),
+    )
