@@ -76,5 +76,48 @@ SELECT doc_id,
   doc_id = max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS kept,
   sha256(coalesce(text, '')) AS text_sha256
 FROM documents
+""",
+    "op13_phrase_mining": r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM piece
+), gram AS (
+  SELECT lang, k, array_to_string(words[i:i+k-1], ' ') AS phrase
+  FROM w, range(1, 4) AS t(k), unnest(range(1, len(words) - k + 2)) AS u(i)
+), f AS (
+  SELECT lang, k, phrase, count(*) AS a FROM gram GROUP BY lang, k, phrase
+), total AS (
+  SELECT lang, sum(a) AS n FROM f WHERE k = 1 GROUP BY lang
+), cand AS (
+  SELECT lang, k, phrase, a, string_split(phrase, ' ') AS words FROM f WHERE k > 1 AND a >= 10
+), cut AS (
+  SELECT c.lang, c.phrase, c.k, c.a, j, x.a AS l, y.a AS r,
+         (1000000::HUGEINT * c.a * c.a) // (x.a::HUGEINT * y.a) AS score
+  FROM cand AS c, range(1, 3) AS t(j)
+  JOIN f AS x ON x.lang = c.lang AND x.phrase = array_to_string(c.words[1:j], ' ')
+  JOIN f AS y ON y.lang = c.lang AND y.phrase = array_to_string(c.words[j+1:], ' ')
+  WHERE j < c.k
+), weakest AS (
+  SELECT * FROM cut
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), covered AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, array_to_string(words[1:2], ' ') AS phrase, a FROM cand WHERE k = 3
+    UNION ALL
+    SELECT lang, array_to_string(words[2:3], ' '), a FROM cand WHERE k = 3
+  ) GROUP BY lang, phrase
+), left_over AS (
+  SELECT q.* FROM weakest AS q LEFT JOIN covered AS c ON c.lang = q.lang AND c.phrase = q.phrase
+  WHERE c.longer IS NULL OR 100 * c.longer < 50 * q.a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM left_over
+)
+SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n::BIGINT AS n, r.score::BIGINT AS score
+FROM ranked AS r JOIN total AS t ON t.lang = r.lang WHERE r.rank <= 2000
 """,
 }

@@ -12,6 +12,7 @@ from marlstone.llm.conversation_repair import damaged, repaired_conversations
 from marlstone.llm.html_extraction import extract_main_text
 from marlstone.llm.ngram_join import near_duplicates
 from marlstone.llm.packing import pack
+from marlstone.llm.phrase_mining import phrases
 from marlstone.llm.quality_classifier import classify
 from marlstone.llm.quality_rules import quality_rules
 from marlstone.llm.secrets import KINDS, secret_scan
@@ -132,3 +133,8 @@ def op12_language_id(spark, sf_dir):
         "doc_id", held_out.alias("held_out"), "lang_pred", "score",
         F.size("spans").cast("long").alias("n_spans"),
     )
+
+
+@query
+def op13_phrase_mining(spark, sf_dir):
+    return phrases(table(spark, sf_dir, "documents"))
