@@ -20,13 +20,19 @@ def row_count_delta(
     cutoff = (now if isinstance(now, Column) else F.lit(now)) - F.lit(lag)
     counts = df.agg(
         F.count_if(F.col(ts_col) <= cutoff).alias("_before"),
-        F.count(F.lit(1)).alias("today"),
-    ).withColumn("yesterday", F.nullif(F.col("_before"), F.lit(0)))
+        F.count(F.lit(1)).alias("_now"),
+    )
+    return count_delta(counts, F.col("_before"), F.col("_now"))
+
+
+def count_delta(counts: DataFrame, before: Column, today: Column) -> DataFrame:
+    """One row of two counts as yesterday, today, difference and status."""
+    yesterday = F.nullif(before, F.lit(0))
     return counts.select(
-        "yesterday",
-        "today",
-        (F.col("today") - F.col("yesterday")).alias("difference"),
-        F.when(F.col("yesterday").isNull(), "First load").otherwise("Loaded").alias("status"),
+        yesterday.alias("yesterday"),
+        today.alias("today"),
+        (today - yesterday).alias("difference"),
+        F.when(yesterday.isNull(), "First load").otherwise("Loaded").alias("status"),
     )
 
 

@@ -3,12 +3,21 @@ import gzip
 import json
 import os
 import time
+from dataclasses import replace
 
 import pytest
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    DecimalType,
+    DoubleType,
+    LongType,
+    StringType,
+    StructType,
+)
 
 from marlstone.sources import fs, store
-from marlstone.sources.schema import infer_or_load_schema, widen
+from marlstone.sources.schema import grown, infer_or_load_schema, load_epochs, widen
 from marlstone.streaming.ingest import (
     Feed,
     Landed,
@@ -17,6 +26,8 @@ from marlstone.streaming.ingest import (
     ingest_json,
     land,
     read_bronze,
+    schema_path,
+    waiting_fields,
     with_audit,
 )
 from tests.conftest import NOW, plan_of, values
@@ -212,7 +223,7 @@ def test_schema_is_kept_and_widened(spark, tmp_path):
     assert first.simpleString() == "struct<id:bigint,who:array<struct<x:string>>>"
     assert infer_or_load_schema(spark, src, kept, evolve=False) == first
     drop(src, "b.json", {"id": "text", "who": [{"x": "a", "y": 2}], "new": True})
-    second = infer_or_load_schema(spark, src, kept)
+    second = infer_or_load_schema(spark, src, kept, grow=False)
     assert second.simpleString() == "struct<id:bigint,who:array<struct<x:string,y:bigint>>,new:boolean>"
     assert infer_or_load_schema(spark, src, kept, evolve=False) == second
     assert json.loads(fs.read_text(spark, kept))["schema"] == second.jsonValue()
@@ -222,3 +233,111 @@ def test_widen_keeps_known_types():
     left = StructType().add("a", "long").add("s", StructType().add("x", "string"))
     right = StructType().add("a", "string").add("s", StructType().add("y", "long")).add("b", "string")
     assert widen(left, right).simpleString() == "struct<a:bigint,s:struct<x:string,y:bigint>,b:string>"
+
+
+def read(spark, feed, *cols):
+    return values(read_bronze(spark, feed), *cols)
+
+
+def test_numbers_keep_their_values_when_their_type_grows(spark, feed):
+    drop(feed.src, "a.json", {"id": 1, "rating": 4, "s": {"x": 1}, "a": [{"n": 1}, None], "big": 7})
+    ingest_all(spark, [feed])
+    drop(feed.src, "b.json", {"id": 2, "rating": 3.5, "s": {"x": 1.25}, "a": [{"n": 2.5}]})
+    ingest_all(spark, [feed])
+    kept = read_bronze(spark, feed)
+    assert dict(kept.dtypes)["rating"] == "double" and kept.filter("_rescued_line IS NOT NULL").count() == 0
+    assert read(spark, feed, "id", "rating", "s.x", "a.n") == [
+        (1, 4.0, 1.0, [1.0, None]), (2, 3.5, 1.25, [2.5])]
+    drop(feed.src, "c.json", '{"id":3,"rating":"good","big":123456789012345678901}')
+    ingest_all(spark, [feed])
+    assert read(spark, feed, "id", "rating") == [(1, "4"), (2, "3.5"), (3, "good")]
+    assert [str(r[0]) for r in read(spark, feed, "big")] == ["123456789012345678901", "7", "None"]
+    drop(feed.src, "d.json", '{"id":4,"s":"text","a":{"n":1}}')
+    ingest_all(spark, [feed])
+    assert read(spark, feed, "id", "s", "a")[:2] == [
+        (1, '{"x":1}', '[{"n":1},null]'), (2, '{"x":1.25}', '[{"n":2.5}]')]
+    assert read(spark, feed, "id", "s", "a")[-1] == (4, "text", '{"n":1}')
+
+
+def test_a_batch_without_values_changes_no_type(spark, feed):
+    drop(feed.src, "a.json", {"id": 1, "n": 4, "who": [{"x": 1}]})
+    ingest_all(spark, [feed])
+    drop(feed.src, "b.json", {"id": 2, "n": None, "who": []})
+    ingest_all(spark, [feed])
+    assert dict(read_bronze(spark, feed).dtypes)["n"] == "bigint"
+    assert read(spark, feed, "id", "n", "who.x") == [(1, 4, [1]), (2, None, [])]
+
+
+def test_a_batch_run_again_after_a_type_has_grown(spark, feed):
+    drop(feed.src, "a.json", {"id": 1, "n": 4})
+    drop(feed.src, "b.json", {"id": 2, "n": 3.5})
+    for batch, name in ((0, "a"), (1, "b"), (1, "b")):
+        lines = with_audit(spark.read.text(f"{feed.src}/{name}.json"), NOW)
+        land(feed, lines, batch, Landed())
+    assert read(spark, feed, "id", "n") == [(1, 4.0), (2, 3.5)]
+    drop(feed.src, "c.json", {"id": 3, "n": 1, "more": 5})
+    land(feed, with_audit(spark.read.text(f"{feed.src}/c.json"), NOW), 2, Landed())
+    assert read(spark, feed, "id", "n", "more") == [(1, 4.0, None), (2, 3.5, None), (3, 1.0, 5)]
+    assert [batch for batch, _ in load_epochs(spark, schema_path(feed))] == [0, 1]
+
+
+def test_types_have_an_order():
+    long, double, text = LongType(), DoubleType(), StringType()
+    assert grown(long, double) == grown(double, long) == grown(double, DecimalType(20, 2)) == double
+    assert grown(long, DecimalType(20, 0)) == DecimalType(20, 0)
+    assert grown(DecimalType(30, 0), DecimalType(30, 20)) == double
+    assert grown(long, BooleanType()) == grown(text, double) == grown(StructType(), long) == text
+    inner = StructType().add("x", long)
+    assert grown(ArrayType(inner), ArrayType(StructType().add("x", double).add("y", text))) == ArrayType(
+        StructType().add("x", double).add("y", text))
+
+
+def test_inferred_schema_grows_too(spark, tmp_path):
+    src, kept = f"{tmp_path}/raw", f"{tmp_path}/schema.json"
+    drop(src, "a.json", {"id": 1})
+    infer_or_load_schema(spark, src, kept)
+    drop(src, "b.json", {"id": 1.5})
+    schema = infer_or_load_schema(spark, src, kept)
+    assert values(spark.read.schema(schema).json(src)) == [(1.0,), (1.5,)]
+
+
+ASIDE = [
+    '{"id":1,"s":{"x":1}}', '{"id":2,"s":{"x":1,"y":2},"new":"v","none":null}',
+    '{"id":3,"a":[{"x":1},{"x":2,"y":{"z":[1]}}]}', '{"id":4,"s":{"y":9,"deep":{"q":true}},"new":"w"}',
+    '{"id":"no number","new":"lost?"}', "{broken", '{"id":5,"s":null,"a":null}', '{"id":6,"s":7,"new":8}',
+]
+
+
+def test_unknown_fields_are_kept_aside_and_taken_over(spark, feed):
+    inner = StructType().add("x", "long")
+    first = StructType().add("id", "long").add("s", inner).add("a", ArrayType(inner))
+    strict = replace(feed, schema=first, rescue="fields")
+    drop(feed.src, "a.json", *ASIDE)
+    ingest_all(spark, [strict])
+    rows = read_bronze(spark, strict).selectExpr(
+        "id", "to_json(_rescued_fields) AS more", "_rescued_line AS line")
+    assert values(rows) == sorted([
+        (1, None, None), (2, '{"new":"v","s":{"y":2}}', None), (3, '{"a":[{},{"y":{"z":[1]}}]}', None),
+        (4, '{"new":"w","s":{"deep":{"q":true},"y":9}}', None), (5, None, None),
+        (None, '{"new":"lost?"}', ASIDE[4]), (None, None, "{broken"),
+        (6, '{"new":8}', ASIDE[7]),
+    ], key=repr)
+    assert values(waiting_fields(spark, strict)) == [(
+        "OBJECT<a: ARRAY<OBJECT<y: OBJECT<z: ARRAY<BIGINT>>>>, new: VARIANT, "
+        "s: OBJECT<deep: OBJECT<q: BOOLEAN>, y: BIGINT>>",
+    )]
+
+    wider = StructType().add("x", "long").add("y", "long").add("deep", StructType().add("q", "boolean"))
+    second = replace(strict, schema=StructType().add("id", "long").add("s", wider)
+                     .add("a", ArrayType(inner)).add("new", "string"))
+    drop(feed.src, "b.json", '{"id":7,"s":{"x":3,"y":4},"new":"z","later":1}')
+    ingest_all(spark, [second])
+    found = read_bronze(spark, second)
+    assert [f for f in values(found, "id", "s.x", "s.y", "s.deep.q", "new") if f[0]] == sorted([
+        (1, 1, None, None, None), (2, 1, 2, None, "v"), (3, None, None, None, None),
+        (4, None, 9, True, "w"), (5, None, None, None, None), (6, None, None, None, "8"),
+        (7, 3, 4, None, "z"),
+    ], key=repr)
+    assert values(found.filter("id = 7").selectExpr("to_json(_rescued_fields)")) == [('{"later":1}',)]
+    with pytest.raises(ValueError, match="rescue"):
+        replace(feed, rescue="nothing")
