@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from marlstone import fixed_values as fixed
 
@@ -40,6 +40,72 @@ def interactions_agg(
     )
 
 
+def review_sums(
+    reviews: DataFrame, keys: Sequence[str], rating: str = "rating", votes: str = "n_votes"
+) -> DataFrame:
+    """What `review_features` needs of some of the reviews: sums that add up over any split."""
+    return reviews.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("reviews"),
+        F.sum(F.col(rating).cast("long")).alias("rating_sum"),
+        F.count(rating).alias("rating_count"),
+        F.count_if(F.col(rating) >= fixed.POSITIVE_FROM).alias("positive"),
+        F.count_if(F.col(rating) <= fixed.NEGATIVE_UP_TO).alias("negative"),
+        F.sum(F.col(votes).cast("long")).alias("votes_sum"),
+        F.count(votes).alias("votes_count"),
+    )
+
+
+def review_features(sums: DataFrame, key: str = "book_id") -> DataFrame:
+    """`reviews_agg` from partial sums, several rows per key."""
+    return add_up(sums, [key]).select(
+        key,
+        F.col("reviews").alias("total_reviews"),
+        mean_of("rating_sum", "rating_count").alias("avg_review_rating"),
+        F.col("positive").alias("positive_reviews"),
+        F.col("negative").alias("negative_reviews"),
+        mean_of("votes_sum", "votes_count").alias("avg_votes"),
+    )
+
+
+def interaction_sums(
+    interactions: DataFrame,
+    keys: Sequence[str],
+    read: str = "is_read",
+    reviewed: str = "has_review",
+    rating: str = "rating",
+) -> DataFrame:
+    """What `interaction_features` needs of some of the interactions."""
+    return interactions.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("interactions"),
+        F.sum(read).alias("read"),
+        F.sum(reviewed).alias("reviewed"),
+        F.sum(F.col(rating).cast("long")).alias("rating_sum"),
+        F.count(rating).alias("rating_count"),
+    )
+
+
+def interaction_features(sums: DataFrame, key: str = "book_id") -> DataFrame:
+    """`interactions_agg` from partial sums, several rows per key."""
+    return add_up(sums, [key]).select(
+        key,
+        F.col("interactions").alias("total_interactions"),
+        F.col("read").alias("total_read"),
+        F.col("reviewed").alias("total_reviewed"),
+        mean_of("rating_sum", "rating_count").alias("avg_interaction_rating"),
+    )
+
+
+def add_up(sums: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Partial sums put together: one row per key, every other column summed."""
+    rest = [c for c in sums.columns if c not in keys]
+    return sums.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in rest])
+
+
+def mean_of(total: str, count: str, digits: int = 2) -> Column:
+    """A rounded mean; NULL where nothing was counted."""
+    return F.round(F.try_divide(F.col(total).cast("double"), F.col(count)), digits)
+
+
 def label_totals(df: DataFrame, keys: Sequence[str], value: str, total: str) -> DataFrame:
     """Sum of `value` per key combination."""
     return df.groupBy(*keys).agg(F.sum(value).alias(total))

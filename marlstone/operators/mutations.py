@@ -137,6 +137,19 @@ def new_rows(target: DataFrame | None, source: DataFrame, keys: Sequence[str]) -
     return source.join(target.select(*keys), list(keys), "left_anti")
 
 
+def met_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The source keys the target holds, one key column: never more rows than the source's.
+
+    For a large target. Only its key column is read, and inside `session.bloom_filtered` only the
+    stored keys a Bloom filter of the source's lets through are shuffled. An anti-join cannot be
+    filtered like that, so `new_rows` is then asked against these few.
+    """
+    [key] = keys
+    # Spark makes the filter only of a side it takes for selective; every key passes this test.
+    wanted = source.select(key).filter(F.col(key) >= F.lit(""))
+    return target.select(key).join(wanted, key, "left_semi")
+
+
 def append_new(target: DataFrame | None, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The target plus the source rows whose key it lacks; rows already there never change."""
     if target is None:

@@ -47,3 +47,33 @@ def file_inventory(spark: SparkSession, path: str) -> DataFrame:
         megabytes("length").alias("size_mb"),
         F.date_format("modificationTime", "yyyy-MM-dd HH:mm:ss").alias("last_modified"),
     )
+
+
+def inventory_difference(before: DataFrame, after: DataFrame, key: str = "path") -> DataFrame:
+    """What two listings differ in: key, change (new, changed, gone), lengths, bytes added.
+
+    Both hold `key` at most once, as listings do, and come out of the join hashed on it. A file is
+    changed when its length is, or when it was written anew with the same.
+    """
+    def side(listing: DataFrame, name: str) -> DataFrame:
+        return listing.select(key, F.struct("length", "modificationTime").alias(name))
+
+    old, new = F.col("old"), F.col("new")
+    change = (
+        F.when(old.isNull(), "new")
+        .when(new.isNull(), "gone")
+        .when(~old.eqNullSafe(new), "changed")
+    )
+    length = [F.coalesce(x["length"], F.lit(0)) for x in (old, new)]
+    return (
+        side(before, "old")
+        .join(side(after, "new"), key, "full")
+        .select(
+            key,
+            change.alias("change"),
+            old["length"].alias("length_before"),
+            new["length"].alias("length_now"),
+            (length[1] - length[0]).alias("bytes_added"),
+        )
+        .filter("change IS NOT NULL")
+    )

@@ -13,14 +13,17 @@ leaves the rest where it is:
 * write_versions  'current' is replaced, 'closed' is added to, so history is written once
 * write_parts     the parts named are replaced, others added to
 
-Earlier runs stay readable with `run=` until `drop_old_runs` removes what only they hold.
+Earlier runs stay readable with `run=` until `drop_old_runs` removes what only they hold. A run may
+leave notes in its log line, such as how far it has read its source; they stay until a later run
+replaces them, and are committed together with the rows.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Collection
+import uuid
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -32,6 +35,7 @@ LOG_SCHEMA = (
     "table_schema string, parts map<string,array<long>>"
 )
 WHOLE = "all"
+BUCKETS = "buckets"
 
 
 def versions(spark: SparkSession, root: str) -> list[int]:
@@ -97,17 +101,24 @@ def _publish(
     run_id: int | None = None,
     now: dt.datetime | None = None,
     balance: bool = False,
+    notes: dict | None = None,
+    cluster: Sequence[str] = (),
+    buckets: tuple[int, str] | None = None,
 ) -> dict[str, int]:
     """Write a run, then commit it; returns row counts observed during the write.
 
-    Parts in `replaced` (all when None) give up the runs that held them.
+    Parts in `replaced` (all when None) give up the runs that held them. With `cluster` rows are
+    dealt to files by ranges of those columns and sorted by them, so that readers who ask for few
+    values skip most row groups. With `buckets`, a count and a column, files are kept hashed on
+    the column; a table keeps the buckets it began with, and `catalog.bucketed` reads it that way.
     """
     spark = df.sparkSession
     done = versions(spark, root)
     run_id = next_run(spark, root) if run_id is None else run_id
     if done and run_id <= done[-1]:
         raise ValueError(f"{root}: run {run_id} is not after run {done[-1]}")
-    held = state(spark, root)["parts"] if done else {}
+    former = state(spark, root) if done else {}
+    held = former.get("parts", {})
     gone = held if replaced is None else replaced
     held = {name: numbers for name, numbers in held.items() if name not in gone}
     if held and (WHOLE in held) != (part is None):
@@ -116,24 +127,45 @@ def _publish(
     seen = Observation()
     counts = {"rows": F.count(F.lit(1)), **(counts or {})}
     rows = df if part is None else df.withColumn("part", part)
-    if balance:
+    lead = [] if part is None else ["part"]
+    held_in = former.get("notes", {}).get(BUCKETS) or buckets
+    if held_in:
+        rows = rows.repartition(*held_in).sortWithinPartitions(*lead, held_in[1])
+    elif cluster:
+        rows = rows.repartitionByRange(*lead, *cluster).sortWithinPartitions(*lead, *cluster)
+    elif balance:
         rows = rows.hint("rebalance", F.col("part"))
     writer = rows.observe(seen, *[c.alias(n) for n, c in counts.items()]).write.mode("overwrite")
     target = run_folder(root, run_id)
-    if part is None:
+    if part is not None:
+        writer = writer.partitionBy("part")
+    if held_in:
+        notes = {**(notes or {}), BUCKETS: list(held_in)}
+        _write_buckets(spark, writer, target, *held_in)
+    else:
         writer.parquet(target)
+    if part is None:
         written = [WHOLE]
     else:
-        writer.partitionBy("part").parquet(target)
         folders = fs.list_names(spark, target)
         written = [f.removeprefix("part=") for f in folders if f.startswith("part=")]
     for name in written:
         held[name] = [*held.get(name, []), run_id]
     metrics = {name: int(count) for name, count in seen.get.items()}
-    log_run(spark, root, run_id, operation, metrics, df.schema, held, now)
+    schema = df.schema if part is None else df.drop("part").schema
+    notes = {**former.get("notes", {}), **(notes or {})}
+    log_run(spark, root, run_id, operation, metrics, schema, held, now, notes)
     return metrics
 
 
+def _write_buckets(spark: SparkSession, writer, target: str, count: int, column: str) -> None:
+    """Spark writes buckets to named tables only; the name goes again, the files stay."""
+    name = f"bucketed_{uuid.uuid4().hex}"
+    writer = writer.format("parquet").option("path", target)
+    writer.bucketBy(count, column).sortBy(column).saveAsTable(name)
+    spark.sql(f"DROP TABLE {name}")
+
+
 def log_run(
     spark: SparkSession,
     root: str,
@@ -143,6 +175,7 @@ def log_run(
     schema: StructType,
     parts: dict[str, list[int]],
     now: dt.datetime | None = None,
+    notes: dict | None = None,
 ) -> None:
     """Commit a run by its log line."""
     line = {
@@ -152,6 +185,7 @@ def log_run(
         "operationMetrics": {name: str(count) for name, count in metrics.items()},
         "table_schema": schema.json(),
         "parts": parts,
+        "notes": notes or {},
     }
     fs.write_text(spark, log_path(root, run_id), json.dumps(line) + "\n")
 
@@ -168,6 +202,16 @@ def state(spark: SparkSession, root: str, run: int | None = None) -> dict:
     return json.loads(fs.read_text(spark, log_path(root, done[-1])))
 
 
+def notes(spark: SparkSession, root: str) -> dict:
+    """What the runs so far have noted; nothing where there is no table."""
+    return state(spark, root).get("notes", {}) if has_table(spark, root) else {}
+
+
+def rows_written(spark: SparkSession, root: str) -> int:
+    """How many rows the last run wrote, as counted while it did."""
+    return int(state(spark, root)["operationMetrics"]["rows"])
+
+
 def table_schema(line: dict) -> StructType:
     return StructType.fromJson(json.loads(line["table_schema"]))
 
@@ -195,6 +239,17 @@ def read_table(
     return spark.read.schema(schema).parquet(*paths)
 
 
+def read_runs(spark: SparkSession, root: str, runs: dict[str, list[int]]) -> DataFrame:
+    """The rows that some runs wrote of some parts, with the part's name in `part`."""
+    schema = table_schema(state(spark, root))
+    if WHOLE in runs:
+        folders = [run_folder(root, number) for number in runs[WHOLE]]
+        return spark.read.schema(schema).parquet(*folders).withColumn("part", F.lit(WHOLE))
+    folders = [run_folder(root, number, name) for name, some in runs.items() for number in some]
+    reader = spark.read.schema(schema.add("part", "string")).option("basePath", f"{root}/data")
+    return reader.parquet(*folders).drop("run_id")
+
+
 def read_current(spark: SparkSession, root: str) -> DataFrame:
     """The current rows of a versioned table, without opening its history."""
     return read_table(spark, root, parts=("current",))
