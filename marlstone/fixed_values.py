@@ -99,6 +99,21 @@ FEATURE_COLUMNS = (
     "avg_interaction_rating", "popularity_score",
 )
 
+TOP_TITLE_COLUMNS = (
+    "title", "author_ids", "average_rating", "positive_review_pct", "to_read_count",
+    "popularity_score", "audiobook_priority",
+)
+
+# How each silver table is loaded, as its summary says.
+STRATEGIES = {
+    "dim_books": "SCD Type 2",
+    "dim_authors": "SCD Type 2",
+    "dim_shelves": "Overwrite",
+    "bridge_book_authors": "Overwrite",
+    "reviews": "Append only",
+    "interactions": "Merge",
+}
+
 # Routing: the catch-all type, then the first keyword found in the file name.
 WHOLE_SET_TYPE = "complete"
 NAME_KEYWORDS = ("books", "reviews", "interactions")

@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Collection
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -16,10 +17,17 @@ from marlstone import fixed_values as fixed
 from marlstone.functions.cleaning import stamp
 from marlstone.operators import manifest as files
 from marlstone.operators.calendar import calendar
-from marlstone.operators.monitor import layer_summary, row_count_delta
+from marlstone.operators.features import (
+    interaction_features,
+    interaction_sums,
+    review_features,
+    review_sums,
+)
+from marlstone.operators.monitor import layer_summary
 from marlstone.operators.mutations import (
     merge_matches,
     merge_newest,
+    met_keys,
     new_rows,
     replace_keys,
     scd2_delta,
@@ -27,20 +35,22 @@ from marlstone.operators.mutations import (
 )
 from marlstone.operators.rows import expect_no_nulls
 from marlstone.plans import activity, books, gold
-from marlstone.session import sized_for
+from marlstone.plans.rollup import Rollup, refresh
+from marlstone.session import bloom_filtered, sized_for
 from marlstone.sources import catalog, fs, store
 from marlstone.sources.files import file_inventory, read_catalogue
-from marlstone.streaming.ingest import LOADED_AT, Feed, feed_log, ingest_all, read_bronze
+from marlstone.streaming.ingest import (
+    Feed,
+    bronze_row_delta,
+    drain,
+    feed_log,
+    ingest_all,
+    read_bronze,
+    rescued_by_day,
+)
 
 ENTITIES = ("books", "reviews", "interactions")
-STRATEGIES = {
-    "dim_books": "SCD Type 2",
-    "dim_authors": "SCD Type 2",
-    "dim_shelves": "Overwrite",
-    "bridge_book_authors": "Overwrite",
-    "reviews": "Append only",
-    "interactions": "Merge",
-}
+STRATEGIES = fixed.STRATEGIES
 PRODUCTS = {"audiobook_priority": "business", "book_features": "modelling"}
 
 
@@ -48,13 +58,16 @@ PRODUCTS = {"audiobook_priority": "business", "book_features": "modelling"}
 class Lake:
     """Where the tables are. `raw` maps an entity to its folder of JSON files.
 
-    `feeds` holds `Feed` settings for ingest, such as `max_bytes` or `spread`.
+    `feeds` holds `Feed` settings for ingest, such as `max_bytes` or `spread`. With `buckets` what
+    gold reads is kept hashed on the book in that many files a run, and gold joins it without a
+    shuffle; a table keeps the number it began with.
     """
 
     spark: SparkSession
     root: str
     raw: dict[str, str]
     feeds: dict = field(default_factory=dict)
+    buckets: int | None = None
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
@@ -69,6 +82,15 @@ class Lake:
     def read(self, layer: str, name: str, parts: Collection[str] | None = None) -> DataFrame:
         return store.read_table(self.spark, self.path(layer, name), parts=parts)
 
+    def by_book(self) -> tuple[int, str] | None:
+        return (self.buckets, "book_id") if self.buckets else None
+
+    def read_by_book(self, layer: str, name: str) -> DataFrame:
+        root = self.path(layer, name)
+        if store.BUCKETS in store.notes(self.spark, root):
+            return catalog.bucketed(self.spark, root)
+        return store.read_table(self.spark, root)
+
     def current(self, layer: str, name: str) -> DataFrame:
         return store.read_current(self.spark, self.path(layer, name))
 
@@ -96,6 +118,18 @@ def ingest_bronze(lake: Lake, now: dt.datetime | None = None) -> DataFrame:
     return ingest_all(lake.spark, [lake.feed(e) for e in ENTITIES], now)
 
 
+def rescued_lines(lake: Lake) -> DataFrame:
+    """Per entity and load date: rows, and lines kept whole because they could not be read.
+
+    No silver job takes rescued lines, so a day that has any has lost them until they are mended.
+    """
+    parts = [
+        rescued_by_day(lake.spark, lake.feed(e)).select(F.lit(e).alias("entity"), "*")
+        for e in ENTITIES
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
 def _staged(lake: Lake, name: str, build: Callable[[DataFrame], DataFrame], since) -> DataFrame:
     """Write the cleaned snapshot and read it back, so that later steps do not clean again."""
     raw = lake.bronze(name, since)
@@ -104,12 +138,14 @@ def _staged(lake: Lake, name: str, build: Callable[[DataFrame], DataFrame], sinc
     return lake.read("staging", name)
 
 
-def _apply_scd2(lake: Lake, name: str, source: DataFrame, keys, tracked, as_of, nulls) -> dict:
+def _apply_scd2(
+    lake: Lake, name: str, source: DataFrame, keys, tracked, as_of, nulls, buckets=None
+) -> dict:
     """Current rows are rewritten, closed ones added; stored history is not even read."""
     current = lake.current("silver", name) if lake.has("silver", name) else None
     delta = scd2_delta(current, source, keys, tracked, as_of, nulls)
     with sized_for(source if current is None else current, source):
-        return store.write_versions(delta, lake.path("silver", name))
+        return store.write_versions(delta, lake.path("silver", name), buckets=buckets)
 
 
 def load_books(lake: Lake, as_of: dt.date, now=None, since=None, nulls: str = "sql") -> dict:
@@ -120,7 +156,9 @@ def load_books(lake: Lake, as_of: dt.date, now=None, since=None, nulls: str = "s
     """
     staged = _staged(lake, "books", lambda raw: books.staging_books(raw, now), since)
     source = staged.withColumn("_silver_timestamp", stamp(now))
-    return _apply_scd2(lake, "dim_books", source, ["book_id"], fixed.BOOK_TRACKED, as_of, nulls)
+    return _apply_scd2(
+        lake, "dim_books", source, ["book_id"], fixed.BOOK_TRACKED, as_of, nulls, lake.by_book()
+    )
 
 
 def load_authors(lake: Lake, as_of: dt.date, now=None, since=None, nulls: str = "sql") -> dict:
@@ -139,6 +177,7 @@ def load_bridge(lake: Lake, now=None, since=None) -> dict:
         return store.replace(
             merged.withColumn("_silver_timestamp", stamp(now)),
             lake.path("silver", "bridge_book_authors"),
+            buckets=lake.by_book(),
         )
 
 
@@ -156,7 +195,9 @@ def load_shelves(lake: Lake, now=None, since=None, dedupe_books: bool = True) ->
     merged = replace_keys(stored, rows, ["book_id"], arrived)
     with sized_for(raw.select("book_id", "popular_shelves"), rows if stored is None else stored):
         return store.replace(
-            merged.withColumn("_silver_timestamp", stamp(now)), lake.path("silver", "dim_shelves")
+            merged.withColumn("_silver_timestamp", stamp(now)),
+            lake.path("silver", "dim_shelves"),
+            buckets=lake.by_book(),
         )
 
 
@@ -169,34 +210,61 @@ def load_calendar(lake: Lake) -> DataFrame:
 def load_reviews(lake: Lake, now=None, since=None) -> dict:
     """Add reviews not seen before; a stored review never changes."""
     staged = _staged(lake, "reviews", lambda raw: activity.staging_reviews(raw, now), since)
-    stored = lake.read("silver", "reviews") if lake.has("silver", "reviews") else None
-    fresh = new_rows(stored, staged, ["review_id"])
-    with sized_for(staged if stored is None else stored.select("review_id"), staged):
-        return store.append(fresh, lake.path("silver", "reviews"))
+    return append_reviews(lake, staged, store.rows_written(lake.spark, lake.path("staging", "reviews")))
+
+
+def append_reviews(lake: Lake, staged: DataFrame, rows: int, **options) -> dict:
+    """Add those of a written table of clean reviews, `rows` in all, that are not stored yet.
+
+    Of the stored table the ids are read, and few of them shuffled.
+    """
+    root = lake.path("silver", "reviews")
+    if not store.has_table(lake.spark, root):
+        with sized_for(staged):
+            return store.append(staged, root, **options)
+    ids = lake.read("silver", "reviews").select("review_id")
+    with sized_for(ids, staged), bloom_filtered(lake.spark, rows):
+        known = met_keys(ids, staged, ["review_id"])
+        return store.append(new_rows(known, staged, ["review_id"]), root, **options)
 
 
 def added_month():
-    """The month an interaction was added, which a merge never changes: the part it is kept in."""
-    return F.coalesce(F.substring("date_id", 1, 6), F.lit("undated"))
+    """The month an interaction was added, which a merge never changes: the part it is kept in.
+
+    Dates are free text. Those outside the calendar's span share a part with the missing ones, so
+    that there are never more parts than months in the calendar, and one.
+    """
+    first, last = (d.strftime("%Y%m") for d in (fixed.CALENDAR_START, fixed.CALENDAR_END))
+    month = F.substring("date_id", 1, 6)
+    return F.when(month.between(first, last), month).otherwise("undated")
 
 
 def load_interactions(lake: Lake, now=None, since=None) -> dict:
-    """Merge newest-wins, rewriting only the months in which a row changes.
+    """Merge newest-wins, rewriting only the months in which a row changes."""
+    staged = _staged(
+        lake, "interactions", lambda raw: activity.staging_interactions(raw, now), since
+    )
+    rows = store.rows_written(lake.spark, lake.path("staging", "interactions"))
+    return merge_interactions(lake, staged, rows)
+
+
+def merge_interactions(lake: Lake, staged: DataFrame, rows: int, **options) -> dict:
+    """Merge a written table of clean interactions, `rows` in all, one per user and book.
 
     A first pass over the keys finds the stored rows the source meets. Months without a change
     stay as they are, or are added to where new rows fall into them.
     """
-    staged = _staged(
-        lake, "interactions", lambda raw: activity.staging_interactions(raw, now), since
-    )
     root, keys = lake.path("silver", "interactions"), ["user_id", "book_id"]
     if not lake.has("silver", "interactions"):
         with sized_for(staged):
-            return store.write_parts(staged, root, added_month())
+            return store.write_parts(staged, root, added_month(), **options)
 
     stored = lake.read("silver", "interactions")
-    matches = merge_matches(stored, staged, keys, "date_updated", added_month())
-    with sized_for(stored.select(*keys, "date_updated", "date_id"), staged):
+    # Spark filters the stored side by a side it takes for selective; every user passes this test.
+    wanted = staged.filter(F.col("user_id") >= "")
+    matches = merge_matches(stored, wanted, keys, "date_updated", added_month())
+    read = stored.select(*keys, "date_updated", "date_id")
+    with sized_for(read, staged), bloom_filtered(lake.spark, rows):
         store.replace(matches, lake.path("staging", "interaction_matches"))
     matches = lake.read("staging", "interaction_matches")
     months = [r.part for r in matches.filter("newer").select("part").distinct().collect()]
@@ -210,30 +278,65 @@ def load_interactions(lake: Lake, now=None, since=None) -> dict:
         fixed.INTERACTION_UPDATES,
     )
     with sized_for(touched, staged):
-        return store.write_parts(merged, root, added_month(), replaced=months)
+        return store.write_parts(merged, root, added_month(), replaced=months, **options)
+
+
+def rollups(lake: Lake) -> dict[str, Rollup]:
+    """The partial sums gold keeps of the two large tables, per book and part."""
+    wanted = {
+        "reviews": (("book_id", "rating", "n_votes"), review_sums),
+        "interactions": (("book_id", "is_read", "has_review", "rating"), interaction_sums),
+    }
+    return {
+        name: Rollup(
+            lake.path("silver", name), lake.path("sums", name), ("book_id",), columns, sums,
+            lake.by_book(),
+        )
+        for name, (columns, sums) in wanted.items()
+    }
+
+
+def gold_inputs(lake: Lake) -> list[DataFrame]:
+    """Current books, the sums of reviews and interactions, shelves and the bridge to authors."""
+    books_ = lake.read_by_book("silver", "dim_books").filter("is_current")
+    if not lake.buckets:
+        books_ = lake.current("silver", "dim_books")
+    wanted = (
+        ("sums", "reviews"), ("sums", "interactions"), ("silver", "dim_shelves"),
+        ("silver", "bridge_book_authors"),
+    )
+    return [books_, *(lake.read_by_book(layer, name) for layer, name in wanted)]
+
+
+def signals_from(books_, review_sums_, interaction_sums_, shelves, bridge) -> DataFrame:
+    rated, used = review_features(review_sums_), interaction_features(interaction_sums_)
+    return gold.signals_of(books_, rated, used, shelves, bridge)
 
 
 def load_gold(lake: Lake, as_of: dt.date, now=None) -> dict:
-    """Both products from one wide table, written once and read twice."""
-    tables = [
-        lake.current("silver", "dim_books"),
-        lake.read("silver", "reviews").select("book_id", "rating", "n_votes"),
-        lake.read("silver", "interactions").select("book_id", "is_read", "has_review", "rating"),
-        lake.read("silver", "dim_shelves"),
-        lake.read("silver", "bridge_book_authors"),
-    ]
+    """Both products from one wide table, written once and read twice.
+
+    Each is written in the order its readers ask for it: by label and score, by score.
+    Of reviews and interactions only new runs and rewritten months are opened: the sums of the
+    others are kept.
+    """
+    for rollup in rollups(lake).values():
+        refresh(lake.spark, rollup)
+    tables = gold_inputs(lake)
     with sized_for(*tables):
-        store.replace(gold.book_signals(*tables), lake.path("staging", "book_signals"))
+        store.replace(signals_from(*tables), lake.path("staging", "book_signals"))
     signals = lake.read("staging", "book_signals")
     report = {}
-    for name, rows in (
-        ("audiobook_priority", gold.priority_rows(signals)),
-        ("book_features", gold.feature_rows(signals)),
+    for name, rows, cluster in (
+        ("audiobook_priority", gold.priority_rows(signals), ("audiobook_priority", "popularity_score")),
+        ("book_features", gold.feature_rows(signals), ("popularity_score",)),
     ):
         snapshot = gold.as_snapshot(rows, as_of, now)
         former = lake.current("gold", name) if lake.has("gold", name) else None
         delta = supersede_delta(former, snapshot, as_of)
-        report[name] = store.write_versions(delta, lake.path("gold", name), "APPEND")
+        report[name] = store.write_versions(
+            delta, lake.path("gold", name), "APPEND", cluster=cluster
+        )
     return report
 
 
@@ -273,8 +376,12 @@ def run_day(lake: Lake, now: dt.datetime, as_of: dt.date | None = None) -> dict[
     since, as_of = loaded_until(lake), as_of or now.date()
     if since is not None and now <= since:
         raise ValueError(f"{now} is not after {since}, up to which everything has been loaded")
-    ingest_bronze(lake, now)
-    report = run_silver(lake, as_of, now, since) | load_gold(lake, as_of, now)
+    landed = drain(lake.spark, [lake.feed(e) for e in ENTITIES], now)
+    report = {
+        f"bronze_{name}": {"rows": found.rows, "rescued": found.rescued}
+        for name, found in landed.items()
+    }
+    report |= run_silver(lake, as_of, now, since) | load_gold(lake, as_of, now)
     fs.write_text(lake.spark, f"{lake.root}/loaded_until.txt", now.isoformat(), overwrite=True)
     return report
 
@@ -298,22 +405,15 @@ def gold_summary(lake: Lake) -> DataFrame:
 
 
 def top_titles(lake: Lake, n: int = 10) -> DataFrame:
-    return gold.top_priority(lake.current("gold", "audiobook_priority"), n).select(
-        "title",
-        "author_ids",
-        "average_rating",
-        "positive_review_pct",
-        "to_read_count",
-        "popularity_score",
-        "audiobook_priority",
-    )
+    product = lake.current("gold", "audiobook_priority")
+    return gold.top_priority(product, n).select(*fixed.TOP_TITLE_COLUMNS)
 
 
 def monitor(lake: Lake, now: dt.datetime, lag: dt.timedelta = dt.timedelta(days=1)) -> dict:
     """Per bronze table: row counts against `lag` ago, last runs, and the raw files' sizes."""
     return {
         entity: {
-            "rows": row_count_delta(lake.bronze(entity), LOADED_AT, now, lag),
+            "rows": bronze_row_delta(lake.spark, lake.feed(entity), now, lag),
             "history": store.table_history(lake.spark, feed_log(lake.feed(entity))),
             "files": file_inventory(lake.spark, lake.raw[entity]),
         }

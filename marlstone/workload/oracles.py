@@ -347,12 +347,25 @@ PARTS |= {
     "two_day_authors": """
         SELECT book_id, string_agg(author_id, ', ' ORDER BY author_id) AS author_ids
         FROM two_day_bridge WHERE role = 'Author' GROUP BY book_id""",
+    "two_day_deliveries": """
+        SELECT * FROM deliveries
+        QUALIFY row_number() OVER (PARTITION BY book_id
+            ORDER BY loaded >= timestamp '1999-01-01' DESC, shelves IS NULL,
+                cast(shelves[1].n AS varchar) DESC, shelves[1].name DESC NULLS LAST,
+                cast(shelves[2].n AS varchar) DESC, shelves[2].name DESC) = 1""",
+    "two_day_shelves": f"""
+        SELECT book_id, {shelf_label("shelf")} AS shelf_name, cast(sum(n) AS bigint) AS shelf_count
+        FROM (SELECT book_id, lower(trim(s.name)) AS shelf, s.n AS n
+              FROM (SELECT book_id, unnest(shelves) AS s FROM two_day_deliveries))
+        WHERE shelf IS NOT NULL AND n > 0 GROUP BY ALL""",
+    "two_day_signals": PARTS["signals"].replace("FROM shelves", "FROM two_day_shelves"),
     "two_day_wide": f"""
         SELECT *, CASE WHEN total_reviews > 0
             THEN {rounded("positive_reviews / total_reviews * 100", 1)} ELSE 0.0::double END
             AS positive_review_pct
         FROM two_day_books LEFT JOIN two_day_features USING (book_id)
-            LEFT JOIN two_day_interactions USING (book_id) LEFT JOIN signals USING (book_id)
+            LEFT JOIN two_day_interactions USING (book_id)
+            LEFT JOIN two_day_signals USING (book_id)
             LEFT JOIN two_day_authors USING (book_id)""",
     "two_day_priorities": PARTS["priorities"].replace("FROM wide", "FROM two_day_wide"),
 }
@@ -476,6 +489,9 @@ ORACLES: dict[str, str] = {
                 SELECT 1 FROM raw_reviews r WHERE r.review_id = k.review_id
                     AND r.rating BETWEEN 1 AND 5 AND r.l_shipdate < timestamp '1999-01-01')))"""
     ),
+    "summed_up_signals": sql(
+        "SELECT * FROM review_features FULL JOIN interaction_features USING (book_id)"
+    ),
     "merge_newest_interactions": sql(
         """SELECT user_id, book_id, CASE WHEN newer THEN s.review_id ELSE t.review_id END AS review_id,
             CASE WHEN newer THEN s.is_read ELSE t.is_read END AS is_read,
@@ -553,11 +569,66 @@ ORACLES: dict[str, str] = {
             (SELECT count(*) FROM incoming_parts) AS current_rows"""
     ),
     "inferred_json": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
+    "growing_types": """
+        SELECT p_partkey,
+            CASE p_partkey % 3 WHEN 2 THEN p_size || ' cm' WHEN 1 THEN p_size || '.5'
+                ELSE cast(p_size AS varchar) END AS width,
+            CASE WHEN p_partkey % 3 = 0 THEN p_size ELSE p_size + 0.25 END::double AS depth,
+            CASE WHEN p_partkey % 3 = 1 THEN p_size + 0.5 ELSE p_size END::double AS side,
+            false AS rescued
+        FROM part""",
+    "promoted_fields": """
+        SELECT p_partkey, p_name, cast(p_size AS bigint) AS size,
+            CASE WHEN p_partkey % 4 <> 0 THEN p_brand END AS brand, p_type AS waiting_type,
+            cast(NULL AS varchar) AS broken_line
+        FROM part WHERE p_partkey % 10 <> 0
+        UNION ALL
+        SELECT NULL, NULL, NULL, NULL, NULL, '{broken ' || p_partkey FROM part
+        WHERE p_partkey % 10 = 0""",
+    "waiting_fields_by_name": """
+        SELECT 'OBJECT<' || string_agg(field || ': ' || kind, ', ' ORDER BY field) || '>' AS fields
+        FROM (
+            SELECT 'brand' AS field, 'STRING' AS kind FROM part WHERE p_partkey % 4 <> 0
+                AND p_partkey % 10 <> 0
+            UNION SELECT 'types', 'ARRAY<STRING>' FROM part WHERE p_partkey % 10 <> 0
+            UNION SELECT 'what', 'OBJECT<size: BIGINT>' FROM part WHERE p_partkey % 10 <> 0)""",
+    "rescued_by_day": """
+        SELECT entity, date '2024-02-01' + cast(key % 2 AS integer) AS load_date,
+            count(*) AS "rows", count(*) FILTER (broken) AS rescued
+        FROM (
+            SELECT 'books' AS entity, p_partkey AS key, p_partkey % 10 = 0 AS broken FROM part
+            UNION ALL SELECT 'reviews', o_orderkey, o_orderkey % 7 = 0 FROM orders
+            UNION ALL SELECT 'interactions', c_custkey, false FROM customer)
+        GROUP BY ALL""",
+    "live_silver": sql(
+        """SELECT * FROM two_day_features FULL JOIN two_day_interactions USING (book_id)"""
+    ),
     "lake_two_days": sql(
         f"""SELECT {PRIORITY_LIST}, true AS is_current, date '2024-02-02' AS valid_from,
             date '9999-12-31' AS valid_to
         FROM two_day_priorities"""
     ),
+    "inventory_difference": """
+        WITH line AS (
+            SELECT cast(regexp_extract(p_brand, '([0-9]+)', 1) AS integer) AS brand,
+                octet_length(encode(p_name)) + 1 AS bytes
+            FROM part
+        ), first AS (
+            SELECT brand, cast(sum(bytes) AS bigint) AS n FROM line WHERE brand % 5 <> 0 GROUP BY brand
+        ), second AS (
+            SELECT brand, cast(sum(bytes + CASE WHEN brand % 3 = 0 THEN 5 ELSE 0 END) AS bigint) AS n
+            FROM line WHERE brand % 7 <> 0 GROUP BY brand
+        )
+        SELECT 'brand=' || brand AS folder,
+            CASE WHEN f.n IS NULL THEN 'new' WHEN s.n IS NULL THEN 'gone' ELSE 'changed' END AS change,
+            f.n AS length_before, s.n AS length_now, coalesce(s.n, 0) - coalesce(f.n, 0) AS bytes_added
+        FROM first f FULL JOIN second s USING (brand) WHERE f.n IS DISTINCT FROM s.n""",
+    "bronze_row_delta": """
+        SELECT nullif(count(*) FILTER (event_id % 5 <= 2), 0) AS yesterday, count(*) AS today,
+            count(*) - nullif(count(*) FILTER (event_id % 5 <= 2), 0) AS difference,
+            CASE WHEN count(*) FILTER (event_id % 5 <= 2) = 0 THEN 'First load' ELSE 'Loaded' END
+                AS status
+        FROM events""",
     "stream_ingest": """
         SELECT event_id, user_id, event_type, value,
             CASE WHEN event_id % 2 = 1 THEN 'late' END AS source, event_id % 7 AS known,
@@ -569,3 +640,6 @@ ORACLES: dict[str, str] = {
         SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, '{broken ' || event_id, 'broken', true
         FROM events WHERE event_id % 2 = 1 AND event_id % 101 = 0""",
 }
+ORACLES["append_to_stored_reviews"] = ORACLES["append_new_reviews"]
+ORACLES["bucketed_signals"] = ORACLES["feature_product"]
+ORACLES["clustered_top"] = ORACLES["top_priority"]

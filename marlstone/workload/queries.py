@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from marlstone import fixed_values as fixed
 from marlstone.functions.cleaning import (
@@ -24,12 +25,14 @@ from marlstone.functions.kinds import by_kind
 from marlstone.functions.times import date_key, parse_offset_ts
 from marlstone.operators import features, manifest, monitor, mutations, rows
 from marlstone.operators.calendar import calendar as whole_calendar, calendar_of
-from marlstone.plans import activity, books, gold
+from marlstone.plans import activity, books, gold, live
 from marlstone.plans import lake as jobs
+from marlstone.plans.rollup import refresh
 from marlstone.session import prepared, scratch_dir
 from marlstone.sources import catalog, files, store
 from marlstone.sources.schema import infer_or_load_schema
-from marlstone.streaming.ingest import Feed, ingest_all, read_bronze
+from marlstone.streaming import ingest
+from marlstone.streaming.ingest import Feed, ingest_all, read_bronze, waiting_fields
 from marlstone.workload import inputs
 from marlstone.workload.inputs import AS_OF, EARLIER, table
 
@@ -256,6 +259,46 @@ def append_new_reviews(spark, sf_dir):
     return table_.select("review_id", "book_id", "user_id", "rating", "review_text", "n_votes")
 
 
+@query
+def append_to_stored_reviews(spark, sf_dir):
+    """The same by the daily job: a stored table, of whose ids few are shuffled."""
+    lake = jobs.Lake(spark, scratch_dir(spark, "append"), {})
+    raw, staged = inputs.raw_reviews(spark, sf_dir), lake.path("staging", "reviews")
+    for day in (raw.filter("_ingestion_timestamp < '1999-01-01'"), raw):
+        written = store.replace(activity.staging_reviews(day), staged)
+        jobs.append_reviews(lake, store.read_table(spark, staged), written["rows"])
+    return lake.read("silver", "reviews").select(
+        "review_id", "book_id", "user_id", "rating", "review_text", "n_votes"
+    )
+
+
+@query
+def summed_up_signals(spark, sf_dir):
+    """Partial sums brought up to date over three days, two of which correct earlier ones."""
+    base = scratch_dir(spark, "sums")
+    lake = jobs.Lake(spark, base, {})
+    reviews, interactions = (lake.path("silver", n) for n in ("reviews", "interactions"))
+    clean = activity.staging_reviews(inputs.raw_reviews(spark, sf_dir))
+    events = activity.staging_interactions(inputs.raw_interactions(spark, sf_dir))
+    day_added, last = F.coalesce("date_id", F.lit("undated")), F.substring("date_id", 8, 1)
+    wrong = events.withColumns({"rating": F.lit(5), "is_read": F.lit(1)})
+    for day in range(3):
+        due = clean.filter(F.crc32(F.col("review_id").cast("binary")) % 3 == day)
+        store.append(due.select("review_id", "book_id", "rating", "n_votes"), reviews)
+        if day == 0:
+            store.write_parts(wrong, interactions, day_added)
+        else:
+            odd = F.coalesce(last.cast("int") % 2 == day - 1, F.lit(day == 1))
+            held = store.state(spark, interactions)["parts"]
+            redone = [n for n in held if (int(n[-1]) % 2 if n[-1].isdigit() else 0) == day - 1]
+            store.write_parts(events.filter(odd), interactions, day_added, redone)
+        for rollup in jobs.rollups(lake).values():
+            refresh(spark, rollup)
+    rated = features.review_features(lake.read("sums", "reviews"))
+    used = features.interaction_features(lake.read("sums", "interactions"))
+    return rated.join(used, "book_id", "full")
+
+
 @query
 def merge_newest_interactions(spark, sf_dir):
     merged = mutations.merge_newest(
@@ -316,15 +359,44 @@ def feature_product(spark, sf_dir):
 
 @query
 def top_priority(spark, sf_dir):
-    return gold.top_priority(gold.priority_rows(_signals(spark, sf_dir))).select(
-        "title",
-        "author_ids",
-        "average_rating",
-        "positive_review_pct",
-        "to_read_count",
-        "popularity_score",
-        "audiobook_priority",
+    product = gold.priority_rows(_signals(spark, sf_dir))
+    return gold.top_priority(product).select(*fixed.TOP_TITLE_COLUMNS)
+
+
+@query
+def bucketed_signals(spark, sf_dir):
+    """The feature product from tables kept hashed on the book, joined without a shuffle."""
+    lake = jobs.Lake(spark, scratch_dir(spark, "bucketed"), {}, buckets=8)
+    deliveries, by_book = inputs.raw_deliveries(spark, sf_dir), lake.by_book()
+    current = mutations.versioned(books.staging_books(inputs.raw_books(spark, sf_dir)), EARLIER)
+    store.write_versions(current, lake.path("silver", "dim_books"), buckets=by_book)
+    for name, rows_ in (
+        ("dim_shelves", books.dim_shelves(deliveries, dedupe_books=False)),
+        ("bridge_book_authors", books.bridge_book_authors(deliveries)),
+    ):
+        store.replace(rows_, lake.path("silver", name), buckets=by_book)
+    store.append(
+        activity.staging_reviews(inputs.raw_reviews(spark, sf_dir)), lake.path("silver", "reviews")
     )
+    store.write_parts(
+        activity.staging_interactions(inputs.raw_interactions(spark, sf_dir)),
+        lake.path("silver", "interactions"),
+        jobs.added_month(),
+    )
+    for rollup in jobs.rollups(lake).values():
+        refresh(spark, rollup)
+    rows_ = gold.feature_rows(jobs.signals_from(*jobs.gold_inputs(lake)))
+    return gold.as_snapshot(rows_, AS_OF).drop("_gold_timestamp")
+
+
+@query
+def clustered_top(spark, sf_dir):
+    """The best titles of a stored product, written by label and score."""
+    root = scratch_dir(spark, "clustered")
+    product = gold.as_snapshot(gold.priority_rows(_signals(spark, sf_dir)), AS_OF)
+    store.write_versions(product, root, cluster=("audiobook_priority", "popularity_score"))
+    best = gold.top_priority(store.read_current(spark, root))
+    return best.select(*fixed.TOP_TITLE_COLUMNS)
 
 
 # Files and catalogues
@@ -397,9 +469,46 @@ def file_sizes(spark, sf_dir):
     return sums.withColumn("size_mb", megabytes("bytes"))
 
 
+@query
+def inventory_difference(spark, sf_dir):
+    """Two listings of parts' names, a folder per brand: some changed, some new, some gone."""
+    base, part = scratch_dir(spark, "inventory"), table(spark, sf_dir, "part")
+    brand = F.regexp_extract("p_brand", "([0-9]+)", 1).cast("int")
+    lines = part.select(F.col("p_name").alias("value"), brand.alias("brand"))
+    more = part.filter(brand % 3 == 0).select(F.lit("more").alias("value"), brand.alias("brand"))
+    waves = (lines.filter("brand % 5 <> 0"), lines.unionAll(more).filter("brand % 7 <> 0"))
+    listings = []
+    for n, rows_ in enumerate(waves):
+        rows_.repartition("brand").write.partitionBy("brand").text(f"{base}/{n}")
+        listed = files.list_files(spark, f"{base}/{n}").filter("length > 0")
+        store.replace(
+            listed.select(
+                F.regexp_extract("path", "/(brand=[0-9]+)/", 1).alias("folder"),
+                "length",
+                F.lit(0).alias("modificationTime"),
+            ),
+            f"{base}/listing{n}",
+        )
+    found = [store.read_table(spark, f"{base}/listing{n}") for n in range(2)]
+    return files.inventory_difference(*found, key="folder")
+
+
 # Monitoring
 
 
+@query
+def bronze_row_delta(spark, sf_dir):
+    """Events taken in on five days; a bronze table's rows now and two days before the last."""
+    base = scratch_dir(spark, "delta")
+    feed = Feed("events", f"{base}/raw", f"{base}/bronze", f"{base}/checkpoint")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    start = dt.datetime(2024, 1, 31, 6, tzinfo=dt.timezone.utc)
+    for day in range(5):
+        events.filter(F.col("event_id") % 5 == day).write.json(f"{feed.src}/{day}")
+        ingest_all(spark, [feed], start + dt.timedelta(days=day))
+    return ingest.bronze_row_delta(spark, feed, start + dt.timedelta(days=4), dt.timedelta(days=2))
+
+
 @query
 def row_count_delta(spark, sf_dir):
     now = dt.datetime(2024, 1, 31, tzinfo=dt.timezone.utc)
@@ -515,9 +624,135 @@ def stream_ingest(spark, sf_dir):
     )
 
 
+@query
+def growing_types(spark, sf_dir):
+    """Parts as JSON in three goes: a number, then fractions, then text, beside it and in a list.
+
+    Rows taken in while the type was narrower are cast when they are read.
+    """
+    base = scratch_dir(spark, "types")
+    feed = Feed("parts", f"{base}/raw", f"{base}/bronze", f"{base}/checkpoint")
+    part = table(spark, sf_dir, "part")
+    size, third = F.col("p_size").cast("long"), F.col("p_partkey") % 3
+    for wave, value in enumerate((size, size + 0.5, F.concat("p_size", F.lit(" cm")))):
+        inner = size + 0.5 if wave == 1 else size
+        due = part.filter(third == wave).select(
+            "p_partkey", value.alias("width"), (size + 0.25 if wave else size).alias("depth"),
+            F.array(F.struct(inner.alias("x"))).alias("sides"),
+        )
+        due.write.json(f"{feed.src}/wave{wave}")
+        ingest_all(spark, [feed])
+    return read_bronze(spark, feed).select(
+        "p_partkey", "width", "depth", F.col("sides")[0]["x"].alias("side"),
+        F.col("_rescued_line").isNotNull().alias("rescued"),
+    )
+
+
+def _part_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as JSON lines with fields a first schema does not know; every tenth is broken."""
+    part = table(spark, sf_dir, "part")
+    brand = F.when(F.col("p_partkey") % 4 != 0, F.col("p_brand"))
+    line = F.to_json(
+        F.struct(
+            "p_partkey", F.struct("p_name", F.col("p_size").alias("size")).alias("what"),
+            brand.alias("brand"), F.array("p_type").alias("types"),
+        )
+    )
+    broken = F.concat(F.lit("{broken "), "p_partkey")
+    value = F.when(F.col("p_partkey") % 10 == 0, broken).otherwise(line).alias("value")
+    return part.select("p_partkey", value)
+
+
+def _part_feed(base: str, known: str) -> Feed:
+    return Feed(
+        "parts", f"{base}/raw", f"{base}/bronze", f"{base}/checkpoint",
+        schema=StructType.fromDDL(known), rescue="fields",
+    )
+
+
+@query
+def promoted_fields(spark, sf_dir):
+    """Fields kept aside as VARIANT, then declared: rows loaded before have their values."""
+    base = scratch_dir(spark, "promoted")
+    lines = _part_lines(spark, sf_dir)
+    first = _part_feed(base, "p_partkey long, what struct<p_name:string>")
+    second = _part_feed(
+        base, "p_partkey long, what struct<p_name:string,size:long>, brand string"
+    )
+    for feed, wave in ((first, 0), (second, 1)):
+        due = lines.filter(F.col("p_partkey") % 2 == wave)
+        due.select("value").write.text(f"{base}/raw/wave{wave}")
+        ingest_all(spark, [feed])
+    return read_bronze(spark, second).select(
+        "p_partkey", "what.p_name", "what.size", "brand",
+        F.try_variant_get(F.col("_rescued_fields"), "$.types[0]", "string").alias("waiting_type"),
+        F.col("_rescued_line").alias("broken_line"),
+    )
+
+
+@query
+def waiting_fields_by_name(spark, sf_dir):
+    """The names and types of all that a feed's schema does not know yet."""
+    base = scratch_dir(spark, "waiting")
+    feed = _part_feed(base, "p_partkey long, what struct<p_name:string>")
+    _part_lines(spark, sf_dir).select("value").write.text(f"{base}/raw/wave0")
+    ingest_all(spark, [feed])
+    return waiting_fields(spark, feed)
+
+
+@query
+def rescued_by_day(spark, sf_dir):
+    """Broken lines counted per entity and load date, over two days."""
+    base = scratch_dir(spark, "rescued")
+    raw = {entity: f"{base}/raw/{entity}" for entity in jobs.ENTITIES}
+    lake = jobs.Lake(spark, f"{base}/lake", raw)
+    order = F.to_json(F.struct("o_orderkey", "o_orderstatus"))
+    lines = {
+        "books": _part_lines(spark, sf_dir).toDF("key", "value"),
+        "reviews": table(spark, sf_dir, "orders").select(
+            "o_orderkey", F.when(F.col("o_orderkey") % 7 == 0, "[").otherwise(order)
+        ).toDF("key", "value"),
+        "interactions": table(spark, sf_dir, "customer").select(
+            "c_custkey", F.to_json(F.struct("c_custkey", "c_name"))
+        ).toDF("key", "value"),
+    }
+    for day, now in enumerate((AS_OF, AS_OF + dt.timedelta(days=1))):
+        for entity, rows_ in lines.items():
+            due = rows_.filter(F.col("key") % 2 == day)
+            due.select("value").write.text(f"{raw[entity]}/day{day}")
+        jobs.ingest_bronze(lake, dt.datetime(now.year, now.month, now.day, 9, tzinfo=dt.timezone.utc))
+    return jobs.rescued_lines(lake)
+
+
+@query
+def live_silver(spark, sf_dir):
+    """Reviews and interactions taken in batch by batch; batches run again change nothing."""
+    base = scratch_dir(spark, "live")
+    raw = {entity: f"{base}/raw/{entity}" for entity in ("reviews", "interactions")}
+    lake = jobs.Lake(spark, f"{base}/lake", raw)
+    records = {
+        "reviews": (inputs.raw_reviews(spark, sf_dir).withColumnRenamed(
+            "_ingestion_timestamp", "l_shipdate"), F.col("l_shipdate") < "1999-01-01"),
+        "interactions": (inputs.raw_interactions(spark, sf_dir, keep=["ts"]),
+                         F.col("ts") < "2024-01-16"),
+    }
+    for wave in range(2):
+        for entity, (rows_, early) in records.items():
+            rows_.filter(early if wave == 0 else ~early).drop("l_shipdate", "ts").write.option(
+                "ignoreNullFields", False
+            ).json(f"{raw[entity]}/wave{wave}")
+        live.drain_live(lake)
+        for entity in records:
+            live.take_batch(lake, entity, wave)
+    rated = features.reviews_agg(lake.read("silver", "reviews"))
+    used = features.interactions_agg(lake.read("silver", "interactions"))
+    return rated.drop("avg_votes").join(used.select("book_id", "total_interactions", "total_read"),
+                                        "book_id", "full")
+
+
 @query
 def lake_two_days(spark, sf_dir):
-    """From JSON files to the business product, in two daily runs of every job.
+    """From JSON files to the business product, in two daily runs as a user starts them.
 
     The first day brings what was shipped before 1999 and the events up to mid January.
     """
@@ -531,7 +766,6 @@ def lake_two_days(spark, sf_dir):
             "_ingestion_timestamp", "l_shipdate"), shipped),
         "interactions": (inputs.raw_interactions(spark, sf_dir, keep=["ts"]), happened),
     }
-    since = None
     for day, as_of in enumerate((AS_OF, AS_OF + dt.timedelta(days=1))):
         for entity, (rows_, moment) in records.items():
             turn = F.lit("2024-01-16" if entity == "interactions" else "1999-01-01")
@@ -540,13 +774,5 @@ def lake_two_days(spark, sf_dir):
                 "ignoreNullFields", False
             ).json(f"{raw[entity]}/day{day}")
         now = dt.datetime(as_of.year, as_of.month, as_of.day, tzinfo=dt.timezone.utc)
-        jobs.ingest_bronze(lake, now)
-        jobs.load_books(lake, as_of, now, since)
-        jobs.load_authors(lake, as_of, now, since)
-        jobs.load_bridge(lake, now, since)
-        jobs.load_shelves(lake, now, dedupe_books=False)
-        jobs.load_reviews(lake, now, since)
-        jobs.load_interactions(lake, now, since)
-        jobs.load_gold(lake, as_of, now)
-        since = now
+        jobs.run_day(lake, now, as_of)
     return lake.current("gold", "audiobook_priority").drop("_gold_timestamp")
