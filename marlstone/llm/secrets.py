@@ -12,8 +12,8 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
-from math import ceil
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -30,8 +30,9 @@ ASSIGN = re.compile(
 )
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{%d,}" % HEX_CHARS)
-SIGNED = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----(.*?)-----END \1-----", re.DOTALL)
+# Three runs of these with dots between, the first from its first "eyJ" on: a signed token.
+TOKEN_RUN = re.compile(r"[A-Za-z0-9_-]+")
+PEM_MARK = re.compile(r"(?=-----(BEGIN|END) ([A-Z0-9 ]*PRIVATE KEY)-----)")
 # Both alphabets of base64. A run can go on after a line end (real or escaped) and what stands around
 # lines that are quoted, commented out or in string literals.
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
@@ -52,6 +53,8 @@ PEM_LINE = re.compile(
     r"(?:[^A-Za-z0-9+/=]|[+/]+(?=[ \t]))*([A-Za-z0-9+/]*={0,2})(?:[^A-Za-z0-9+/=]+[+]?\s*)?"
 )
 OPENSSH = b"openssh-key-v1\x00"
+# Public keys an OpenSSH file may hold; all that write the format put in one.
+MOST_KEYS = 16
 # Object identifiers of RSA, EC, Ed25519 and X25519 keys, as DER content bytes.
 KEY_OIDS = (
     bytes.fromhex("2a864886f70d010101"), bytes.fromhex("2a8648ce3d0201"),
@@ -75,57 +78,180 @@ def base_spans(text: str) -> list[Span]:
     return found + [("hex", *m.span()) for m in HEX.finditer(text)]
 
 
+def signed_runs(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of runs like signed tokens, no two overlapping.
+
+    Where the first "eyJ" of a run begins none, no later one of the same run does.
+    """
+    at = text.find("eyJ")
+    while at >= 0:
+        head = TOKEN_RUN.match(text, at).end()
+        after = head
+        if head > at + 3 and text[head : head + 1] == ".":
+            claims = TOKEN_RUN.match(text, head + 1)
+            if claims and text[claims.end() : claims.end() + 1] == ".":
+                signature = TOKEN_RUN.match(text, claims.end() + 1)
+                after = signature.end() if signature else claims.end() + 1
+                yield at, after
+        at = text.find("eyJ", after)
+
+
+def pem_blocks(text: str) -> Iterator[tuple[int, int, str, str]]:
+    """Start, end, label and body of armoured blocks, none inside another.
+
+    A block ends at the first end mark with the label of its begin mark.
+    """
+    begins, ends = [], {}
+    for mark in PEM_MARK.finditer(text):
+        if mark[1] == "BEGIN":
+            begins.append((mark.start(), mark[2]))
+        else:
+            ends.setdefault(mark[2], []).append(mark.start())
+    free = 0
+    for start, label in begins:
+        inside = start + len(f"-----BEGIN {label}-----")
+        places = ends.get(label, [])
+        n = bisect_left(places, inside)
+        if start >= free and n < len(places):
+            free = places[n] + len(f"-----END {label}-----")
+            yield start, free, label, text[inside : places[n]]
+
+
 def confirmed_spans(text: str) -> list[Span]:
+    """Time grows with the text: no run, block or line is gone through once per place in it."""
     found: list[Span] = []
     if "eyJ" in text:
-        found += [("signed_token", *m.span()) for m in SIGNED.finditer(text) if is_signed(m[0])]
+        found += [("signed_token", a, b) for a, b in signed_runs(text) if is_signed(text[a:b])]
     if "-----BEGIN " in text:
-        for m in PEM.finditer(text):
-            data = from_base64("".join(pem_body(m[2])))
-            if data and (is_private_der(data) or is_openssh(data) or is_encrypted_pem(m, data)):
-                found.append(("pem_key", *m.span()))
+        for start, end, label, body in pem_blocks(text):
+            data = from_base64("".join(pem_body(body)))
+            encrypted = "ENCRYPTED" in label or "ENCRYPTED" in body
+            if data and (
+                is_private_der(data) or is_openssh(data) or encrypted and is_ciphered(data)
+            ):
+                found.append(("pem_key", start, end))
     blocks = [(start, end) for kind, start, end in found if kind == "pem_key"]
+    starts = [start for start, _ in blocks]
     # Escaped line ends as real ones of the same length, so that places stay.
     flat = text
     if "\\" in text:
         flat = ESCAPED_END.sub(lambda m: "\n" * len(m[0]), text)
+    lines = Lines(flat, BASE64, from_base64, 4, 3)
     for m in BASE64_KEY.finditer(flat):
-        if not any(a <= m.start() < b for a, b in blocks):
-            found += wrapped_key(flat, m, BASE64, from_base64, 4 / 3)
+        n = bisect_right(starts, m.start())
+        if not n or m.start() >= blocks[n - 1][1]:
+            found += wrapped_key(lines, m)
     for m in HEX_BYTES.finditer(text):
         found += [(kind, *m.span()) for kind in key_kinds(bytes.fromhex(m[0]))]
+    lines = Lines(flat, HEX_RUN, from_hex, 2, 1)
     for m in HEX_KEY.finditer(flat):
-        found += wrapped_key(flat, m, HEX_RUN, from_hex, 2)
+        found += wrapped_key(lines, m)
     return found
 
 
-def wrapped_key(
-    text: str,
-    first: re.Match,
-    run: re.Pattern,
-    decode: Callable[[str], bytes | None],
-    per_byte: float,
-) -> list[Span]:
+class Lines:
+    """Runs that stand alone on the lines of a text, each with those that follow on the next ones.
+
+    `chars` letters of a run hold `per` bytes. The runs of adjacent lines are joined once, however
+    many of them a key might begin in, and any part of what follows a run is decoded by itself.
+    """
+
+    def __init__(self, text: str, run: re.Pattern, decode: Callable, chars: int, per: int):
+        self.text, self.run, self.decode, self.chars, self.per = text, run, decode, chars, per
+        # A run that another line leads to: the chain of runs it is in, and its place there.
+        self.chain_of: dict[int, tuple[Chain, int]] = {}
+
+    def after(self, start: int, end: int) -> tuple[Chain, int] | None:
+        """The chain, and the place in it, that goes on behind a run."""
+        if start in self.chain_of:
+            chain, place = self.chain_of[start]
+            return (chain, place + 1) if place + 1 < len(chain.ends) else None
+        first = self._next(end)
+        if first is None:
+            return None
+        if first.start() not in self.chain_of:
+            chain, run = Chain(), first
+            # What is reached from elsewhere already ends the chain: two runs of one line.
+            while run is not None and run.start() not in self.chain_of:
+                self.chain_of[run.start()] = (chain, len(chain.ends))
+                chain.add(run)
+                run = None if run[0].endswith("=") else self._next(run.end())
+            chain.join()
+        return self.chain_of[first.start()]
+
+    def _next(self, end: int) -> re.Match | None:
+        between = BETWEEN.match(self.text, end)
+        if between and "\n" in between[0]:
+            return self.run.match(self.text, between.end())
+        return None
+
+
+class Chain:
+    """Runs of adjacent lines: where each ends, and the letters up to there, padding left out."""
+
+    def __init__(self):
+        self.ends, self.totals, self.parts, self.letters = [], [0], [], ""
+
+    def add(self, run: re.Match) -> None:
+        bare = run[0].rstrip("=")
+        self.ends.append(run.end())
+        self.totals.append(self.totals[-1] + len(bare))
+        self.parts.append(bare)
+
+    def join(self) -> None:
+        self.letters, self.parts = "".join(self.parts), []
+
+
+class Letters:
+    """A run and what follows it on the next lines, without the line ends."""
+
+    def __init__(self, lines: Lines, first: re.Match):
+        self.lines, self.own, self.end = lines, first[0].rstrip("="), first.end()
+        closed = first[0].endswith("=")
+        behind = None if closed else lines.after(first.start(), first.end())
+        self.chain, self.place = behind or (Chain(), 0)
+        self.from_ = self.chain.totals[self.place]
+        self.count = len(self.own) + self.chain.totals[-1] - self.from_
+
+    def part(self, begin: int, end: int) -> str:
+        own = len(self.own)
+        behind = self.chain.letters[self.from_ + max(begin - own, 0) : self.from_ + max(end - own, 0)]
+        return self.own[begin:end] + behind
+
+    def bytes_at(self, begin: int, count: int) -> bytes:
+        """`count` bytes, fewer where the letters end."""
+        chars, per = self.lines.chars, self.lines.per
+        skipped = begin // per
+        last = min(-(-(begin + count) // per) * chars, self.count)
+        some = self.part(skipped * chars, last)
+        some = some[: len(some) // chars * chars] if last < self.count else some
+        data = self.lines.decode(some) or b""
+        return data[begin - skipped * per :][:count]
+
+    def up_to(self, size: int) -> tuple[int, int] | None:
+        """How many letters the runs have that hold so many bytes at last, and where they end."""
+        wanted = -(-size * self.lines.chars // self.lines.per)
+        if wanted <= len(self.own):
+            return len(self.own), self.end
+        place = bisect_left(self.chain.totals, wanted - len(self.own) + self.from_)
+        if place >= len(self.chain.totals):
+            return None
+        return len(self.own) + self.chain.totals[place] - self.from_, self.chain.ends[place - 1]
+
+
+def wrapped_key(lines: Lines, first: re.Match) -> list[Span]:
     """The key that begins with a run and fills it, or it and the runs on the next lines, exactly."""
-    held, at, tried, size = [first[0]], first.end(), 0, None
-    n = len(first[0].rstrip("="))
-    while True:
-        if size is None and n >= 2 * tried:
-            tried, head = n, "".join(held).rstrip("=")
-            data = decode(head[: len(head) // 4 * 4]) or b""
-            size = openssh_size(data) if data.startswith(OPENSSH[: len(data)]) else der_size(data)
-            if size is None and not data.startswith(OPENSSH[: len(data)]):
-                return []
-        if size is not None and n >= ceil(size * per_byte) or held[-1].endswith("="):
-            break
-        between = BETWEEN.match(text, at)
-        following = between and "\n" in between[0] and run.match(text, between.end())
-        if not following:
-            break
-        held.append(following[0])
-        at = following.end()
-        n += len(following[0].rstrip("="))
-    return [(kind, first.start(), at) for kind in key_kinds(decode("".join(held)))]
+    letters = Letters(lines, first)
+    ssh = letters.bytes_at(0, len(OPENSSH)) == OPENSSH
+    size = openssh_size(letters.bytes_at) if ssh else der_size(letters.bytes_at(0, 9))
+    reached = size and letters.up_to(size)
+    if not reached:
+        return []
+    count, end = reached
+    # What is left over would break the nesting of a DER key, so it need not be decoded.
+    if not ssh and count != -(-size * lines.chars // lines.per):
+        return []
+    return [(kind, first.start(), end) for kind in key_kinds(lines.decode(letters.part(0, count)))]
 
 
 def der_size(data: bytes) -> int | None:
@@ -165,9 +291,9 @@ def pem_body(body: str) -> Iterator[str]:
             yield bare[1] if bare else line.strip()
 
 
-def is_encrypted_pem(block: re.Match, data: bytes) -> bool:
-    """An encrypted body holds no DER, but whole cipher blocks, and a header says so."""
-    return "ENCRYPTED" in block[0] and len(data) >= 32 and len(data) % 8 == 0
+def is_ciphered(data: bytes) -> bool:
+    """An encrypted body holds no DER, but whole cipher blocks."""
+    return len(data) >= 32 and len(data) % 8 == 0
 
 
 def key_kinds(data: bytes | None) -> list[str]:
@@ -226,29 +352,33 @@ def is_private_der(data: bytes) -> bool:
 
 def is_openssh(data: bytes) -> bool:
     """Cipher, key derivation, options, and a count of public keys that all fit."""
-    size = openssh_size(data)
+    size = openssh_size(lambda at, count: data[at : at + count])
     return size is not None and size <= len(data)
 
 
-def openssh_size(data: bytes) -> int | None:
-    """Where the last field ends, be it behind the data; None if they end before its length."""
-    if not data.startswith(OPENSSH):
+def openssh_size(bytes_at: Callable[[int, int], bytes]) -> int | None:
+    """Where the last field ends, be it behind the data; None if they end before its length.
+
+    `bytes_at` gives so many bytes from a place on: the lengths are all that is looked at.
+    """
+    if bytes_at(0, len(OPENSSH)) != OPENSSH:
         return None
     at = len(OPENSSH)
     for _ in range(3):
-        if at + 4 > len(data):
+        length = bytes_at(at, 4)
+        if len(length) < 4:
             return None
-        at += 4 + int.from_bytes(data[at : at + 4])
-    if at + 4 > len(data):
-        return None
-    keys = int.from_bytes(data[at : at + 4])
+        at += 4 + int.from_bytes(length)
+    count = bytes_at(at, 4)
+    keys = int.from_bytes(count)
     at += 4
-    if not 1 <= keys <= 16:
+    if len(count) < 4 or not 1 <= keys <= MOST_KEYS:
         return None
     for _ in range(keys + 1):
-        if at + 4 > len(data):
+        length = bytes_at(at, 4)
+        if len(length) < 4:
             return None
-        at += 4 + int.from_bytes(data[at : at + 4])
+        at += 4 + int.from_bytes(length)
     return at
 
 
