@@ -9,7 +9,7 @@ host, and these few are aligned with each other afterwards: no task sees all pag
 
 The wrapper then says which element of the host's pages holds the main text: the innermost one with
 all text outside menus, headers, adverts and the like. Blocks that all pages of the host share are
-no slots and are left out.
+no slots and are left out, but for headings inside an article and what follows these.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ import html
 import json
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -29,11 +30,15 @@ from marlstone.llm.common import col, in_slices, staged
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
-RAW = frozenset("script style textarea title noscript template iframe svg math".split())
+RAW = frozenset("script style textarea title noscript template iframe svg".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data dfn em font i ins kbd label mark q s samp small "
-    "span strike strong sub sup time tt u var br wbr img".split()
+    "span strike strong sub sup time tt u var br wbr img svg "
+    "math semantics maction menclose merror mfenced mfrac mglyph mi mmultiscripts mn mo mover mpadded "
+    "mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr "
+    "munder munderover annotation annotation-xml".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # An open p ends where one of these begins; an open element of the first kind where its like does.
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 "
@@ -47,8 +52,12 @@ CLOSES = {
 # role, unless the wrapper says that the main text is in it.
 NOT_MAIN = frozenset(
     "head nav header footer aside form button select dialog script style textarea title noscript "
-    "template iframe svg math".split()
+    "template iframe svg annotation annotation-xml".split()
 )
+# Elements of these that are around the main text, or at the head of it, are part of the page's plain
+# structure: a form that a server framework puts around a page, the title of an article.
+WRAPS_PAGE = frozenset("form header aside footer".split())
+HEADS_ARTICLE = "header"
 NOT_MAIN_WORDS = frozenset(
     "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments cookie "
     "cookies consent footer header masthead menu modal nav navbar navigation newsletter notice "
@@ -60,7 +69,7 @@ MOST_CHILDREN = 48
 LONGEST_PERIOD = 4
 # Blocks on all pages of a host, and on so many at least, belong to the template.
 FEWEST_PAGES = 3
-# Elements nested deeper are read as if they followed each other.
+# Main elements nested deeper are read as if they followed each other; others end where they end.
 MOST_DEPTH = 120
 
 TOKEN = re.compile(
@@ -133,12 +142,54 @@ def parse(page: str) -> Element:
             del stack[depth:]
         element = Element(name, attributes)
         stack[-1].children.append(element)
-        if name not in VOID and not attributes.rstrip().endswith("/") and len(stack) < MOST_DEPTH:
-            stack.append(element)
+        if name not in VOID and not attributes.rstrip().endswith("/"):
+            if len(stack) < MOST_DEPTH:
+                stack.append(element)
+            elif not element.main and len(stack) < 2 * MOST_DEPTH:
+                element.by_word = False
+                stack.append(element)
     add_text(page[at:])
+    relieve(root)
     return root
 
 
+def relieve(root: Element) -> None:
+    """Make main what its name rules out, but that the page's main text is in or begins with.
+
+    That is a form with an article or main element or most of the page's text in it, another such
+    element with both, and the header of an article.
+    """
+    order: list[tuple[Element, Element | None, bool]] = []
+    todo: list[tuple[Element, Element | None, bool]] = [(root, None, False)]
+    while todo:
+        element, outer, in_article = todo.pop()
+        order.append((element, outer, in_article))
+        in_article = in_article or element.name in ("article", "main")
+        if element.name == HEADS_ARTICLE and in_article:
+            element.main = True
+        todo += [(c, element, in_article) for c in element.children if isinstance(c, Element)]
+    if not any(e.name in WRAPS_PAGE and not e.main for e, _, _ in order):
+        return
+    size: dict[int, int] = {}
+    holds: set[int] = set()
+    for element, outer, _ in reversed(order):
+        own = size.get(id(element), 0)
+        if element.main or element.by_word or element.name in WRAPS_PAGE:
+            own += sum(len(c.strip()) for c in element.children if isinstance(c, str))
+        else:
+            own = 0
+        size[id(element)] = own
+        if outer is not None:
+            size[id(outer)] = size.get(id(outer), 0) + own
+            if element.name in ("article", "main") or id(element) in holds:
+                holds.add(id(outer))
+    for element, _, _ in order:
+        if element.name in WRAPS_PAGE and not element.main:
+            most = 2 * size[id(element)] > size[id(root)]
+            wraps = id(element) in holds
+            element.main = wraps or most if element.name == "form" else wraps and most
+
+
 def iter_tokens(page: str) -> Iterator[tuple[int, int, bool, str, str]]:
     """Tags and comments in order; what raw elements hold is skipped up to their end tag."""
     at = 0
@@ -184,7 +235,7 @@ def skeleton(element: Element, main: bool = True, is_open: bool | None = None) -
 def page_wrapper(page: str) -> list:
     """The wrapper of one page."""
     root = parse(page)
-    shared = {digest(*part): [len(part[0]), part[1]] for part in parts(root)}
+    shared = {digest(p.text, p.outer): [len(p.text), p.outer] for p in parts(root)}
     return [*skeleton(root), 1 if shared else 0, shared]
 
 
@@ -208,7 +259,7 @@ def has_plain_article(element: Element) -> bool:
     while todo:
         node = todo.pop()
         if node.name in ("article", "main") and not not_main_words(node.key):
-            if any(not outer for _, outer in parts(node)):
+            if any(not part.outer for part in parts(node)):
                 return True
         todo += [c for c in node.children if isinstance(c, Element) and c.main]
     return False
@@ -387,9 +438,11 @@ def reading(wrapper: list) -> tuple[list[str], frozenset[str], frozenset[str]]:
 def main_text(
     page: str, path: list[str], named: frozenset[str], fixed: frozenset[str] = frozenset()
 ) -> str:
-    """The blocks below the path, or as far as the page goes along with it, but for fixed ones.
+    """The blocks below the path, or as far as the page goes along with it.
 
-    A page that has nothing else keeps its fixed blocks.
+    Fixed ones are left out, but for headings between other blocks, and what comes right after a
+    heading: all articles of a host may have a summary, or one author. A page that has nothing
+    else keeps its fixed blocks.
     """
     node, outer = parse(page), ()
     for key in path:
@@ -398,19 +451,30 @@ def main_text(
             break
         outer = (*outer, node.key) if node.by_word else outer
         node = inside[0]
-    found = [part for part in parts(node, outer) if named.issuperset(part[1])]
-    own = [part for part in found if digest(*part) not in fixed] if fixed else found
-    return "\n\n".join(text for text, _ in own or found)
+    found = [part for part in parts(node, outer) if named.issuperset(part.outer)]
+    own = [n for n, part in enumerate(found) if digest(part.text, part.outer) not in fixed]
+    if own and len(own) < len(found):
+        between = range(own[0] + 1, own[-1])
+        own += [n for n in between if found[n].heading or found[n - 1].heading]
+        found = [found[n] for n in sorted(set(own))]
+    return "\n\n".join(part.text for part in found)
+
+
+class Part(NamedTuple):
+    """A block of text, the keys of what is around it that words rule out, and whether it is a heading."""
+
+    text: str
+    outer: tuple[str, ...]
+    heading: bool
 
 
-def parts(
-    element: Element, outer: tuple[str, ...] = ()
-) -> Iterator[tuple[str, tuple[str, ...]]]:
-    """Texts of the blocks in page order, white space made one space, empty ones left out.
+def parts(element: Element, outer: tuple[str, ...] = ()) -> Iterator[Part]:
+    """The blocks in page order, white space made one space, empty ones left out.
 
-    Each comes with the keys of the elements around it that words rule out, after `outer`.
+    The keys around a block come after `outer`.
     """
     open_block: list[str] = []
+    heading = element.name in HEADINGS
     # Walked with a stack of its own, as markup can nest deeper than calls.
     todo: list = [element]
     while todo:
@@ -425,13 +489,14 @@ def parts(
         # A block begins, or one ends and leaves what was around it.
         text = SPACE.sub(" ", "".join(open_block)).strip()
         if text:
-            yield text, outer
+            yield Part(text, outer, heading)
         open_block.clear()
         if isinstance(child, tuple):
-            outer = child
+            outer, heading = child
         elif child.main or child.by_word:
-            todo.append(outer)
+            todo.append((outer, heading))
             outer = (*outer, child.key) if child.by_word else outer
+            heading = heading or child.name in HEADINGS
             todo.extend(reversed(child.children))
 
 
@@ -488,8 +553,9 @@ def extract_main_text(
 
     Blocks of the main text in page order, joined by two line ends; white space inside a block is
     one space. Blocks that all pages of a host share are left out where it has three pages with text
-    or more, unless they are most of its main text, or all of the page's. A null or empty page has an empty text; pages without a host are aligned with each
-    other. Repeated pages are extracted alike. Other columns are ignored; an empty table gives an
+    or more, unless they are most of its main text, or all of the page's; headings between other
+    blocks stay, and the block after a heading. A null or empty page has an empty text; pages without a host are
+    aligned with each other. Repeated pages are extracted alike. Other columns are ignored; an empty table gives an
     empty result.
     """
     wrappers = infer_wrappers(pages, url_col, html_col)

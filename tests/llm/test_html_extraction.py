@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from marlstone.llm import html_extraction as extraction
 from tests.llm.conftest import by_row
 
@@ -191,3 +193,61 @@ def test_blocks_of_the_template_are_left_out(spark):
     assert [found[30 + n] for n in range(4)] == [
         own.format(n, "" if n else "Only here.\n\n") for n in range(4)
     ]
+
+
+def site(pages):
+    wrapper = None
+    for page in pages:
+        node = extraction.page_wrapper(page)
+        wrapper = node if wrapper is None else extraction.join_wrappers(wrapper, node)
+    found = extraction.reading(wrapper)
+    return [extraction.main_text(page, *found) for page in pages]
+
+
+def paragraphs(n):
+    return f"<p>Paragraph {n} has several words in it.</p><p>Another, number {n * 7}, ends here.</p>"
+
+
+PLAIN = [f"Paragraph {n} has several words in it.\n\nAnother, number {n * 7}, ends here." for n in range(4)]
+KEPT = {
+    "form around an article": (
+        "<body><form action=x><div>Find</div><nav>MENU</nav><article>{0}</article></form></body>", "{0}"),
+    "form around the page": (
+        "<body><form action=x><nav>MENU</nav><div class=c>{0}</div></form></body>", "{0}"),
+    "form for searching": (
+        "<body><form><p>Search this site</p></form><div class=c>{0}</div></body>", "{0}"),
+    "header of an article": (
+        "<body><header>Site</header><article><header><h1>T{1}</h1></header>{0}</article></body>",
+        "T{1}\n\n{0}"),
+    "sidebar of articles": (
+        "<body><main>{0}</main><aside><article>Old {1}</article></aside></body>", "{0}"),
+    "formula and drawing": (
+        "<body><article><p>Sum <math><mi>x</mi><mo>+</mo><mn>{1}</mn><annotation>TeX</annotation></math> "
+        "of <svg><text>no</text></svg>0.</p>{0}</article></body>", "Sum x+{1} of 0.\n\n{0}"),
+    "shared heading": (
+        "<body><article><h1>T{1}</h1><p>By Jane Doe</p>{0}<h2>Summary</h2><p>In short {1}.</p></article>"
+        "</body>", "T{1}\n\nBy Jane Doe\n\n{0}\n\nSummary\n\nIn short {1}."),
+    "shared frame": (
+        "<body><article><p>Welcome, all of you!</p>{0}<p>Come again.</p></article></body>", "{0}"),
+    "deep menu": (
+        "<body>" + "<div>" * 130 + "<nav>MENU <b>A</b></nav>{0}" + "</div>" * 130 + "</body>", "{0}"),
+}
+
+
+@pytest.mark.parametrize("name", sorted(KEPT))
+def test_no_article_text_is_lost(name):
+    page, text = KEPT[name]
+    pages = [page.format(paragraphs(n), n) for n in range(4)]
+    assert site(pages) == [text.format(PLAIN[n], n) for n in range(4)]
+
+
+@pytest.mark.parametrize("parts", [1, 7, 40])
+def test_kept_text_alike_for_any_partitions(spark, parts):
+    rows, wanted = [], {}
+    for h, (page, text) in enumerate(KEPT.values()):
+        for n in range(4):
+            rows.append((len(rows), f"http://h{h}.org/{n}", page.format(paragraphs(n), n)))
+            wanted[len(rows) - 1] = text.format(PLAIN[n], n)
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(parts)
+    found = extraction.extract_main_text(df)
+    assert {r.page_id: r.text for r in found.collect()} == wanted
