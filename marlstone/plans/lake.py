@@ -409,6 +409,17 @@ def top_titles(lake: Lake, n: int = 10) -> DataFrame:
     return gold.top_priority(product, n).select(*fixed.TOP_TITLE_COLUMNS)
 
 
+def monitored_rows(
+    lake: Lake, now: dt.datetime, lag: dt.timedelta = dt.timedelta(days=1)
+) -> DataFrame:
+    """Row counts of all bronze tables against `lag` ago, a row per entity."""
+    parts = [
+        bronze_row_delta(lake.spark, lake.feed(e), now, lag).select(F.lit(e).alias("entity"), "*")
+        for e in ENTITIES
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
 def monitor(lake: Lake, now: dt.datetime, lag: dt.timedelta = dt.timedelta(days=1)) -> dict:
     """Per bronze table: row counts against `lag` ago, last runs, and the raw files' sizes."""
     return {

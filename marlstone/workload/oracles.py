@@ -600,6 +600,29 @@ ORACLES: dict[str, str] = {
             UNION ALL SELECT 'reviews', o_orderkey, o_orderkey % 7 = 0 FROM orders
             UNION ALL SELECT 'interactions', c_custkey, false FROM customer)
         GROUP BY ALL""",
+    "monitored_feeds": """
+        SELECT entity, nullif(count(*) FILTER (key % 2 = 0), 0) AS yesterday, count(*) AS today,
+            count(*) - nullif(count(*) FILTER (key % 2 = 0), 0) AS difference, 'Loaded' AS status
+        FROM (
+            SELECT 'books' AS entity, p_partkey AS key FROM part
+            UNION ALL SELECT 'reviews', o_orderkey FROM orders
+            UNION ALL SELECT 'interactions', c_custkey FROM customer)
+        GROUP BY entity""",
+    "file_inventory": sql(
+        f"""SELECT {rounded("sum(octet_length(encode(name)) + 1) / 1048576", 2)} AS size_mb,
+            true AS named, true AS dated
+        FROM order_files GROUP BY type"""
+    ),
+    "day_report": sql(
+        """SELECT 'bronze_books' AS "table", unnest(['rows', 'rescued']) AS metric,
+            unnest([(SELECT count(*) FROM lineitem), 0]) AS value
+        UNION ALL SELECT 'bronze_reviews', unnest(['rows', 'rescued']),
+            unnest([(SELECT count(*) FROM lineitem), 0])
+        UNION ALL SELECT 'bronze_interactions', unnest(['rows', 'rescued']),
+            unnest([(SELECT count(*) FROM events), 0])
+        UNION ALL SELECT 'reviews', 'rows', count(*) FROM kept_reviews
+        UNION ALL SELECT 'interactions', 'rows', count(*) FROM clean_interactions"""
+    ),
     "live_silver": sql(
         """SELECT * FROM two_day_features FULL JOIN two_day_interactions USING (book_id)"""
     ),

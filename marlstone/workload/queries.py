@@ -706,6 +706,13 @@ def rescued_by_day(spark, sf_dir):
     base = scratch_dir(spark, "rescued")
     raw = {entity: f"{base}/raw/{entity}" for entity in jobs.ENTITIES}
     lake = jobs.Lake(spark, f"{base}/lake", raw)
+    _two_days_of_lines(lake, sf_dir)
+    return jobs.rescued_lines(lake)
+
+
+def _two_days_of_lines(lake: jobs.Lake, sf_dir: str) -> None:
+    """Three feeds of JSON lines, some broken, taken in on two days: even keys, then odd ones."""
+    spark = lake.spark
     order = F.to_json(F.struct("o_orderkey", "o_orderstatus"))
     lines = {
         "books": _part_lines(spark, sf_dir).toDF("key", "value"),
@@ -719,9 +726,50 @@ def rescued_by_day(spark, sf_dir):
     for day, now in enumerate((AS_OF, AS_OF + dt.timedelta(days=1))):
         for entity, rows_ in lines.items():
             due = rows_.filter(F.col("key") % 2 == day)
-            due.select("value").write.text(f"{raw[entity]}/day{day}")
+            due.select("value").write.text(f"{lake.raw[entity]}/day{day}")
         jobs.ingest_bronze(lake, dt.datetime(now.year, now.month, now.day, 9, tzinfo=dt.timezone.utc))
-    return jobs.rescued_lines(lake)
+
+
+@query
+def monitored_feeds(spark, sf_dir):
+    """What monitoring says of three feeds an hour after their second day."""
+    base = scratch_dir(spark, "monitored")
+    raw = {entity: f"{base}/raw/{entity}" for entity in jobs.ENTITIES}
+    lake = jobs.Lake(spark, f"{base}/lake", raw)
+    _two_days_of_lines(lake, sf_dir)
+    now = dt.datetime(AS_OF.year, AS_OF.month, AS_OF.day + 1, 10, tzinfo=dt.timezone.utc)
+    return jobs.monitored_rows(lake, now)
+
+
+@query
+def file_inventory(spark, sf_dir):
+    """Sizes of orders' file names written as text, a file per type, as the inventory lists them."""
+    folder = scratch_dir(spark, "inventory")
+    names = inputs.order_catalogue(spark, sf_dir).select(F.col("name").alias("value"), "type")
+    names.repartition("type").write.partitionBy("type").text(folder)
+    return files.file_inventory(spark, folder).filter("size_mb IS NOT NULL").select(
+        "size_mb",
+        F.col("file_name").rlike("^part-[0-9]+.*[.]txt$").alias("named"),
+        F.to_timestamp("last_modified").isNotNull().alias("dated"),
+    )
+
+
+@query
+def day_report(spark, sf_dir):
+    """What a first day took in and wrote, as its report tells it."""
+    base = scratch_dir(spark, "report")
+    raw = {entity: f"{base}/raw/{entity}" for entity in jobs.ENTITIES}
+    lake = jobs.Lake(spark, f"{base}/lake", raw)
+    for entity, rows_ in (
+        ("books", inputs.whole_books(spark, sf_dir).drop("l_shipdate")),
+        ("reviews", inputs.raw_reviews(spark, sf_dir).drop("_ingestion_timestamp")),
+        ("interactions", inputs.raw_interactions(spark, sf_dir)),
+    ):
+        rows_.write.option("ignoreNullFields", False).json(raw[entity])
+    now = dt.datetime(AS_OF.year, AS_OF.month, AS_OF.day, tzinfo=dt.timezone.utc)
+    report = jobs.run_day(lake, now, AS_OF)
+    wanted = ("bronze_books", "bronze_reviews", "bronze_interactions", "reviews", "interactions")
+    return jobs.report_table(spark, {name: report[name] for name in wanted})
 
 
 @query

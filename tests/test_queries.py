@@ -50,6 +50,9 @@ def test_entry(spark):
 LAZY = sorted(set(queries()) - {
     "published_table", "versioned_table", "registered_table", "stream_ingest",
     "read_catalogue", "inferred_json", "lake_two_days", "file_sizes", "manifest_job",
+    "append_to_stored_reviews", "summed_up_signals", "growing_types", "promoted_fields",
+    "waiting_fields_by_name", "rescued_by_day", "live_silver", "bucketed_signals", "clustered_top",
+    "inventory_difference", "bronze_row_delta", "monitored_feeds", "file_inventory", "day_report",
 })
 
 
