@@ -42,6 +42,16 @@ class DoubleArray:
         slot = np.where(inside, slot, ROOT)
         return np.where(inside & (self.check[slot] == states), slot, -1)
 
+    def walk(self, words: list[np.ndarray], states: np.ndarray | None = None) -> np.ndarray:
+        """The states after the words with these numbers, -1 where a phrase leaves the trie."""
+        if states is None:
+            states = np.full(len(words[0]), ROOT)
+        for symbols in words:
+            for digit in digits_of(symbols, self.radix):
+                on = states >= 0
+                states = np.where(on, self.step(np.where(on, states, ROOT), digit), -1)
+        return states
+
     def occurrences(self, symbols: np.ndarray, ends: np.ndarray, longest: int) -> np.ndarray:
         """How often each node is reached in a text, from all its words at once, level by level.
 

@@ -2,15 +2,17 @@
 
 Passes over the texts, each in Arrow batches cut into blocks of bounded size:
 
-1. words are counted, and their neighbours in pairs and triples in a sketch of fixed size, of
-   which one bit per cell goes on: whether it counted as many as a candidate needs;
-2. pairs whose bit is set, and triples whose bit and both pairs' bits are set, are candidates. No
+1. pairs and triples of neighbouring words are counted in a sketch of fixed size, each in two
+   cells; one bit per cell goes on: whether it counted as many as a candidate needs;
+2. pairs whose bits are set, and triples whose bits and both pairs' bits are set, are candidates. No
    phrase that is frequent enough is lost, as a cell never counts less than one of its phrases;
 3. candidates are dealt into shards of bounded size. Each shard becomes one double-array trie per
    language, built in tasks and broadcast; all positions of a block walk it at once, and the counts
-   of its nodes are summed over the tasks.
+   of its nodes and words are summed over the tasks.
 
-Scores and what lies inside what follow by joins on phrases.
+A triple goes to the shard of its last two words, so a shard knows all parts of its phrases: their
+counts are read off the summed arrays. Tasks hand on packed tables and arrays, one per range of
+hashes or nodes, so that what is shuffled is few rows. What lies inside what follows by one join.
 """
 
 from __future__ import annotations
@@ -24,10 +26,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from marlstone.llm import double_array
-from marlstone.llm.common import col, in_slices, staged
+from marlstone.llm.common import col, in_slices, shuffle_partitions, staged
 
 UNKNOWN = "und"
 SPACES, BREAKS = b"\t", b".,;:!?\n\x0b\x0c\r"
@@ -39,10 +42,14 @@ LONGEST = 3
 LEAST_COUNT, INSIDE_PERCENT, BEST = 10, 50, 2000
 # Bytes of text worked on at once, cells of the sketch, rows a task gathers before it hands them on.
 BLOCK = 4 << 20
-CELL_BITS, CHUNK_BITS = 26, 16
-HELD_ROWS = 1 << 19
+CELL_BITS, CHUNK_BITS = 27, 16
+HELD_ROWS = 1 << 18
+# Ranges of hashes the gathered rows are dealt to, at most.
+MOST_BUCKETS = 4096
 # Phrases of a shard: about 30 bytes each in its tries.
 SHARD_PHRASES = 1 << 21
+# Counts of nodes or words that go together.
+COUNT_CHUNK = 1 << 14
 WORDS = ["w1", "w2", "w3"]
 
 
@@ -70,10 +77,10 @@ def phrases(
         F.coalesce(col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"),
         F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"),
     )
-    words, frequent = _words_and_sketch(texts, least_count, cell_bits)
+    totals, frequent = _sketched(texts, least_count, cell_bits)
     candidates, shards = _candidates(texts, frequent, shard_phrases)
-    counted = _counted(texts, candidates, shards).where(F.col("a") >= least_count)
-    return _scored(staged(counted, "phrases"), words, least_count, inside_percent, best)
+    counted = staged(_counted(texts, candidates, shards, least_count), "phrases")
+    return _scored(counted, totals, inside_percent, best)
 
 
 @dataclass
@@ -107,21 +114,26 @@ class Block:
         pair = np.flatnonzero(~self.ends)
         return pair, ~self.ends[np.minimum(pair + 1, len(self.ends) - 1)]
 
-    def cells(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
-        """Sketch cells of the pair, and of the triple, that begin at the places of `neighbours`.
+    def hashed(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes of the pairs, of the triples that begin where a pair does, and where one does.
 
-        A place without a triple has cell 0 there.
+        A hash is two numbers, a column each. A place without a triple has the hash of nothing.
         """
         seed = np.uint64(xxhash.xxh64_intdigest(self.lang))
-        hashes = map(xxhash.xxh64_intdigest, self.words.cast(pa.binary()).to_pylist())
-        own = np.fromiter(hashes, np.uint64, len(self.words))[self.number]
+        raw = b"".join(map(xxhash.xxh3_128_digest, self.words.cast(pa.binary()).to_pylist()))
+        own = np.frombuffer(raw, np.uint64).reshape(-1, 2)[self.number]
         pair, long = self.neighbours()
         mixed = _mix(own[pair] + seed) + own[pair + 1]
         third = own[np.minimum(pair + 2, len(own) - 1)]
-        shift = np.uint64(64 - bits)
-        two = _mix(mixed) >> shift
-        three = np.where(long, _mix(_mix(mixed) + third) >> shift, np.uint64(0))
-        return two.astype(np.int64), three.astype(np.int64)
+        return _mix(mixed), _mix(_mix(mixed) + third), long
+
+
+def _cells(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two cells of each phrase: its hash's first bits, and its last."""
+    return (
+        (hashes >> np.uint64(64 - bits)).astype(np.int64),
+        (hashes & np.uint64((1 << bits) - 1)).astype(np.int64),
+    )
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -151,74 +163,123 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
                 begin = end
 
 
-class _Gathered:
-    """Rows a task has found, repeats folded, given out when there are many."""
+class _Once:
+    """Phrases a task has found, each given out once, packed by range of their hashes.
+
+    What has been given out is known by 128 bits of hash, 16 bytes a phrase.
+    """
 
-    def __init__(self, keys: list[str], sums: list[str]):
-        self.keys, self.sums = keys, sums
+    def __init__(self, buckets: int):
+        self.buckets = buckets
+        self.first, self.second = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
         self.tables: list[pa.Table] = []
         self.rows = 0
 
-    def add(self, **columns: pa.Array) -> Iterator[pa.RecordBatch]:
-        self.tables.append(pa.table(columns))
-        self.rows += self.tables[-1].num_rows
+    def new(self, hashes: np.ndarray) -> np.ndarray:
+        """Which phrases have not been given out. `hashes` has two columns, and no row twice."""
+        place = np.searchsorted(self.first, hashes[:, 0])
+        inside = np.minimum(place, max(len(self.first) - 1, 0))
+        if not len(self.first):
+            return np.ones(len(hashes), bool)
+        return (self.first[inside] != hashes[:, 0]) | (self.second[inside] != hashes[:, 1])
+
+    def add(self, lang: str, phrases: pa.Array, hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
+        first = np.concatenate([self.first, hashes[:, 0]])
+        order = np.argsort(first, kind="stable")
+        self.first = first[order]
+        self.second = np.concatenate([self.second, hashes[:, 1]])[order]
+        bucket = (hashes[:, 0] >> np.uint64(20)) % np.uint64(self.buckets)
+        langs = pa.array([lang] * len(phrases), pa.string())
+        self.tables.append(pa.table({"bucket": bucket, "lang": langs, "phrase": phrases}))
+        self.rows += len(phrases)
         if self.rows > HELD_ROWS:
-            self._fold()
-            if self.rows > HELD_ROWS // 2:
-                yield from self.rest()
-
-    def _fold(self) -> None:
-        every = pa.concat_tables(self.tables)
-        folded = every.group_by(self.keys).aggregate([(name, "sum") for name in self.sums])
-        folded = folded.rename_columns([n.removesuffix("_sum") for n in folded.column_names])
-        self.tables, self.rows = [folded], folded.num_rows
+            yield from self.rest()
 
     def rest(self) -> Iterator[pa.RecordBatch]:
-        if self.tables:
-            self._fold()
-            yield from self.tables[0].select([*self.keys, *self.sums]).to_batches()
+        if self.rows:
+            # In order, as neighbours that begin alike pack well.
+            rows = pa.concat_tables(self.tables).sort_by(
+                [("bucket", "ascending"), ("lang", "ascending"), ("phrase", "ascending")]
+            ).combine_chunks()
+            found, starts = np.unique(rows["bucket"].to_numpy(), return_index=True)
+            ends = np.append(starts[1:], rows.num_rows)
+            rows = rows.drop_columns(["bucket"])
+            packed = [_packed(rows.slice(a, b - a)) for a, b in zip(starts, ends)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found.astype(np.int32)), pa.array(packed, pa.binary())],
+                names=["bucket", "packed"],
+            )
         self.tables, self.rows = [], 0
 
 
-def _words_and_sketch(
-    texts: DataFrame, least: int, bits: int
-) -> tuple[DataFrame, np.ndarray]:
-    """Counts of all words, and the sketch's cells that counted `least` or more, packed as bits."""
+def _packed(rows: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    with pa.ipc.new_stream(sink, rows.schema, options=options) as out:
+        out.write_table(rows)
+    return sink.getvalue().to_pybytes()
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gathered = _Gathered(["lang", "word"], ["n"])
-        cells = np.zeros(1 << bits, np.uint8)
-        chunks = pa.array([None], pa.int32()), pa.array([None], pa.binary())
 
-        def told(batch: pa.RecordBatch) -> pa.RecordBatch:
-            nothing = [pa.nulls(batch.num_rows, x.type) for x in chunks]
-            return pa.RecordBatch.from_arrays([*batch.columns, *nothing], names=names)
+def _unpacked(packed: bytes) -> pa.Table:
+    with pa.ipc.open_stream(packed) as stream:
+        return stream.read_all()
+
 
-        names = ["lang", "word", "n", "chunk", "cells"]
+def _distinct(packed: DataFrame) -> DataFrame:
+    """The packed phrases of all tasks, each once: lang, phrase."""
+
+    def fold(tables: list[pa.Table]) -> pa.Table:
+        return pa.concat_tables(tables).group_by(["lang", "phrase"]).aggregate([])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, tables, rows = None, [], 0
+        for batch in batches:
+            for bucket, some in zip(batch["bucket"].to_pylist(), batch["packed"].to_pylist()):
+                if bucket != now and tables:
+                    yield from fold(tables).to_batches(1 << 16)
+                    tables, rows = [], 0
+                now = bucket
+                tables.append(_unpacked(some))
+                rows += tables[-1].num_rows
+                if rows > 2 * HELD_ROWS:
+                    tables, rows = [fold(tables)], 0
+        if tables:
+            yield from fold(tables).to_batches(1 << 16)
+
+    dealt = packed.repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(merge, "lang string, phrase string")
+
+
+def _buckets(spark: SparkSession) -> int:
+    return min(max(shuffle_partitions(spark), 1), MOST_BUCKETS)
+
+
+def _sketched(texts: DataFrame, least: int, bits: int) -> tuple[DataFrame, np.ndarray]:
+    """Words per language, and the cells that counted `least` phrases or more, packed as bits."""
+    width = 1 << min(CHUNK_BITS, bits)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, words = np.zeros(1 << bits, np.uint8), {}
         for block in blocks(batches):
-            times = np.bincount(block.number, minlength=len(block.words))
-            lang = pa.array([block.lang] * len(times), pa.string())
-            for batch in gathered.add(lang=lang, word=block.words, n=pa.array(times, pa.int64())):
-                yield told(batch)
-            two, three = block.cells(bits)
-            found, seen = np.unique(np.concatenate([two, three]), return_counts=True)
+            words[block.lang] = words.get(block.lang, 0) + len(block.number)
+            two, three, long = block.hashed()
+            both = np.concatenate([two[:, 0], three[long, 0]])
+            found, seen = np.unique(np.concatenate(_cells(both, bits)), return_counts=True)
             cells[found] = np.minimum(cells[found] + seen, 255)
-        for batch in gathered.rest():
-            yield told(batch)
-        parts = cells.reshape(-1, 1 << min(CHUNK_BITS, bits))
-        for n in np.flatnonzero(parts.any(axis=1)):
-            packed = zlib.compress(parts[n].tobytes(), 1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(1, pa.string()), pa.nulls(1, pa.string()), pa.nulls(1, pa.int64()),
-                 pa.array([n], pa.int32()), pa.array([packed], pa.binary())],
-                names=names,
-            )
+        schema = pa.schema(
+            [("lang", pa.string()), ("n", pa.int64()), ("chunk", pa.int32()), ("cells", pa.binary())]
+        )
+        for lang, n in words.items():
+            yield pa.RecordBatch.from_pylist([{"lang": lang, "n": n}], schema=schema)
+        for n, part in enumerate(cells.reshape(-1, width)):
+            if part.any():
+                yield pa.RecordBatch.from_pylist([{"chunk": n, "cells": _sparse(part)}], schema=schema)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for n, packed in zip(batch["chunk"].to_pylist(), batch["cells"].to_pylist()):
-                counts = np.frombuffer(zlib.decompress(packed), np.uint8).astype(np.uint16)
+                counts = _dense(packed, width)
                 # A task counts up to 255, so a sum that reaches it need not go on.
                 total[n] = np.minimum(total[n] + counts, 255) if n in total else counts
         packed = [np.packbits(x >= min(least, 255)).tobytes() for x in total.values()]
@@ -227,17 +288,32 @@ def _words_and_sketch(
             names=["chunk", "cells"],
         )
 
-    made = staged(
-        texts.mapInArrow(count, "lang string, word string, n long, chunk int, cells binary"), "words"
-    )
+    made = staged(texts.mapInArrow(count, "lang string, n long, chunk int, cells binary"), "sketch")
     sketch = made.where("chunk is not null").select("chunk", "cells")
     frequent = np.zeros((1 << bits) // 8, np.uint8)
-    width = (1 << min(CHUNK_BITS, bits)) // 8
-    # One bit per cell comes to the driver: 8 MB, whatever the corpus.
+    # One bit per cell comes to the driver: 16 MB, whatever the corpus.
     for row in sketch.repartition("chunk").mapInArrow(merge, sketch.schema).collect():
-        frequent[row.chunk * width : (row.chunk + 1) * width] = np.frombuffer(row.cells, np.uint8)
-    counts = made.where("word is not null").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    return staged(counts, "word-counts"), frequent
+        at = row.chunk * width // 8
+        frequent[at : at + width // 8] = np.frombuffer(row.cells, np.uint8)
+    totals = made.where("lang is not null").groupBy("lang").agg(F.sum("n").alias("n"))
+    return totals, frequent
+
+
+ZSTD = pa.Codec("zstd", 1)
+
+
+def _sparse(counts: np.ndarray) -> bytes:
+    """Small counts, most of them 0: which are not, as bits, and what these are."""
+    used = counts > 0
+    return ZSTD.compress(np.packbits(used).tobytes() + counts[used].tobytes(), asbytes=True)
+
+
+def _dense(packed: bytes, width: int) -> np.ndarray:
+    # Never more than a bit and a byte for each.
+    raw = np.frombuffer(zstandard.decompress(packed), np.uint8)
+    counts = np.zeros(width, np.uint16)
+    counts[np.unpackbits(raw[: width // 8]).astype(bool)] = raw[width // 8 :]
+    return counts
 
 
 def _candidates(
@@ -246,168 +322,211 @@ def _candidates(
     """Phrases that may occur often enough, with shard and number there; and how many shards."""
     bits = len(frequent).bit_length() + 2
     spark = texts.sparkSession
+    buckets = _buckets(spark)
     shared = spark.sparkContext.broadcast(frequent)
 
-    def may_be(cells: np.ndarray) -> np.ndarray:
-        return (shared.value[cells >> 3] >> (7 - (cells & 7))) & 1 > 0
+    def may_be(hashes: np.ndarray) -> np.ndarray:
+        return np.logical_and(
+            *((shared.value[c >> 3] >> (7 - (c & 7))) & 1 > 0 for c in _cells(hashes, bits))
+        )
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gathered = _Gathered(["lang", *WORDS], [])
+        once = _Once(buckets)
         for block in blocks(batches):
-            pair, long = block.neighbours()
+            pair, _ = block.neighbours()
             if not len(pair):
                 continue
-            two, three = block.cells(bits)
-            safe = may_be(two)
+            two, three, long = block.hashed()
+            safe = may_be(two[:, 0])
             # The pair that begins one word later is the next of the list.
-            triple = safe & long & np.append(safe[1:], False) & may_be(three)
-            count = len(block.words)
-            keys = block.number[pair] * count + block.number[pair + 1]
-            pairs = np.unique(keys[safe])
-            heads, places = np.unique(keys[triple], return_inverse=True)
-            places, last = np.divmod(np.unique(places * count + block.number[pair[triple] + 2]), count)
-            for two_words, third in ((pairs, None), (heads[places], last)):
-                columns = [block.words.take(pa.array(x)) for x in np.divmod(two_words, count)]
-                if third is None:
-                    columns.append(pa.nulls(len(two_words), pa.string()))
-                else:
-                    columns.append(block.words.take(pa.array(third)))
-                lang = pa.array([block.lang] * len(two_words), pa.string())
-                yield from gathered.add(lang=lang, **dict(zip(WORDS, columns)))
-        yield from gathered.rest()
-
-    kinds = "lang string, w1 string, w2 string, w3 string"
-    distinct = staged(texts.mapInArrow(find, kinds).distinct(), "candidates")
+            triple = safe & long & np.append(safe[1:], False) & may_be(three[:, 0])
+            for found, hashes, size in ((safe, two, 2), (triple, three, 3)):
+                at = np.flatnonzero(found)
+                at = at[np.lexsort((hashes[at, 1], hashes[at, 0]))]
+                at = at[np.any(np.diff(hashes[at], axis=0, prepend=~hashes[at][:1]) != 0, axis=1)]
+                at = at[once.new(hashes[at])]
+                spelt = [block.words.take(pa.array(block.number[pair[at] + n])) for n in range(size)]
+                phrases = pc.binary_join_element_wise(*spelt, " ")
+                yield from once.add(block.lang, phrases, hashes[at])
+        yield from once.rest()
+
+    distinct = _distinct(texts.mapInArrow(find, "bucket int, packed binary"))
+    spelt = F.split("phrase", " ")
+    distinct = staged(
+        distinct.select("lang", *(F.get(spelt, n).alias(name) for n, name in enumerate(WORDS))),
+        "candidates",
+    )
     shards = -(-distinct.count() // shard_phrases)
-    shard = F.pmod(F.xxhash64("lang", *WORDS), F.lit(max(shards, 1))).cast("int")
-    number = F.row_number().over(Window.partitionBy("shard", "lang").orderBy(*WORDS))
-    numbered = distinct.withColumn("shard", shard).withColumn("number", number)
-    return staged(numbered, "numbered-candidates"), shards
+    last_two = F.when(F.col("w3").isNull(), F.struct("w1", "w2")).otherwise(
+        F.struct(F.col("w2").alias("w1"), F.col("w3").alias("w2"))
+    )
+    shard = F.pmod(F.xxhash64("lang", last_two), F.lit(max(shards, 1))).cast("int")
+    return distinct.withColumn("shard", shard), shards
 
 
-TRIE = "shard int, lang string, radix int, words binary, base binary, check binary, phrase binary"
+ARRAYS = ("base", "check", "phrase", *(f"symbol{n + 1}" for n in range(LONGEST)))
+TRIE = "shard int, lang string, radix int, words binary, " + ", ".join(f"{a} binary" for a in ARRAYS)
 
 
 def _build(table: pa.Table) -> pa.Table:
-    """The trie of one shard and language."""
+    """The trie of one shard and language, and its phrases as numbers of words."""
     columns = [table[name].combine_chunks() for name in WORDS]
-    trie = double_array.build(columns, table["number"].to_numpy())
+    trie = double_array.build(columns, np.arange(1, table.num_rows + 1))
+    held = {name: getattr(trie, name) for name in ("base", "check", "phrase")}
+    for n, column in enumerate(columns):
+        held[f"symbol{n + 1}"] = trie.symbols(column).astype(np.int32)
     return pa.table(
         {
             "shard": pa.array([table["shard"][0].as_py()], pa.int32()),
             "lang": pa.array([table["lang"][0].as_py()], pa.string()),
             "radix": pa.array([trie.radix], pa.int32()),
-            "words": pa.array([_packed(trie.words)], pa.binary()),
-            **{
-                name: pa.array([getattr(trie, name).tobytes()], pa.binary())
-                for name in ("base", "check", "phrase")
-            },
+            "words": pa.array([_packed(pa.table({"words": trie.words}))], pa.binary()),
+            **{name: pa.array([held[name].tobytes()], pa.binary()) for name in ARRAYS},
         }
     )
 
 
-def _packed(words: pa.Array) -> bytes:
-    sink = pa.BufferOutputStream()
-    batch = pa.RecordBatch.from_arrays([words], names=["words"])
-    with pa.ipc.new_stream(sink, batch.schema) as out:
-        out.write_batch(batch)
-    return sink.getvalue().to_pybytes()
-
-
-def _trie(row) -> double_array.DoubleArray:
-    with pa.ipc.open_stream(row.words) as stream:
-        words = stream.read_all()["words"].combine_chunks()
+def _trie(row: dict) -> double_array.DoubleArray:
+    words = _unpacked(row["words"])["words"].combine_chunks()
     arrays = (np.frombuffer(row[name], np.int32) for name in ("base", "check", "phrase"))
-    return double_array.DoubleArray(words, row.radix, *arrays)
+    return double_array.DoubleArray(words, row["radix"], *arrays)
+
 
+def _counted(texts: DataFrame, candidates: DataFrame, shards: int, least: int) -> DataFrame:
+    """Phrases that occur `least` times or more (`a`), and their parts: lang, words, l1, r1, l2, r2.
 
-def _counted(texts: DataFrame, candidates: DataFrame, shards: int) -> DataFrame:
-    """Candidates with their number of occurrences (`a`), from one pass over the texts per shard."""
+    One pass over the texts per shard.
+    """
     tries = staged(candidates.groupBy("shard", "lang").applyInArrow(_build, TRIE), "tries")
     spark = texts.sparkSession
-    fields = "shard int, lang string, number int, n long"
+    fields = "shard int, lang string, chunk int, packed binary"
     counts = [_pass(spark, texts, tries, shard, fields) for shard in range(shards)]
-    nothing = spark.createDataFrame([], fields)
-    sums = (
-        reduce(DataFrame.unionAll, counts, nothing)
-        .groupBy("shard", "lang", "number")
-        .agg(F.sum("n").alias("a"))
+    dealt = reduce(DataFrame.unionAll, counts, spark.createDataFrame([], fields))
+    sums = dealt.repartition("shard", "lang", "chunk").mapInArrow(_summed, fields)
+    found = "lang string, w1 string, w2 string, w3 string, a long, l1 long, r1 long, l2 long, r2 long"
+    return (
+        tries.groupBy("shard", "lang")
+        .cogroup(sums.groupBy("shard", "lang"))
+        .applyInArrow(_read_off(least), found)
     )
-    return candidates.join(sums, ["shard", "lang", "number"]).select("lang", *WORDS, "a")
 
 
 def _pass(spark: SparkSession, texts: DataFrame, tries: DataFrame, shard: int, fields: str):
-    """Counts of one shard's phrases, by task."""
+    """How often each node of a shard's tries is reached, and each of their words met, by task."""
     # At most `shard_phrases` phrases, all languages together.
-    rows = tries.where(F.col("shard") == shard).collect()
-    shared = spark.sparkContext.broadcast([tuple(row) for row in rows])
-    names = tries.columns
+    rows = tries.where(F.col("shard") == shard).drop(*ARRAYS[3:]).collect()
+    shared = spark.sparkContext.broadcast([row.asDict() for row in rows])
+    schema = pa.schema(
+        [("shard", pa.int32()), ("lang", pa.string()), ("chunk", pa.int32()), ("packed", pa.binary())]
+    )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql import Row
-
-        own = {row[1]: _trie(Row(*names)(*row)) for row in shared.value}
-        total = {lang: np.zeros(len(trie.base), np.int64) for lang, trie in own.items()}
+        own = {row["lang"]: _trie(row) for row in shared.value}
+        nodes = {lang: np.zeros(len(trie.base), np.int64) for lang, trie in own.items()}
+        words = {lang: np.zeros(len(trie.words) + 1, np.int64) for lang, trie in own.items()}
         for block in blocks(batches):
             trie = own.get(block.lang)
             if trie is not None:
                 symbols = trie.symbols(block.words)[block.number]
-                total[block.lang] += trie.occurrences(symbols, block.ends, LONGEST)
-        for lang, times in total.items():
-            nodes = np.flatnonzero((own[lang].phrase > 0) & (times > 0))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(nodes), shard, np.int32)),
-                    pa.array([lang] * len(nodes), pa.string()),
-                    pa.array(own[lang].phrase[nodes]),
-                    pa.array(times[nodes]),
-                ],
-                names=["shard", "lang", "number", "n"],
-            )
+                words[block.lang] += np.bincount(symbols, minlength=len(trie.words) + 1)
+                nodes[block.lang] += trie.occurrences(symbols, block.ends, LONGEST)
+        for lang in own:
+            every = np.concatenate([words[lang], nodes[lang]])
+            for chunk in range(-(-len(every) // COUNT_CHUNK)):
+                some = every[chunk * COUNT_CHUNK :][:COUNT_CHUNK]
+                if some.any():
+                    row = {"shard": shard, "lang": lang, "chunk": chunk}
+                    row["packed"] = zlib.compress(some.tobytes(), 1)
+                    yield pa.RecordBatch.from_pylist([row], schema=schema)
 
     found = staged(texts.mapInArrow(count, fields), "phrase-counts")
     shared.destroy()
     return found
 
 
-def _scored(
-    found: DataFrame, words: DataFrame, least: int, inside_percent: int, best: int
-) -> DataFrame:
-    """Scores of the weakest cuts, phrases inside longer ones left out, and the first of each language."""
-    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    # A part occurs as often as the whole at least.
-    single = words.where(F.col("n") >= least)
-    pairs, triples = found.where("w3 is null"), found.where("w3 is not null")
-
-    def parts(names: list[str], count: str) -> DataFrame:
-        if len(names) == 1:
-            return single.select("lang", F.col("word").alias(names[0]), F.col("n").alias(count))
-        return pairs.select(
-            "lang", F.col("w1").alias(names[0]), F.col("w2").alias(names[1]), F.col("a").alias(count)
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the tasks' counts up, part by part."""
+    total: dict[tuple, np.ndarray] = {}
+    for batch in batches:
+        for shard, lang, chunk, packed in zip(*(c.to_pylist() for c in batch.columns)):
+            counts = np.frombuffer(zlib.decompress(packed), np.int64)
+            key = (shard, lang, chunk)
+            total[key] = total[key] + counts if key in total else counts
+    for (shard, lang, chunk), counts in total.items():
+        packed = zlib.compress(counts.tobytes(), 1)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([shard], pa.int32()), pa.array([lang], pa.string()),
+                pa.array([chunk], pa.int32()), pa.array([packed], pa.binary()),
+            ],
+            names=["shard", "lang", "chunk", "packed"],
         )
 
-    def cut(rows: DataFrame, first: list[str], rest: list[str], n: int) -> DataFrame:
-        joined = rows.join(parts(first, f"l{n}"), ["lang", *first])
-        return joined.join(parts(rest, f"r{n}"), ["lang", *rest])
 
-    def score(n: int):
+def _read_off(least: int):
+    """Counts of a shard's frequent phrases and of their parts, from its summed arrays."""
+
+    def read(tries: pa.Table, sums: pa.Table) -> pa.Table:
+        row = tries.to_pylist()[0] if tries.num_rows else None
+        names = ["lang", *WORDS, "a", "l1", "r1", "l2", "r2"]
+        kinds = [pa.string()] * (1 + len(WORDS)) + [pa.int64()] * 5
+        if row is None:
+            return pa.table({n: pa.array([], k) for n, k in zip(names, kinds)})
+        trie = _trie(row)
+        symbols = [np.frombuffer(row[name], np.int32).astype(np.int64) for name in ARRAYS[3:]]
+        every = np.zeros(len(trie.words) + 1 + len(trie.base), np.int64)
+        for chunk, packed in zip(sums["chunk"].to_pylist(), sums["packed"].to_pylist()):
+            some = np.frombuffer(zlib.decompress(packed), np.int64)
+            every[chunk * COUNT_CHUNK :][: len(some)] = some
+        words, nodes = every[: len(trie.words) + 1], every[len(trie.words) + 1 :]
+
+        one, two, three = symbols
+        states = trie.walk([one, two])
+        pair = nodes[states]
+        long = three > 0
+        a = pair.copy()
+        a[long] = nodes[trie.walk([three[long]], states[long])]
+        kept = a >= least
+        one, two, three, long, pair, a = (x[kept] for x in (one, two, three, long, pair, a))
+        # The last two words of a triple are a phrase of this shard themselves.
+        last = nodes[np.maximum(trie.walk([two, three]), 0)]
+        nothing = pa.nulls(len(a), pa.int64())
+        spelt = [trie.words.take(pa.array(x - 1)) for x in (one, two)]
+        third = trie.words.take(pa.array(np.where(long, three - 1, 0)))
+        columns = [
+            pa.array([row["lang"]] * len(a), pa.string()),
+            *spelt,
+            pc.if_else(pa.array(long), third, pa.nulls(len(a), pa.string())),
+            pa.array(a),
+            pa.array(words[one]),
+            pa.array(np.where(long, last, words[two])),
+            pc.if_else(pa.array(long), pa.array(pair), nothing),
+            pc.if_else(pa.array(long), pa.array(words[three]), nothing),
+        ]
+        return pa.table(dict(zip(names, columns)))
+
+    return read
+
+
+def _scored(
+    found: DataFrame, totals: DataFrame, inside_percent: int, best: int
+) -> DataFrame:
+    """Scores of the weakest cuts, phrases inside longer ones left out, the first of each language."""
+
+    def cut(n: int):
         a, left, right = (F.col(c).cast("decimal(15,0)") for c in ("a", f"l{n}", f"r{n}"))
         above = F.lit(1_000_000).cast("decimal(7,0)") * (a * a).cast("decimal(31,0)")
-        return F.call_function("div", above, (left * right).cast("decimal(31,0)"))
+        score = F.call_function("div", above, (left * right).cast("decimal(31,0)"))
+        return F.struct(
+            score.alias("score"), F.col(f"l{n}").alias("l"), F.col(f"r{n}").alias("r")
+        )
 
-    two = cut(pairs, ["w1"], ["w2"], 1).select(
-        "lang", *WORDS, "a", F.col("l1").alias("l"), F.col("r1").alias("r"), score(1).alias("score")
-    )
-    three = cut(cut(triples, ["w1"], ["w2", "w3"], 1), ["w1", "w2"], ["w3"], 2)
-    first, second = (
-        F.struct(score(n).alias("score"), F.col(f"l{n}").alias("l"), F.col(f"r{n}").alias("r"))
-        for n in (1, 2)
-    )
+    first, second = cut(1), cut(2)
     weakest = F.when(second["score"] < first["score"], second).otherwise(first)
-    three = three.withColumn("cut", weakest).select(
+    scored = found.withColumn("cut", weakest).select(
         "lang", *WORDS, "a", "cut.l", "cut.r", "cut.score"
     )
-
+    triples = found.where("w3 is not null")
     inside = (
         triples.select("lang", "w1", "w2", F.col("a").alias("longer"))
         .unionAll(triples.select("lang", "w2", "w3", "a"))
@@ -415,12 +534,12 @@ def _scored(
         .agg(F.max("longer").alias("longer"))
     )
     covered = F.coalesce(F.col("longer") * 100 >= F.col("a") * inside_percent, F.lit(False))
-    alone = two.join(inside, ["lang", "w1", "w2"], "left").where(~covered).select(*three.columns)
-    phrase = F.concat_ws(" ", *WORDS)
+    pairs = scored.where("w3 is null").join(inside, ["lang", "w1", "w2"], "left")
+    alone = pairs.where(~covered).select(*scored.columns)
     place = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = (
-        alone.unionByName(three)
-        .withColumn("phrase", phrase)
+        alone.unionByName(scored.where("w3 is not null"))
+        .withColumn("phrase", F.concat_ws(" ", *WORDS))
         .withColumn("rank", F.row_number().over(place).cast("long"))
         .where(F.col("rank") <= best)
     )

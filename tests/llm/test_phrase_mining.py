@@ -103,14 +103,14 @@ def test_one_word_without_end(spark):
 
 
 def test_scores_beyond_64_bits(spark):
-    counts = spark.createDataFrame(
-        [("en", "a", 40_000_000_000_003), ("en", "b", 70_000_000_000_001)], "lang string, word string, n long"
-    )
+    totals = spark.createDataFrame([("en", 90_000_000_000_000)], "lang string, n long")
+    a, left, right = 30_000_000_000_007, 40_000_000_000_003, 70_000_000_000_001
     found = spark.createDataFrame(
-        [("en", "a", "b", None, 30_000_000_000_007)], "lang string, w1 string, w2 string, w3 string, a long"
+        [("en", "a", "b", None, a, left, right, None, None)],
+        "lang string, w1 string, w2 string, w3 string, a long, l1 long, r1 long, l2 long, r2 long",
     )
-    [row] = phrase_mining._scored(found, counts, 10, 50, 5).collect()
-    assert row.score == 1_000_000 * 30_000_000_000_007**2 // (40_000_000_000_003 * 70_000_000_000_001)
+    [row] = phrase_mining._scored(found, totals, 50, 5).collect()
+    assert (row.l, row.r) == (left, right) and row.score == 1_000_000 * a * a // (left * right)
 
 
 def test_long_texts_are_cut_between_pieces(monkeypatch):
