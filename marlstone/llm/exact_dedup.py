@@ -132,5 +132,9 @@ def _resolve(marked: DataFrame, best) -> DataFrame:
 
 
 def survivors(df: DataFrame, **options) -> DataFrame:
-    """The rows of `df` that stay, with the columns of `df`."""
+    """The rows of `df` that stay, with the columns of `df`, whatever their names.
+
+    Null and empty texts are one group, of which one row stays; so does one of rows alike in text and
+    id. An empty table gives an empty result.
+    """
     return exact_dedup(df, carry=True, **options).where("kept").select("row.*")

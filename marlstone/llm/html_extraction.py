@@ -507,7 +507,12 @@ def host_of(url: Column) -> Column:
 
 
 def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """host and wrapper (JSON), one row per host, from all its pages."""
+    """host and wrapper (JSON), one row per host, from all its pages.
+
+    Null and empty pages count as pages without text; pages without a host share the host ''. A page
+    that is there twice is aligned twice, which changes no key. Other columns are ignored; an
+    empty table gives an empty result.
+    """
     rows = pages.select(
         host_of(col(url_col)).alias("host"), F.coalesce(col(html_col), F.lit("")).alias("html")
     )

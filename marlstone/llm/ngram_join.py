@@ -379,7 +379,8 @@ def similar_sets(
     """All links between different sets, and which document has which set.
 
     Returns `links` (a, b: set ids, a < b, each link once) and `sets` (doc_id, n_shingles, sid; no
-    sid for a document without words). Documents of one set are linked with each other.
+    sid for a document without words, nor for a null text). Documents of one set are linked with each
+    other, repeated rows too. Other columns are ignored; an empty table gives two empty ones.
     """
     own = id_and_text(df, id_col, text_col)
     sets, rows, verify = _search(own, words, percent)

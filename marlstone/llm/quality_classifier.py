@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marlstone.llm.common import id_and_text, in_slices, staged
+from marlstone.llm.common import col, id_and_text, in_slices, staged
 
 FEATURES = (
     "log_chars", "log_words", "word_chars", "line_words", "symbols", "capitals", "exclamations",
@@ -186,7 +186,7 @@ def classify(
     table gives an empty result.
     """
     measured = staged(features(df, id_col, text_col), "quality-features")
-    known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("label"))
+    known = labels.select(col(id_col).alias("doc_id"), col(label_col).alias("label"))
     training = measured.join(known.where(~held_out(F.col("doc_id"))), "doc_id")
     model = fit(training)
 

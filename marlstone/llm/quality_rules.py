@@ -137,7 +137,11 @@ def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def cleaned(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of `df` that are kept, with its columns, the text without the lines that fail."""
+    """The rows of `df` that are kept, with its columns, the text without the lines that fail.
+
+    Null, empty and blank texts are not kept. Repeated rows are judged alike; an empty table gives an
+    empty result.
+    """
     rows = df.select(F.struct("*").alias("row"))
     text = F.col("row")[text_col].cast("string")
     kept = _judged(rows, text).where("kept")

@@ -427,7 +427,9 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def redacted(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The same rows and columns, each stretch covered by spans replaced by `[KIND]`.
 
-    Overlapping spans are one stretch, named after its first span. Null texts stay null.
+    Overlapping spans are one stretch, named after its first span. Null texts stay null, empty ones
+    empty. Each row is taken by itself, so repeated rows come out alike and other columns as they
+    are; an empty table gives an empty result.
     """
     rows = df.select(F.struct("*").alias("row"), col(text_col).alias("text"))
 
