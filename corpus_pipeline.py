@@ -2,6 +2,8 @@
 
 Each stage takes all rows its predecessor kept. Its result is written as Parquet to the folder the
 cluster names in `spark.checkpoint.dir` and read again, so a failure costs one stage at most.
+Columns beside `doc_id`, `text` and `n_chars` pass through, whatever their names, until packing;
+every stage makes an empty table of an empty one.
 """
 
 from __future__ import annotations
@@ -13,30 +15,33 @@ from marlstone.llm.common import find_package, staged, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the rules keep, without the lines that break a rule."""
+    """Documents the rules keep, without the lines that break a rule. Null and blank texts go."""
     return with_length(quality_rules.cleaned(docs))
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the row with the largest id."""
+    """Of equal texts, the row with the largest id; null and empty texts are equal."""
     find_package(spark)
     return exact_dedup.survivors(docs)
 
 
 def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the least id."""
+    """One document of each group of near copies, the one with the least id.
+
+    Documents without words or without an id stay.
+    """
     find_package(spark)
     return ngram_join.one_per_component(docs)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, every secret in them replaced by its kind."""
+    """All documents, every secret in them replaced by its kind; null texts stay null."""
     find_package(spark)
     return with_length(secrets.redacted(docs))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces with their places in the training sequences."""
+    """Token pieces with their places in the training sequences; a null text is its end id alone."""
     find_package(spark)
     return packing.pack(docs)
 
