@@ -243,8 +243,3 @@ def joined(stretches: list[list[list[Edits | None]]]) -> Edits:
         state, some = chosen[state]
         audit.append(some)
     return Edits(costs[START], "".join(audit) + ENDING[state])
-
-
-def letters_of(audit: str) -> str:
-    """The edits of the turns themselves, without the inserts."""
-    return audit.replace(INSERT, "")

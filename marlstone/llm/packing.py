@@ -92,27 +92,29 @@ def cut_into_pieces(
         table = encoder(tokenizer)
         key = TaskContext.get().partitionId() << 33
         for batch in in_slices(batches, "text"):
-            texts = [t or "" for t in batch["text"].to_pylist()]
-            doc, start, length, total, body, crc = [], [], [], [], [], []
-            for row, raw in enumerate(table.encode(texts)):
-                ids = np.append(np.frombuffer(raw, table.dtype).astype("<u4"), np.uint32(end_id))
-                ids = ids.astype("<u4")
-                for at in range(0, len(ids), window):
-                    piece = ids[at : at + window].tobytes()
-                    doc.append(row)
-                    start.append(at)
-                    length.append(len(piece) // 4)
-                    total.append(len(ids))
-                    body.append(piece)
-                    crc.append(zlib.crc32(piece))
+            ids, ends = with_end_ids(*table.encode_array(batch["text"]), end_id)
+            begins = np.concatenate([[0], ends[:-1]])
+            total = ends - begins
+            many = -(-total // window)
+            doc = np.repeat(np.arange(len(ends)), many)
+            start = (np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many)) * window
+            at = begins[doc] + start
+            length = np.minimum(total[doc] - start, window)
+            raw = memoryview(ids).cast("B")
+            crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(at, at + length)]
+            # The pieces lie one after the other, as they are cut.
+            bounds = np.append(at, len(ids)) * 4
+            body = pa.Array.from_buffers(
+                pa.large_binary(), len(doc), [None, pa.py_buffer(bounds), pa.py_buffer(ids)]
+            )
             keys = np.arange(key, key + len(doc))
             key += len(doc)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(keys, pa.int64()),
                     batch["doc_id"].take(pa.array(doc, pa.int64())),
-                    *(pa.array(x, pa.int64()) for x in (start, length, total)),
-                    pa.array(body, pa.binary()),
+                    *(pa.array(x, pa.int64()) for x in (start, length, total[doc])),
+                    body.cast(pa.binary()),
                     pa.array(crc, pa.int64()),
                 ],
                 names=["key", "doc_id", "start", "length", "doc_tokens", "ids", "ids_crc32"],
@@ -125,6 +127,19 @@ def cut_into_pieces(
     return staged(rows.mapInArrow(cut, schema), "pieces")
 
 
+def with_end_ids(
+    ids: np.ndarray, ends: np.ndarray, end_id: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The ids as 32-bit integers with one more behind each document, and where these end."""
+    ends = ends + np.arange(1, len(ends) + 1)
+    out = np.empty(len(ids) + len(ends), "<u4")
+    own = np.ones(len(out), bool)
+    own[ends - 1] = False
+    out[own] = ids
+    out[ends - 1] = end_id
+    return out, ends
+
+
 def ranked(pieces: DataFrame) -> DataFrame:
     """`key`, `length` and the rank among the pieces of one length, counted from 0.
 

@@ -17,6 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from marlstone.llm.byte_bpe import default_path, encoder
+from marlstone.llm.packing import with_end_ids
 from marlstone.llm.common import id_and_text, in_slices, shuffle_partitions, staged
 from marlstone.session import scratch_dir
 
@@ -71,12 +72,14 @@ def write_token_files(
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = encoder(tokenizer)
-        end = np.array([end_id], table.dtype).tobytes()
         for batch in in_slices(batches, "text"):
-            texts = [t or "" for t in batch["text"].to_pylist()]
-            ids = [x + end for x in table.encode(texts)]
+            ids, ends = with_end_ids(*table.encode_array(batch["text"]), end_id)
+            bounds = pa.py_buffer(np.append(0, ends) * table.dtype.itemsize)
+            body = pa.Array.from_buffers(
+                pa.large_binary(), len(ends), [None, bounds, pa.py_buffer(ids.astype(table.dtype))]
+            )
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(ids, pa.binary())], names=["doc_id", "ids"]
+                [batch["doc_id"], body.cast(pa.binary())], names=["doc_id", "ids"]
             )
 
     spark = df.sparkSession
@@ -165,7 +168,8 @@ def rank_order(spark: SparkSession, path: str) -> np.ndarray:
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """The documents of the files: doc_id, start, n_tokens, ids (little-endian 32-bit, binary).
 
-    `start` counts the ids of all documents before it.
+    `start` counts the ids of all documents before it. Empty texts have their end id alone, and rows
+    written twice are read twice; a folder without blocks gives an empty result.
     """
     order = rank_order(spark, path).astype("<u4")
     blocks = spark.read.parquet(f"{path}/blocks")

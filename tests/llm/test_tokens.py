@@ -3,10 +3,12 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from marlstone.llm import packing, sentencepiece_codec, token_counts, token_files
 from marlstone.llm.byte_bpe import Encoder, default_path
+from marlstone.llm.merges import Merges
 from marlstone.llm.queries import QUERIES
 from marlstone.session import scratch_dir
 from tests.llm.conftest import EDGE_TEXTS, by_row, prose
@@ -32,6 +34,47 @@ def ids_of(bpe, texts):
     return [x.ids for x in bpe.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def plain_words(n, seed=2):
+    """Texts of words, marks, line ends and single blanks, near the edges of what counts as plain."""
+    pick = random.Random(seed)
+    letters = "aetionhs" * 4 + "XÉéßüÀÖØöøÿ×÷ªºµĀſƀɏɐΩя'0_"
+    texts = []
+    for _ in range(n):
+        text = ""
+        for _ in range(pick.randint(0, 12)):
+            word = "".join(pick.choices(letters, k=pick.choice([1, 2, 3, 5, 9, 14, 70])))
+            marks = "".join(pick.choices(".,;:!?()[]{}*'\"-_~", k=pick.choice([0, 0, 0, 1, 2, 5])))
+            text += word + marks + pick.choice([" ", " ", " ", "\n", "\n\n", "  ", "\r\n", ""])
+        texts.append(text)
+    return texts
+
+
+def test_plain_words_equal_the_library(bpe):
+    assert bpe.merges is not None
+    texts = plain_words(4000)
+    found = [np.frombuffer(x, bpe.dtype).tolist() for x in bpe.encode(texts)]
+    assert found == ids_of(bpe, texts)
+
+
+def test_merges_go_by_rank_then_place():
+    pairs = np.array([[1, 1], [2, 3], [3, 4], [5, 1], [6, 4]])
+    merges = Merges(pairs, np.array([5, 6, 7, 8, 9]))
+    words = [[1, 1, 1], [2, 3, 4], [3, 4], [1], [1, 1, 1, 1, 1], [4, 2, 3, 4, 4], [9, 9]]
+    starts = np.cumsum([0, *map(len, words[:-1])])
+    flat, begin, size = merges.merged(np.concatenate(words), starts)
+    made = [flat[b : b + n].tolist() for b, n in zip(begin, size)]
+    assert made == [[8], [9], [7], [1], [5, 8], [4, 9, 4], [9, 9]]
+    assert merges.rank(np.array([6, 1, 4]), np.array([4, 1, 6])).tolist()[:2] == [4, 0]
+
+
+def test_arrays_with_nulls_offsets_and_nothing(bpe):
+    texts = ["one two", None, "", "x\ny", "a  b", "three"]
+    for array in (pa.array(texts), pa.array(["zz", *texts]).slice(1), pa.array([], pa.string())):
+        ids, ends = bpe.encode_array(array)
+        split = [x.tolist() for x in np.split(ids, ends)][: len(array)]
+        assert split == ids_of(bpe, [x or "" for x in array.to_pylist()])
+
+
 def test_byte_bpe_equals_the_library(bpe):
     texts = scrappy(4000) + [t or "" for t in EDGE_TEXTS]
     found = [np.frombuffer(x, bpe.dtype).tolist() for x in bpe.encode(texts)]
