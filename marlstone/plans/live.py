@@ -2,7 +2,9 @@
 
 Each batch goes to bronze, and from there its rows alone into silver: one row per key, then appended
 or merged. The silver run that takes a batch in notes the batch's number and is committed with it,
-so a batch that is run again after a failure changes nothing.
+so a batch that is run again after a failure changes nothing. Numbers are those of the feed's
+checkpoint: who starts a checkpoint anew has to start silver anew as well, or take the files in by
+the daily jobs.
 """
 
 from __future__ import annotations
