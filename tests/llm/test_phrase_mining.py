@@ -66,7 +66,7 @@ def corpus(seed, docs, words=12):
 
 
 def results(df, **options):
-    found = phrases(df, **options)
+    found = phrases(df, **{"cell_bits": 18, **options})
     assert found.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
     return sorted(tuple(r) for r in found.collect())
 
@@ -76,7 +76,7 @@ def test_equals_brute_force(spark):
     wanted = plain([r[1:3] for r in rows])
     assert len(wanted) > 100 and {len(w[2].split(" ")) for w in wanted} == {2, 3}
     df = spark.createDataFrame(rows, SCHEMA)
-    assert results(df.repartition(5)) == wanted
+    assert results(df.repartition(3), cell_bits=phrase_mining.CELL_BITS) == wanted
     # A sketch that proves next to nothing, and many small tries, give the same.
     assert results(df, cell_bits=8, shard_phrases=150) == wanted
 

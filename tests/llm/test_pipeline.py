@@ -23,7 +23,7 @@ def test_one_query_per_operator():
     import __spark_entry__
 
     numbers = [int(name[2:].split("_")[0]) for name in QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
 
 
@@ -33,10 +33,12 @@ def test_matches_sql(spark, name):
     assert not problems and count > 0
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+# Phrases are not rows of a table; their SQL above reads it whole.
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op13_phrase_mining"}))
 def test_whole_tables(spark, name):
-    source = "pages" if name.startswith("op4") else "documents"
-    rows = spark.read.parquet(f"{SF_DIR}/{source}.parquet").count()
+    source = {"op4": "pages", "op11": "conversations"}.get(name.split("_")[0], "documents")
+    rows = spark.read.parquet(f"{SF_DIR}/{source}.parquet")
+    rows = rows.select("conv_id").distinct().count() if name.startswith("op11") else rows.count()
     found = QUERIES[name](spark, SF_DIR).count()
     assert found >= rows if name.startswith("op6") else found == rows
 
