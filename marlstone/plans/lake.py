@@ -36,7 +36,7 @@ from marlstone.operators.mutations import (
 from marlstone.operators.rows import expect_no_nulls
 from marlstone.plans import activity, books, gold
 from marlstone.plans.rollup import Rollup, refresh
-from marlstone.session import bloom_filtered, sized_for
+from marlstone.session import bloom_filtered, narrow_splits, sized_for
 from marlstone.sources import catalog, fs, store
 from marlstone.sources.files import file_inventory, read_catalogue
 from marlstone.streaming.ingest import (
@@ -86,10 +86,7 @@ class Lake:
         return (self.buckets, "book_id") if self.buckets else None
 
     def read_by_book(self, layer: str, name: str) -> DataFrame:
-        root = self.path(layer, name)
-        if store.BUCKETS in store.notes(self.spark, root):
-            return catalog.bucketed(self.spark, root)
-        return store.read_table(self.spark, root)
+        return staged_table(self.spark, self.path(layer, name))
 
     def current(self, layer: str, name: str) -> DataFrame:
         return store.read_current(self.spark, self.path(layer, name))
@@ -132,10 +129,30 @@ def rescued_lines(lake: Lake) -> DataFrame:
 
 def _staged(lake: Lake, name: str, build: Callable[[DataFrame], DataFrame], since) -> DataFrame:
     """Write the cleaned snapshot and read it back, so that later steps do not clean again."""
-    raw = lake.bronze(name, since)
-    with sized_for(raw):
-        store.replace(build(raw), lake.path("staging", name))
-    return lake.read("staging", name)
+    raw, root = lake.bronze(name, since), lake.path("staging", name)
+    with sized_for(raw), narrow_splits(raw):
+        stage(name, build(raw), root)
+    return staged_table(lake.spark, root)
+
+
+def stage(name: str, rows: DataFrame, root: str) -> dict[str, int]:
+    return stage_reviews(rows, root) if name == "reviews" else store.replace(rows, root)
+
+
+def stage_reviews(rows: DataFrame, root: str) -> dict[str, int]:
+    """Write clean reviews hashed on their id, as their ranking leaves them.
+
+    The joins that find those stored already then move ids, never whole reviews.
+    """
+    count = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return store.replace(rows, root, buckets=(count, "review_id"))
+
+
+def staged_table(spark: SparkSession, root: str) -> DataFrame:
+    """A stored table, by its buckets where it has any."""
+    if store.BUCKETS in store.notes(spark, root):
+        return catalog.bucketed(spark, root)
+    return store.read_table(spark, root)
 
 
 def _apply_scd2(

@@ -95,6 +95,30 @@ def sized_for(*inputs: DataFrame):
         yield
 
 
+@contextmanager
+def narrow_splits(*inputs: DataFrame):
+    """Run the writes inside with splits whose rows a task can sort in memory.
+
+    Where one row per key is wanted, a task sorts whole rows as it has read them, and 128 MB of
+    Parquet may be millions. Past 1.6 TB splits grow, so that there are never many more than 100,000.
+    """
+    spark, name = inputs[0].sparkSession, "spark.sql.files.maxPartitionBytes"
+    wanted = max(16 * MB, sum(plan_bytes(df) for df in inputs) // 100_000)
+    bytes_of = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    with kept_settings(spark, [name]):
+        if wanted < bytes_of(spark.conf.get(name)):
+            spark.conf.set(name, str(wanted))
+        yield
+
+
+def buckets_for(least: int, *inputs: DataFrame) -> int:
+    """`least` buckets, or as many more as it takes for each to stand for 8 MB of the inputs.
+
+    A bucket is sorted and joined by one task, so a fixed count would have tasks grow.
+    """
+    return max(least, -(-sum(plan_bytes(df) for df in inputs) // (8 * MB)))
+
+
 @contextmanager
 def bloom_filtered(spark: SparkSession, items: int):
     """Run the jobs inside with Spark's runtime Bloom filters, sized for that many keys.

@@ -110,7 +110,8 @@ def _publish(
     Parts in `replaced` (all when None) give up the runs that held them. With `cluster` rows are
     dealt to files by ranges of those columns and sorted by them, so that readers who ask for few
     values skip most row groups. With `buckets`, a count and a column, files are kept hashed on
-    the column; a table keeps the buckets it began with, and `catalog.bucketed` reads it that way.
+    the column, and `catalog.bucketed` reads it that way; a table that is added to keeps the buckets
+    it began with, one that is replaced whole takes those given.
     """
     spark = df.sparkSession
     done = versions(spark, root)
@@ -129,6 +130,8 @@ def _publish(
     rows = df if part is None else df.withColumn("part", part)
     lead = [] if part is None else ["part"]
     held_in = former.get("notes", {}).get(BUCKETS) or buckets
+    if replaced is None:
+        held_in = buckets or held_in
     if held_in:
         rows = rows.repartition(*held_in).sortWithinPartitions(*lead, held_in[1])
     elif cluster:
@@ -136,6 +139,7 @@ def _publish(
     elif balance:
         rows = rows.hint("rebalance", F.col("part"))
     writer = rows.observe(seen, *[c.alias(n) for n, c in counts.items()]).write.mode("overwrite")
+    writer = writer.option("compression", "zstd")
     target = run_folder(root, run_id)
     if part is not None:
         writer = writer.partitionBy("part")

@@ -28,7 +28,7 @@ from marlstone.operators.calendar import calendar as whole_calendar, calendar_of
 from marlstone.plans import activity, books, gold, live
 from marlstone.plans import lake as jobs
 from marlstone.plans.rollup import refresh
-from marlstone.session import prepared, scratch_dir
+from marlstone.session import buckets_for, narrow_splits, prepared, scratch_dir
 from marlstone.sources import catalog, files, store
 from marlstone.sources.schema import infer_or_load_schema
 from marlstone.streaming import ingest
@@ -265,8 +265,9 @@ def append_to_stored_reviews(spark, sf_dir):
     lake = jobs.Lake(spark, scratch_dir(spark, "append"), {})
     raw, staged = inputs.raw_reviews(spark, sf_dir), lake.path("staging", "reviews")
     for day in (raw.filter("_ingestion_timestamp < '1999-01-01'"), raw):
-        written = store.replace(activity.staging_reviews(day), staged)
-        jobs.append_reviews(lake, store.read_table(spark, staged), written["rows"])
+        with narrow_splits(day):
+            written = jobs.stage_reviews(activity.staging_reviews(day), staged)
+        jobs.append_reviews(lake, catalog.bucketed(spark, staged), written["rows"])
     return lake.read("silver", "reviews").select(
         "review_id", "book_id", "user_id", "rating", "review_text", "n_votes"
     )

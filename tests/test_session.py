@@ -55,3 +55,15 @@ def test_scratch_can_be_freed(spark, monkeypatch, tmp_path):
     spark.range(3).write.parquet(path)
     session.free_scratch(spark)
     assert list(tmp_path.glob("marlstone/*")) == []
+
+
+def test_splits_to_sort_are_narrow_and_buckets_follow_the_input(spark):
+    before = spark.conf.get(SPLIT)
+    small, huge = spark.range(10), spark.range(5 * TB)
+    with session.narrow_splits(small):
+        assert spark.conf.get(SPLIT) == str(16 << 20)
+    with session.narrow_splits(huge):
+        assert spark.conf.get(SPLIT) == before
+    assert spark.conf.get(SPLIT) == before
+    assert session.buckets_for(8, small) == 8
+    assert session.buckets_for(8, spark.range(1 << 30), small) == 1025
