@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from marlstone.plans import activity
-from marlstone.plans.lake import Lake, append_reviews, merge_interactions
-from marlstone.session import sized_for
+from marlstone.plans.lake import Lake, append_reviews, merge_interactions, stage, staged_table
+from marlstone.session import narrow_splits, sized_for
 from marlstone.sources import store
 from marlstone.streaming.ingest import After, Feed, ingest_all, read_bronze, start_ingest
 
@@ -40,10 +40,9 @@ def take_batch(
         return None
     clean, put = JOBS[entity]
     raw, staging = read_bronze(spark, lake.feed(entity), batch=batch), lake.path("live", entity)
-    with sized_for(raw):
-        written = store.replace(clean(raw, now), staging)
-    staged = store.read_table(spark, staging)
-    return put(lake, staged, written["rows"], notes={BATCH: batch})
+    with sized_for(raw), narrow_splits(raw):
+        written = stage(entity, clean(raw, now), staging)
+    return put(lake, staged_table(spark, staging), written["rows"], notes={BATCH: batch})
 
 
 def into_silver(lake: Lake, now: dt.datetime | None = None) -> After:

@@ -787,9 +787,8 @@ def live_silver(spark, sf_dir):
     }
     for wave in range(2):
         for entity, (rows_, early) in records.items():
-            rows_.filter(early if wave == 0 else ~early).drop("l_shipdate", "ts").write.option(
-                "ignoreNullFields", False
-            ).json(f"{raw[entity]}/wave{wave}")
+            due = rows_.filter(early if wave == 0 else ~early).drop("l_shipdate", "ts")
+            inputs.write_lines(due, f"{raw[entity]}/wave{wave}")
         live.drain_live(lake)
         for entity in records:
             live.take_batch(lake, entity, wave)
