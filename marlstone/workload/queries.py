@@ -367,7 +367,8 @@ def top_priority(spark, sf_dir):
 @query
 def bucketed_signals(spark, sf_dir):
     """The feature product from tables kept hashed on the book, joined without a shuffle."""
-    lake = jobs.Lake(spark, scratch_dir(spark, "bucketed"), {}, buckets=8)
+    buckets = buckets_for(8, *(table(spark, sf_dir, t) for t in ("lineitem", "events", "part")))
+    lake = jobs.Lake(spark, scratch_dir(spark, "bucketed"), {}, buckets=buckets)
     deliveries, by_book = inputs.raw_deliveries(spark, sf_dir), lake.by_book()
     current = mutations.versioned(books.staging_books(inputs.raw_books(spark, sf_dir)), EARLIER)
     store.write_versions(current, lake.path("silver", "dim_books"), buckets=by_book)
@@ -376,14 +377,14 @@ def bucketed_signals(spark, sf_dir):
         ("bridge_book_authors", books.bridge_book_authors(deliveries)),
     ):
         store.replace(rows_, lake.path("silver", name), buckets=by_book)
-    store.append(
-        activity.staging_reviews(inputs.raw_reviews(spark, sf_dir)), lake.path("silver", "reviews")
-    )
-    store.write_parts(
-        activity.staging_interactions(inputs.raw_interactions(spark, sf_dir)),
-        lake.path("silver", "interactions"),
-        jobs.added_month(),
-    )
+    reviews, events = inputs.raw_reviews(spark, sf_dir), inputs.raw_interactions(spark, sf_dir)
+    with narrow_splits(reviews, events):
+        store.append(activity.staging_reviews(reviews), lake.path("silver", "reviews"))
+        store.write_parts(
+            activity.staging_interactions(events),
+            lake.path("silver", "interactions"),
+            jobs.added_month(),
+        )
     for rollup in jobs.rollups(lake).values():
         refresh(spark, rollup)
     rows_ = gold.feature_rows(jobs.signals_from(*jobs.gold_inputs(lake)))

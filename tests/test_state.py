@@ -23,6 +23,7 @@ from marlstone.session import bloom_filtered
 from marlstone.sources import catalog, files, store
 from marlstone.streaming import ingest
 from marlstone.streaming.ingest import LOADED_AT, Feed, ingest_all, read_bronze
+from marlstone.workload import inputs
 from tests.conftest import NOW, plan_of, values
 from tests.test_lake import DAY1, DAY2, at, book, interaction, put, review
 
@@ -348,3 +349,42 @@ def test_a_live_feed_goes_on_until_it_is_stopped(spark, tmp_path):
     finally:
         query.stop()
     assert values(lake.read("silver", "reviews"), "review_id") == [("r1",), ("r2",)]
+
+
+def test_known_reviews_are_found_without_shuffling_whole_ones(spark, tmp_path):
+    lake = jobs.Lake(spark, str(tmp_path), {})
+    root, columns = lake.path("staging", "reviews"), "review_id string, book_id string, note string"
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        for last in (20, 50):
+            rows = [(f"r{n}", f"b{n % 3}", f"{n} of {last}") for n in range(last)]
+            written = jobs.stage_reviews(spark.createDataFrame(rows, columns), root)
+            staged = jobs.staged_table(spark, root)
+            plan = plan_of(new_rows(spark.createDataFrame([("r1",)], "review_id string"), staged,
+                                    ["review_id"]))
+            assert "Bucketed: true" in plan and plan.count("hashpartitioning") == 1
+            jobs.append_reviews(lake, staged, written["rows"])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    kept = [(f"r{n}", f"b{n % 3}", f"{n} of {20 if n < 20 else 50}") for n in range(50)]
+    assert values(lake.read("silver", "reviews")) == sorted(kept, key=repr)
+    catalog.forget(spark, root)
+
+
+def test_a_table_replaced_whole_takes_the_buckets_given(spark, tmp_path):
+    for count in (2, 5):
+        store.replace(spark.range(40).withColumnRenamed("id", "k"), str(tmp_path), buckets=(count, "k"))
+        assert store.notes(spark, str(tmp_path))[store.BUCKETS] == [count, "k"]
+        assert values(catalog.bucketed(spark, str(tmp_path))) == [(n,) for n in sorted(range(40), key=str)]
+    catalog.forget(spark, str(tmp_path))
+
+
+def test_raw_lines_are_compressed_and_split(spark, tmp_path):
+    rows = spark.range(1_000_002).select("id", F.lit(None).cast("string").alias("none")).coalesce(1)
+    inputs.write_lines(rows, str(tmp_path))
+    found = [f.name for f in tmp_path.iterdir() if f.name.startswith("part-")]
+    assert len(found) == 3 and all(name.endswith(".json.gz") for name in found)
+    lines = spark.read.text(str(tmp_path))
+    assert lines.count() == 1_000_002
+    assert lines.filter(F.contains("value", F.lit('"none":null'))).count() == 1_000_002
