@@ -382,9 +382,10 @@ def test_a_table_replaced_whole_takes_the_buckets_given(spark, tmp_path):
 
 def test_raw_lines_are_compressed_and_split(spark, tmp_path):
     rows = spark.range(1_000_002).select("id", F.lit(None).cast("string").alias("none")).coalesce(1)
-    inputs.write_lines(rows, str(tmp_path))
-    found = [f.name for f in tmp_path.iterdir() if f.name.startswith("part-")]
+    folder = tmp_path / "lines"
+    inputs.write_lines(rows, str(folder))
+    found = [f.name for f in folder.iterdir() if f.name.startswith("part-")]
     assert len(found) == 3 and all(name.endswith(".json.gz") for name in found)
-    lines = spark.read.text(str(tmp_path))
+    lines = spark.read.text(str(folder))
     assert lines.count() == 1_000_002
     assert lines.filter(F.contains("value", F.lit('"none":null'))).count() == 1_000_002
