@@ -1,33 +1,32 @@
 """Phrases whose words stay together, per language.
 
-Passes over the texts, each in Arrow batches cut into blocks of bounded size:
-
-1. pairs and triples of neighbouring words are counted in a sketch of fixed size, each in two
-   cells; one bit per cell goes on: whether it counted as many as a candidate needs;
-2. pairs whose bits are set, and triples whose bits and both pairs' bits are set, are candidates. No
-   phrase that is frequent enough is lost, as a cell never counts less than one of its phrases;
-3. candidates are dealt into shards of bounded size. Each shard becomes one double-array trie per
-   language, built in tasks and broadcast; all positions of a block walk it at once, and the counts
-   of its nodes and words are summed over the tasks.
-
-A triple goes to the shard of its last two words, so a shard knows all parts of its phrases: their
-counts are read off the summed arrays. Tasks hand on packed tables and arrays, one per range of
-hashes or nodes, so that what is shuffled is few rows. What lies inside what follows by one join.
+Two passes over the texts, each in Arrow batches cut into blocks of bounded size:
+
+1. words, pairs and triples of neighbouring words are counted in a sketch of 2^40 cells. Tasks hand
+   on the cells they have met, sorted and packed by range, and the ranges are added up side by side.
+   The cells that counted as many as a phrase needs go on as the bits of a filter, which grows with
+   their number;
+2. words and pairs the filter lets through, and triples it lets through with both their pairs, are
+   candidates. No phrase that is frequent enough is lost, as a cell never counts less than one of
+   its phrases. A task adds up its candidates and deals them, with their counts, into shards.
+
+Each shard becomes one double-array trie per language in the task that holds it: the counts all tasks
+found are summed at the nodes, all phrases of the shard walking at once. A triple goes to the shard
+of its last two words, so their count is read off the same trie; its first two words and its single
+words follow by joins. The texts are read twice however many candidates there are, and no table of
+phrases is sent to the driver or to all tasks. What lies inside what follows by one join.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from marlstone.llm import double_array
 from marlstone.llm.common import col, in_slices, shuffle_partitions, staged
@@ -40,16 +39,16 @@ PLAIN = bytes.maketrans(UPPER + SPACES + BREAKS, UPPER.lower() + b" " + b"\n" *
 
 LONGEST = 3
 LEAST_COUNT, INSIDE_PERCENT, BEST = 10, 50, 2000
-# Bytes of text worked on at once, cells of the sketch, rows a task gathers before it hands them on.
+# Bytes of text worked on at once.
 BLOCK = 4 << 20
-CELL_BITS, CHUNK_BITS = 27, 16
-HELD_ROWS = 1 << 18
-# Ranges of hashes the gathered rows are dealt to, at most.
-MOST_BUCKETS = 4096
-# Phrases of a shard: about 30 bytes each in its tries.
+# Cells of the sketch and ranges they are added up in, as powers of two; a cell counts up to 255.
+SKETCH_BITS, RANGE_BITS, MOST = 40, 12, 255
+# Cells a task gathers, and phrases, before it hands them on.
+HELD_CELLS, HELD_ROWS = 1 << 23, 1 << 20
+# Bits of the filter, for each frequent cell and as a power of two at most.
+BITS_EACH, CELL_BITS = 32, 31
+# Phrases of a shard, about 60 bytes each while its trie is built.
 SHARD_PHRASES = 1 << 21
-# Counts of nodes or words that go together.
-COUNT_CHUNK = 1 << 14
 WORDS = ["w1", "w2", "w3"]
 
 
@@ -77,10 +76,12 @@ def phrases(
         F.coalesce(col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"),
         F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"),
     )
-    totals, frequent = _sketched(texts, least_count, cell_bits)
-    candidates, shards = _candidates(texts, frequent, shard_phrases)
-    counted = staged(_counted(texts, candidates, shards, least_count), "phrases")
-    return _scored(counted, totals, inside_percent, best)
+    totals, frequent, cells = _sketched(texts, least_count, cell_bits)
+    shards = max(shuffle_partitions(df.sparkSession), -(-cells // shard_phrases))
+    counted = staged(_counted(texts, frequent, shards, least_count), "phrases")
+    # Read four times from here on.
+    found = staged(_with_parts(counted), "phrase-parts")
+    return _scored(found, totals, inside_percent, best)
 
 
 @dataclass
@@ -114,26 +115,26 @@ class Block:
         pair = np.flatnonzero(~self.ends)
         return pair, ~self.ends[np.minimum(pair + 1, len(self.ends) - 1)]
 
-    def hashed(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Hashes of the pairs, of the triples that begin where a pair does, and where one does.
+    def hashed(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes of `words`, of the pairs, of the triples that begin where a pair does, and where
+        one does.
 
         A hash is two numbers, a column each. A place without a triple has the hash of nothing.
         """
         seed = np.uint64(xxhash.xxh64_intdigest(self.lang))
         raw = b"".join(map(xxhash.xxh3_128_digest, self.words.cast(pa.binary()).to_pylist()))
-        own = np.frombuffer(raw, np.uint64).reshape(-1, 2)[self.number]
+        word = np.frombuffer(raw, np.uint64).reshape(-1, 2)
+        one, own = _mix(word + seed), word[self.number]
         pair, long = self.neighbours()
-        mixed = _mix(own[pair] + seed) + own[pair + 1]
+        mixed = one[self.number[pair]] + own[pair + 1]
         third = own[np.minimum(pair + 2, len(own) - 1)]
-        return _mix(mixed), _mix(_mix(mixed) + third), long
+        return _mix(one), _mix(mixed), _mix(_mix(mixed) + third), long
 
 
 def _cells(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two cells of each phrase: its hash's first bits, and its last."""
-    return (
-        (hashes >> np.uint64(64 - bits)).astype(np.int64),
-        (hashes & np.uint64((1 << bits) - 1)).astype(np.int64),
-    )
+    """Two bits of the filter for each cell of the sketch."""
+    wanted = np.uint64((1 << bits) - 1)
+    return (hashes & wanted).astype(np.int64), (_mix(hashes) & wanted).astype(np.int64)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -163,53 +164,64 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
                 begin = end
 
 
-class _Once:
-    """Phrases a task has found, each given out once, packed by range of their hashes.
+class _Held:
+    """Phrases a task has found, each once with its count, until they are handed on by shard.
 
-    What has been given out is known by 128 bits of hash, 16 bytes a phrase.
+    Phrases are told apart by 128 bits of hash.
     """
 
-    def __init__(self, buckets: int):
-        self.buckets = buckets
+    def __init__(self, shards: int):
+        self.shards = shards
+        self._empty()
+
+    def _empty(self) -> None:
         self.first, self.second = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.row, self.n = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.tables: list[pa.Table] = []
-        self.rows = 0
-
-    def new(self, hashes: np.ndarray) -> np.ndarray:
-        """Which phrases have not been given out. `hashes` has two columns, and no row twice."""
-        place = np.searchsorted(self.first, hashes[:, 0])
-        inside = np.minimum(place, max(len(self.first) - 1, 0))
-        if not len(self.first):
-            return np.ones(len(hashes), bool)
-        return (self.first[inside] != hashes[:, 0]) | (self.second[inside] != hashes[:, 1])
-
-    def add(self, lang: str, phrases: pa.Array, hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
-        first = np.concatenate([self.first, hashes[:, 0]])
+
+    def add(self, block: Block, hashes, counts, deal, words: list[np.ndarray]) -> None:
+        """Phrases of a block: hashes, counts, what to deal them by, and their words' numbers.
+
+        No hash comes twice.
+        """
+        place = np.minimum(np.searchsorted(self.first, hashes[:, 0]), max(len(self.first) - 1, 0))
+        new = np.ones(len(hashes), bool)
+        if len(self.first):
+            new = (self.first[place] != hashes[:, 0]) | (self.second[place] != hashes[:, 1])
+        self.n[self.row[place[~new]]] += counts[~new]
+        if not new.any():
+            return
+        rows = len(self.n) + np.arange(new.sum())
+        first = np.concatenate([self.first, hashes[new, 0]])
         order = np.argsort(first, kind="stable")
         self.first = first[order]
-        self.second = np.concatenate([self.second, hashes[:, 1]])[order]
-        bucket = (hashes[:, 0] >> np.uint64(20)) % np.uint64(self.buckets)
-        langs = pa.array([lang] * len(phrases), pa.string())
-        self.tables.append(pa.table({"bucket": bucket, "lang": langs, "phrase": phrases}))
-        self.rows += len(phrases)
-        if self.rows > HELD_ROWS:
-            yield from self.rest()
+        self.second = np.concatenate([self.second, hashes[new, 1]])[order]
+        self.row = np.concatenate([self.row, rows])[order]
+        self.n = np.concatenate([self.n, counts[new]])
+        columns = {"shard": (deal[new] >> np.uint64(20)) % np.uint64(self.shards)}
+        columns["lang"] = pa.repeat(pa.scalar(block.lang, pa.string()), len(rows))
+        for name, numbers in zip(WORDS, words):
+            columns[name] = block.words.take(pa.array(numbers[new]))
+        for name in WORDS[len(words) :]:
+            columns[name] = pa.nulls(len(rows), pa.string())
+        self.tables.append(pa.table(columns))
 
     def rest(self) -> Iterator[pa.RecordBatch]:
-        if self.rows:
-            # In order, as neighbours that begin alike pack well.
-            rows = pa.concat_tables(self.tables).sort_by(
-                [("bucket", "ascending"), ("lang", "ascending"), ("phrase", "ascending")]
-            ).combine_chunks()
-            found, starts = np.unique(rows["bucket"].to_numpy(), return_index=True)
+        if len(self.n):
+            rows = pa.concat_tables(self.tables).append_column("n", pa.array(self.n))
+            shard = rows["shard"].to_numpy().astype(np.int64)
+            # Phrases that begin alike side by side, as they pack well.
+            begin = rows["w1"].combine_chunks().dictionary_encode()
+            order = np.argsort(shard * len(begin.dictionary) + begin.indices.to_numpy())
+            rows = rows.drop_columns(["shard"]).take(pa.array(order)).combine_chunks()
+            found, starts = np.unique(shard[order], return_index=True)
             ends = np.append(starts[1:], rows.num_rows)
-            rows = rows.drop_columns(["bucket"])
             packed = [_packed(rows.slice(a, b - a)) for a, b in zip(starts, ends)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found.astype(np.int32)), pa.array(packed, pa.binary())],
-                names=["bucket", "packed"],
+                names=["shard", "packed"],
             )
-        self.tables, self.rows = [], 0
+        self._empty()
 
 
 def _packed(rows: pa.Table) -> bytes:
@@ -225,287 +237,241 @@ def _unpacked(packed: bytes) -> pa.Table:
         return stream.read_all()
 
 
-def _distinct(packed: DataFrame) -> DataFrame:
-    """The packed phrases of all tasks, each once: lang, phrase."""
-
-    def fold(tables: list[pa.Table]) -> pa.Table:
-        return pa.concat_tables(tables).group_by(["lang", "phrase"]).aggregate([])
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, tables, rows = None, [], 0
-        for batch in batches:
-            for bucket, some in zip(batch["bucket"].to_pylist(), batch["packed"].to_pylist()):
-                if bucket != now and tables:
-                    yield from fold(tables).to_batches(1 << 16)
-                    tables, rows = [], 0
-                now = bucket
-                tables.append(_unpacked(some))
-                rows += tables[-1].num_rows
-                if rows > 2 * HELD_ROWS:
-                    tables, rows = [fold(tables)], 0
-        if tables:
-            yield from fold(tables).to_batches(1 << 16)
-
-    dealt = packed.repartition("bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(merge, "lang string, phrase string")
-
+def _added(cells: list[np.ndarray]) -> np.ndarray:
+    """Cells and counts, as `cell * 256 + count`, with each cell once, in order."""
+    rows = np.concatenate(cells)
+    rows.sort()
+    own = rows >> np.uint64(8)
+    first = np.flatnonzero(np.diff(own, prepend=~own[:1]))
+    sums = np.add.reduceat(rows & np.uint64(MOST), first) if len(first) else first
+    return own[first] << np.uint64(8) | np.minimum(sums, MOST).astype(np.uint64)
 
-def _buckets(spark: SparkSession) -> int:
-    return min(max(shuffle_partitions(spark), 1), MOST_BUCKETS)
 
+def _sketched(
+    texts: DataFrame, least: int, bits: int
+) -> tuple[DataFrame, np.ndarray, int]:
+    """Words per language, the filter of frequent cells as bits, and how many such cells there are."""
+    own_bits = SKETCH_BITS - RANGE_BITS
+    schema = pa.schema(
+        [("lang", pa.string()), ("n", pa.int64()), ("range", pa.int32()), ("cells", pa.binary())]
+    )
 
-def _sketched(texts: DataFrame, least: int, bits: int) -> tuple[DataFrame, np.ndarray]:
-    """Words per language, and the cells that counted `least` phrases or more, packed as bits."""
-    width = 1 << min(CHUNK_BITS, bits)
+    def hand_on(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        number = (rows >> np.uint64(8 + own_bits)).astype(np.int32)
+        found, starts = np.unique(number, return_index=True)
+        packed = [_sparse(some, own_bits) for some in np.split(rows, starts[1:])]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.nulls(len(found), pa.string()), pa.nulls(len(found), pa.int64()),
+                pa.array(found), pa.array(packed, pa.binary()),
+            ],
+            schema=schema,
+        )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, words = np.zeros(1 << bits, np.uint8), {}
+        words, held, size = {}, [], 0
         for block in blocks(batches):
             words[block.lang] = words.get(block.lang, 0) + len(block.number)
-            two, three, long = block.hashed()
+            one, two, three, long = block.hashed()
+            often = np.minimum(np.bincount(block.number, minlength=len(one)), MOST)
+            held.append(_cell(one) << np.uint64(8) | often.astype(np.uint64))
             both = np.concatenate([two[:, 0], three[long, 0]])
-            found, seen = np.unique(np.concatenate(_cells(both, bits)), return_counts=True)
-            cells[found] = np.minimum(cells[found] + seen, 255)
-        schema = pa.schema(
-            [("lang", pa.string()), ("n", pa.int64()), ("chunk", pa.int32()), ("cells", pa.binary())]
-        )
+            held.append(_cell(both) << np.uint64(8) | np.uint64(1))
+            size += len(one) + len(both)
+            if size > HELD_CELLS:
+                held = [_added(held)]
+                size = len(held[0])
+                if size > HELD_CELLS // 2:
+                    yield from hand_on(held[0])
+                    held, size = [], 0
+        if size:
+            yield from hand_on(_added(held))
         for lang, n in words.items():
-            yield pa.RecordBatch.from_pylist([{"lang": lang, "n": n}], schema=schema)
-        for n, part in enumerate(cells.reshape(-1, width)):
-            if part.any():
-                yield pa.RecordBatch.from_pylist([{"chunk": n, "cells": _sparse(part)}], schema=schema)
+            row = {"lang": lang, "n": n, "range": -1}
+            yield pa.RecordBatch.from_pylist([row], schema=schema)
+
+    def frequent(cells: list[np.ndarray]) -> bytes:
+        # A task counts up to 255, so a sum that reaches it need not go on.
+        rows = _added(cells)
+        return _sparse(rows[(rows & np.uint64(MOST)) >= min(least, MOST)], own_bits)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
+        now, held, size = None, [], 0
         for batch in batches:
-            for n, packed in zip(batch["chunk"].to_pylist(), batch["cells"].to_pylist()):
-                counts = _dense(packed, width)
-                # A task counts up to 255, so a sum that reaches it need not go on.
-                total[n] = np.minimum(total[n] + counts, 255) if n in total else counts
-        packed = [np.packbits(x >= min(least, 255)).tobytes() for x in total.values()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(total), pa.int32()), pa.array(packed, pa.binary())],
-            names=["chunk", "cells"],
-        )
+            for row in batch.to_pylist():
+                if row["range"] < 0:
+                    yield pa.RecordBatch.from_pylist([row], schema=schema)
+                    continue
+                if row["range"] != now and held:
+                    yield pa.RecordBatch.from_pylist(
+                        [{"range": now, "cells": frequent(held)}], schema=schema
+                    )
+                    held, size = [], 0
+                now = row["range"]
+                held.append(_dense(row["cells"]))
+                size += len(held[-1])
+                if size > HELD_CELLS:
+                    held, size = [_added(held)], 0
+        if held:
+            yield pa.RecordBatch.from_pylist(
+                [{"range": now, "cells": frequent(held)}], schema=schema
+            )
 
-    made = staged(texts.mapInArrow(count, "lang string, n long, chunk int, cells binary"), "sketch")
-    sketch = made.where("chunk is not null").select("chunk", "cells")
-    frequent = np.zeros((1 << bits) // 8, np.uint8)
-    # One bit per cell comes to the driver: 16 MB, whatever the corpus.
-    for row in sketch.repartition("chunk").mapInArrow(merge, sketch.schema).collect():
-        at = row.chunk * width // 8
-        frequent[at : at + width // 8] = np.frombuffer(row.cells, np.uint8)
-    totals = made.where("lang is not null").groupBy("lang").agg(F.sum("n").alias("n"))
-    return totals, frequent
+    fields = "lang string, n long, range int, cells binary"
+    dealt = texts.mapInArrow(count, fields).repartition("range").sortWithinPartitions("range")
+    made = staged(dealt.mapInArrow(merge, fields), "sketch")
+    # About three bytes for each frequent cell come to the driver.
+    found = made.where("range >= 0").select("range", "cells").collect()
+    cells = [
+        _dense(row.cells) >> np.uint64(8) | np.uint64(row.range) << np.uint64(own_bits)
+        for row in found
+    ]
+    number = sum(map(len, cells))
+    bits = min(bits, max(16, (BITS_EACH * number).bit_length()))
+    flags = np.zeros(1 << max(bits - 3, 0), np.uint8)
+    for some in cells:
+        for at in _cells(some, bits):
+            np.bitwise_or.at(flags, at >> 3, np.uint8(128) >> (at & 7).astype(np.uint8))
+    totals = made.where("range < 0").groupBy("lang").agg(F.sum("n").alias("n"))
+    return totals, flags, number
+
+
+def _cell(hashes: np.ndarray) -> np.ndarray:
+    """The cell of the sketch a hash falls into: its first bits."""
+    first = hashes[:, 0] if hashes.ndim == 2 else hashes
+    return first >> np.uint64(64 - SKETCH_BITS)
 
 
 ZSTD = pa.Codec("zstd", 1)
 
 
-def _sparse(counts: np.ndarray) -> bytes:
-    """Small counts, most of them 0: which are not, as bits, and what these are."""
-    used = counts > 0
-    return ZSTD.compress(np.packbits(used).tobytes() + counts[used].tobytes(), asbytes=True)
+def _sparse(rows: np.ndarray, own_bits: int) -> bytes:
+    """Cells of one range and their counts, in order: steps from cell to cell, byte by byte."""
+    own = (rows >> np.uint64(8)) & np.uint64((1 << own_bits) - 1)
+    steps = np.diff(own, prepend=np.uint64(0)).astype(np.uint32)
+    planes = steps.view(np.uint8).reshape(-1, 4).T
+    counts = (rows & np.uint64(MOST)).astype(np.uint8)
+    return ZSTD.compress(planes.tobytes() + counts.tobytes(), asbytes=True)
+
 
+def _dense(packed: bytes) -> np.ndarray:
+    """What `_sparse` has packed, the range left off."""
+    raw = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(5, -1)
+    steps = np.ascontiguousarray(raw[:4].T).view(np.uint32).ravel()
+    return np.cumsum(steps, dtype=np.uint64) << np.uint64(8) | raw[4]
 
-def _dense(packed: bytes, width: int) -> np.ndarray:
-    # Never more than a bit and a byte for each.
-    raw = np.frombuffer(zstandard.decompress(packed), np.uint8)
-    counts = np.zeros(width, np.uint16)
-    counts[np.unpackbits(raw[: width // 8]).astype(bool)] = raw[width // 8 :]
-    return counts
 
+def _counted(texts: DataFrame, frequent: np.ndarray, shards: int, least: int) -> DataFrame:
+    """Words and phrases that occur `least` times or more: lang, words, a, `last`.
 
-def _candidates(
-    texts: DataFrame, frequent: np.ndarray, shard_phrases: int
-) -> tuple[DataFrame, int]:
-    """Phrases that may occur often enough, with shard and number there; and how many shards."""
-    bits = len(frequent).bit_length() + 2
-    spark = texts.sparkSession
-    buckets = _buckets(spark)
-    shared = spark.sparkContext.broadcast(frequent)
+    `last` says how often the last two words of a triple occur.
+    """
+    bits = (len(frequent) * 8).bit_length() - 1
+    shared = texts.sparkSession.sparkContext.broadcast(frequent)
 
     def may_be(hashes: np.ndarray) -> np.ndarray:
-        return np.logical_and(
-            *((shared.value[c >> 3] >> (7 - (c & 7))) & 1 > 0 for c in _cells(hashes, bits))
+        first, second = (
+            (shared.value[c >> 3] >> (7 - (c & 7))) & 1 for c in _cells(_cell(hashes), bits)
         )
+        return (first & second).astype(bool)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once = _Once(buckets)
+        held = _Held(shards)
         for block in blocks(batches):
+            one, two, three, long = block.hashed()
+            at = np.flatnonzero(may_be(one))
+            often = np.bincount(block.number, minlength=len(one))
+            held.add(block, one[at], often[at], one[at, 0], [at])
             pair, _ = block.neighbours()
-            if not len(pair):
-                continue
-            two, three, long = block.hashed()
-            safe = may_be(two[:, 0])
+            safe = may_be(two)
             # The pair that begins one word later is the next of the list.
-            triple = safe & long & np.append(safe[1:], False) & may_be(three[:, 0])
+            triple = safe & long & np.append(safe[1:], False)
+            triple[triple] = may_be(three[triple])
             for found, hashes, size in ((safe, two, 2), (triple, three, 3)):
                 at = np.flatnonzero(found)
-                at = at[np.lexsort((hashes[at, 1], hashes[at, 0]))]
-                at = at[np.any(np.diff(hashes[at], axis=0, prepend=~hashes[at][:1]) != 0, axis=1)]
-                at = at[once.new(hashes[at])]
-                spelt = [block.words.take(pa.array(block.number[pair[at] + n])) for n in range(size)]
-                phrases = pc.binary_join_element_wise(*spelt, " ")
-                yield from once.add(block.lang, phrases, hashes[at])
-        yield from once.rest()
-
-    distinct = _distinct(texts.mapInArrow(find, "bucket int, packed binary"))
-    spelt = F.split("phrase", " ")
-    distinct = staged(
-        distinct.select("lang", *(F.get(spelt, n).alias(name) for n, name in enumerate(WORDS))),
-        "candidates",
-    )
-    shards = -(-distinct.count() // shard_phrases)
-    last_two = F.when(F.col("w3").isNull(), F.struct("w1", "w2")).otherwise(
-        F.struct(F.col("w2").alias("w1"), F.col("w3").alias("w2"))
-    )
-    shard = F.pmod(F.xxhash64("lang", last_two), F.lit(max(shards, 1))).cast("int")
-    return distinct.withColumn("shard", shard), shards
-
-
-ARRAYS = ("base", "check", "phrase", *(f"symbol{n + 1}" for n in range(LONGEST)))
-TRIE = "shard int, lang string, radix int, words binary, " + ", ".join(f"{a} binary" for a in ARRAYS)
-
-
-def _build(table: pa.Table) -> pa.Table:
-    """The trie of one shard and language, and its phrases as numbers of words."""
-    columns = [table[name].combine_chunks() for name in WORDS]
-    trie = double_array.build(columns, np.arange(1, table.num_rows + 1))
-    held = {name: getattr(trie, name) for name in ("base", "check", "phrase")}
-    for n, column in enumerate(columns):
-        held[f"symbol{n + 1}"] = trie.symbols(column).astype(np.int32)
-    return pa.table(
-        {
-            "shard": pa.array([table["shard"][0].as_py()], pa.int32()),
-            "lang": pa.array([table["lang"][0].as_py()], pa.string()),
-            "radix": pa.array([trie.radix], pa.int32()),
-            "words": pa.array([_packed(pa.table({"words": trie.words}))], pa.binary()),
-            **{name: pa.array([held[name].tobytes()], pa.binary()) for name in ARRAYS},
-        }
-    )
-
-
-def _trie(row: dict) -> double_array.DoubleArray:
-    words = _unpacked(row["words"])["words"].combine_chunks()
-    arrays = (np.frombuffer(row[name], np.int32) for name in ("base", "check", "phrase"))
-    return double_array.DoubleArray(words, row["radix"], *arrays)
-
-
-def _counted(texts: DataFrame, candidates: DataFrame, shards: int, least: int) -> DataFrame:
-    """Phrases that occur `least` times or more (`a`), and their parts: lang, words, l1, r1, l2, r2.
-
-    One pass over the texts per shard.
-    """
-    tries = staged(candidates.groupBy("shard", "lang").applyInArrow(_build, TRIE), "tries")
-    spark = texts.sparkSession
-    fields = "shard int, lang string, chunk int, packed binary"
-    counts = [_pass(spark, texts, tries, shard, fields) for shard in range(shards)]
-    dealt = reduce(DataFrame.unionAll, counts, spark.createDataFrame([], fields))
-    sums = dealt.repartition("shard", "lang", "chunk").mapInArrow(_summed, fields)
-    found = "lang string, w1 string, w2 string, w3 string, a long, l1 long, r1 long, l2 long, r2 long"
-    return (
-        tries.groupBy("shard", "lang")
-        .cogroup(sums.groupBy("shard", "lang"))
-        .applyInArrow(_read_off(least), found)
-    )
-
-
-def _pass(spark: SparkSession, texts: DataFrame, tries: DataFrame, shard: int, fields: str):
-    """How often each node of a shard's tries is reached, and each of their words met, by task."""
-    # At most `shard_phrases` phrases, all languages together.
-    rows = tries.where(F.col("shard") == shard).drop(*ARRAYS[3:]).collect()
-    shared = spark.sparkContext.broadcast([row.asDict() for row in rows])
-    schema = pa.schema(
-        [("shard", pa.int32()), ("lang", pa.string()), ("chunk", pa.int32()), ("packed", pa.binary())]
-    )
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = {row["lang"]: _trie(row) for row in shared.value}
-        nodes = {lang: np.zeros(len(trie.base), np.int64) for lang, trie in own.items()}
-        words = {lang: np.zeros(len(trie.words) + 1, np.int64) for lang, trie in own.items()}
-        for block in blocks(batches):
-            trie = own.get(block.lang)
-            if trie is not None:
-                symbols = trie.symbols(block.words)[block.number]
-                words[block.lang] += np.bincount(symbols, minlength=len(trie.words) + 1)
-                nodes[block.lang] += trie.occurrences(symbols, block.ends, LONGEST)
-        for lang in own:
-            every = np.concatenate([words[lang], nodes[lang]])
-            for chunk in range(-(-len(every) // COUNT_CHUNK)):
-                some = every[chunk * COUNT_CHUNK :][:COUNT_CHUNK]
-                if some.any():
-                    row = {"shard": shard, "lang": lang, "chunk": chunk}
-                    row["packed"] = zlib.compress(some.tobytes(), 1)
-                    yield pa.RecordBatch.from_pylist([row], schema=schema)
-
-    found = staged(texts.mapInArrow(count, fields), "phrase-counts")
-    shared.destroy()
-    return found
-
-
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the tasks' counts up, part by part."""
-    total: dict[tuple, np.ndarray] = {}
-    for batch in batches:
-        for shard, lang, chunk, packed in zip(*(c.to_pylist() for c in batch.columns)):
-            counts = np.frombuffer(zlib.decompress(packed), np.int64)
-            key = (shard, lang, chunk)
-            total[key] = total[key] + counts if key in total else counts
-    for (shard, lang, chunk), counts in total.items():
-        packed = zlib.compress(counts.tobytes(), 1)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([shard], pa.int32()), pa.array([lang], pa.string()),
-                pa.array([chunk], pa.int32()), pa.array([packed], pa.binary()),
-            ],
-            names=["shard", "lang", "chunk", "packed"],
-        )
+                at = at[np.argsort(hashes[at, 0])]
+                heads = np.any(np.diff(hashes[at], axis=0, prepend=~hashes[at][:1]) != 0, axis=1)
+                heads = np.flatnonzero(heads)
+                often = np.diff(np.append(heads, len(at)))
+                at = at[heads]
+                words = [block.number[pair[at] + n] for n in range(size)]
+                held.add(block, hashes[at], often, two[at + size - 2, 0], words)
+            if len(held.n) > HELD_ROWS:
+                yield from held.rest()
+        yield from held.rest()
 
-
-def _read_off(least: int):
-    """Counts of a shard's frequent phrases and of their parts, from its summed arrays."""
-
-    def read(tries: pa.Table, sums: pa.Table) -> pa.Table:
-        row = tries.to_pylist()[0] if tries.num_rows else None
-        names = ["lang", *WORDS, "a", "l1", "r1", "l2", "r2"]
-        kinds = [pa.string()] * (1 + len(WORDS)) + [pa.int64()] * 5
-        if row is None:
-            return pa.table({n: pa.array([], k) for n, k in zip(names, kinds)})
-        trie = _trie(row)
-        symbols = [np.frombuffer(row[name], np.int32).astype(np.int64) for name in ARRAYS[3:]]
-        every = np.zeros(len(trie.words) + 1 + len(trie.base), np.int64)
-        for chunk, packed in zip(sums["chunk"].to_pylist(), sums["packed"].to_pylist()):
-            some = np.frombuffer(zlib.decompress(packed), np.int64)
-            every[chunk * COUNT_CHUNK :][: len(some)] = some
-        words, nodes = every[: len(trie.words) + 1], every[len(trie.words) + 1 :]
-
-        one, two, three = symbols
-        states = trie.walk([one, two])
-        pair = nodes[states]
-        long = three > 0
-        a = pair.copy()
-        a[long] = nodes[trie.walk([three[long]], states[long])]
-        kept = a >= least
-        one, two, three, long, pair, a = (x[kept] for x in (one, two, three, long, pair, a))
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, tables, rows = None, [], 0
+        for batch in batches:
+            for shard, some in zip(batch["shard"].to_pylist(), batch["packed"].to_pylist()):
+                if shard != now and tables:
+                    yield from _shard_counts(tables, least)
+                    tables, rows = [], 0
+                now = shard
+                tables.append(_unpacked(some))
+                rows += tables[-1].num_rows
+                if rows > 2 * HELD_ROWS:
+                    tables, rows = [_summed(tables)], 0
+        if tables:
+            yield from _shard_counts(tables, least)
+
+    dealt = texts.mapInArrow(find, "shard int, packed binary").repartition("shard")
+    fields = "lang string, w1 string, w2 string, w3 string, a long, last long"
+    return dealt.sortWithinPartitions("shard").mapInArrow(merge, fields)
+
+
+def _summed(tables: list[pa.Table]) -> pa.Table:
+    """Tables of phrases and counts as one, with each phrase once."""
+    keys = ["lang", *WORDS]
+    found = pa.concat_tables(tables).group_by(keys).aggregate([("n", "sum")])
+    return found.select([*keys, "n_sum"]).rename_columns([*keys, "n"])
+
+
+def _shard_counts(tables: list[pa.Table], least: int) -> Iterator[pa.RecordBatch]:
+    """The frequent phrases of a shard, counted at the nodes of a trie per language."""
+    rows = pa.concat_tables(tables).sort_by("lang").combine_chunks()
+    langs = rows["lang"].combine_chunks().dictionary_encode()
+    starts = np.unique(langs.indices.to_numpy(), return_index=True)[1]
+    for start, end in zip(starts, np.append(starts[1:], rows.num_rows)):
+        some = rows.slice(start, end - start)
+        columns = [some[name].combine_chunks() for name in WORDS]
+        trie = double_array.build(columns, np.arange(1, some.num_rows + 1))
+        one, two, three = (trie.symbols(column) for column in columns)
+        states = trie.walk([one])
+        for deeper in (two, three):
+            going = deeper > 0
+            states[going] = trie.walk([deeper[going]], states[going])
+        nodes = np.zeros(len(trie.base), np.int64)
+        np.add.at(nodes, states, some["n"].to_numpy())
+        # Each phrase once, whichever of its rows gave the trie its number.
+        at = trie.phrase[trie.phrase > 0].astype(np.int64) - 1
+        at = np.sort(at[nodes[states[at]] >= least])
         # The last two words of a triple are a phrase of this shard themselves.
-        last = nodes[np.maximum(trie.walk([two, three]), 0)]
-        nothing = pa.nulls(len(a), pa.int64())
-        spelt = [trie.words.take(pa.array(x - 1)) for x in (one, two)]
-        third = trie.words.take(pa.array(np.where(long, three - 1, 0)))
-        columns = [
-            pa.array([row["lang"]] * len(a), pa.string()),
-            *spelt,
-            pc.if_else(pa.array(long), third, pa.nulls(len(a), pa.string())),
-            pa.array(a),
-            pa.array(words[one]),
-            pa.array(np.where(long, last, words[two])),
-            pc.if_else(pa.array(long), pa.array(pair), nothing),
-            pc.if_else(pa.array(long), pa.array(words[three]), nothing),
-        ]
-        return pa.table(dict(zip(names, columns)))
-
-    return read
+        last = nodes[np.maximum(trie.walk([two[at], three[at]]), 0)]
+        found = some.select(["lang", *WORDS]).take(pa.array(at))
+        found = found.append_column("a", pa.array(nodes[states[at]]))
+        last = pa.array(last, mask=three[at] == 0)
+        yield from found.append_column("last", last).to_batches(1 << 16)
+
+
+def _with_parts(counted: DataFrame) -> DataFrame:
+    """The phrases with the counts of their parts: lang, words, a, l1, r1, l2, r2."""
+    words = counted.where("w2 is null")
+    first = words.select("lang", "w1", F.col("a").alias("l1"))
+    end = words.select("lang", F.col("w1").alias("end"), F.col("a").alias("of_end"))
+    pairs = counted.where("w2 is not null and w3 is null")
+    heads = pairs.select("lang", "w1", "w2", F.col("a").alias("l2"))
+    triples = counted.where("w3 is not null").join(heads, ["lang", "w1", "w2"])
+    both = triples.unionByName(pairs, allowMissingColumns=True)
+    both = both.withColumn("end", F.coalesce("w3", "w2"))
+    joined = both.join(first, ["lang", "w1"]).join(end, ["lang", "end"])
+    long = F.col("w3").isNotNull()
+    return joined.select(
+        "lang", *WORDS, "a", "l1",
+        F.when(long, F.col("last")).otherwise(F.col("of_end")).alias("r1"),
+        "l2",
+        F.when(long, F.col("of_end")).alias("r2"),
+    )
 
 
 def _scored(

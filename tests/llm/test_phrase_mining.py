@@ -1,5 +1,6 @@
 import random
 import re
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -88,6 +89,36 @@ def test_other_limits(spark):
     assert results(df, least_count=4, inside_percent=90, best=7) == wanted
 
 
+def test_texts_are_read_twice_however_many_shards(spark, tmp_path):
+    rows = corpus(3, 300, words=8)
+    folder = str(tmp_path)
+
+    def noted(batches):
+        open(f"{folder}/{uuid.uuid4().hex}", "w").close()
+        yield from batches
+
+    df = spark.createDataFrame(rows, SCHEMA).select("text", "lang").coalesce(1)
+    found = results(df.mapInArrow(noted, df.schema), shard_phrases=20)
+    assert found == plain([r[1:3] for r in rows]) and len(found) > 40
+    assert len(list(tmp_path.iterdir())) == 2
+
+
+@pytest.mark.parametrize("size", [0, 1, 5000])
+def test_sketch_cells_are_packed_and_added_up(size):
+    pick = np.random.default_rng(size)
+    own_bits = phrase_mining.SKETCH_BITS - phrase_mining.RANGE_BITS
+    cells = pick.integers(0, 1 << own_bits, size, dtype=np.uint64)
+    counts = pick.integers(1, 256, size, dtype=np.uint64)
+    rows = phrase_mining._added([cells << np.uint64(8) | counts])
+    assert dict(zip((rows >> np.uint64(8)).tolist(), (rows & np.uint64(255)).tolist())) == dict(
+        zip(cells.tolist(), counts.tolist())
+    )
+    assert np.array_equal(phrase_mining._dense(phrase_mining._sparse(rows, own_bits)), rows)
+    twice = phrase_mining._added([rows, rows])
+    assert len(twice) == size
+    assert np.array_equal(twice & np.uint64(255), np.minimum(2 * (rows & np.uint64(255)), 255))
+
+
 def test_edges(spark, edge_docs, no_docs):
     assert phrases(no_docs, lang_col="kept").collect() == []
     rows = [(r.text, r.kept) for r in edge_docs.select("text", "kept").collect()]
