@@ -2,6 +2,7 @@ import datetime as dt
 import gzip
 import json
 import os
+import random
 import time
 from dataclasses import replace
 
@@ -16,7 +17,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from marlstone.sources import fs, store
+from marlstone.sources import fs, schema as schema_of, store
 from marlstone.sources.schema import grown, infer_or_load_schema, load_epochs, widen
 from marlstone.streaming.ingest import (
     Feed,
@@ -341,3 +342,45 @@ def test_unknown_fields_are_kept_aside_and_taken_over(spark, feed):
     assert values(found.filter("id = 7").selectExpr("to_json(_rescued_fields)")) == [('{"later":1}',)]
     with pytest.raises(ValueError, match="rescue"):
         replace(feed, rescue="nothing")
+
+
+def test_fields_with_values_in_the_first_lines_cost_one_pass(spark, monkeypatch):
+    passes, infer = [], schema_of.infer_lines
+
+    def noted(lines, values_only=False):
+        passes.append(lines)
+        return infer(lines, values_only)
+
+    monkeypatch.setattr(schema_of, "infer_lines", noted)
+    text = '{"a":"x","n":1,"b":[{"c":"y","d":[]},{"c":null,"d":["z"]}]}'
+    lines = spark.createDataFrame([(text,)] * 3 + [("broken",)], "value string")
+    seen = infer(lines)
+    assert schema_of.learn(StructType([]), seen, lines) == (seen, seen)
+    assert lines not in passes
+    # A field without a value so far has to be looked for in all lines.
+    more = lines.unionAll(spark.createDataFrame([('{"e":null}',)], "value string"))
+    typed, whole = schema_of.learn(StructType([]), infer(more), more)
+    assert typed == seen and set(whole.names) == {*seen.names, "e"}
+    assert more in passes
+
+
+def test_the_look_at_first_lines_changes_no_type(spark, monkeypatch):
+    monkeypatch.setattr(schema_of, "FIRST_LINES", 3)
+    pick = random.Random(5)
+
+    def value(depth):
+        kind = pick.randrange(9 if depth else 6)
+        if kind > 6:
+            return {name: value(depth - 1) for name in pick.sample("abc", pick.randrange(4))}
+        if kind > 4:
+            return [value(max(depth - 1, 0)) for _ in range(pick.randrange(3))]
+        return [None, "", "text", 7, 2.5][kind]
+
+    for _ in range(25):
+        rows = [{name: value(2) for name in pick.sample("abcd", pick.randrange(1, 5))} for _ in range(6)]
+        rows = [*rows, *[{**row, "e": "x"} for row in rows]] if pick.random() < 0.3 else rows * 2
+        lines = spark.createDataFrame([(json.dumps(row),) for row in rows], "value string")
+        lines = lines.coalesce(1)
+        seen = schema_of.infer_lines(lines)
+        wanted = schema_of.infer_lines(lines, values_only=True)
+        assert schema_of.valued_fields(seen, lines) == wanted
