@@ -389,3 +389,49 @@ def test_raw_lines_are_compressed_and_split(spark, tmp_path):
     lines = spark.read.text(str(folder))
     assert lines.count() == 1_000_002
     assert lines.filter(F.contains("value", F.lit('"none":null'))).count() == 1_000_002
+
+
+def test_large_books_are_joined_by_number(spark, tmp_path):
+    parts = [(n, f"name {n}", "Brand#1", f"TYPE {n}", n % 50) for n in (1, 2, 3, 5)]
+    spark.createDataFrame(
+        parts, "p_partkey int, p_name string, p_brand string, p_type string, p_size int"
+    ).write.parquet(f"{tmp_path}/part.parquet")
+    lines = [(7, 1, 4, 1, "A"), (7, 2, 4, 2, "N"), (8, 2, 6, 1, "R"), (9, 4, 6, 1, "R"), (9, None, 6, 2, "R")]
+    spark.createDataFrame(
+        lines, "l_orderkey long, l_partkey int, l_suppkey int, l_linenumber int, l_returnflag string"
+    ).selectExpr("*", "2.0D AS l_quantity", "timestamp_ntz'1998-05-01' AS l_shipdate").write.parquet(
+        f"{tmp_path}/lineitem.parquet"
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        books = inputs.whole_books(spark, str(tmp_path))
+        assert "hashpartitioning(l_partkey" in plan_of(books)
+        found = values(books, "book_id", "title", "ratings_count")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found == [("1", " name 1 ", "2"), ("2", " name 2 ", "2"), ("2", " name 2 ", "3")]
+    assert books.columns[:4] == ["book_id", "authors", "popular_shelves", "l_shipdate"]
+
+
+def test_raw_lines_are_written_in_narrow_splits(spark, tmp_path):
+    """Tasks take few rows each, whatever the session's splits are."""
+    wanted = []
+    rows = spark.range(10)
+
+    class Noted:
+        sparkSession = spark
+        _jdf = rows._jdf
+
+        @property
+        def write(self):
+            return self
+
+        def option(self, *_):
+            return self
+
+        def json(self, folder):
+            wanted.append(int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b")))
+
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    inputs.write_lines(Noted(), str(tmp_path / "lines"))
+    assert wanted == [16 << 20] and spark.conf.get("spark.sql.files.maxPartitionBytes") == before
