@@ -7,6 +7,7 @@ import time
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
     BooleanType,
@@ -19,6 +20,7 @@ from pyspark.sql.types import (
 
 from marlstone.sources import fs, schema as schema_of, store
 from marlstone.sources.schema import grown, infer_or_load_schema, load_epochs, widen
+from marlstone.streaming import ingest
 from marlstone.streaming.ingest import (
     Feed,
     Landed,
@@ -384,3 +386,28 @@ def test_the_look_at_first_lines_changes_no_type(spark, monkeypatch):
         seen = schema_of.infer_lines(lines)
         wanted = schema_of.infer_lines(lines, values_only=True)
         assert schema_of.valued_fields(seen, lines) == wanted
+
+
+@pytest.mark.parametrize("days", [1, 9])
+def test_a_batch_of_few_dates_is_written_without_a_sort(spark, feed, monkeypatch, days):
+    """Of more dates than files are held open for too, each row lands under its date."""
+    name, held, folder = "spark.sql.maxConcurrentOutputFileWriters", [], ingest.batch_folder
+
+    def noted(*args):
+        held.append(spark.conf.get(name))
+        return folder(*args)
+
+    monkeypatch.setattr(ingest, "batch_folder", noted)
+    before = spark.conf.get(name)
+    date = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % days).cast("int"))
+    rows = spark.range(400).select(
+        F.to_json(F.struct("id")).alias("value"),
+        date.cast("timestamp").alias("_ingestion_timestamp"),
+        F.lit("file").alias("_source_file"),
+    )
+    land(feed, rows.coalesce(1), 0, Landed())
+    assert held[0] == "4" and spark.conf.get(name) == before
+    found = read_bronze(spark, feed)
+    assert found.count() == found.select("id").distinct().count() == 400
+    folders = [f for f in os.listdir(f"{feed.out}/batch=0") if f.startswith("load_date=")]
+    assert len(folders) == days
